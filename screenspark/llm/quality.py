@@ -21,6 +21,7 @@ from functools import cache
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from screenspark.llm.chunks import ChunkTable, in_groups
 from screenspark.llm.common import bucket_of, map_batches
@@ -193,4 +194,4 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
 
         return step
 
-    return map_batches(docs, make, docs.schema.add("score", "double").add("predicted", "int"))
+    return map_batches(docs, make, StructType([*docs.schema.fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())]))
