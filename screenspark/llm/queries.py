@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from screenspark.llm import bpe, langid, licenses, pii, quality, secrets
-from screenspark.llm.common import bucket_of, table
+from screenspark.llm import bpe, decontaminate, jaccard, langid, licenses, near_vectors, pii, quality, secrets, warc
+from screenspark.llm.common import bucket_of, shared_dir, table
+
+
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,12 +29,28 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"), pii.train())
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and item that occurs in it."""
+    found = decontaminate.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.item_id", "hit.edits")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, model).withColumn("held_out", bucket_of("doc_id", 4) == 2).select("doc_id", "held_out", "score", "predicted")
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = langid.predict(docs, langid.fit(docs))
@@ -38,11 +59,15 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_near_vectors": op1_near_vectors,
         "op2_bpe": op2_bpe,
         "op3_secrets": op3_secrets,
         "op4_licenses": op4_licenses,
         "op5_pii": op5_pii,
+        "op6_warc": op6_warc,
+        "op7_decontaminate": op7_decontaminate,
         "op8_quality": op8_quality,
+        "op9_jaccard": op9_jaccard,
         "op10_langid": op10_langid,
     }
 
