@@ -3,8 +3,8 @@
 Two neighbouring bytes that are neighbours inside no token of the vocabulary can
 never be merged across, so the place between them is a certain cut.  A word falls
 into fragments at its certain cuts; the fragments are encoded independently, their
-ids concatenated.  Fragments, words and white-space-free chunks repeat a lot, so
-each worker remembers what it has encoded, in tables of bounded size.
+ids concatenated.  Words and white-space-free chunks repeat a lot, so each worker
+remembers what it has encoded, in tables of bounded size.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import hashlib
 import heapq
 import json
 import unicodedata
+from array import array
 from functools import cache
 
 import numpy as np
@@ -20,8 +21,8 @@ from pyspark.sql import DataFrame
 
 from screenspark.llm.common import map_batches
 
-#: Most entries of a worker's table of encoded chunks, words or fragments.
-MEMORY = 250_000
+#: Most entries of a worker's table of encoded words; the table of chunks has twice as many.
+MEMORY = 300_000
 
 # What the tokenizer's regular expression engine calls white space,
 # its word pattern, and its end-of-word mark.
@@ -63,9 +64,12 @@ class WordBPE:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self.letters = byte_letters()
-        self.merges = {}
-        for rank, (a, b) in enumerate(tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]):
-            self.merges.setdefault((self.vocab[a], self.vocab[b]), (rank, self.vocab[a + b]))
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        #: What each merge makes, and the merge of each pair of ids; of repeated pairs the first counts.
+        self.made = [self.vocab[a + b] for a, b in pairs]
+        self.ranks = {self.vocab[a] << 32 | self.vocab[b]: r for r, (a, b) in reversed(list(enumerate(pairs)))}
+        self.byte_ids = [self.vocab[c] for c in self.letters]
+        self.last_byte_ids = [self.vocab[c + END] for c in self.letters]
         back = {letter: byte for byte, letter in enumerate(self.letters)}
         #: joined[a, b]: byte a stands right before byte b inside some token.
         self.joined = np.zeros((256, 256), dtype=bool)
@@ -76,10 +80,8 @@ class WordBPE:
         self.pattern = regex.compile(WORDS)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.split_white = regex.compile(f"[{WHITE}]+").split
-        self.fragment_ids = _Memo(self._merge)
         self.word_ids = _Memo(self._word)
-        self.chunk_bytes: _Memo = _Memo(self._chunk)
-        self.chunk_names: _Memo = _Memo(lambda c: self._names(self.chunk_bytes[c]))
+        self.chunks = _Memo(self._chunk, 2 * MEMORY)
 
     def fragments(self, word: bytes) -> list[bytes]:
         """The word, cut wherever two neighbouring bytes are joined by no token."""
@@ -89,50 +91,69 @@ class WordBPE:
     def _merge(self, key: tuple[bytes, bool]) -> tuple[int, ...]:
         """Merge one fragment: the pair of lowest rank first, the leftmost of equals."""
         fragment, last = key
-        ids = [self.vocab[self.letters[b]] for b in fragment]
+        ids = list(map(self.byte_ids.__getitem__, fragment))
         if last:
-            ids[-1] = self.vocab[self.letters[fragment[-1]] + END]
-        n, merges = len(ids), self.merges
+            ids[-1] = self.last_byte_ids[fragment[-1]]
+        return tuple(ids) if len(ids) == 1 else self._merge_short(ids) if len(ids) <= 48 else self._merge_long(ids)
+
+    def _merge_short(self, ids: list[int]) -> tuple[int, ...]:
+        """By a list of the ranks of all neighbouring pairs."""
+        rank_of, none = self.ranks.get, len(self.made)
+        ranks = [rank_of(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
+        while ranks and (rank := min(ranks)) != none:
+            i = ranks.index(rank)
+            new = ids[i] = self.made[rank]
+            del ids[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank_of(new << 32 | ids[i + 1], none)
+            if i:
+                ranks[i - 1] = rank_of(ids[i - 1] << 32 | new, none)
+        return tuple(ids)
+
+    def _merge_long(self, ids: list[int]) -> tuple[int, ...]:
+        """By a heap of pairs, in time n log n."""
+        n = len(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(*merges[pair], i, pair) for i in range(n - 1) if (pair := (ids[i], ids[i + 1])) in merges]
-        queue = [(rank, i, pair, new) for rank, new, i, pair in queue]
-        heapq.heapify(queue)
+        queue: list[tuple[int, int, int, int]] = []
+
+        def offer(i: int, j: int) -> None:
+            if (rank := self.ranks.get(ids[i] << 32 | ids[j])) is not None:
+                heapq.heappush(queue, (rank, i, ids[i], ids[j]))
+
+        for i in range(n - 1):
+            offer(i, i + 1)
         while queue:
-            _, i, pair, new = heapq.heappop(queue)
-            j = after[i] if ids[i] == pair[0] else n
-            if j >= n or ids[j] != pair[1]:
+            rank, i, left, right = heapq.heappop(queue)
+            j = after[i] if ids[i] == left else n
+            if j >= n or ids[j] != right:
                 continue
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = self.made[rank], -1
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
-                if (right := (new, ids[after[i]])) in merges:
-                    rank, made = merges[right]
-                    heapq.heappush(queue, (rank, i, right, made))
-            if before[i] >= 0 and (left := (ids[before[i]], new)) in merges:
-                rank, made = merges[left]
-                heapq.heappush(queue, (rank, before[i], left, made))
+                offer(i, after[i])
+            if before[i] >= 0:
+                offer(before[i], i)
         return tuple(x for x in ids if x >= 0)
 
     def _word(self, word: str) -> tuple[int, ...]:
         parts = self.fragments(word.encode("utf-8"))
-        memo = self.fragment_ids if len(word) <= 64 else _Memo(self._merge)
         out: list[int] = []
         for k, part in enumerate(parts):
-            out += memo[part, k == len(parts) - 1]
+            out += self._merge((part, k == len(parts) - 1))
         return tuple(out)
 
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of a text without white space, as little-endian 32-bit integers."""
-        text = chunk if unicodedata.is_normalized("NFC", chunk) else unicodedata.normalize("NFC", chunk)
+    def _chunk(self, chunk: str) -> tuple[bytes, str]:
+        """Ids, as little-endian 32-bit integers, and tokens of a text without white space."""
+        text = chunk if chunk.isascii() or unicodedata.is_normalized("NFC", chunk) else unicodedata.normalize("NFC", chunk)
         text = text.replace("Σ", "σ").lower()  # character by character, so without a final sigma
-        ids: list[int] = []
-        for word in self.pattern.findall(text):
-            ids += self.word_ids[word] if len(word) <= 64 else self._word(word)
-        return np.asarray(ids, dtype="<u4").tobytes()
-
-    def _names(self, ids: bytes) -> str:
-        return " ".join(map(self.names.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+        if text.isalpha() and text.isascii():
+            ids = self.word_ids[text]
+        else:
+            ids = []
+            for word in self.pattern.findall(text):
+                ids += self.word_ids[word] if len(word) <= 64 else self._word(word)
+        return array("I", ids).tobytes(), " ".join(map(self.names.__getitem__, ids))
 
     def _pieces(self, text: str) -> list[str]:
         plain = text.split()
@@ -154,10 +175,10 @@ class WordBPE:
     def _plain(self, text: str) -> tuple[bytes, str]:
         pieces = self._pieces(text)
         if max(map(len, pieces), default=0) > 256:  # long chunks are not worth remembering
-            found = [self._chunk(c) for c in pieces]
-            return b"".join(found), " ".join(self._names(x) for x in found if x)
-        ids = b"".join(map(self.chunk_bytes.__getitem__, pieces))
-        return ids, " ".join(map(self.chunk_names.__getitem__, pieces))
+            found = list(map(self._chunk, pieces))
+        else:
+            found = list(map(self.chunks.__getitem__, pieces))
+        return b"".join([ids for ids, _ in found]), " ".join([names for _, names in found])
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_both(text)[0], dtype="<u4").tolist()
