@@ -89,5 +89,19 @@ def sample_per_class(df: DataFrame, key: str, label: str, per_class: int) -> Dat
     return df.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= per_class).drop("_rank")
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept(owner: str, make: Callable[[], object]):
+    """What a worker process remembers from task to task for one operator and model.
+
+    Workers are used again by other operators; the memory of the one before is let go.
+    """
+    if owner not in _KEPT:
+        _KEPT.clear()
+        _KEPT[owner] = make()
+    return _KEPT[owner]
+
+
 def has_letter(text: str) -> bool:
     return any(c.isalpha() for c in text)

@@ -2,33 +2,42 @@
 
 A document's set holds its distinct word shingles.  Documents with equal sets form a
 class; the join is over classes.  Two sets that are similar enough share a shingle
-among the first of each in one global order (prefix filtering), and their sizes are
-near.  So the classes that share a prefix shingle make a tile, kept in order of size,
-and only classes in the same size band of a tile are compared:
+among the first of each in the order of the hashes (prefix filtering), and their sizes
+are near.  So the classes that share a prefix shingle make a tile, kept in order of
+size, and only classes in the same size band of a tile are compared:
 
 1. bitmap signatures: each shingle sets one hashed bit; the bits in which two bitmaps
    differ bound the symmetric difference from below, so the overlap from above;
 2. what passes is verified by intersecting the sorted shingle arrays.
 
-The order puts the most frequent shingles last, so passages that many documents share
-make tiles only for documents that hold little else; it changes the cost, never the
-result.  Components need not all links: first each class is verified against the
-leader of its tiles that it shares most with, and only tiles that then still hold
-several components are compared pair by pair.
+The order puts the most frequent shingles last, as a sample shows them, so passages that
+many documents share make tiles only for documents that hold little else.  The order has
+no influence on the result.
+
+A linked pair shares not one prefix shingle alone.  Hashes draw the other shingles at
+random: of the first p of both, p the shorter prefix, a share q is expected to be in
+both, where q follows from the size and the frequent shingles of either.  Fewer than
+q * p - sqrt(13.82 * p) happen with a probability of at most 1e-12 for a pair
+(Hoeffding's bound for draws without replacement); a class or a pair that shares fewer is
+left out.
+
+Components need not all links: first each class is verified against the leader of its
+tiles that it shares most with, and only tiles that then still hold several components
+are compared pair by pair.
 """
 
 from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from screenspark.llm.common import map_batches, stored
+from screenspark.llm.common import kept, map_batches, stored
 from screenspark.llm.components import components
 
 
@@ -36,10 +45,12 @@ from screenspark.llm.components import components
 class JaccardParams:
     """Links have 100 * intersection >= ``percent`` * union, of ``words``-word shingles.
 
-    ``sample`` documents in one give the frequent shingles, at most ``frequent`` of them;
-    ``tuples`` is the aim for the shingles that one task sorts, ``tile`` the classes of
-    one side of a tile's block, ``filter_bits`` the size of the filter that keeps shingle
-    arrays of classes without candidates from being sent.
+    One document in ``sample`` gives the frequent shingles, at most ``frequent`` of them,
+    whose tuples are spread over all tasks.  ``tuples``: the aim for the shingles that one
+    task sorts.  ``leaders``: those that a class is verified against first.  ``small``:
+    most classes of a tile whose pairs become rows.  ``tile``: classes of a side of a
+    larger tile's block.  ``filter_bits``: size of the filter that keeps shingle arrays of
+    classes without candidates from being sent.
     """
 
     words: int = 5
@@ -47,11 +58,13 @@ class JaccardParams:
     sample: int = 32
     frequent: int = 100_000
     tuples: int = 400_000
+    leaders: int = 3
+    small: int = 128
     tile: int = 1024
     filter_bits: int = 1 << 24
 
 
-TUPLE = np.dtype([("t", "<u8"), ("c", "<i8"), ("n", "<i4")])
+TUPLE = np.dtype([("t", "<u8"), ("c", "<i8"), ("n", "<i4"), ("k", "<i2")])
 MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -61,15 +74,10 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= 300_000:
             self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
 
-@cache
-def _words() -> _Words:
-    return _Words()
-
-
 def shingle_set(text: str | None, words: int) -> np.ndarray:
     """The sorted distinct 64-bit hashes of a whole text's shingles.
 
@@ -79,7 +87,7 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
         return np.zeros(0, dtype=np.uint64)
-    h = np.fromiter(map(_words().__getitem__, parts), np.uint64, len(parts))
+    h = np.fromiter(map(kept("shingles", _Words).__getitem__, parts), np.uint64, len(parts))
     width = min(words, len(parts))
     out = np.full(len(parts) - width + 1, width, dtype=np.uint64)
     for k in range(width):
@@ -97,22 +105,31 @@ def class_of(shingles: np.ndarray) -> int | None:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def prefix(shingles: np.ndarray, percent: int, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles, whether frequent): the first of the set in the global order, as many
-    as a similar set must share one of."""
+def prefix_length(n: int, percent: int) -> int:
+    """How many of a set's shingles a similar set must share one of."""
+    return n - -(-percent * n // 100) + 1
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The prefix shingles of a set, which of them are frequent, and how many of them a
+    linked set shares at least; ``common`` has the frequent shingles in order."""
     n = len(shingles)
-    need = n - -(-percent * n // 100) + 1
-    common = np.zeros(n, dtype=bool)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        common = frequent[at] == shingles
-    order = np.concatenate([np.flatnonzero(~common), np.flatnonzero(common)])[:need]
-    return shingles[order], common[order]
+    hot = np.zeros(n, dtype=bool)
+    if len(common):
+        hot = common[np.minimum(np.searchsorted(common, shingles), len(common) - 1)] == shingles
+    length = prefix_length(n, percent)
+    order = np.concatenate([np.flatnonzero(~hot), np.flatnonzero(hot)])[:length]
+    rest = n - int(hot.sum())
+    least = 1
+    if rest >= length:
+        p = prefix_length(-(-percent * n // 100), percent)
+        least = max(1, int((percent * n / 100 - (n - rest)) / rest * p - np.sqrt(13.82 * p)))
+    return shingles[order], hot[order], min(least, 32_767)
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
     """Bits by hash; as many bits, a power of two, as suit the size."""
-    width = min(4096, max(64, 1 << int(len(shingles) - 1).bit_length())) if len(shingles) else 64
+    width = min(16_384, max(64, 8 << int(len(shingles) - 1).bit_length())) if len(shingles) else 64
     bits = np.zeros(width, dtype=np.uint8)
     bits[(shingles % np.uint64(width)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").view(np.uint64)
@@ -135,21 +152,9 @@ def near_sizes(a: str, b: str, percent: int) -> str:
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
 
-def describe(docs: DataFrame, params: JaccardParams) -> DataFrame:
-    """(doc_id, n_shingles, cls) of every document."""
-
-    def make():
-        def step(cols):
-            sets = [shingle_set(t, params.words) for t in cols["text"]]
-            return {"doc_id": cols["doc_id"], "n_shingles": [len(s) for s in sets], "cls": [class_of(s) for s in sets]}
-
-        return step
-
-    return map_batches(docs.select("doc_id", "text"), make, "doc_id bigint, n_shingles bigint, cls bigint")
-
-
-def frequent_shingles(docs: DataFrame, params: JaccardParams) -> np.ndarray:
-    """The most frequent shingles, by a sample of the distinct texts; a hint on order."""
+def frequent_shingles(docs: DataFrame, params: JaccardParams) -> tuple[np.ndarray, int]:
+    """The most frequent shingles, by a sample of the distinct texts, and about how many
+    shingles all texts have: hints on how to order and spread the work."""
 
     def make():
         def step(cols):
@@ -159,44 +164,56 @@ def frequent_shingles(docs: DataFrame, params: JaccardParams) -> np.ndarray:
         return step
 
     texts = docs.select("text").filter(F.xxhash64("text") % params.sample == 0).distinct()
-    counts = map_batches(texts, make, "t array<bigint>").select(F.explode("t").alias("t")).groupBy("t").count()
+    size = Observation()
+    sets = map_batches(texts, make, "t array<bigint>").observe(size, F.coalesce(F.sum(F.size("t")), F.lit(0)).alias("half"))
+    counts = sets.select(F.explode("t").alias("t")).groupBy("t").count()
     rows = counts.filter("count >= 3").orderBy(F.desc("count"), "t").limit(params.frequent).collect()
-    return np.sort(np.array([r.t for r in rows], dtype=np.int64).view(np.uint64))
+    # Half of all hashes lie below the sample's bound.
+    return np.sort(np.array([r.t for r in rows], dtype=np.int64).view(np.uint64)), 2 * params.sample * int(size.get["half"] or 0)
 
 
-def shared_prefixes(docs: DataFrame, frequent: np.ndarray, buckets: int, params: JaccardParams) -> DataFrame:
-    """(t, c, n): prefix shingle, class and size, where other classes of near size have
-    the shingle in their prefix too (of the frequent ones all)."""
+def described(docs: DataFrame, frequent: np.ndarray, buckets: int, params: JaccardParams) -> DataFrame:
+    """What one pass over all texts gives: in rows without bucket ``docs``, arrays of
+    (doc_id, n_shingles, cls); in the others ``rows``, packed tuples of prefix shingles."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def make():
         common = sent.value
 
         def step(cols):
+            known = []
             parts = []
             seen: set[int] = set()
-            for text in cols["text"]:
+            for doc_id, text in zip(cols["doc_id"], cols["text"]):
                 s = shingle_set(text, params.words)
                 cls = class_of(s)
-                if cls is None or cls in seen:
+                known.append({"doc_id": doc_id, "n_shingles": len(s), "cls": cls})
+                if cls is None or cls in seen or doc_id is None:
                     continue
                 seen.add(cls)
-                t, hot = prefix(s, params.percent, common)
+                t, hot, least = prefix(s, common, params.percent)
                 rows = np.empty(len(t), dtype=TUPLE)
-                rows["t"], rows["c"], rows["n"] = t, cls, len(s)
+                rows["t"], rows["c"], rows["n"], rows["k"] = t, cls, len(s), least
                 # Rare shingles meet in the bucket of their hash; of frequent ones any bucket will do.
                 spread = np.uint64(cls % (1 << 64)) + t
                 parts.append((rows, np.where(hot, buckets + (spread % np.uint64(buckets)).astype(np.int64), (t % np.uint64(buckets)).astype(np.int64))))
             if not parts:
-                return {"bucket": [], "rows": []}
+                return {"bucket": [None], "rows": [None], "docs": [known]}
             rows = np.concatenate([r for r, _ in parts])
             bucket = np.concatenate([b for _, b in parts])
             order = np.argsort(bucket, kind="stable")
             names, starts = np.unique(bucket[order], return_index=True)
-            return {"bucket": names.tolist(), "rows": [x.tobytes() for x in np.split(rows[order], starts[1:])]}
+            packed = [x.tobytes() for x in np.split(rows[order], starts[1:])]
+            return {"bucket": [None, *names.tolist()], "rows": [None, *packed], "docs": [known] + [None] * len(packed)}
 
         return step
 
+    return map_batches(docs, make, "bucket bigint, rows binary, docs array<struct<doc_id: bigint, n_shingles: bigint, cls: bigint>>")
+
+
+def shared_prefixes(packed: DataFrame, buckets: int, params: JaccardParams) -> DataFrame:
+    """(t, c, n, k): prefix shingle, class, size and least number of shared shingles, where
+    other classes of near size have the shingle in their prefix too (of the frequent all)."""
     percent = params.percent
 
     def gather(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -209,10 +226,19 @@ def shared_prefixes(docs: DataFrame, frequent: np.ndarray, buckets: int, params:
             # In order of size, a class has a partner if its neighbour is near.
             near = (rows["t"][1:] == rows["t"][:-1]) & (100 * rows["n"][:-1].astype(np.int64) >= percent * rows["n"][1:].astype(np.int64))
             rows = rows[np.append(near, False) | np.insert(near, 0, False)]
-        return pd.DataFrame({"t": rows["t"].view(np.int64), "c": rows["c"], "n": rows["n"].astype(np.int64)})
+        return pd.DataFrame({"t": rows["t"].view(np.int64), "c": rows["c"], "n": rows["n"].astype(np.int64), "k": rows["k"].astype(np.int64)})
+
+    return packed.filter("bucket IS NOT NULL").select("bucket", "rows").groupBy("bucket").applyInPandas(gather, "t bigint, c bigint, n bigint, k bigint")
+
 
-    packed = map_batches(docs.select("text"), make, "bucket bigint, rows binary")
-    return packed.groupBy("bucket").applyInPandas(gather, "t bigint, c bigint, n bigint")
+def enough_shared(tiles: DataFrame, root: str | None = None) -> DataFrame:
+    """Rows of tiles (t, c, n, k, ...) of classes that share enough with other classes, or
+    with classes of another ``root``."""
+    key = root or "c"
+    several = tiles.groupBy("t").agg(F.min(key).alias("_low"), F.max(key).alias("_high")).filter("_low <> _high").select("t")
+    shared = tiles.join(several, "t")
+    enough = shared.groupBy("c", "k").count().filter("count >= k").select("c")
+    return shared.join(enough, "c")
 
 
 def class_filter(classes: DataFrame, bits: int) -> np.ndarray:
@@ -252,24 +278,40 @@ def class_arrays(docs: DataFrame, wanted: np.ndarray, params: JaccardParams) ->
     return rows.groupBy("c").agg(*[F.first(k).alias(k) for k in ("n", "bits", "shingles")])
 
 
-def verified(pairs: DataFrame, arrays: DataFrame, params: JaccardParams) -> DataFrame:
-    """Of the pairs (a, b) of classes those that link, exactly."""
-    side = {x: arrays.select(F.col("c").alias(x), *[F.col(k).alias(f"{k}_{x}") for k in ("n", "bits", "shingles")]) for x in "ab"}
+def not_ruled_out(pairs: DataFrame, arrays: DataFrame, params: JaccardParams) -> DataFrame:
+    """Of the pairs (a, b) of classes those that their bitmaps allow to link."""
+    side = {x: arrays.select(F.col("c").alias(x), *[F.col(k).alias(f"{k}_{x}") for k in ("n", "bits")]) for x in "ab"}
     rows = pairs.select("a", "b").join(side["a"], "a").join(side["b"], "b")
 
     def make():
-        def linked(n_a, n_b, bits_a, bits_b, raw_a, raw_b) -> bool:
+        def allowed(n_a, n_b, bits_a, bits_b) -> bool:
             x, y = np.frombuffer(bits_a, np.uint64), np.frombuffer(bits_b, np.uint64)
             words = min(len(x), len(y))
             differing = int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum())
-            if not may_link(differing, n_a, n_b, params.percent):
-                return False
+            return may_link(differing, n_a, n_b, params.percent)
+
+        def step(cols):
+            keep = [allowed(*x) for x in zip(*(cols[k] for k in ("n_a", "n_b", "bits_a", "bits_b")))]
+            return {x: [v for v, k in zip(cols[x], keep) if k] for x in "ab"}
+
+        return step
+
+    return map_batches(rows, make, "a bigint, b bigint")
+
+
+def verified(pairs: DataFrame, arrays: DataFrame, params: JaccardParams) -> DataFrame:
+    """Of the pairs (a, b) of classes those that link: by bitmaps first, then exactly."""
+    side = {x: arrays.select(F.col("c").alias(x), F.col("shingles").alias(f"shingles_{x}")) for x in "ab"}
+    rows = not_ruled_out(pairs, arrays, params).join(side["a"], "a").join(side["b"], "b")
+
+    def make():
+        def linked(raw_a, raw_b) -> bool:
             a, b = np.frombuffer(raw_a, np.uint64), np.frombuffer(raw_b, np.uint64)
             both = len(np.intersect1d(a, b, assume_unique=True))
             return 100 * both >= params.percent * (len(a) + len(b) - both)
 
         def step(cols):
-            keep = [linked(*x) for x in zip(*(cols[k] for k in ("n_a", "n_b", "bits_a", "bits_b", "shingles_a", "shingles_b")))]
+            keep = [linked(*x) for x in zip(cols["shingles_a"], cols["shingles_b"])]
             return {x: [v for v, k in zip(cols[x], keep) if k] for x in "ab"}
 
         return step
@@ -277,9 +319,39 @@ def verified(pairs: DataFrame, arrays: DataFrame, params: JaccardParams) -> Data
     return map_batches(rows, make, "a bigint, b bigint")
 
 
-def tile_pairs(members: DataFrame, params: JaccardParams) -> DataFrame:
+def leader_pairs(tiles: DataFrame, params: JaccardParams) -> DataFrame:
+    """(a, b): each class with the leaders that it shares most prefix shingles with.
+
+    A tile's leader in a size band is the class that shares most with all others.  Bands
+    overlap by half, so that any two near sizes have one in common.
+    """
+    from pyspark.sql import Window as W
+
+    size = tiles.groupBy("t").agg(F.count("*").alias("m"))
+    weight = tiles.join(size, "t").groupBy("c").agg(F.sum("m").alias("weight"))
+    band = F.floor(F.log("n") / float(np.log(100 / params.percent)))
+    banded = tiles.withColumn("band", F.explode(F.array(band, band + 1)))
+    leaders = banded.join(weight, "c").groupBy("t", "band").agg(F.max_by(F.struct("c", "n"), F.struct(F.col("weight") / F.col("n"), "c")).alias("l"))
+    led = banded.join(leaders, ["t", "band"]).filter("c <> l.c AND " + near_sizes("n", "l.n", params.percent))
+    led = led.groupBy("c", F.col("l.c").alias("l")).count()
+    best = F.row_number().over(W.partitionBy("c").orderBy(F.desc("count"), "l"))
+    led = led.withColumn("best", best).filter(F.col("best") <= params.leaders)
+    return led.select(F.least("c", "l").alias("a"), F.greatest("c", "l").alias("b")).distinct()
+
+
+def small_tile_pairs(members: DataFrame, params: JaccardParams) -> DataFrame:
+    """(a, b): pairs of classes of different roots that share enough prefix shingles."""
+    a = members.select("t", F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("k").alias("k_a"), F.col("root").alias("root_a"))
+    b = members.select("t", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("k").alias("k_b"), F.col("root").alias("root_b"))
+    met = a.join(b, "t").filter("a < b AND root_a <> root_b AND " + near_sizes("n_a", "n_b", params.percent))
+    return met.groupBy("a", "b", "k_a", "k_b").count().filter("count >= greatest(k_a, k_b)").select("a", "b")
+
+
+def large_tile_pairs(members: DataFrame, params: JaccardParams) -> DataFrame:
     """(a, b): pairs of tiles (t, c, n, root, bits) that a bitmap doesn't rule out.
 
+    For tiles of so many classes that their pairs should not become rows.
+
     A tile is cut into blocks of bounded size, in the order of size; a task compares two
     blocks, and only where their sizes are near and the roots differ.
     """
@@ -324,27 +396,28 @@ def near_duplicates(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
     repeat a doc_id are one document.  Other columns than doc_id and text are ignored.
     """
     docs = docs.select("doc_id", "text")
-    known = stored(describe(docs, params), "jaccard-docs")
-    classes = known.filter("cls IS NOT NULL AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"))
-    total = classes.agg(F.sum(F.col("n") * (100 - params.percent) / 100 + 1)).first()[0] or 0
-    buckets = max(8, int(total / params.tuples) + 1)
-
-    texts = docs.filter("doc_id IS NOT NULL")
-    tiles = stored(shared_prefixes(texts, frequent_shingles(texts, params), buckets, params), "jaccard-tiles")
-    arrays = stored(class_arrays(texts, class_filter(tiles.select("c"), params.filter_bits), params), "jaccard-arrays")
+    frequent, total = frequent_shingles(docs, params)
+    buckets = max(8, int(total * (100 - params.percent) / 100 / params.tuples) + 1)
+    packed = stored(described(docs, frequent, buckets, params), "jaccard-packed")
+    known = packed.filter("docs IS NOT NULL").select(F.explode("docs").alias("d")).select("d.doc_id", "d.n_shingles", "d.cls")
+    classes = known.filter("cls IS NOT NULL AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"))
+    every = stored(shared_prefixes(packed, buckets, params), "jaccard-tiles")
+    tiles = stored(enough_shared(enough_shared(every)), "jaccard-tiles")
+    arrays = stored(class_arrays(docs.filter("doc_id IS NOT NULL"), class_filter(tiles.select("c"), params.filter_bits), params), "jaccard-arrays")
 
-    # Each class against the leader that it shares most prefix shingles with.
-    leaders = tiles.groupBy("t").agg(F.min_by(F.struct("c", "n"), F.struct("n", "c")).alias("l"))
-    to_leader = tiles.join(leaders, "t").filter("c <> l.c AND " + near_sizes("n", "l.n", params.percent))
-    to_leader = to_leader.groupBy("c", F.col("l.c").alias("l")).count().groupBy("c").agg(F.max_by("l", F.struct("count", "l")).alias("l"))
-    first_links = stored(verified(to_leader.select(F.least("c", "l").alias("a"), F.greatest("c", "l").alias("b")).distinct(), arrays, params), "jaccard-links")
+    first_links = stored(verified(leader_pairs(tiles, params), arrays, params), "jaccard-links")
 
     # What tiles hold besides: pairs of classes that no link found so far connects.
     found = components(first_links, "a", "b")
     rooted = tiles.join(found.select(F.col("id").alias("c"), "component"), "c", "left").withColumn("root", F.coalesce("component", "c")).drop("component")
-    mixed = rooted.groupBy("t").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("t")
-    members = rooted.join(mixed, "t").join(arrays.select("c", "bits"), "c")
-    more_links = verified(tile_pairs(members, params), arrays, params)
+    mixed = stored(enough_shared(enough_shared(rooted, "root"), "root").select("t", "c", "n", "k", "root"), "jaccard-mixed")
+    # A pair whose shared shingles lie in large tiles as well as small ones is found in the
+    # large ones; so pairs are counted in small tiles only where no large one can hold them.
+    large = mixed.groupBy("t").count().filter(F.col("count") > params.small).select("t")
+    wide = mixed.join(large, "t")
+    narrow = mixed.join(large, "t", "left_anti")
+    pairs = small_tile_pairs(narrow, params).unionByName(large_tile_pairs(wide.join(arrays.select("c", "bits"), "c"), params)).distinct()
+    more_links = verified(pairs, arrays, params)
     links = stored(first_links.unionByName(more_links), "jaccard-links")
 
     final = components(links, "a", "b")
