@@ -41,26 +41,27 @@ def harmony(vectors: DataFrame, batch: str = "batch", clusters: int | None = Non
     k, d, b = len(centres), start.shape[1], len(names)
     code = {name: i for i, name in enumerate(names)}
     weight = np.ones((b, k))
-    # Corrections by batch and cluster, taken off in proportion to membership.
-    shift = np.zeros((b, k, d))
+    models: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     before = None
 
-    def correct(z, codes, model):
-        c, w, s = model
-        r = _memberships(z, codes, c, w, sigma)
-        return z - np.einsum("nk,nkd->nd", r, s[codes]), r
+    def corrected(z, codes, rounds_done):
+        """Each round assigns the vectors as corrected so far, and corrects the first ones."""
+        fixed = z
+        for c, w, shift in rounds_done:
+            fixed = z - np.einsum("nk,nkd->nd", _memberships(fixed, codes, c, w, sigma), shift[codes])
+        return fixed
 
     for _ in range(rounds):
-        model = (centres, weight, shift)
 
-        def sums(batches, model=model):
+        def sums(batches, state=(centres, weight), done=tuple(models)):
             total = np.zeros((b, k, 2 * d + 1))
             for frame in batches:
                 if not len(frame):
                     continue
                 z = np.stack(frame["v"].to_numpy())
                 codes = frame[batch].map(code).to_numpy()
-                fixed, r = correct(z, codes, model)
+                fixed = corrected(z, codes, done)
+                r = _memberships(fixed, codes, *state, sigma)
                 unit = fixed / np.maximum(np.linalg.norm(fixed, axis=1, keepdims=True), 1e-12)
                 for i in range(b):
                     mine = codes == i
@@ -75,10 +76,6 @@ def harmony(vectors: DataFrame, batch: str = "batch", clusters: int | None = Non
         total[rows["i"], rows["pos"]] = rows["x"]
         total = total.reshape(b, k, -1)
         observed, raw, unit = total[:, :, 0], total[:, :, 1 : d + 1], total[:, :, d + 1 :]
-        expected = observed.sum(axis=1, keepdims=True) * observed.sum(axis=0, keepdims=True) / observed.sum()
-        weight = ((expected + 1) / (observed + 1)) ** theta
-        centres = unit.sum(axis=0)
-        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
         # Ridge regression of each cluster on a constant and its batches.
         shift = np.zeros((b, k, d))
         for j in range(k):
@@ -88,14 +85,18 @@ def harmony(vectors: DataFrame, batch: str = "batch", clusters: int | None = Non
             left[1:, 1:] = np.diag(o + ridge)
             right = np.vstack([raw[:, j].sum(axis=0), raw[:, j]])
             shift[:, j] = np.linalg.lstsq(left, right, rcond=None)[0][1:]
-        moved = np.inf if before is None else np.abs(shift - before).max()
-        before = shift
-        if moved < tolerance:
+        models.append((centres, weight, shift))
+        if before is not None and np.abs(shift - before).max() < tolerance:
             break
-    model = (centres, weight, shift)
+        before = shift
+        expected = observed.sum(axis=1, keepdims=True) * observed.sum(axis=0, keepdims=True) / observed.sum()
+        weight = ((expected + 1) / (observed + 1)) ** theta
+        centres = unit.sum(axis=0)
+        centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
+    done = tuple(models)
 
     @F.pandas_udf("array<double>")
     def fix(v: pd.Series, name: pd.Series) -> pd.Series:
-        return pd.Series(list(correct(np.stack(v.to_numpy()), name.map(code).to_numpy(), model)[0])) if len(v) else pd.Series([], dtype=object)
+        return pd.Series(list(corrected(np.stack(v.to_numpy()), name.map(code).to_numpy(), done))) if len(v) else pd.Series([], dtype=object)
 
     return vectors.withColumn("corrected", fix("v", F.col(batch)))

@@ -132,7 +132,7 @@ def test_harmony_shrinks_a_batch_shift(spark):
     rng = np.random.default_rng(2)
     x, b = rng.normal(size=(120, 4)) + 4 * np.eye(4)[rng.integers(0, 2, 120)], np.arange(120) % 2
     x[b == 1] += np.array([1.5, 0, 0, 1.5])
-    rows = batch.harmony(vectors_of(spark, x, np.zeros(120), batches=b), clusters=4).orderBy("cell_id").collect()
+    rows = batch.harmony(vectors_of(spark, x, np.zeros(120), batches=b), clusters=2).orderBy("cell_id").collect()
     fixed = np.array([r.corrected for r in rows])
     gap = lambda y: np.linalg.norm(y[b == 0].mean(axis=0) - y[b == 1].mean(axis=0))
     assert gap(fixed) < 0.5 * gap(x)
