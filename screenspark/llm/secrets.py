@@ -63,14 +63,14 @@ def window_entropies(text: str, window: int):
     counts: dict[str, int] = {}
     total = 0.0
     for i, new in enumerate(text):
-        c = counts.get(new, 0)
-        total += term[c + 1] - term[c]
-        counts[new] = c + 1
         if i >= window:
             old = text[i - window]
             c = counts[old]
             total += term[c - 1] - term[c]
             counts[old] = c - 1
+        c = counts.get(new, 0)
+        total += term[c + 1] - term[c]
+        counts[new] = c + 1
         if i >= window - 1:
             yield i - window + 1, math.log2(window) - total / window
 
