@@ -72,6 +72,24 @@ def queries() -> dict:
     }
 
 
+OP1_SQL = """WITH RECURSIVE e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+ln AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (SELECT vec_id, vec_id AS c FROM e UNION SELECT ln.b, reach.c FROM reach JOIN ln ON ln.a = reach.vec_id),
+comp AS (SELECT vec_id, MIN(c) AS component_id FROM reach GROUP BY 1), cnt AS (SELECT a, COUNT(*) AS n FROM ln GROUP BY 1)
+SELECT vec_id, COALESCE(n, 0) AS n_links, component_id, vec_id = component_id AS kept FROM comp LEFT JOIN cnt ON a = vec_id"""
+
+OP6_SQL = """WITH p AS (SELECT page_id, COALESCE(html, '') AS h FROM pages), d AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha256(h) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN MIN(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM f"""
+
+OP9_SQL = """WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, UNNEST(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w)),
+n AS (SELECT doc_id, COUNT(*) AS n FROM sh GROUP BY 1), pr AS (SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+ln AS (SELECT a, b FROM pr JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT ln.b, reach.c FROM reach JOIN ln ON ln.a = reach.doc_id)
+SELECT doc_id, COALESCE(n, 0) AS n_shingles, component_id FROM (SELECT doc_id, MIN(c) AS component_id FROM reach GROUP BY 1) LEFT JOIN n USING (doc_id)"""
+
+
 def oracle_sql() -> dict:
     """SQL for the operators that it can express; the others are tested by brute force."""
-    return {}
+    return {"op1_near_vectors": OP1_SQL, "op6_warc": OP6_SQL, "op9_jaccard": OP9_SQL}
