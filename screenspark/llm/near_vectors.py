@@ -135,13 +135,15 @@ def divide(classes: DataFrame, params: ForestParams) -> DataFrame:
     trees = F.array([F.lit(t) for t in range(params.trees)])
     # Vectors of different lengths never link; a node holds those of one length.
     nodes = classes.select("cls", "embedding", F.explode(trees).alias("tree"), F.concat_ws("/", F.lit(""), "label", F.size("embedding")).alias("node"))
-    depth, done = 0, None
+    depth, dense = 0, None
     while True:
         sizes = nodes.groupBy("tree", "node").count()
         large = sizes.filter(F.col("count") > params.local)
         if depth >= params.depth or large.limit(1).count() == 0:
             break
-        nodes = stored(_divide_once(nodes, sizes, depth, params), "forest")
+        found, nodes = _take_cores(nodes, large, params)
+        dense = found if dense is None else dense.unionByName(found)
+        nodes = stored(_divide_once(nodes, nodes.groupBy("tree", "node").count(), depth, params), "forest")
         depth += 1
     small = nodes.join(sizes.filter(F.col("count") <= params.local).select("tree", "node"), ["tree", "node"])
     level = depth
@@ -157,9 +159,9 @@ def divide(classes: DataFrame, params: ForestParams) -> DataFrame:
 
     done = small.groupBy("tree", "node").applyInPandas(finish, "cls bigint, code bigint")
     if depth >= params.depth:
-        dense = nodes.join(sizes.filter(F.col("count") > params.local).select("tree", "node"), ["tree", "node"])
-        done = done.unionByName(dense.select("cls", F.xxhash64("tree", "node").alias("code")))
-    return done
+        left = nodes.join(sizes.filter(F.col("count") > params.local).select("tree", "node"), ["tree", "node"])
+        done = done.unionByName(left.select("cls", F.xxhash64("tree", "node").alias("code")))
+    return done if dense is None else done.unionByName(dense)
 
 
 def leaf_code(tree: int, node: str, path: str) -> int:
@@ -167,6 +169,27 @@ def leaf_code(tree: int, node: str, path: str) -> int:
     return (zlib.crc32(text) << 31) ^ zlib.crc32(b"leaf" + text)
 
 
+def _take_cores(nodes: DataFrame, large: DataFrame, params: ForestParams) -> tuple[DataFrame, DataFrame]:
+    """(leaves, nodes): dense leaves of the large nodes that have a core, and the nodes
+    without those cores; as inside a task, but with means and shares over the cluster."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    length = "sqrt(aggregate({0}, 0D, (s, v) -> s + cast(v as double) * cast(v as double)))"
+    rows = nodes.join(large.select("tree", "node"), ["tree", "node"]).withColumn("length", F.expr(length.format("embedding")))
+    rows = rows.withColumn("unit", F.expr("transform(embedding, v -> cast(v as double) / length)")).drop("length")
+    means = rows.groupBy("tree", "node").agg(vector_to_array(Summarizer.mean(array_to_vector("unit"))).alias("mean"))
+    means = means.withColumn("size", F.greatest(F.expr(length.format("mean")), F.lit(1e-300)))
+    near = F.expr("aggregate(zip_with(unit, mean, (p, q) -> p * q), 0D, (s, v) -> s + v) / size")
+    near_rows = rows.join(means, ["tree", "node"]).select("cls", "tree", "node", "embedding", near.alias("near"))
+    share = near_rows.groupBy("tree", "node").agg(F.avg((F.col("near") >= params.dense).cast("double")).alias("share"))
+    cored = stored(near_rows.join(share.filter(F.col("share") >= params.share).select("tree", "node"), ["tree", "node"]), "cores")
+    leaves = cored.filter(F.col("near") >= float(reach(params.dense, params.cosine))).select("cls", F.xxhash64("tree", "node", F.lit("dense")).alias("code"))
+    rest = cored.filter(F.col("near") < params.dense).select("cls", "embedding", "tree", F.concat("node", F.lit("r")).alias("node"))
+    others = nodes.join(cored.select("tree", "node").distinct(), ["tree", "node"], "left_anti")
+    return leaves, others.select("cls", "embedding", "tree", "node").unionByName(rest)
+
+
 def _divide_once(nodes: DataFrame, sizes: DataFrame, depth: int, params: ForestParams) -> DataFrame:
     """One more level below the nodes that are too large for a task."""
 
