@@ -176,6 +176,22 @@ def p14b(spark, d):
     return detect.constituents(labels(spark, d), "+", SPEC)
 
 
+@query("p15_combinatorial_labels", f"{LABELS} SELECT AVG(CAST(contains(pert, '+') AS INT)) >= 0.05 AS is_combinatorial, CASE WHEN AVG(CAST(contains(pert, '+') AS INT)) >= 0.05 THEN '+' END AS separator FROM (SELECT DISTINCT pert FROM obs WHERE pert <> 'non-targeting')")
+def p15(spark, d):
+    return detect.combinatorial(labels(spark, d), SPEC, per_label=True)
+
+
+@query("p21_perturbation_type", "SELECT CASE WHEN COUNT_IF(contains(LOWER(c_mktsegment), 'crispra') OR contains(LOWER(c_mktsegment), 'activation')) > 0 THEN 'CRISPRa' ELSE 'CRISPRi' END AS perturbation_type FROM customer")
+def p21(spark, d):
+    return detect.perturbation_type(fx.table(spark, d, "customer").select(F.col("c_mktsegment").alias("value")))
+
+
+@query("p27_alias_map", "SELECT a AS alias, MAX(g) AS gene_name FROM (SELECT p_brand || '/' || p_type AS a, p_brand || '/' || p_type AS g FROM part UNION ALL SELECT p_type, p_brand || '/' || p_type FROM part) GROUP BY 1")
+def p27(spark, d):
+    var = fx.table(spark, d, "part").select(F.concat_ws("/", "p_brand", "p_type").alias("gene_name"), F.col("p_type").alias("symbol")).distinct()
+    return escapers.alias_map(var, ("symbol",))
+
+
 @query("p20_control_label", "SELECT 'Non Targeting' AS control_label")
 def p20(spark, d):
     named = fx.table(spark, d, "customer").select(F.when(F.col("c_nationkey") == 0, "Non Targeting").when(F.col("c_nationkey") == 1, "GFP").otherwise(F.col("c_mktsegment")).alias("pert"))
@@ -471,6 +487,24 @@ def w11(spark, d):
     return lines.top_loadings(loadings(spark, d), 5).select("pc", "gene_name", r6("loading"), "rank")
 
 
+@query("j12_driver_table", f"""{COARSE}{DENSE}, ld AS (SELECT gene_name, LENGTH(gene_name) * 10 + CAST(split_part(gene_name, '#', 2) AS INT) AS loading FROM var),
+top AS (SELECT 0 AS pc, gene_name, CAST(loading AS DOUBLE) AS loading, CAST(ROW_NUMBER() OVER (ORDER BY loading DESC, gene_name) AS INT) AS rank FROM ld ORDER BY loading DESC, gene_name LIMIT 5),
+mn AS (SELECT gene_name, AVG(CASE WHEN batch = 0 THEN value END) AS b0, AVG(CASE WHEN batch = 1 THEN value END) AS b1 FROM grid JOIN obs USING (cell_id) GROUP BY 1)
+SELECT pc, gene_name, loading, rank, ROUND(b0, 6) AS line_0, ROUND(b1, 6) AS line_1 FROM top JOIN mn USING (gene_name)""")
+def j12(spark, d):
+    m = fx.coarse(spark, d)
+    loads = m.var.select(F.lit(0).alias("pc"), "gene_name", (F.length("gene_name") * 10 + F.split_part("gene_name", F.lit("#"), F.lit(2)).cast("int")).cast("double").alias("loading"))
+    return lines.driver_table(loads, m, 5, "batch").select("pc", "gene_name", "loading", "rank", r6("0", "line_0"), r6("1", "line_1"))
+
+
+@query("a28_driver_shift", f"{LOADS}, pp AS (SELECT i, AVG(x) AS a, AVG(x * 2) AS b FROM lv GROUP BY 1) SELECT pc, CAST(i - 1 AS INT) AS i, ROUND(a, 6) AS mean_pre, ROUND(b, 6) AS mean_post, ROUND(b - a, 6) AS shift FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY pc ORDER BY ABS(loading) DESC, CAST(SUBSTR(gene_name, 2) AS INT)) AS rn FROM ld) JOIN pp ON gene_name = 'g' || i WHERE rn <= 5")
+def a28(spark, d):
+    rows = fx.vectors(spark, d)
+    loads = rows.filter("cell_id < 10").select(F.col("cell_id").cast("int").alias("pc"), F.posexplode("v").alias("i", "loading"))
+    both = rows.select(F.col("v").alias("pre"), F.expr("transform(v, x -> x * 2)").alias("delta"))
+    return diagnostics.driver_shift(both, loads, 5).select("pc", "i", r6("mean_pre"), r6("mean_post"), r6("shift"))
+
+
 # ---------------------------------------------------------------- metacells
 
 @query("n12_graining", f"""{COARSE} SELECT pert, n AS n_cells, CAST(GREATEST(1, FLOOR(n / CASE WHEN n < 30 THEN n WHEN n < 100 THEN 5 WHEN n < 500 THEN 10 ELSE 15 END)) AS BIGINT) AS n_metacells FROM (SELECT pert, COUNT(*) AS n FROM obs GROUP BY 1)""")

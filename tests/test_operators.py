@@ -222,3 +222,13 @@ def test_spec_and_report(spark, tmp_path):
     assert spec.min_genes == 7 and (tmp_path / "made").is_dir()
     text = report("d", {"Table": spark.createDataFrame([(1, 2.5)], "a int, b double"), "Note": "x"}, ["w"])
     assert "| 1 | 2.5 |" in text and "MINOR WARNINGS" in text
+
+
+def test_preflight(spark):
+    from screenspark.plans.preflight import detection, suggested_yaml
+
+    obs = spark.createDataFrame([(i, ("NT", "TP53", "MYC")[i % 3], i % 4, ("K562", "HeLa")[i % 2], "CRISPRa screen") for i in range(24)], "cell_id bigint, target_gene string, gem_group bigint, cell_line string, assay_type string")
+    found = detection(obs, spark.createDataFrame([("MT-ND1",), ("TP53",)], "gene_name string"))
+    assert (found.perturbation_column, found.control_label, found.batch_column, found.cell_line_column) == ("target_gene", "NT", "gem_group", "cell_line")
+    assert (found.perturbation_type, found.modality, found.is_combinatorial) == ("CRISPRa", "scrna_seq", False)
+    assert "control_label: NT" in suggested_yaml(found)
