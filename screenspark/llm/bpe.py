@@ -14,15 +14,14 @@ import heapq
 import json
 import unicodedata
 from array import array
-from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from screenspark.llm.common import map_batches
+from screenspark.llm.common import kept, map_batches
 
 #: Most entries of a worker's table of encoded words; the table of chunks has twice as many.
-MEMORY = 300_000
+MEMORY = 130_000
 
 # What the tokenizer's regular expression engine calls white space,
 # its word pattern, and its end-of-word mark.
@@ -188,11 +187,14 @@ class WordBPE:
         return " ".join(self.names[i] for i in ids)
 
 
-@cache
 def load(path: str) -> WordBPE:
     """One encoder, with its memory, for each worker process."""
-    with open(path, encoding="utf-8") as f:
-        return WordBPE(json.load(f))
+
+    def read() -> WordBPE:
+        with open(path, encoding="utf-8") as f:
+            return WordBPE(json.load(f))
+
+    return kept(f"bpe {path}", read)
 
 
 def default_path() -> str:

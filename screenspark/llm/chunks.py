@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 
 #: Most chunks that a worker remembers, and most characters that it splits at once.
-MEMORY, AT_ONCE = 300_000, 2_000_000
+MEMORY, AT_ONCE = 200_000, 2_000_000
 
 
 def in_groups(texts: list[str | None]) -> Iterator[list[list[str]]]:

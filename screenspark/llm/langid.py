@@ -13,14 +13,13 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenspark.llm.chunks import ChunkTable, in_groups
-from screenspark.llm.common import bucket_of, has_letter, map_batches, sample_per_class
+from screenspark.llm.common import bucket_of, has_letter, kept, map_batches, sample_per_class
 
 
 @dataclass(frozen=True)
@@ -208,12 +207,6 @@ def fit(docs: DataFrame, params: LangParams = LangParams(), hold_out: bool = Tru
     return train([r.text for r in rows], [r.lang for r in rows], params)
 
 
-@cache
-def _kept(key: str) -> dict:
-    """What a worker keeps of one model from task to task."""
-    return {}
-
-
 def predict(docs: DataFrame, model: LangModel) -> DataFrame:
     """(doc_id, lang_pred, score) of every row of ``docs``, other columns ignored.
 
@@ -221,14 +214,11 @@ def predict(docs: DataFrame, model: LangModel) -> DataFrame:
     text that is null or has no letter gives ``und`` with score 0, as does a model that
     has seen no language; of equal probabilities the first language in order is taken.
     """
-    key = str(zlib.crc32(b"".join(w.tobytes() for w in model.weights())))
+    key = "langid %d" % (zlib.crc32(b"".join(w.tobytes() for w in model.weights())))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        kept = _kept(key)
-        if "table" not in kept:
-            kept["table"] = ChunkTable(sent.value.pooled, len(sent.value.languages) + 1)
-        table, names = kept["table"], sent.value.languages
+        table, names = kept(key, lambda: ChunkTable(sent.value.pooled, len(sent.value.languages) + 1)), sent.value.languages
 
         def step(cols):
             out = {"doc_id": cols["doc_id"], "lang_pred": [], "score": []}

@@ -19,12 +19,11 @@ from __future__ import annotations
 import re
 import zlib
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from screenspark.llm.common import map_batches
+from screenspark.llm.common import kept, map_batches
 from screenspark.llm.langid import sigmoid
 from screenspark.llm.spans import digest, joined
 
@@ -390,26 +389,13 @@ class Reader:
         return [(f"lstm_{n}", a, b) for n, a, b in out if TRIGGER.search(text, a, b) and plausible(n, text[a:b])]
 
 
-@cache
-def _kept(key: str) -> dict:
-    """What a worker keeps of one model from task to task."""
-    return {}
-
-
 ORDER = {k: i for i, k in enumerate((*KINDS, *(f"lstm_{k}" for k in KINDS)))}
 
 
 def _reader_maker(docs: DataFrame, model: PiiModel):
-    key = str(zlib.crc32(b"".join(w.tobytes() for w in model.weights())))
+    key = f"pii {zlib.crc32(b''.join(w.tobytes() for w in model.weights()))}"
     sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def reader() -> Reader:
-        kept = _kept(key)
-        if "reader" not in kept:
-            kept["reader"] = Reader(sent.value)
-        return kept["reader"]
-
-    return reader
+    return lambda: kept(key, lambda: Reader(sent.value))
 
 
 def all_spans(texts: list[str], reader: Reader) -> list[tuple[list, list]]:

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from screenspark.llm.chunks import ChunkTable, in_groups
-from screenspark.llm.common import bucket_of, map_batches
+from screenspark.llm.common import bucket_of, kept, map_batches
 
 
 @dataclass(frozen=True)
@@ -146,12 +145,6 @@ def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParam
     return train([r.text for r in rows], [r.quality for r in rows], params)
 
 
-@cache
-def _table(key: str) -> dict:
-    """What a worker keeps of one model from task to task."""
-    return {}
-
-
 class Scorer:
     def __init__(self, margins: np.ndarray, bias: float, grams: tuple[int, ...]):
         def compute(chunks: list[str]) -> np.ndarray:
@@ -181,15 +174,13 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
     docs = docs.select(*rest)
     margins, bias, grams, least = model.margins(), float(model.bias[1] - model.bias[0]), model.params.grams, model.params.threshold
     sent = docs.sparkSession.sparkContext.broadcast(margins)
-    key = f"{zlib.crc32(margins.tobytes())}-{bias!r}-{grams!r}"
+    key = f"quality {zlib.crc32(margins.tobytes())} {bias!r} {grams!r}"
 
     def make():
-        kept = _table(key)
-        if "scorer" not in kept:
-            kept["scorer"] = Scorer(sent.value, bias, grams)
+        scorer = kept(key, lambda: Scorer(sent.value, bias, grams))
 
         def step(cols):
-            scores = kept["scorer"](cols["text"])
+            scores = scorer(cols["text"])
             return cols | {"score": scores, "predicted": [int(s >= least) for s in scores]}
 
         return step
