@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Rows of text per Arrow batch: a batch of very long texts still fits a worker.
-TEXT_ROWS_PER_BATCH = 512
+TEXT_ROWS_PER_BATCH = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,11 +68,26 @@ def drop_dir(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Whether Spark removes the shuffle files of a query as soon as it is done.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write_table(df: DataFrame, path: str) -> None:
+    """Write Parquet, and let go of the shuffle files behind it when all is written."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN_UP, None)
+    conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(CLEAN_UP) if before is None else conf.set(CLEAN_UP, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage with a Parquet table in the shared folder."""
     spark = df.sparkSession
     path = shared_dir(spark, label)
-    df.write.parquet(path)
+    write_table(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -99,9 +117,18 @@ def kept(owner: str, make: Callable[[], object]):
     """
     if owner not in _KEPT:
         _KEPT.clear()
+        give_back()
         _KEPT[owner] = make()
     return _KEPT[owner]
 
 
+def give_back() -> None:
+    """Return freed memory to the system, which the allocator would keep."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not on every C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def has_letter(text: str) -> bool:
     return any(c.isalpha() for c in text)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenspark.llm.common import drop_dir, shared_dir
+from screenspark.llm.common import drop_dir, shared_dir, write_table
 
 
 def _round(edges: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     before, path, rounds = None, None, 0
     while True:
         new = shared_dir(spark, "components")
-        (edges if before is None else _round(edges)).write.parquet(new)
+        write_table(edges if before is None else _round(edges), new)
         edges = spark.read.schema("u bigint, v bigint").parquet(new)
         if path:
             drop_dir(spark, path)

@@ -34,7 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenspark.llm.common import kept, map_batches, stored
@@ -72,7 +72,7 @@ class _Words(dict):
     """Hashes of words, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 300_000:
+        if len(self) >= 150_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -164,12 +164,11 @@ def frequent_shingles(docs: DataFrame, params: JaccardParams) -> tuple[np.ndarra
         return step
 
     texts = docs.select("text").filter(F.xxhash64("text") % params.sample == 0).distinct()
-    size = Observation()
-    sets = map_batches(texts, make, "t array<bigint>").observe(size, F.coalesce(F.sum(F.size("t")), F.lit(0)).alias("half"))
-    counts = sets.select(F.explode("t").alias("t")).groupBy("t").count()
+    sets = map_batches(texts, make, "t array<bigint>")
+    counts = stored(sets.select(F.explode("t").alias("t")).groupBy("t").count(), "jaccard-sample")
     rows = counts.filter("count >= 3").orderBy(F.desc("count"), "t").limit(params.frequent).collect()
-    # Half of all hashes lie below the sample's bound.
-    return np.sort(np.array([r.t for r in rows], dtype=np.int64).view(np.uint64)), 2 * params.sample * int(size.get["half"] or 0)
+    half = counts.agg(F.sum("count")).first()[0] or 0  # as half of all hashes lie below the bound
+    return np.sort(np.array([r.t for r in rows], dtype=np.int64).view(np.uint64)), 2 * params.sample * half
 
 
 def described(docs: DataFrame, frequent: np.ndarray, buckets: int, params: JaccardParams) -> DataFrame:
