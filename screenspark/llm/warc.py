@@ -112,10 +112,17 @@ class Source:
 
         system, path = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file:///") else uri)
         self.file, self.block = system.open_input_file(path), block
+        self.start, self.data = 0, b""
 
     def read(self, at: int, size: int) -> bytes:
-        self.file.seek(at)
-        return self.file.read(size)
+        if at < self.start or at + size > self.start + len(self.data):
+            self.file.seek(at)
+            self.start, self.data = at, self.file.read(max(size, self.block))
+        return self.data[at - self.start : at - self.start + size]
+
+
+#: Bytes looked at or decoded at once.
+PIECE = 1 << 15
 
 
 def decoded(source: Source, at: int, limit: int | None = None) -> tuple[bytes, int] | None:
@@ -123,7 +130,7 @@ def decoded(source: Source, at: int, limit: int | None = None) -> tuple[bytes, i
 
     With ``limit`` only so many bytes are decoded, and the second figure is 0.
     """
-    z, out, taken, block = zlib.decompressobj(31), [], 0, 512 if limit else source.block
+    z, out, taken, block = zlib.decompressobj(31), [], 0, 512 if limit else min(PIECE, source.block)
     try:
         while not z.eof:
             data = source.read(at + taken, block)
@@ -142,7 +149,7 @@ def owned_records(source: Source, start: int, end: int) -> Iterator[bytes]:
     """The records whose members start in a byte range."""
     at = start
     while at < end:
-        window = source.read(at, min(source.block, end - at + len(MAGIC) - 1))
+        window = source.read(at, min(PIECE, source.block, end - at + len(MAGIC) - 1))
         found = window.find(MAGIC)
         if found < 0:
             if len(window) < len(MAGIC):
