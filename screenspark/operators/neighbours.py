@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Most rows of the reference that a task holds at once.
 BLOCK = 20_000
+#: Queries whose distances to a block a task holds at once.
+CHUNK = 128
 
 
 def nearest(queries: DataFrame, reference: DataFrame, k: int, metric: str = "euclidean", exclude_self: bool = False, column: str = "v") -> DataFrame:
@@ -33,20 +35,31 @@ def nearest(queries: DataFrame, reference: DataFrame, k: int, metric: str = "euc
 
         def search(batches, sent=sent):
             ids, w = sent.value
-            unit = w / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12)
+            unit = w / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12) if metric == "cosine" else w
+            squares = (unit * unit).sum(axis=1)
+            largest = np.nanmax(squares, initial=0.0)
+            few = min(k + exclude_self, len(ids))
             for frame in batches:
-                if not len(frame):
-                    continue
-                x = np.stack(frame["x"].to_numpy())
                 out = []
-                for j, own in enumerate(frame["cell_id"]):
-                    d = 1 - unit @ (x[j] / max(np.linalg.norm(x[j]), 1e-12)) if metric == "cosine" else np.sqrt(((w - x[j]) ** 2).sum(axis=1))
-                    if exclude_self:
-                        d = np.where(ids == own, np.inf, d)
-                    best = np.lexsort((ids, d))[: min(k, len(ids))]
-                    best = best[np.isfinite(d[best])]
-                    out.append(pd.DataFrame({"cell_id": own, "neighbour": ids[best], "distance": d[best]}))
-                yield pd.concat(out, ignore_index=True)
+                for start in range(0, len(frame), CHUNK):
+                    x = np.stack(frame["x"].iloc[start : start + CHUNK].to_numpy())
+                    if metric == "cosine":
+                        x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+                    # Products tell who may be among the nearest, by more than their rounding; exact distances tell who is.
+                    own_squares = (x * x).sum(axis=1)
+                    rough = squares + own_squares[:, None] - 2 * x @ unit.T
+                    rough[np.isnan(rough)] = np.inf
+                    bound = np.partition(rough, few - 1, axis=1)[:, few - 1] + 1e-9 * (largest + own_squares)
+                    for j, own in enumerate(frame["cell_id"].iloc[start : start + CHUNK]):
+                        at = np.flatnonzero(rough[j] <= bound[j])
+                        d = 1 - (unit[at] * x[j]).sum(axis=1) if metric == "cosine" else np.sqrt(((unit[at] - x[j]) ** 2).sum(axis=1))
+                        if exclude_self:
+                            d = np.where(ids[at] == own, np.inf, d)
+                        best = np.lexsort((ids[at], d))[:k]
+                        best = best[np.isfinite(d[best])]
+                        out.append((np.full(len(best), own), ids[at][best], d[best]))
+                if out:
+                    yield pd.DataFrame({n: np.concatenate([o[i] for o in out]) for i, n in enumerate(("cell_id", "neighbour", "distance"))})
 
         part = queries.select("cell_id", F.col(column).alias("x")).mapInPandas(search, "cell_id bigint, neighbour bigint, distance double")
         found = part if found is None else found.unionByName(part)

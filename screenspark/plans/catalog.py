@@ -563,7 +563,7 @@ PERT_ON, CTRL_ON = "NOT q.is_control AND c.is_control AND q.cell_id % 5 = 0", "q
 
 def sides(spark, d):
     v = fx.vectors(spark, d)
-    return v.filter("NOT is_control AND cell_id % 5 = 0"), v.filter("is_control")
+    return v.filter("NOT is_control"), v.filter("is_control")
 
 
 @query("j09_knn", f"{KNN.format(on=PERT_ON, k=5)} SELECT cell_id, neighbour, ROUND(dist, 6) AS distance, CAST(rn AS INT) AS rank FROM near")
