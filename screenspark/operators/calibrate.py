@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from screenspark.functions.statistics import average_rank, min_max, percentile_of_score
+from screenspark.functions.statistics import average_rank, percentile_of_score
 from screenspark.functions.vectors import dot, norm
 from screenspark.operators import embed, neighbours
 from screenspark.operators.hvg import uniform_sample
@@ -46,31 +47,70 @@ def discrimination(before: DataFrame, after: DataFrame, *by: str) -> DataFrame:
     return out.select(*by, "ratio", (1 / (1 + F.abs(F.col("ratio") - 1))).alias("discrimination"))
 
 
+def undominated(x: np.ndarray) -> np.ndarray:
+    """Mask of the rows of x that no other is as good as in all columns and better in one."""
+    order = np.argsort(-x.sum(axis=1), kind="stable")
+    left, found = order, []
+    while len(left):
+        # The row of largest sum is dominated by none of those left, but for rounding; equal rows stay with it.
+        best = x[left[0]]
+        worse = (best >= x[left]).all(axis=1) & (best > x[left]).any(axis=1)
+        found.append(left[0])
+        left = left[1:][~worse[1:]]
+    mask = np.zeros(len(x), dtype=bool)
+    mask[found] = True
+    return mask
+
+
 def pareto_front(points: DataFrame, objectives: tuple[str, ...] = OBJECTIVES, key: str = "point") -> DataFrame:
     """The points that no other is as good as in all objectives and better in one.
 
-    Points of a sweep are few; their number is the grid's.
+    Tasks reduce the distinct triples to those that none in the same task dominates; what
+    is dominated at all is dominated by one of these, so the rest needn't be compared.  A
+    point without a value in some objective isn't compared and stays.
     """
-    other = points.select(F.col(key).alias("_k"), *[F.col(o).alias(f"_{o}") for o in objectives])
-    as_good, better = F.lit(True), F.lit(False)
+    known = F.lit(True)
+    for o in objectives:
+        known = known & F.col(o).isNotNull()
+    distinct = points.filter(known).select(*objectives).distinct()
+
+    def reduce(batches):
+        kept = None
+        for frame in batches:
+            both = frame if kept is None else pd.concat([kept, frame], ignore_index=True)
+            if len(both):
+                kept = both[undominated(both.to_numpy(dtype=np.float64))]
+        if kept is not None:
+            yield kept
+
+    best = distinct.mapInPandas(reduce, distinct.schema)
+    other = best.select([F.col(o).alias(f"_{o}") for o in objectives])
+    as_good, better, equal = F.lit(True), F.lit(False), F.lit(True)
     for o in objectives:
         as_good, better = as_good & (F.col(f"_{o}") >= F.col(o)), better | (F.col(f"_{o}") > F.col(o))
-    return points.join(F.broadcast(other), as_good & better, "left_anti")
+    front = best.join(F.broadcast(other), as_good & better, "left_anti")
+    named = front.select([F.col(o).alias(f"_{o}") for o in objectives])
+    for o in objectives:
+        equal = equal & (F.col(o) == F.col(f"_{o}"))
+    return points.filter(known).join(F.broadcast(named), equal, "left_semi").unionByName(points.filter(~known))
 
 
 def choose(points: DataFrame, spec: ScreenSpec, key: str = "point") -> DataFrame:
     """The point of the front nearest to the ideal, one row.
 
     Points below the percentile floor in some objective stand back, unless all do.
+    Percentiles and units come from all points, and are joined to those of the front.
     """
-    scored = points
-    for o in OBJECTIVES:
-        scored = percentile_of_score(scored, o).withColumn(f"{o}_unit", min_max(o))
-    front = scored.join(pareto_front(points, key=key).select(key), key, "left_semi")
+    ends = [f(o).alias(f"_{n}_{o}") for o in OBJECTIVES for n, f in (("low", F.min), ("high", F.max))]
+    front = pareto_front(points, key=key).crossJoin(F.broadcast(points.agg(*ends)))
     high = F.lit(True)
     for o in OBJECTIVES:
+        pct = percentile_of_score(points.select(o), o).select(F.col(o).alias("_o"), f"{o}_pct").distinct()
+        front = front.join(pct, F.col(o).eqNullSafe(F.col("_o"))).drop("_o")
+        low, top = F.col(f"_low_{o}"), F.col(f"_high_{o}")
+        front = front.withColumn(f"{o}_unit", F.when(top > low, (F.col(o) - low) / (top - low)).otherwise(F.lit(1.0))).drop(f"_low_{o}", f"_high_{o}")
         high = high & (F.col(f"{o}_pct") >= spec.percentile_floor)
-    front = front.withColumn("_high", high).withColumn("_any", F.max(high.cast("int")).over(W.partitionBy()))
+    front = front.withColumn("_high", high).crossJoin(F.broadcast(front.agg(F.max(high.cast("int")).alias("_any"))))
     gap = sum((F.lit(w) * (1 - F.col(f"{o}_unit")) ** 2 for o, w in zip(OBJECTIVES, spec.distance_weights)), F.lit(0.0))
     return front.filter((F.col("_any") == 0) | F.col("_high")).withColumn("distance", F.sqrt(gap)).orderBy("distance", key).limit(1).drop("_high", "_any")
 

@@ -6,7 +6,7 @@ The SQL itself stays as it is; here its filters on ids are left out.
 import numpy as np
 import pytest
 
-from screenspark.operators import neighbours
+from screenspark.operators import calibrate, neighbours
 from screenspark.plans.catalog import ORACLE, QUERIES
 from screenspark.sources import fixtures
 from tests.compare import SF, differences
@@ -43,3 +43,19 @@ def test_neighbours_with_ties_and_without_self(spark, metric):
         d = np.sqrt(((x - x[i]) ** 2).sum(axis=1)) if metric == "euclidean" else 1 - (unit * unit[i]).sum(axis=1)
         d[i] = np.inf
         assert got[i] == [(int(j), pytest.approx(d[j])) for j in np.lexsort((np.arange(300), d))[:6]]
+
+
+@pytest.mark.parametrize("name", ["n28_pareto", "n29_utopian"])
+def test_every_part(spark, name):
+    sf = "/root/testdata/sf0.01"
+    assert not differences(QUERIES[name](spark, sf), ORACLE[name].replace(" WHERE p_partkey <= 150", ""), sf)
+
+
+def test_front_of_many_points_in_many_tasks(spark):
+    x = np.random.default_rng(10).integers(0, 40, (30_000, 3)).astype(float)
+    rows = [(str(i), *map(float, r)) for i, r in enumerate(x)] + [("none", 1.0, None, 1.0)]
+    points = spark.createDataFrame(rows, "point string, rank_preservation double, discrimination double, stability double").repartition(7)
+    front = {r.point for r in calibrate.pareto_front(points).collect()}
+    best = np.unique(x, axis=0)
+    best = {tuple(b) for b in best if not ((best >= b).all(axis=1) & (best > b).any(axis=1)).any()}
+    assert front == {str(i) for i in range(len(x)) if tuple(x[i]) in best} | {"none"}
