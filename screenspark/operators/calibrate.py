@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from screenspark.functions.statistics import average_rank, percentile_of_score
 from screenspark.functions.vectors import dot, norm
-from screenspark.operators import embed, neighbours
+from screenspark.operators import counterfactual, embed, neighbours
 from screenspark.operators.hvg import uniform_sample
 from screenspark.spec import ScreenSpec
 
@@ -116,13 +118,23 @@ def choose(points: DataFrame, spec: ScreenSpec, key: str = "point") -> DataFrame
 
 
 def sweep(train: DataFrame, spec: ScreenSpec, n_pcs: tuple[int, ...] = (10, 20), metrics: tuple[str, ...] = ("euclidean", "cosine"), cells: int = 2000, pairs: int = 500) -> DataFrame:
-    """One row per (k, n_pcs, metric) with the three objectives.
+    """One row per (mode, k, n_pcs, metric) with the three objectives.
 
-    Neighbours are found once for each number of components and metric, at the largest k;
-    smaller k take the nearer of them.
+    The mode is the configuration's; ``explore`` stands for all.  pc_decomposition has no
+    neighbours, so one point per number of components, with k 0 and metric N/A.  Neighbours
+    are found once for each number of components and metric, at the largest k; smaller k
+    take the nearer of them.
     """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     spark = train.sparkSession
+    modes = counterfactual.MODES if spec.mode == "explore" else (spec.mode,)
+    if not set(modes) <= set(counterfactual.MODES):
+        raise ValueError(f"unknown mode {spec.mode}")
     basis = embed.pca(train, max(n_pcs))
+    n_pcs = sorted({min(n, len(basis.components)) for n in n_pcs})
+    effect = counterfactual.effect(train) if modes != ("knn",) else None
     projected = embed.project_dense(train, basis)
     controls = projected.filter("is_control").select("cell_id", "v", "pcs").persist()
     # The sample is of bounded size, so it becomes a local table.
@@ -132,22 +144,48 @@ def sweep(train: DataFrame, spec: ScreenSpec, n_pcs: tuple[int, ...] = (10, 20),
     half = min(len(ids) // 2, pairs)
     fixed = spark.createDataFrame(list(zip(ids[:half], ids[len(ids) // 2 :][:half])), "a bigint, b bigint")
     before = spark.createDataFrame([tuple(r) for r in cosine_distances(fixed, perturbed, column="v").collect()], "mean_distance double")
-    grid = sorted(spec.neighbour_grid)
+    n_controls = controls.count()
+    grid = sorted(k for k in spec.neighbour_grid if k < n_controls) or [max(1, n_controls - 1)]
+    minus = F.expr("zip_with(v, basal, (x, y) -> x - y)")
     rows = []
+
+    def judge(deltas, mode, n, metric):
+        """A point for each k of deltas (k, cell_id, pre, delta)."""
+        deltas = deltas.persist()
+        both = deltas.select("k", "cell_id", F.posexplode(F.arrays_zip("pre", "delta")).alias("i", "z")).select("k", "cell_id", "i", F.col("z.pre").alias("pre"), F.col("z.delta").alias("post"))
+        disrupted = {r.k: r.rank_disruption for r in rank_disruption(both, "k").collect()}
+        steady = {r.k: r.stability for r in stability(deltas, "k").collect()}
+        apart = {r.k: r.discrimination for r in discrimination(before, cosine_distances(fixed, deltas, "k", column="delta"), "k").collect()}
+        deltas.unpersist()
+        rows.extend((f"{mode}:{k}:{n}:{metric}", mode, k, n, metric, 1 - disrupted[k], apart.get(k), steady[k]) for k in sorted(disrupted))
+
     for n in n_pcs:
-        for metric in metrics:
+        directions = np.zeros((0, len(basis.mean)))
+        if effect is not None:
+            directions = basis.components[counterfactual.systematic(basis.components[:n], effect, spec.systematic_cosine)]
+        sides = {"knn": (perturbed.withColumn("pre", F.col("v")), controls)}
+        sides["hybrid"] = tuple(counterfactual.without(side, directions) for side in sides["knn"])
+        if "pc_decomposition" in modes:
+            judge(sides["hybrid"][0].select(F.lit(0).alias("k"), "cell_id", "pre", F.col("v").alias("delta")), "pc_decomposition", n, "N/A")
+        for metric in metrics if set(modes) & set(sides) else ():
             cut = lambda df: df.withColumn("p", F.slice("pcs", 1, n))  # noqa: B023, E731
             near = neighbours.nearest(cut(perturbed), cut(controls), max(grid), metric, column="p")
-            by_k = near.withColumn("k", F.explode(F.array(*[F.lit(k) for k in grid]))).filter("rank <= k")
-            profile = by_k.join(controls.select(F.col("cell_id").alias("neighbour"), "v"), "neighbour").select("k", "cell_id", F.posexplode("v").alias("i", "x"))
-            basal = profile.groupBy("k", "cell_id", "i").agg(F.avg("x").alias("basal"))
-            own = perturbed.select("cell_id", F.posexplode("v").alias("i", "pre"))
-            both = basal.join(own, ["cell_id", "i"]).withColumn("post", F.col("pre") - F.col("basal")).persist()
-            deltas = both.groupBy("k", "cell_id").agg(F.expr("transform(sort_array(collect_list(struct(i, post))), s -> s.post)").alias("delta"))
-            disrupted = {r.k: r.rank_disruption for r in rank_disruption(both, "k").collect()}
-            steady = {r.k: r.stability for r in stability(deltas, "k").collect()}
-            apart = {r.k: r.discrimination for r in discrimination(before, cosine_distances(fixed, deltas, "k", column="delta"), "k").collect()}
-            both.unpersist()
-            rows += [(f"knn:{k}:{n}:{metric}", k, n, metric, 1 - disrupted[k], apart.get(k), steady[k]) for k in disrupted]
+            by_k = near.withColumn("k", F.explode(F.array(*[F.lit(k) for k in grid]))).filter("rank <= k").select("k", "cell_id", "neighbour").persist()
+            for mode in (m for m in modes if m in sides):
+                own, others = sides[mode]
+                profile = by_k.join(others.select(F.col("cell_id").alias("neighbour"), F.col("v").alias("x")), "neighbour")
+                basal = profile.groupBy("k", "cell_id").agg(vector_to_array(Summarizer.mean(array_to_vector("x"))).alias("basal"))
+                judge(basal.join(own, "cell_id").select("k", "cell_id", "pre", minus.alias("delta")), mode, n, metric)
+            by_k.unpersist()
     controls.unpersist()
-    return spark.createDataFrame(rows, "point string, k int, n_pcs int, metric string, rank_preservation double, discrimination double, stability double")
+    return spark.createDataFrame(rows, "point string, mode string, k int, n_pcs int, metric string, rank_preservation double, discrimination double, stability double")
+
+
+def calibrated(points: DataFrame, spec: ScreenSpec) -> ScreenSpec:
+    """The configuration with the chosen point of a sweep; as it is, but knn in
+    place of explore, if none can be chosen."""
+    best = choose(points, spec).first()
+    if best is None:
+        return replace(spec, mode="knn" if spec.mode == "explore" else spec.mode)
+    out = replace(spec, mode=best.mode, n_pcs=best.n_pcs)
+    return out if best.mode == "pc_decomposition" else replace(out, neighbours=best.k, metric=best.metric)

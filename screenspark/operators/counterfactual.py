@@ -78,18 +78,29 @@ class DeltaModel:
         return out.withColumn("delta", delta).drop("v", "pcs")
 
 
-def fit(train: DataFrame, spec: ScreenSpec) -> DeltaModel:
-    """Fit on (cell_id, is_control, v) of the training split."""
+def effect(train: DataFrame) -> np.ndarray:
+    """Mean of the perturbed cells less that of the controls; zeros without perturbed cells."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
-    basis = embed.pca(train, spec.n_pcs)
     means = {r.is_control: np.array(r.m) for r in train.groupBy("is_control").agg(vector_to_array(Summarizer.mean(array_to_vector("v"))).alias("m")).collect()}
     if True not in means:
         raise ValueError("no control cells to compare with")
+    return means.get(False, means[True]) - means[True]
+
+
+def fit(train: DataFrame, spec: ScreenSpec) -> DeltaModel:
+    """Fit on (cell_id, is_control, v) of the training split; mode explore takes the mode,
+    neighbours, components and metric that a sweep chooses."""
+    shift = effect(train)
+    if spec.mode == "explore":
+        from screenspark.operators import calibrate
+
+        spec = calibrate.calibrated(calibrate.sweep(train, spec), spec)
+    basis = embed.pca(train, spec.n_pcs)
     directions = np.zeros((0, len(basis.mean)))
-    if spec.mode != "knn" and False in means:
-        directions = basis.components[systematic(basis.components, means[False] - means[True], spec.systematic_cosine)]
+    if spec.mode != "knn":
+        directions = basis.components[systematic(basis.components, shift, spec.systematic_cosine)]
     return DeltaModel(spec, basis, directions, embed.project_dense(train.filter("is_control"), basis).select("cell_id", "v", "pcs"))
 
 

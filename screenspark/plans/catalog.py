@@ -776,7 +776,7 @@ def n21(spark, d):
 def n24(spark, d):
     from dataclasses import replace
 
-    return calibrate.sweep(fx.vectors(spark, d), replace(SPEC, neighbour_grid=(1, 5, 10)), n_pcs=(5, 10), cells=100, pairs=40)
+    return calibrate.sweep(fx.vectors(spark, d), replace(SPEC, mode="explore"))
 
 
 @query("pipeline_full")

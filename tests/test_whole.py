@@ -3,12 +3,15 @@
 The SQL itself stays as it is; here its filters on ids are left out.
 """
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 
-from screenspark.operators import calibrate, neighbours
+from screenspark.operators import calibrate, counterfactual, neighbours
 from screenspark.plans.catalog import ORACLE, QUERIES
 from screenspark.sources import fixtures
+from screenspark.spec import ScreenSpec
 from tests.compare import SF, differences
 
 
@@ -59,3 +62,29 @@ def test_front_of_many_points_in_many_tasks(spark):
     best = np.unique(x, axis=0)
     best = {tuple(b) for b in best if not ((best >= b).all(axis=1) & (best > b).any(axis=1)).any()}
     assert front == {str(i) for i in range(len(x)) if tuple(x[i]) in best} | {"none"}
+
+
+def screen(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(90, 6)) * np.array([3, 1, 1, 1, 0.5, 0.5])
+    x[40:] += np.array([2.0, 0.5, 0, 0, 0, 0])
+    return spark.createDataFrame([(i, i < 40, [float(c) for c in r]) for i, r in enumerate(x)], "cell_id bigint, is_control boolean, v array<double>"), x
+
+
+def test_explore_sweeps_every_mode(spark):
+    v, x = screen(spark)
+    spec = replace(ScreenSpec(), mode="explore", neighbour_grid=(1, 5), systematic_cosine=0.3)
+    rows = {r.point: r for r in calibrate.sweep(v, spec, n_pcs=(3, 4), metrics=("euclidean",)).collect()}
+    assert set(rows) == {f"{m}:{k}:{n}:euclidean" for m in ("knn", "hybrid") for k in (1, 5) for n in (3, 4)} | {f"pc_decomposition:0:{n}:N/A" for n in (3, 4)}
+    for mode in counterfactual.MODES:
+        k, metric = (0, "N/A") if mode == "pc_decomposition" else (5, "euclidean")
+        model = counterfactual.fit(v, replace(spec, mode=mode, n_pcs=3, neighbours=5))
+        lengths = [np.linalg.norm(r.delta) for r in model.transform(v).filter("NOT is_control").collect()]
+        assert rows[f"{mode}:{k}:3:{metric}"].stability == pytest.approx(1 / (np.std(lengths) + 1e-6))
+
+
+def test_explore_is_fitted(spark):
+    v, _ = screen(spark)
+    model = counterfactual.fit(v, replace(ScreenSpec(), mode="explore", neighbour_grid=(1, 5)))
+    assert model.spec.mode in counterfactual.MODES
+    assert model.transform(v).count() == 90
