@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from screenspark.operators import calibrate, counterfactual, neighbours
+from screenspark.plans import pipeline
 from screenspark.plans.catalog import ORACLE, QUERIES
 from screenspark.sources import fixtures
 from screenspark.spec import ScreenSpec
@@ -88,3 +89,14 @@ def test_explore_is_fitted(spark):
     model = counterfactual.fit(v, replace(ScreenSpec(), mode="explore", neighbour_grid=(1, 5)))
     assert model.spec.mode in counterfactual.MODES
     assert model.transform(v).count() == 90
+
+
+def test_pipeline_runs_every_stage(spark):
+    spec = replace(fixtures.SPEC, min_cells_per_perturbation=1, min_cells_per_line=1, min_cells_per_split=1, n_top_genes=15, n_components=8, min_cells_expressing=1, harmony_rounds=2, neighbour_grid=(1, 3))
+    m = fixtures.coarse(spark, "/root/testdata/sf0.01")
+    run = pipeline.run(replace(m, obs=m.obs.drop("cell_line")), spec)
+    scores = run.tables["doublets"]
+    assert scores.count() == run.stages["cells"].obs.count()
+    assert run.stages["singlets"].obs.count() == scores.filter("NOT predicted_doublet").count() < scores.count()
+    assert {r.metric for r in run.tables["sweep"].collect()} == {"euclidean", "cosine"}
+    assert all(r.cell_line.startswith("cell_line_") for r in run.tables["deltas"].select("cell_line").distinct().collect())
