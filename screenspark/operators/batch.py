@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from screenspark.operators.hvg import uniform_sample
+
 
 def _memberships(z: np.ndarray, code: np.ndarray, centres: np.ndarray, weight: np.ndarray, sigma: float) -> np.ndarray:
     unit = z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
@@ -19,11 +21,21 @@ def _memberships(z: np.ndarray, code: np.ndarray, centres: np.ndarray, weight: n
     return r / np.maximum(r.sum(axis=1, keepdims=True), 1e-300)
 
 
+def first_centres(vectors: DataFrame, k: int, seed: int = 42) -> np.ndarray:
+    """A farthest-first choice of k among 50 * k cells drawn from all by the md5 order."""
+    start = np.stack([r.v for r in uniform_sample(vectors, 50 * k, seed).select("v").collect()])
+    start /= np.maximum(np.linalg.norm(start, axis=1, keepdims=True), 1e-12)
+    chosen = [0]
+    while len(chosen) < min(k, len(start)):
+        chosen.append(int((start @ start[chosen].T).max(axis=1).argmin()))
+    return start[chosen]
+
+
 def harmony(vectors: DataFrame, batch: str = "batch", clusters: int | None = None, rounds: int = 20, sigma: float = 0.1, theta: float = 2.0, ridge: float = 1.0, tolerance: float = 1e-3) -> DataFrame:
     """vectors (cell_id, batch, v, ...) with ``corrected``.
 
     Without the batch column, or with a single batch, it equals ``v``.  The start is a
-    farthest-first choice among the cells of smallest id, so results don't vary.
+    farthest-first choice among cells in md5 order, so results don't vary.
     """
     if batch not in vectors.columns:
         return vectors.withColumn("corrected", F.col("v"))
@@ -32,13 +44,8 @@ def harmony(vectors: DataFrame, batch: str = "batch", clusters: int | None = Non
         return vectors.withColumn("corrected", F.col("v"))
     n = vectors.count()
     k = clusters or int(max(2, min(100, n // 30)))
-    start = np.stack([r.v for r in vectors.orderBy("cell_id").limit(50 * k).select("v").collect()])
-    start /= np.maximum(np.linalg.norm(start, axis=1, keepdims=True), 1e-12)
-    chosen = [0]
-    while len(chosen) < min(k, len(start)):
-        chosen.append(int((start @ start[chosen].T).max(axis=1).argmin()))
-    centres = start[chosen]
-    k, d, b = len(centres), start.shape[1], len(names)
+    centres = first_centres(vectors, k)
+    k, d, b = len(centres), centres.shape[1], len(names)
     code = {name: i for i, name in enumerate(names)}
     weight = np.ones((b, k))
     models: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []

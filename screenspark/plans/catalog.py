@@ -750,6 +750,11 @@ def n09(spark, d):
     return lines.assign_lines(v.select("cell_id", "pert"), v, k=3)
 
 
+@query("n10_estimate_k")
+def n10(spark, d):
+    return spark.createDataFrame([(lines.estimate_lines(fx.vectors(spark, d)),)], "k int")
+
+
 @query("n13_metacells")
 def n13(spark, d):
     return metacells.cluster_metacells(fx.vectors(spark, d), "cell_line", "pert").select("cell_id", "cell_line", "pert", "metacell")

@@ -3,12 +3,13 @@
 The SQL itself stays as it is; here its filters on ids are left out.
 """
 
+import inspect
 from dataclasses import replace
 
 import numpy as np
 import pytest
 
-from screenspark.operators import calibrate, counterfactual, neighbours
+from screenspark.operators import batch, calibrate, counterfactual, lines, neighbours
 from screenspark.plans import pipeline
 from screenspark.plans.catalog import ORACLE, QUERIES
 from screenspark.sources import fixtures
@@ -100,3 +101,18 @@ def test_pipeline_runs_every_stage(spark):
     assert run.stages["singlets"].obs.count() == scores.filter("NOT predicted_doublet").count() < scores.count()
     assert {r.metric for r in run.tables["sweep"].collect()} == {"euclidean", "cosine"}
     assert all(r.cell_line.startswith("cell_line_") for r in run.tables["deltas"].select("cell_line").distinct().collect())
+
+
+def test_harmony_starts_in_types_that_come_late(spark):
+    x = 5 * np.eye(4)[np.repeat([0, 1, 2], 200)] + 0.1 * np.random.default_rng(12).normal(size=(600, 4))
+    v = spark.createDataFrame([(i, [float(c) for c in r]) for i, r in enumerate(x)], "cell_id bigint, v array<double>")
+    assert {int(c.argmax()) for c in batch.first_centres(v, 3)} == {0, 1, 2}
+
+
+def test_lines_are_estimated_from_the_survey_sample(spark):
+    rng = np.random.default_rng(13)
+    x = np.concatenate([rng.normal(size=(100, 3)), rng.normal(size=(100, 3)) + 9])
+    v = spark.createDataFrame([(i, [float(c) for c in r]) for i, r in enumerate(x)], "cell_id bigint, v array<double>")
+    assert lines.estimate_lines(v) == 2
+    assert inspect.signature(lines.estimate_lines).parameters["most"].default == 50_000
+    assert QUERIES["n10_estimate_k"](spark, SF).first().k >= 1
