@@ -1,11 +1,12 @@
 """Operator 3: secrets, by patterns and by sliding-window entropy.
 
-Patterns find assignments, access keys and long hexadecimal strings.  Besides,
-every long unbroken string of a text is a candidate: a window slides over it, the
-counts of its characters are kept by adding the one that enters and taking away the
-one that leaves, and where the Shannon entropy of a window reaches the threshold of
-its character class, the window is suspicious.  Overlapping suspicious windows are
-united into a span, unless the allow-list knows the candidate.
+Patterns find assignments, access keys and long hexadecimal strings.  Besides, each
+unbroken run of a character class is a candidate: a window slides over it, the counts of
+its characters are kept by adding the one that enters and taking away the one that
+leaves, and where the Shannon entropy of a window reaches the threshold of the class, the
+window is suspicious.  A window that touches a word of the allow-list isn't, and of a
+wider class none that lies wholly in a candidate of a narrower one.  Overlapping
+suspicious windows are united into a span, unless all of it has an allowed shape.
 """
 
 from __future__ import annotations
@@ -39,18 +40,15 @@ class EntropyRule:
 @dataclass(frozen=True)
 class EntropyScan:
     window: int = 20
-    #: In this order: the first class that holds every character of a candidate counts.
+    #: From the narrowest class to the widest.
     rules: tuple[EntropyRule, ...] = (
         EntropyRule("hex_entropy", "0123456789abcdefABCDEF", 3.0),
         EntropyRule("mixed_entropy", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.9),
     )
-    #: Candidates in which one of these is found are left alone.
-    allow: tuple[str, ...] = (
-        r"(?i)example|placeholder|changeme|dummy|sample|redacted",
-        r"(?i)0123456789|abcdefghij|qwertyuiop",
-        r"^[A-Za-z]+$|^[A-Z]?[a-z]+(?:[-_/][A-Za-z]?[a-z]+)*$",
-        r"^[0-9]+(?:[-/_][0-9]+)*$",
-    )
+    #: Windows that touch one of these are left alone.
+    words: tuple[str, ...] = (r"(?i:example|placeholder|changeme|dummy|sample|redacted)", r"(?i:0123456789|abcdefghij|qwertyuiop)")
+    #: Spans that are nothing but one of these are left alone: words and paths of words, dates and numbers.
+    shapes: tuple[str, ...] = (r"[A-Za-z]+", r"[-_/]*[A-Z]?[a-z]+(?:[-_/]+[A-Za-z]?[a-z]+)*[-_/]*", r"[-_/]*[0-9]+(?:[-/_]+[0-9]+)*[-_/]*")
 
 
 def window_entropies(text: str, window: int):
@@ -78,10 +76,9 @@ def window_entropies(text: str, window: int):
 class Scanner:
     def __init__(self, scan: EntropyScan):
         self.scan = scan
-        self.allow = re.compile("|".join(f"(?:{x})" if not x.startswith("(?i)") else f"(?i:{x[4:]})" for x in scan.allow))
-        letters = re.escape("".join(sorted({c for r in scan.rules for c in r.letters})))
-        self.candidates = re.compile(f"[{letters}]{{{scan.window},}}")
-        self.classes = [(r, re.compile(f"[{re.escape(r.letters)}]*")) for r in scan.rules]
+        self.words = re.compile("|".join(scan.words)) if scan.words else None
+        self.shapes = re.compile("|".join(f"(?:{x})" for x in scan.shapes)) if scan.shapes else None
+        self.candidates = [(r, re.compile(f"[{re.escape(r.letters)}]{{{scan.window},}}")) for r in scan.rules]
 
     def base(self, text: str) -> list[tuple[str, int, int]]:
         found = []
@@ -93,13 +90,22 @@ class Scanner:
         return found + [("hex", *m.span()) for m in HEX.finditer(text)]
 
     def entropy(self, text: str) -> list[tuple[str, int, int]]:
-        found = []
-        for m in self.candidates.finditer(text):
-            if self.allow.search(m[0]):
-                continue
-            rule = next(r for r, shape in self.classes if shape.fullmatch(m[0]))
-            hot = [(m.start() + i, m.start() + i + self.scan.window) for i, bits in window_entropies(m[0], self.scan.window) if bits >= rule.bits]
-            found += [(rule.name, a, b) for a, b in merged(hot)]
+        found, width = [], self.scan.window
+        #: Places at which no window counts: those where one of a narrower class starts.
+        taken = bytearray(len(text))
+        for rule, candidates in self.candidates:
+            runs = [m.span() for m in candidates.finditer(text)]
+            for start, end in runs:
+                idle = taken[start : end - width + 1]
+                # Words that lie in the run or reach into it.
+                for m in self.words.finditer(text, max(0, start - width), end + width) if self.words else ():
+                    a, b = max(0, m.start() - width + 1 - start), min(m.end() - start, len(idle))
+                    if a < b:
+                        idle[a:b] = b"\1" * (b - a)
+                hot = [(start + i, start + i + width) for i, bits in window_entropies(text[start:end], width) if bits >= rule.bits and not idle[i]]
+                found += [(rule.name, a, b) for a, b in merged(hot) if not (self.shapes and self.shapes.fullmatch(text, a, b))]
+            for start, end in runs:
+                taken[start : end - width + 1] = b"\1" * (end - width + 1 - start)
         return found
 
 
