@@ -1,11 +1,10 @@
 """Operator 8: quality classifier on learned subword embeddings.
 
-A chunk (a word with what clings to it) has hashed features: itself and its
-character n-grams.  Each feature has a learned vector; a chunk is the mean of its
-features' vectors, a document the mean of its chunks' plus that of its word pairs'
-(a pair's feature says whether a chunk repeats the one before it, or the one before
-that), and a softmax layer turns that into the probability of each class.  Vectors and layer are learned by stochastic
-gradient descent in numpy on a bounded sample of labelled documents.
+A chunk (a word with what clings to it) has hashed features: itself and its character
+n-grams.  Each feature has a learned vector; a chunk is the mean of its features' vectors,
+a document the mean of its chunks', and a softmax layer turns that into the probability of
+each class.  Vectors and layer are learned by stochastic gradient descent in numpy on a
+bounded sample of labelled documents.
 
 Scoring needs no vectors: the layer is linear in the mean, so each feature has one
 number, the layer applied to its vector, and a document's margin is a mean of means of
@@ -28,9 +27,10 @@ from screenspark.llm.common import bucket_of, kept, map_batches
 
 @dataclass(frozen=True)
 class QualityParams:
-    """``sample`` bounds the documents that the model is fitted on."""
+    """``sample`` bounds the documents that the model is fitted on, ``longest`` their characters."""
 
     sample: int = 4000
+    longest: int = 20_000
     buckets: int = 1 << 16
     dim: int = 10
     grams: tuple[int, ...] = (2, 3, 4)
@@ -62,34 +62,22 @@ def features(chunks: list[str], buckets: int, grams: tuple[int, ...]) -> tuple[n
     return np.concatenate(owners), (np.concatenate(hashes) % np.uint64(buckets)).astype(np.int64)
 
 
-PAIRS = 3  # repeats the last chunk, repeats the one before it, does neither
-
-
-def pair_shares(chunks: np.ndarray) -> np.ndarray:
-    """Shares of the kinds of word pairs, from anything equal for equal chunks."""
-    n = len(chunks)
-    last = np.count_nonzero(chunks[1:] == chunks[:-1])
-    before = np.count_nonzero((chunks[2:] == chunks[:-2]) & (chunks[2:] != chunks[1:-1]))
-    return np.array([last, before, n - last - before]) / max(1, n)
-
-
 def document_features(text: str | None, params: QualityParams) -> tuple[np.ndarray, np.ndarray]:
     """(bucket, weight) such that the document's vector is their weighted sum."""
     chunks = (text or "").split()
     if not chunks:
         return np.zeros(0, dtype=np.int64), np.zeros(0)
-    distinct, which, times = np.unique(np.array(chunks, dtype=object), return_inverse=True, return_counts=True)
+    distinct, times = np.unique(np.array(chunks, dtype=object), return_counts=True)
     owner, bucket = features(distinct.tolist(), params.buckets, params.grams)
     share = times / times.sum() / np.bincount(owner, minlength=len(distinct))
     found, at = np.unique(bucket, return_inverse=True)
-    pairs = np.arange(params.buckets, params.buckets + PAIRS)
-    return np.concatenate([found, pairs]), np.concatenate([np.bincount(at, weights=share[owner]), pair_shares(which)])
+    return found, np.bincount(at, weights=share[owner])
 
 
 @dataclass(frozen=True)
 class QualityModel:
     params: QualityParams
-    vectors: np.ndarray  # buckets + PAIRS x dim
+    vectors: np.ndarray  # buckets x dim
     layer: np.ndarray  # dim x 2
     bias: np.ndarray  # 2
 
@@ -104,7 +92,7 @@ def train(texts: list[str | None], classes: list[int], params: QualityParams = Q
     Without documents of both classes the model gives the share of class 1, or 0.5.
     """
     rng = np.random.default_rng(params.seed)
-    vectors = rng.uniform(-1, 1, (params.buckets + PAIRS, params.dim)) / params.dim
+    vectors = rng.uniform(-1, 1, (params.buckets, params.dim)) / params.dim
     layer, bias = np.zeros((params.dim, 2)), np.zeros(2)
     if len(set(classes)) < 2:
         bias[1] = 0 if not classes else 3.0 if classes[0] else -3.0
@@ -129,7 +117,8 @@ def train(texts: list[str | None], classes: list[int], params: QualityParams = Q
 
 
 def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams(), hold_out: bool = True) -> QualityModel:
-    """Fit on at most ``sample`` labelled documents, in the order of a hash of doc_id.
+    """Fit on at most ``sample`` labelled documents, in the order of a hash of doc_id, of at
+    most ``longest`` characters each.
 
     With ``hold_out`` rows whose crc32(doc_id) mod 4 is 2 are never learned from.  Rows
     with a null label, id or text teach nothing; of several labels of a document each
@@ -140,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParam
         known = known.filter(bucket_of("doc_id", 4) != 2)
     order = [F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "quality"]
     chosen = known.orderBy(*order).limit(params.sample)
-    rows = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", "text").filter(F.length("text") <= params.longest).join(F.broadcast(chosen), "doc_id")
     rows = rows.orderBy(*order, "text").limit(params.sample).collect()
     return train([r.text for r in rows], [r.quality for r in rows], params)
 
@@ -148,18 +137,18 @@ def fit(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParam
 class Scorer:
     def __init__(self, margins: np.ndarray, bias: float, grams: tuple[int, ...]):
         def compute(chunks: list[str]) -> np.ndarray:
-            owner, bucket = features(chunks, len(margins) - PAIRS, grams)
+            owner, bucket = features(chunks, len(margins), grams)
             total = np.bincount(owner, weights=margins[bucket], minlength=len(chunks))
             return (total / np.bincount(owner, minlength=len(chunks)))[:, None]
 
-        self.table, self.bias, self.pairs = ChunkTable(compute, 1), bias, margins[-PAIRS:]
+        self.table, self.bias = ChunkTable(compute, 1), bias
 
     def __call__(self, texts: list[str | None]) -> list[float]:
         out = []
         for group in in_groups(texts):
             found = self.table.indices(group)
             rows = self.table.rows[:, 0]
-            margin = np.array([rows[i].mean() + pair_shares(i) @ self.pairs if len(i) else 0.0 for i in found])
+            margin = np.array([rows[i].mean() if len(i) else 0.0 for i in found])
             out += (1 / (1 + np.exp(-np.clip(margin + self.bias, -50, 50)))).tolist()
         return out
 
