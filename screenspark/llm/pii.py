@@ -10,7 +10,7 @@ A text is read in overlapping windows.  Each window scores its characters; where
 windows overlap their scores are averaged, the nearer to a window's middle the
 heavier, and one Viterbi pass over each connected run of windows decodes the tags, so
 that the windows' readings are reconciled globally.  Every kind holds a digit or an at
-sign: a decoded span without one doesn't count, so windows without one aren't read.
+sign: windows without one aren't read, and a decoded span without one doesn't count.
 Of decoded spans those stay whose digits fit their kind (a card passes Luhn's test).
 """
 
@@ -85,7 +85,7 @@ class PiiParams:
     hidden: int = 16
     window: int = 128
     stride: int = 64
-    steps: int = 260
+    steps: int = 420
     batch: int = 48
     length: int = 72
     rate: float = 0.02
