@@ -5,6 +5,8 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -13,17 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: Rows of text per Arrow batch: a batch of very long texts still fits a worker.
-TEXT_ROWS_PER_BATCH = 256
+#: Rows and bytes of texts that a map function is given at once.
+ROWS_AT_ONCE, BYTES_AT_ONCE = 256, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small enough for a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS_PER_BATCH))
+def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """An Arrow batch, cut so that its texts as Python strings still fit a worker."""
+    step = max(1, min(ROWS_AT_ONCE, BYTES_AT_ONCE * batch.num_rows // max(1, batch.nbytes)))
+    for start in range(0, batch.num_rows, step):
+        yield batch.slice(start, step)
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str | StructType) -> DataFrame:
@@ -31,7 +35,6 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schem
 
     Columns go in and come out as plain Python lists, one list per column.
     """
-    small_batches(df.sparkSession)
     names = df.columns
     out = StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
@@ -41,8 +44,8 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schem
         arrow = to_arrow_schema(out)
         step = make()
         for batch in batches:
-            if batch.num_rows:
-                got = step({n: batch.column(i).to_pylist() for i, n in enumerate(names)})
+            for part in parts_of(batch):
+                got = step({n: part.column(i).to_pylist() for i, n in enumerate(names)})
                 yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, out)
@@ -51,13 +54,13 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schem
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A new path below the folder that driver and executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset, as
-    in tests, a local folder is taken.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset a local folder
+    is taken, but only if all runs on this machine, as in tests.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        import tempfile
-
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = f"file://{tempfile.gettempdir()}/screenspark-checkpoints"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
@@ -84,13 +87,47 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Cut lineage with a Parquet table in the shared folder."""
+    """Cut lineage with a Parquet table in the shared folder, which stays there."""
     spark = df.sparkSession
     path = shared_dir(spark, label)
     write_table(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one run in the shared folder; they go when the run ends, well or not."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            drop_dir(self.spark, path)
+
+    def path(self, label: str) -> str:
+        self.paths.append(shared_dir(self.spark, label))
+        return self.paths[-1]
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        path = self.path(label)
+        write_table(df, path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, path: str) -> None:
+        """Let go of a table before the run ends."""
+        self.paths.remove(path)
+        drop_dir(self.spark, path)
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """The same rows in no order: a join with them has a plain shuffle on this side too, so
+    that Spark can split large partitions of the other side (adaptive skew join)."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def bucket_of(column: str, modulus: int) -> F.Column:
     """crc32 of a column's text form, modulo ``modulus``."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(modulus)

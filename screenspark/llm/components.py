@@ -1,9 +1,11 @@
 """Connected components of a graph of links, by alternating large and small stars.
 
-Each round is two aggregations and joins over the edges; hubs cost no more than other
-vertices, as minima are combined before the shuffle and skewed joins are split.  The
-rounds grow with the logarithm of the longest chain.  Each round is written to the
-shared folder, so that a lost executor costs one round.
+Each round is two aggregations and joins over the edges.  A hub has many edges: its
+minimum is combined before the shuffle, and the minima are dealt out anew before they
+are joined to the edges, so that both sides of the join are plain shuffles, whose large
+partitions Spark splits (adaptive skew join).  The rounds grow with the logarithm of the
+longest chain.  Each round is written to the shared folder, so that a lost executor costs
+one round.
 """
 
 from __future__ import annotations
@@ -11,34 +13,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenspark.llm.common import drop_dir, shared_dir, write_table
+from screenspark.llm.common import Scratch, dealt, write_table
 
 
 def _round(edges: DataFrame) -> DataFrame:
     """Edges (u, v) with u > v, drawn nearer to the smallest vertex of each component."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = dealt(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     nearest = large.groupBy("u").agg(F.min("v").alias("m"))
-    small = large.join(nearest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    small = large.join(dealt(nearest), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return small.unionByName(nearest.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(links: DataFrame, a: str, b: str) -> DataFrame:
+def components(links: DataFrame, a: str, b: str, tmp: Scratch) -> DataFrame:
     """(id, component) for each vertex that isn't the smallest of its component.
 
     ``links`` has an undirected link in the columns ``a`` and ``b``; loops, repeats and
-    links with a null end count for nothing.
+    links with a null end count for nothing.  The table belongs to ``tmp``.
     """
     spark = links.sparkSession
     edges = links.filter(f"{a} <> {b}").select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
     before, path, rounds = None, None, 0
     while True:
-        new = shared_dir(spark, "components")
+        new = tmp.path("components")
         write_table(edges if before is None else _round(edges), new)
         edges = spark.read.schema("u bigint, v bigint").parquet(new)
         if path:
-            drop_dir(spark, path)
+            tmp.drop(path)
         path, rounds = new, rounds + 1
         row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(row) == before or not row[0]:

@@ -5,7 +5,8 @@ k edits, k a share of the item's length.  The item is split into k+1 pieces; k e
 can't touch all of them, so one stands in the stretch unchanged.  An Aho-Corasick
 automaton finds the pieces in each whole document; around each find the item is
 verified by Myers' bit-parallel distance.  Texts are compared as their words in small
-letters, joined by single spaces.
+letters, with single spaces between, before and after them: so an item that starts or ends
+inside a word of the document has that border as an edit.
 """
 
 from __future__ import annotations
@@ -16,25 +17,29 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from screenspark.llm.common import map_batches
+from screenspark.llm.common import drop_dir, map_batches, shared_dir, write_table
 
 WORD = re.compile(r"\w+")
 
 
 @dataclass(frozen=True)
 class EditMatch:
-    """``share`` of an item's characters may be edited.  Items of fewer characters than
-    ``least`` must stand unchanged, as whole words.  The items go to the tasks in blocks
-    of at most ``block_chars`` characters, so what is broadcast is bounded; a larger
-    benchmark takes as many passes."""
+    """``share`` of an item's characters may be edited, rounded down.  The items go to the
+    tasks in blocks of at most ``block_chars`` characters, or of one item, so what is
+    broadcast is bounded; a larger benchmark takes as many passes, one after the other."""
 
     share: float = 0.05
-    least: int = 32
     block_chars: int = 4_000_000
 
 
 def normalised(text: str | None) -> str:
-    return " ".join(WORD.findall((text or "").lower()))
+    words = " ".join(WORD.findall((text or "").lower()))
+    return f" {words} " if words else ""
+
+
+def budget_of(item: str, rule: EditMatch) -> int:
+    """The edits that a normalised item may have."""
+    return int((len(item) - 2) * rule.share)
 
 
 def pieces(item: str, budget: int) -> list[tuple[int, str]]:
@@ -82,11 +87,11 @@ class Matcher:
             text = normalised(text)
             if not text:
                 continue
-            budget = int(len(text) * rule.share) if len(text) >= rule.least else 0
+            budget = budget_of(text, rule)
             for offset, piece in pieces(text, budget):
                 found.setdefault(piece, []).append((len(self.items), offset))
             self.items.append((item_id, text))
-            self.budgets.append((budget, len(text) < rule.least))
+            self.budgets.append(budget)
         self.automaton = ahocorasick.Automaton()
         for piece, places in found.items():
             self.automaton.add_word(piece, (len(piece), places))
@@ -101,7 +106,7 @@ class Matcher:
         verified: dict[int, tuple[int, int]] = {}  # by item, the stretch verified last
         for last, (length, places) in self.automaton.iter(text):
             for which, offset in places:
-                (budget, whole), (item_id, item) = self.budgets[which], self.items[which]
+                budget, (item_id, item) = self.budgets[which], self.items[which]
                 start = last + 1 - length - offset
                 a, b = max(0, start - budget), min(len(text), start + len(item) + budget)
                 lo, hi = verified.get(which, (0, -1))
@@ -111,8 +116,6 @@ class Matcher:
                 a, b = max(0, a - budget), min(len(text), b + budget)
                 verified[which] = a, b
                 got = myers(item, text[a:b], budget)
-                if got and whole and (text[a - 1 : a].strip() or text[b : b + 1].strip()):
-                    continue
                 if got:
                     out[item_id] = min(got[0], out.get(item_id, got[0]))
         return out
@@ -136,21 +139,36 @@ HITS = StructField("hits", ArrayType(StructType([StructField("item_id", LongType
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rule: EditMatch = EditMatch()) -> DataFrame:
     """``docs`` with ``hits``: an array of (item_id, edits) ordered by item, or empty.
 
-    A null or empty text, and an item without words, match nothing.  All rows and
-    columns of ``docs`` stay, in place of a column ``hits``.
+    A null or empty text, and an item without words, match nothing; of rows that repeat an
+    item_id the place with the fewest edits counts.  All rows and columns of ``docs`` stay,
+    in place of a column ``hits``.  Between the passes over several blocks ``docs`` and its
+    hits are a table in the shared folder, of which the last stays there.
     """
+    spark = docs.sparkSession
     out = docs.select(*[c for c in docs.columns if c != "hits"])
-    for k, block in enumerate(item_blocks(benchmark, rule.block_chars)):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
-
-        def make(sent=sent, first=k == 0):
+    sent = path = None
+    for block in item_blocks(benchmark, rule.block_chars):
+        if sent is not None:
+            done, before = shared_dir(spark, "leaks"), path
+            write_table(out, path := done)
+            sent.destroy()
+            if before:
+                drop_dir(spark, before)
+            out = spark.read.schema(out.schema).parquet(path)
+        first, sent = sent is None, spark.sparkContext.broadcast(block)
+
+        def make(sent=sent, first=first):
             matcher = Matcher(sent.value, rule)
 
             def step(cols):
                 had = [[]] * len(cols["text"]) if first else cols["hits"]
                 new = [matcher.matches(normalised(t)) for t in cols["text"]]
-                hits = [{h["item_id"]: h["edits"] for h in old} | now for old, now in zip(had, new)]
-                return cols | {"hits": [[{"item_id": i, "edits": h[i]} for i in sorted(h)] for h in hits]}
+                hits = []
+                for old, now in zip(had, new):
+                    for h in old:
+                        now[h["item_id"]] = min(h["edits"], now.get(h["item_id"], h["edits"]))
+                    hits.append([{"item_id": i, "edits": now[i]} for i in sorted(now)])
+                return cols | {"hits": hits}
 
             return step
 

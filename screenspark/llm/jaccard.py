@@ -1,10 +1,10 @@
 """Operator 9: n-gram Jaccard join with size-banded tiles and bitmap signatures.
 
 A document's set holds its distinct word shingles.  Documents with equal sets form a
-class; the join is over classes.  Two sets that are similar enough share a shingle
-among the first of each in the order of the hashes (prefix filtering), and their sizes
-are near.  So the classes that share a prefix shingle make a tile, kept in order of
-size, and only classes in the same size band of a tile are compared:
+class, whose smallest doc_id stands for it; the join is over classes.  Two sets that are
+similar enough share shingles among the first of each in the order of the hashes (prefix
+filtering), and their sizes are near.  So the classes that share a prefix shingle make a
+tile, kept in order of size, and only classes in near size bands of a tile are compared:
 
 1. bitmap signatures: each shingle sets one hashed bit; the bits in which two bitmaps
    differ bound the symmetric difference from below, so the overlap from above;
@@ -14,30 +14,37 @@ The order puts the most frequent shingles last, as a sample shows them, so passa
 many documents share make tiles only for documents that hold little else.  The order has
 no influence on the result.
 
-A linked pair shares not one prefix shingle alone.  Hashes draw the other shingles at
-random: of the first p of both, p the shorter prefix, a share q is expected to be in
-both, where q follows from the size and the frequent shingles of either.  Fewer than
-q * p - sqrt(13.82 * p) happen with a probability of at most 1e-12 for a pair
-(Hoeffding's bound for draws without replacement); a class or a pair that shares fewer is
-left out.
+How many prefix shingles a link needs: a set of n has at least a = ceil(percent * n / 100)
+in common with any that it links with.  The prefix of n - a + l shingles leaves out a - l,
+so at least l of the common ones are in it; in the prefixes of both sets are the first of
+the common ones, as many as the smaller l.  With l a share of n, a class that has fewer
+prefix shingles with others, and a pair that has fewer in both prefixes, can't link.  No
+linked pair is lost by this.
 
 Components need not all links: first each class is verified against the leader of its
 tiles that it shares most with, and only tiles that then still hold several components
 are compared pair by pair.
+
+Tiles of frequent shingles are never gathered in one task: their rows are dealt out by
+class, what a tile knows of all its classes is aggregated before it is shuffled, and joins
+are between plain shuffles, whose large partitions Spark splits.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from screenspark.llm.common import kept, map_batches, stored
+from screenspark.llm.common import Scratch, kept, map_batches, parts_of, stored
 from screenspark.llm.components import components
 
 
@@ -45,26 +52,49 @@ from screenspark.llm.components import components
 class JaccardParams:
     """Links have 100 * intersection >= ``percent`` * union, of ``words``-word shingles.
 
-    One document in ``sample`` gives the frequent shingles, at most ``frequent`` of them,
-    whose tuples are spread over all tasks.  ``tuples``: the aim for the shingles that one
-    task sorts.  ``leaders``: those that a class is verified against first.  ``small``:
-    most classes of a tile whose pairs become rows.  ``tile``: classes of a side of a
-    larger tile's block.  ``filter_bits``: size of the filter that keeps shingle arrays of
-    classes without candidates from being sent.
+    ``shared``: of a set's size the percentage of prefix shingles that a link needs, one at
+    least.  One document in ``sample`` gives the frequent shingles, at most ``frequent`` of
+    them, so another shingle has at most one in ``frequent`` of the sample's; ``tuples``: the
+    aim for the prefix shingles that one task sorts.  ``leaders``: those that a class is
+    verified against first.  ``small``: most classes of a tile whose pairs become rows.
+    ``tile``: about the classes of a side of a larger tile's block.  ``filter_bits``: most
+    bits of the filter that keeps texts of classes without candidates from being read again.
+    None of these has an influence on the result.
     """
 
     words: int = 5
     percent: int = 75
+    shared: int = 5
     sample: int = 32
-    frequent: int = 100_000
+    frequent: int = 1 << 19
     tuples: int = 400_000
     leaders: int = 3
     small: int = 128
     tile: int = 1024
-    filter_bits: int = 1 << 24
+    filter_bits: int = 1 << 27
+
+    def common(self, n: int) -> int:
+        """The fewest shingles that a set of n has in common with one that it links with."""
+        return -(-self.percent * n // 100)
+
+    def least(self, n: int) -> int:
+        """How many of them the prefix holds."""
+        return max(1, n * self.shared // 100)
+
+    def least_sql(self, n: str) -> str:
+        return f"greatest(1L, {n} * {self.shared} div 100)"
 
+    def common_sql(self, n: str) -> str:
+        return f"({n} * {self.percent} + 99) div 100"
 
-TUPLE = np.dtype([("t", "<u8"), ("c", "<i8"), ("n", "<i4"), ("k", "<i2")])
+    def near_sql(self, a: str, b: str) -> str:
+        return f"100 * least({a}, {b}) >= {self.percent} * greatest({a}, {b})"
+
+
+#: A prefix shingle of a class: the shingle, the class's name in two halves, its size.
+TUPLE = np.dtype([("t", "<u8"), ("hi", "<i8"), ("lo", "<i8"), ("n", "<i4")])
+#: A document: its id (if ``named``), the size and (if any) the name of its set.
+DOC = np.dtype([("d", "<i8"), ("named", "u1"), ("n", "<i4"), ("hi", "<i8"), ("lo", "<i8")])
 MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -98,33 +128,21 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(out)
 
 
-def class_of(shingles: np.ndarray) -> int | None:
-    """A 64-bit name for a set; None for the empty one."""
-    if not len(shingles):
-        return None
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
-
-
-def prefix_length(n: int, percent: int) -> int:
-    """How many of a set's shingles a similar set must share one of."""
-    return n - -(-percent * n // 100) + 1
+def class_of(shingles: np.ndarray) -> tuple[int, int]:
+    """A 128-bit name for a set."""
+    name = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+    return int.from_bytes(name[:8], "little", signed=True), int.from_bytes(name[8:], "little", signed=True)
 
 
-def prefix(shingles: np.ndarray, common: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """The prefix shingles of a set, which of them are frequent, and how many of them a
-    linked set shares at least; ``common`` has the frequent shingles in order."""
+def prefix(shingles: np.ndarray, common: np.ndarray, params: JaccardParams) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix shingles of a set, and which of them are frequent; ``common`` has the
+    frequent shingles in order."""
     n = len(shingles)
     hot = np.zeros(n, dtype=bool)
     if len(common):
         hot = common[np.minimum(np.searchsorted(common, shingles), len(common) - 1)] == shingles
-    length = prefix_length(n, percent)
-    order = np.concatenate([np.flatnonzero(~hot), np.flatnonzero(hot)])[:length]
-    rest = n - int(hot.sum())
-    least = 1
-    if rest >= length:
-        p = prefix_length(-(-percent * n // 100), percent)
-        least = max(1, int((percent * n / 100 - (n - rest)) / rest * p - np.sqrt(13.82 * p)))
-    return shingles[order], hot[order], min(least, 32_767)
+    order = np.concatenate([np.flatnonzero(~hot), np.flatnonzero(hot)])[: n - params.common(n) + params.least(n)]
+    return shingles[order], hot[order]
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
@@ -148,133 +166,162 @@ def may_link(differing: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, perc
     return 100 * overlap >= percent * (size_a + size_b - overlap)
 
 
-def near_sizes(a: str, b: str, percent: int) -> str:
-    return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
+def _packed(rows: np.ndarray, bucket: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """The buckets in which rows are, and the rows of each as bytes."""
+    order = np.argsort(bucket, kind="stable")
+    names, starts = np.unique(bucket[order], return_index=True)
+    return names.tolist(), [x.tobytes() for x in np.split(rows[order], starts[1:])] if len(rows) else []
 
 
-def frequent_shingles(docs: DataFrame, params: JaccardParams) -> tuple[np.ndarray, int]:
+def _unpacked(table: pa.Table, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(table["rows"].to_pylist()), dtype=kind)
+
+
+def frequent_shingles(docs: DataFrame, tmp: Scratch, params: JaccardParams) -> tuple[np.ndarray, int]:
     """The most frequent shingles, by a sample of the distinct texts, and about how many
     shingles all texts have: hints on how to order and spread the work."""
+    slots = max(4, docs.count() // (params.sample * 800))
 
     def make():
         def step(cols):
-            sets = [shingle_set(t, params.words) for t in cols["text"]]
-            return {"t": [s[s < np.uint64(1 << 63)].view(np.int64).tolist() for s in sets]}
+            found = np.concatenate([np.zeros(0, np.uint64), *(shingle_set(t, params.words) for t in cols["text"])])
+            names, rows = _packed(found, (found >> np.uint64(20)) % np.uint64(slots))
+            return {"slot": names, "rows": rows}
 
         return step
 
+    def count(table: pa.Table) -> pa.Table:
+        every = _unpacked(table, "<u8")
+        found, times = np.unique(every, return_counts=True)
+        often = times >= 3
+        t = pa.array([None, *found[often].view(np.int64).tolist()], pa.int64())
+        return pa.table({"t": t, "n": pa.array([len(every), *times[often].tolist()], pa.int64())})
+
     texts = docs.select("text").filter(F.xxhash64("text") % params.sample == 0).distinct()
-    sets = map_batches(texts, make, "t array<bigint>")
-    counts = stored(sets.select(F.explode("t").alias("t")).groupBy("t").count(), "jaccard-sample")
-    rows = counts.filter("count >= 3").orderBy(F.desc("count"), "t").limit(params.frequent).collect()
-    half = counts.agg(F.sum("count")).first()[0] or 0  # as half of all hashes lie below the bound
-    return np.sort(np.array([r.t for r in rows], dtype=np.int64).view(np.uint64)), 2 * params.sample * half
+    counts = tmp.stored(map_batches(texts, make, "slot bigint, rows binary").groupBy("slot").applyInArrow(count, "t bigint, n bigint"), "jaccard-sample")
+    rows = counts.filter("t IS NOT NULL").orderBy(F.desc("n"), "t").limit(params.frequent).collect()
+    total = counts.filter("t IS NULL").agg(F.sum("n")).first()[0] or 0
+    return np.sort(np.array([r.t for r in rows], dtype=np.int64).view(np.uint64)), params.sample * total
 
 
 def described(docs: DataFrame, frequent: np.ndarray, buckets: int, params: JaccardParams) -> DataFrame:
-    """What one pass over all texts gives: in rows without bucket ``docs``, arrays of
-    (doc_id, n_shingles, cls); in the others ``rows``, packed tuples of prefix shingles."""
+    """What one pass over all texts gives: in rows without ``t`` the documents (d, n, hi,
+    lo), in the others prefix shingles ``t`` of classes (hi, lo) of n shingles, where other
+    classes of near size have the shingle in their prefix too (``hot``, frequent ones: all).
+    """
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def make():
         common = sent.value
+        seen: set[tuple[int, int]] = set()
 
         def step(cols):
-            known = []
-            parts = []
-            seen: set[int] = set()
-            for doc_id, text in zip(cols["doc_id"], cols["text"]):
+            known = np.zeros(len(cols["text"]), dtype=DOC)
+            tuples, places = [], []
+            for i, (doc_id, text) in enumerate(zip(cols["doc_id"], cols["text"])):
                 s = shingle_set(text, params.words)
-                cls = class_of(s)
-                known.append({"doc_id": doc_id, "n_shingles": len(s), "cls": cls})
-                if cls is None or cls in seen or doc_id is None:
+                cls = class_of(s) if len(s) else (0, 0)
+                known[i] = (doc_id or 0, doc_id is not None, len(s), *cls)
+                # A class that many documents share is sent on once by each task.
+                if not len(s) or doc_id is None or cls in seen:
                     continue
+                if len(seen) >= 200_000:
+                    seen.clear()
                 seen.add(cls)
-                t, hot, least = prefix(s, common, params.percent)
+                t, hot = prefix(s, common, params)
                 rows = np.empty(len(t), dtype=TUPLE)
-                rows["t"], rows["c"], rows["n"], rows["k"] = t, cls, len(s), least
+                rows["t"], rows["hi"], rows["lo"], rows["n"] = t, *cls, len(s)
+                tuples.append(rows)
                 # Rare shingles meet in the bucket of their hash; of frequent ones any bucket will do.
-                spread = np.uint64(cls % (1 << 64)) + t
-                parts.append((rows, np.where(hot, buckets + (spread % np.uint64(buckets)).astype(np.int64), (t % np.uint64(buckets)).astype(np.int64))))
-            if not parts:
-                return {"bucket": [None], "rows": [None], "docs": [known]}
-            rows = np.concatenate([r for r, _ in parts])
-            bucket = np.concatenate([b for _, b in parts])
-            order = np.argsort(bucket, kind="stable")
-            names, starts = np.unique(bucket[order], return_index=True)
-            packed = [x.tobytes() for x in np.split(rows[order], starts[1:])]
-            return {"bucket": [None, *names.tolist()], "rows": [None, *packed], "docs": [known] + [None] * len(packed)}
+                spread = (np.uint64(cls[1] % (1 << 64)) + t) % np.uint64(buckets) + np.uint64(buckets)
+                places.append(np.where(hot, spread, t % np.uint64(buckets)).astype(np.int64))
+            names, packed = _packed(np.concatenate(tuples), np.concatenate(places)) if tuples else ([], [])
+            own = int(known["lo"].astype(np.uint64).sum(dtype=np.uint64) % np.uint64(buckets))
+            return {"bucket": [-1 - own, *names], "rows": [known.tobytes(), *packed]}
 
         return step
 
-    return map_batches(docs, make, "bucket bigint, rows binary, docs array<struct<doc_id: bigint, n_shingles: bigint, cls: bigint>>")
-
-
-def shared_prefixes(packed: DataFrame, buckets: int, params: JaccardParams) -> DataFrame:
-    """(t, c, n, k): prefix shingle, class, size and least number of shared shingles, where
-    other classes of near size have the shingle in their prefix too (of the frequent all)."""
-    percent = params.percent
-
-    def gather(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        rows = np.concatenate([np.frombuffer(b, dtype=TUPLE) for b in frame["rows"]])
-        rows = rows[np.lexsort((rows["c"], rows["n"], rows["t"]))]
-        new = np.ones(len(rows), dtype=bool)
-        new[1:] = (rows["t"][1:] != rows["t"][:-1]) | (rows["c"][1:] != rows["c"][:-1])
-        rows = rows[new]
-        if key[0] < buckets:
-            # In order of size, a class has a partner if its neighbour is near.
-            near = (rows["t"][1:] == rows["t"][:-1]) & (100 * rows["n"][:-1].astype(np.int64) >= percent * rows["n"][1:].astype(np.int64))
-            rows = rows[np.append(near, False) | np.insert(near, 0, False)]
-        return pd.DataFrame({"t": rows["t"].view(np.int64), "c": rows["c"], "n": rows["n"].astype(np.int64), "k": rows["k"].astype(np.int64)})
-
-    return packed.filter("bucket IS NOT NULL").select("bucket", "rows").groupBy("bucket").applyInPandas(gather, "t bigint, c bigint, n bigint, k bigint")
-
-
-def enough_shared(tiles: DataFrame, root: str | None = None) -> DataFrame:
-    """Rows of tiles (t, c, n, k, ...) of classes that share enough with other classes, or
-    with classes of another ``root``."""
-    key = root or "c"
-    several = tiles.groupBy("t").agg(F.min(key).alias("_low"), F.max(key).alias("_high")).filter("_low <> _high").select("t")
-    shared = tiles.join(several, "t")
-    enough = shared.groupBy("c", "k").count().filter("count >= k").select("c")
-    return shared.join(enough, "c")
-
-
-def class_filter(classes: DataFrame, bits: int) -> np.ndarray:
-    """A filter of fixed size that all the classes pass, and few others."""
-    slot = F.pmod(F.col("c"), F.lit(bits))
-    words = classes.select((slot / 64).cast("int").alias("w"), F.pmod(slot, F.lit(64)).cast("int").alias("b")).distinct()
-    words = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("v"))
+    def gather(key: tuple, table: pa.Table) -> pa.Table:
+        bucket = key[0].as_py()
+        if bucket < 0:
+            rows = _unpacked(table, DOC)
+            empty, nobody = rows["n"] == 0, rows["named"] == 0
+            columns = {"t": pa.nulls(len(rows), pa.int64()), "d": pa.array(rows["d"], mask=nobody), "hi": pa.array(rows["hi"], mask=empty), "lo": pa.array(rows["lo"], mask=empty)}
+        else:
+            rows = _unpacked(table, TUPLE)
+            rows = rows[np.lexsort((rows["lo"], rows["n"], rows["t"]))]
+            new = np.ones(len(rows), dtype=bool)
+            new[1:] = (rows["t"][1:] != rows["t"][:-1]) | (rows["lo"][1:] != rows["lo"][:-1]) | (rows["hi"][1:] != rows["hi"][:-1])
+            rows = rows[new]
+            if bucket < buckets:
+                # In order of size, a class has a partner if its neighbour is near.
+                near = (rows["t"][1:] == rows["t"][:-1]) & (100 * rows["n"][:-1].astype(np.int64) >= params.percent * rows["n"][1:].astype(np.int64))
+                rows = rows[np.append(near, False) | np.insert(near, 0, False)]
+            columns = {"t": pa.array(rows["t"].view(np.int64)), "d": pa.nulls(len(rows), pa.int64()), "hi": pa.array(rows["hi"]), "lo": pa.array(rows["lo"])}
+        return pa.table(columns | {"n": pa.array(rows["n"].astype(np.int64)), "hot": pa.array(np.full(len(rows), bucket >= buckets))})
+
+    packed = map_batches(docs, make, "bucket bigint, rows binary")
+    return packed.groupBy("bucket").applyInArrow(gather, "t bigint, d bigint, hi bigint, lo bigint, n bigint, hot boolean")
+
+
+def over_tiles(rows: DataFrame, tmp: Scratch, keys: tuple[str, ...] = ("t",), **of: Column) -> DataFrame:
+    """``rows`` (t, hot, ...) with aggregates over their tiles.
+
+    Tiles of rare shingles are small, so a window over them does; rows of frequent ones are
+    aggregated first and joined with what comes of it.
+    """
+    window = W.partitionBy(*keys)
+    rare = rows.filter("NOT hot").select("*", *[f.over(window).alias(k) for k, f in of.items()])
+    hot = rows.filter("hot")
+    found = tmp.stored(hot.groupBy(*keys).agg(*[f.alias(k) for k, f in of.items()]), "jaccard-hot")
+    return rare.unionByName(hot.join(found, list(keys)).select(rare.columns))
+
+
+def enough_shared(tiles: DataFrame, tmp: Scratch, params: JaccardParams, key: str = "c") -> DataFrame:
+    """Rows of tiles (t, hot, c, n, ...) of classes that share enough with other classes, or
+    with classes of another root (``key``)."""
+    shared = over_tiles(tiles, tmp, _low=F.min(key), _high=F.max(key)).filter("_low <> _high").drop("_low", "_high")
+    counted = shared.withColumn("_k", F.count("*").over(W.partitionBy("c")))
+    return counted.filter(f"_k >= {params.least_sql(params.common_sql('n'))}").drop("_k")
+
+
+def doc_filter(wanted: DataFrame, most: int) -> np.ndarray:
+    """A filter that all documents (c) of ``wanted`` pass, and few others; of ``most`` bits."""
+    bits = 1 << 16
+    n = wanted.count()
+    while bits < 16 * n and bits < most:
+        bits *= 2
+    slot = F.pmod(F.xxhash64("c"), F.lit(bits))
+    words = wanted.select((slot / 64).cast("int").alias("w"), F.pmod(slot, F.lit(64)).cast("int").alias("b")).distinct()
+    words = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("v")).toPandas()
     out = np.zeros(bits // 64, dtype=np.int64)
-    for row in words.toPandas().itertuples():
-        out[row.w] = row.v
-    return out
+    out[words["w"].to_numpy()] = words["v"].to_numpy()
+    return out.view(np.uint64)
 
 
 def class_arrays(docs: DataFrame, wanted: np.ndarray, params: JaccardParams) -> DataFrame:
-    """(c, n, bits, shingles) of the classes that pass the filter, each once."""
+    """(c, n, bits, shingles) of the documents c that pass the filter, each set once."""
     sent = docs.sparkSession.sparkContext.broadcast(wanted)
+    slots = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(64 * len(wanted))).alias("slot"))
+    names = ("c", "n", "bits", "shingles")
+    schema = pa.schema([("c", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("shingles", pa.binary())])
 
-    def make():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = sent.value
-
-        def step(cols):
-            out = {k: [] for k in ("c", "n", "bits", "shingles")}
-            seen: set[int] = set()
-            for text in cols["text"]:
-                s = shingle_set(text, params.words)
-                cls = class_of(s)
-                if cls is None or cls in seen or not words[cls % params.filter_bits >> 6] >> (cls % 64) & 1:
-                    continue
-                seen.add(cls)
-                for name, value in (("c", cls), ("n", len(s)), ("bits", bitmap(s).tobytes()), ("shingles", s.tobytes())):
-                    out[name].append(value)
-            return out
-
-        return step
-
-    rows = map_batches(docs.select("text"), make, "c bigint, n bigint, bits binary, shingles binary")
-    return rows.groupBy("c").agg(*[F.first(k).alias(k) for k in ("n", "bits", "shingles")])
+        for batch in batches:
+            slot = batch.column(2).to_numpy().astype(np.uint64)
+            passing = batch.filter(pa.array((words[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)))
+            for part in parts_of(passing):
+                out = {k: [] for k in names}
+                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    s = shingle_set(text, params.words)
+                    if len(s):
+                        for name, value in zip(names, (doc_id, len(s), bitmap(s).tobytes(), s.tobytes())):
+                            out[name].append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in schema], schema=schema)
+
+    rows = slots.mapInArrow(run, "c bigint, n bigint, bits binary, shingles binary")
+    return rows.groupBy("c", "n", F.md5("shingles").alias("name")).agg(F.first("bits").alias("bits"), F.first("shingles").alias("shingles")).drop("name")
 
 
 def not_ruled_out(pairs: DataFrame, arrays: DataFrame, params: JaccardParams) -> DataFrame:
@@ -318,20 +365,23 @@ def verified(pairs: DataFrame, arrays: DataFrame, params: JaccardParams) -> Data
     return map_batches(rows, make, "a bigint, b bigint")
 
 
-def leader_pairs(tiles: DataFrame, params: JaccardParams) -> DataFrame:
+def banded(tiles: DataFrame, params: JaccardParams) -> DataFrame:
+    """Each row in the size band ``own`` and in the next one, so that any two near sizes
+    have a band in common."""
+    own = F.floor(F.log("n") / float(np.log(100 / params.percent)) + 1e-9)
+    return tiles.withColumn("own", own).withColumn("band", F.explode(F.array(F.col("own"), F.col("own") + 1)))
+
+
+def leader_pairs(tiles: DataFrame, tmp: Scratch, params: JaccardParams) -> DataFrame:
     """(a, b): each class with the leaders that it shares most prefix shingles with.
 
-    A tile's leader in a size band is the class that shares most with all others.  Bands
-    overlap by half, so that any two near sizes have one in common.
+    A tile's leader in a size band is the class that shares most with all others.
     """
-    from pyspark.sql import Window as W
-
-    size = tiles.groupBy("t").agg(F.count("*").alias("m"))
-    weight = tiles.join(size, "t").groupBy("c").agg(F.sum("m").alias("weight"))
-    band = F.floor(F.log("n") / float(np.log(100 / params.percent)))
-    banded = tiles.withColumn("band", F.explode(F.array(band, band + 1)))
-    leaders = banded.join(weight, "c").groupBy("t", "band").agg(F.max_by(F.struct("c", "n"), F.struct(F.col("weight") / F.col("n"), "c")).alias("l"))
-    led = banded.join(leaders, ["t", "band"]).filter("c <> l.c AND " + near_sizes("n", "l.n", params.percent))
+    sized = over_tiles(tiles, tmp, m=F.count("*"))
+    weighed = sized.withColumn("weight", F.sum("m").over(W.partitionBy("c")) / F.col("n"))
+    rows = banded(weighed.select("t", "hot", "c", "n", "weight"), params)
+    led = over_tiles(rows, tmp, ("t", "band"), l=F.max_by(F.struct("c", "n"), F.struct("weight", "c")))
+    led = led.filter("c <> l.c AND " + params.near_sql("n", "l.n"))
     led = led.groupBy("c", F.col("l.c").alias("l")).count()
     best = F.row_number().over(W.partitionBy("c").orderBy(F.desc("count"), "l"))
     led = led.withColumn("best", best).filter(F.col("best") <= params.leaders)
@@ -340,42 +390,37 @@ def leader_pairs(tiles: DataFrame, params: JaccardParams) -> DataFrame:
 
 def small_tile_pairs(members: DataFrame, params: JaccardParams) -> DataFrame:
     """(a, b): pairs of classes of different roots that share enough prefix shingles."""
-    a = members.select("t", F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("k").alias("k_a"), F.col("root").alias("root_a"))
-    b = members.select("t", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("k").alias("k_b"), F.col("root").alias("root_b"))
-    met = a.join(b, "t").filter("a < b AND root_a <> root_b AND " + near_sizes("n_a", "n_b", params.percent))
-    return met.groupBy("a", "b", "k_a", "k_b").count().filter("count >= greatest(k_a, k_b)").select("a", "b")
+    a = members.select("t", F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
+    b = members.select("t", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+    met = a.join(b, "t").filter("a < b AND root_a <> root_b AND " + params.near_sql("n_a", "n_b"))
+    met = met.groupBy("a", "b").agg(F.count("*").alias("both"), F.least(F.min("n_a"), F.min("n_b")).alias("n"))
+    return met.filter(f"both >= {params.least_sql('n')}").select("a", "b")
 
 
-def large_tile_pairs(members: DataFrame, params: JaccardParams) -> DataFrame:
-    """(a, b): pairs of tiles (t, c, n, root, bits) that a bitmap doesn't rule out.
+def large_tile_pairs(members: DataFrame, tmp: Scratch, params: JaccardParams) -> DataFrame:
+    """(a, b): pairs of tiles (t, hot, c, n, root, bits) that a bitmap doesn't rule out.
 
-    For tiles of so many classes that their pairs should not become rows.
-
-    A tile is cut into blocks of bounded size, in the order of size; a task compares two
-    blocks, and only where their sizes are near and the roots differ.
+    For tiles of so many classes that their pairs should not become rows.  A band of a tile
+    is dealt into blocks of bounded size by a hash of the class; a task compares two blocks,
+    and only classes of near sizes and different roots.
     """
-    from pyspark.sql import Window as W
-
-    tiles = members.withColumn("rank", F.row_number().over(W.partitionBy("t").orderBy("n", "c")) - 1)
-    tiles = tiles.withColumn("block", F.floor(F.col("rank") / params.tile).cast("bigint")).drop("rank")
-    blocks = tiles.groupBy("t", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    other = blocks.select("t", F.col("block").alias("block_b"), F.col("low").alias("low_b"))
-    meets = blocks.join(other, "t").filter(f"block_b >= block AND 100 * high >= {params.percent} * low_b").select("t", "block", F.col("block_b").alias("with"))
-    left = tiles.join(meets, ["t", "block"])
-    right = tiles.select("t", "c", "n", "root", "bits", F.col("block").alias("with")).join(meets, ["t", "with"]).filter("block <> with")
-    sides = left.select("t", "block", "with", "c", "n", "root", "bits", F.lit(True).alias("first"))
-    sides = sides.unionByName(right.select("t", "block", "with", "c", "n", "root", "bits", F.lit(False).alias("first")))
+    rows = over_tiles(banded(members, params), tmp, ("t", "band"), m=F.count("*"))
+    rows = rows.withColumn("blocks", F.ceil(F.col("m") / params.tile)).withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")))
+    meets = F.expr("transform(sequence(0L, blocks - 1), k -> struct(least(block, k) as a, greatest(block, k) as b))")
+    rows = rows.withColumn("pair", F.explode(meets)).select("t", "band", "pair.a", "pair.b", "block", "own", "c", "n", "root", "bits")
     percent = params.percent
 
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        _, band, block_a, block_b = key
         words = min(map(len, frame["bits"])) // 8
         bits = np.array([folded(np.frombuffer(b, np.uint64), words) for b in frame["bits"]])
-        c, n, root = (frame[k].to_numpy() for k in ("c", "n", "root"))
-        first = frame["first"].to_numpy()
-        a, b = np.flatnonzero(first), np.flatnonzero(first if key[1] == key[2] else ~first)
+        c, n, root, own, block = (frame[k].to_numpy() for k in ("c", "n", "root", "own", "block"))
         found = []
+        a, b = np.flatnonzero(block == block_a), np.flatnonzero(block == block_b)
         for i in a.tolist():
-            j = b[(root[b] != root[i]) & (100 * np.minimum(n[b], n[i]) >= percent * np.maximum(n[b], n[i]))]
+            # Two of the lower band meet there already.
+            near = (root[b] != root[i]) & (np.maximum(own[b], own[i]) == band) & (100 * np.minimum(n[b], n[i]) >= percent * np.maximum(n[b], n[i]))
+            j = b[near]
             if len(j):
                 differing = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1).astype(np.int64)
                 j = j[may_link(differing, n[i], n[j], percent)]
@@ -383,7 +428,15 @@ def large_tile_pairs(members: DataFrame, params: JaccardParams) -> DataFrame:
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), dtype=np.int64)
         return pd.DataFrame(pairs, columns=["a", "b"])
 
-    return sides.groupBy("t", "block", "with").applyInPandas(compare, "a bigint, b bigint").distinct()
+    return rows.groupBy("t", "band", "a", "b").applyInPandas(compare, "a bigint, b bigint").distinct()
+
+
+def repeated_ids(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): what stands for the sets of rows that repeat a doc_id with other sets."""
+    sets = known.filter("doc_id IS NOT NULL").select("doc_id", "hi", "lo").distinct()
+    several = sets.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    stands = sets.join(several, "doc_id").join(classes, ["hi", "lo"], "left").select("doc_id", F.coalesce("c", "doc_id").alias("b"))
+    return stands.select(F.col("doc_id").alias("a"), "b")
 
 
 def near_duplicates(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
@@ -395,34 +448,35 @@ def near_duplicates(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
     repeat a doc_id are one document.  Other columns than doc_id and text are ignored.
     """
     docs = docs.select("doc_id", "text")
-    frequent, total = frequent_shingles(docs, params)
-    buckets = max(8, int(total * (100 - params.percent) / 100 / params.tuples) + 1)
-    packed = stored(described(docs, frequent, buckets, params), "jaccard-packed")
-    known = packed.filter("docs IS NOT NULL").select(F.explode("docs").alias("d")).select("d.doc_id", "d.n_shingles", "d.cls")
-    classes = known.filter("cls IS NOT NULL AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"))
-    every = stored(shared_prefixes(packed, buckets, params), "jaccard-tiles")
-    tiles = stored(enough_shared(enough_shared(every)), "jaccard-tiles")
-    arrays = stored(class_arrays(docs.filter("doc_id IS NOT NULL"), class_filter(tiles.select("c"), params.filter_bits), params), "jaccard-arrays")
-
-    first_links = stored(verified(leader_pairs(tiles, params), arrays, params), "jaccard-links")
-
-    # What tiles hold besides: pairs of classes that no link found so far connects.
-    found = components(first_links, "a", "b")
-    rooted = tiles.join(found.select(F.col("id").alias("c"), "component"), "c", "left").withColumn("root", F.coalesce("component", "c")).drop("component")
-    mixed = stored(enough_shared(enough_shared(rooted, "root"), "root").select("t", "c", "n", "k", "root"), "jaccard-mixed")
-    # A pair whose shared shingles lie in large tiles as well as small ones is found in the
-    # large ones; so pairs are counted in small tiles only where no large one can hold them.
-    large = mixed.groupBy("t").count().filter(F.col("count") > params.small).select("t")
-    wide = mixed.join(large, "t")
-    narrow = mixed.join(large, "t", "left_anti")
-    pairs = small_tile_pairs(narrow, params).unionByName(large_tile_pairs(wide.join(arrays.select("c", "bits"), "c"), params)).distinct()
-    more_links = verified(pairs, arrays, params)
-    links = stored(first_links.unionByName(more_links), "jaccard-links")
-
-    final = components(links, "a", "b")
-    rooted = classes.join(final.withColumnRenamed("id", "cls"), "cls", "left").withColumn("root", F.coalesce("component", "cls"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = rooted.join(smallest, "root").select("cls", "component_id")
-    out = known.join(by_class, "cls", "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"))
+    with Scratch(docs.sparkSession) as tmp:
+        frequent, total = frequent_shingles(docs, tmp, params)
+        buckets = max(8, int(total * (100 - params.percent + params.shared) / 100 / params.tuples) + 1)
+        every = tmp.stored(described(docs, frequent, buckets, params), "jaccard-sets")
+        known = every.filter("t IS NULL").select(F.col("d").alias("doc_id"), "n", "hi", "lo")
+        named = known.filter("hi IS NOT NULL AND doc_id IS NOT NULL")
+        classes = tmp.stored(named.groupBy("hi", "lo").agg(F.min("doc_id").alias("c")), "jaccard-classes")
+        tiles = every.filter("t IS NOT NULL").join(classes, ["hi", "lo"]).select("t", "hot", "c", "n")
+        tiles = tmp.stored(enough_shared(enough_shared(tiles, tmp, params), tmp, params), "jaccard-tiles")
+        arrays = tmp.stored(class_arrays(docs.filter("doc_id IS NOT NULL"), doc_filter(tiles.select("c").distinct(), params.filter_bits), params), "jaccard-arrays")
+
+        first_links = tmp.stored(verified(leader_pairs(tiles, tmp, params), arrays, params), "jaccard-links")
+
+        # What tiles hold besides: pairs of classes that no link found so far connects.
+        found = components(first_links, "a", "b", tmp)
+        rooted = tiles.join(found.select(F.col("id").alias("c"), "component"), "c", "left").withColumn("root", F.coalesce("component", "c")).drop("component")
+        mixed = enough_shared(tmp.stored(enough_shared(rooted, tmp, params, "root"), "jaccard-mixed"), tmp, params, "root")
+        mixed = tmp.stored(over_tiles(mixed, tmp, m=F.count("*")), "jaccard-mixed")
+        # A pair whose shared shingles lie in large tiles as well as small ones is found in the
+        # large ones; so pairs are counted in small tiles only where no large one can hold them.
+        narrow, wide = mixed.filter(F.col("m") <= params.small).drop("m"), mixed.filter(F.col("m") > params.small).drop("m")
+        wide = wide.join(arrays.select("c", "n", "bits"), ["c", "n"])
+        pairs = small_tile_pairs(narrow, params).unionByName(large_tile_pairs(wide, tmp, params)).distinct()
+        links = first_links.unionByName(verified(pairs, arrays, params)).unionByName(repeated_ids(known, classes))
+        final = components(links, "a", "b", tmp)
+
+        component = F.coalesce("component", "c").alias("component_id")
+        by_class = classes.join(final, F.col("id") == F.col("c"), "left").select("hi", "lo", component)
+        one = named.join(by_class, ["hi", "lo"]).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+        bare = known.filter("hi IS NULL OR doc_id IS NULL").join(final, F.col("id") == F.col("doc_id"), "left")
+        bare = bare.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+        return stored(one.unionByName(bare), "jaccard")

@@ -1,7 +1,7 @@
 """Operator 1: embedding near-duplicates by a random-projection tree forest.
 
-Equal vectors of a label form a class.  Many trees divide the classes of each label:
-a node is cut where a random projection has a sparse place not far from its middle,
+Equal vectors of a label form a class.  Many trees, the more the larger the label, divide
+the classes of each label: a node is cut where a random projection has a sparse place not far from its middle,
 and vectors close to the cut spill over to both sides.  Large nodes are divided level
 by level over the cluster, smaller ones to the end inside a task.  All pairs inside a
 leaf are verified by cosine in double precision.
@@ -26,23 +26,25 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenspark.llm.common import stored
+from screenspark.llm.common import Scratch, dealt, stored
 from screenspark.llm.components import components
 
 
 @dataclass(frozen=True)
 class ForestParams:
     """``leaf``: most vectors of a leaf that isn't dense, and of a block; ``local``: most
-    of a node that one task divides; ``spill``: most of a node that goes to both sides
-    from either; ``dense``: cosine to a node's mean of its core, ``share``: least share of
+    of a node that one task divides; ``trees``: those of a label, and one more for each
+    three halvings that it needs (one alone where it is a leaf); ``spill``: most of a node
+    that goes to both sides from either, with which a pair may still be parted where vectors
+    lie close, but not in all trees; ``dense``: cosine to a node's mean of its core, ``share``: least share of
     the node for a core to become a dense leaf; ``depth``: levels after which a node is
     taken as a leaf anyhow."""
 
     cosine: float = 0.98
-    trees: int = 6
+    trees: int = 5
     leaf: int = 512
     local: int = 20_000
-    spill: float = 0.05
+    spill: float = 0.10
     dense: float = 0.97
     share: float = 0.25
     depth: int = 60
@@ -121,29 +123,40 @@ def spill_bounds(p: np.ndarray, cut: float, width: float, share: float) -> tuple
     return low, high
 
 
-def vector_classes(vectors: DataFrame) -> DataFrame:
-    """(cls, label, embedding, times) of the distinct vectors that can link."""
+def vector_classes(vectors: DataFrame, tmp: Scratch) -> DataFrame:
+    """(cls, label, embedding, times, least) of the distinct vectors that can link; ``cls``
+    is a number of its own for each, fixed as the table is written."""
     size = F.expr("aggregate(embedding, 0D, (s, v) -> s + cast(v as double) * cast(v as double))")
     good = F.expr("forall(embedding, v -> v IS NOT NULL AND NOT isnan(v) AND abs(v) < double('Infinity'))")
     usable = vectors.filter("label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL").filter(good & (size > 0) & (size < float("inf")))
     grouped = usable.groupBy("label", "embedding").agg(F.count("*").alias("times"), F.min("vec_id").alias("least"))
-    return grouped.withColumn("cls", F.xxhash64("label", "embedding"))
+    return tmp.stored(grouped.withColumn("cls", F.monotonically_increasing_id()), "vectors")
 
 
-def divide(classes: DataFrame, params: ForestParams) -> DataFrame:
+def planted(classes: DataFrame, params: ForestParams) -> DataFrame:
+    """(cls, embedding, tree, node): each class at the root of the trees of its label.
+
+    Vectors of different lengths never link; a node holds those of one length.
+    """
+    rooted = classes.select("cls", "embedding", F.concat_ws("/", F.lit(""), "label", F.size("embedding")).alias("node"))
+    levels = F.ceil(F.log2(F.col("count") / params.leaf))
+    trees = F.when(F.col("count") <= params.leaf, F.lit(1)).otherwise(params.trees + F.floor(levels / 3)).cast("int")
+    sizes = rooted.groupBy("node").count().select("node", trees.alias("trees"))
+    return rooted.join(dealt(sizes), "node").select("cls", "embedding", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree"), "node")
+
+
+def divide(classes: DataFrame, tmp: Scratch, params: ForestParams) -> DataFrame:
     """(cls, code): the leaves of each class in all trees."""
-    trees = F.array([F.lit(t) for t in range(params.trees)])
-    # Vectors of different lengths never link; a node holds those of one length.
-    nodes = classes.select("cls", "embedding", F.explode(trees).alias("tree"), F.concat_ws("/", F.lit(""), "label", F.size("embedding")).alias("node"))
+    nodes = planted(classes, params)
     depth, dense = 0, None
     while True:
         sizes = nodes.groupBy("tree", "node").count()
         large = sizes.filter(F.col("count") > params.local)
         if depth >= params.depth or large.limit(1).count() == 0:
             break
-        found, nodes = _take_cores(nodes, large, params)
+        found, nodes = _take_cores(nodes, large, tmp, params)
         dense = found if dense is None else dense.unionByName(found)
-        nodes = stored(_divide_once(nodes, nodes.groupBy("tree", "node").count(), depth, params), "forest")
+        nodes = tmp.stored(_divide_once(nodes, nodes.groupBy("tree", "node").count(), depth, params), "forest")
         depth += 1
     small = nodes.join(sizes.filter(F.col("count") <= params.local).select("tree", "node"), ["tree", "node"])
     level = depth
@@ -169,7 +182,7 @@ def leaf_code(tree: int, node: str, path: str) -> int:
     return (zlib.crc32(text) << 31) ^ zlib.crc32(b"leaf" + text)
 
 
-def _take_cores(nodes: DataFrame, large: DataFrame, params: ForestParams) -> tuple[DataFrame, DataFrame]:
+def _take_cores(nodes: DataFrame, large: DataFrame, tmp: Scratch, params: ForestParams) -> tuple[DataFrame, DataFrame]:
     """(leaves, nodes): dense leaves of the large nodes that have a core, and the nodes
     without those cores; as inside a task, but with means and shares over the cluster."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -183,7 +196,7 @@ def _take_cores(nodes: DataFrame, large: DataFrame, params: ForestParams) -> tup
     near = F.expr("aggregate(zip_with(unit, mean, (p, q) -> p * q), 0D, (s, v) -> s + v) / size")
     near_rows = rows.join(means, ["tree", "node"]).select("cls", "tree", "node", "embedding", near.alias("near"))
     share = near_rows.groupBy("tree", "node").agg(F.avg((F.col("near") >= params.dense).cast("double")).alias("share"))
-    cored = stored(near_rows.join(share.filter(F.col("share") >= params.share).select("tree", "node"), ["tree", "node"]), "cores")
+    cored = tmp.stored(near_rows.join(share.filter(F.col("share") >= params.share).select("tree", "node"), ["tree", "node"]), "cores")
     leaves = cored.filter(F.col("near") >= float(reach(params.dense, params.cosine))).select("cls", F.xxhash64("tree", "node", F.lit("dense")).alias("code"))
     rest = cored.filter(F.col("near") < params.dense).select("cls", "embedding", "tree", F.concat("node", F.lit("r")).alias("node"))
     others = nodes.join(cored.select("tree", "node").distinct(), ["tree", "node"], "left_anti")
@@ -209,7 +222,7 @@ def _divide_once(nodes: DataFrame, sizes: DataFrame, depth: int, params: ForestP
     quantiles = large.groupBy("tree", "node").agg(F.percentile_approx("p", GRID.tolist(), 2000).alias("q"), F.min("p").alias("p0"), F.max("p").alias("p1"))
     # The spill's bounds come from the quantiles around the cut.
     bounds = quantiles.withColumn("cut", cut("q"))
-    step = max(1, int(params.spill / (GRID[1] - GRID[0])))
+    step = max(1, round(params.spill / (GRID[1] - GRID[0])))
     bounds = bounds.withColumn("k", F.expr("size(filter(q, v -> v <= cut))"))
     bounds = bounds.withColumn("low", F.expr(f"if(k > {step}, q[k - 1 - {step}], p0)")).withColumn("high", F.expr(f"if(k + {step} < size(q), q[k + {step}], p1)"))
     width = 0.6 * float(np.sqrt(2 * (1 - params.cosine)))
@@ -223,12 +236,12 @@ def _divide_once(nodes: DataFrame, sizes: DataFrame, depth: int, params: ForestP
     return marked.filter(F.col("count") <= params.local).select("cls", "embedding", "tree", "node").unionByName(children)
 
 
-def leaf_links(classes: DataFrame, codes: DataFrame, params: ForestParams) -> DataFrame:
+def leaf_links(classes: DataFrame, codes: DataFrame, tmp: Scratch, params: ForestParams) -> DataFrame:
     """(cls, links, near): by leaf and class the vectors that it links with and that no
     smaller leaf has counted, and one class that a chain of links leads to, or null."""
     from pyspark.sql.types import LongType, StructField, StructType
 
-    codes = stored(codes.distinct(), "leaves")
+    codes = tmp.stored(codes.distinct(), "leaves")
     blocks = codes.groupBy("code").count().withColumn("blocks", F.ceil(F.col("count") / params.leaf)).select("code", "blocks")
     every = codes.groupBy("cls").agg(F.sort_array(F.collect_list("code")).alias("codes"))
     rows = classes.select("cls", "embedding", "times").join(every, "cls")
@@ -250,14 +263,8 @@ def leaf_links(classes: DataFrame, codes: DataFrame, params: ForestParams) -> Da
         if a != b:
             similar &= block[:, None] != block[None, :]
         i, j = np.nonzero(np.triu(similar))
-        smaller = [[c for c in own if c < code] for own in frame["codes"]]
-        width = max(map(len, smaller), default=0)
-        table = np.array([own + [code] * (width - len(own)) for own in smaller], dtype=np.int64).reshape(n, width)
-        counted = np.zeros(len(i), dtype=bool)
-        for k in range(width):
-            for m in range(width):
-                left = table[i, k]
-                counted |= (left == table[j, m]) & (left != code)
+        smaller = [frozenset(c for c in own if c < code) for own in frame["codes"]]
+        counted = np.fromiter((not smaller[p].isdisjoint(smaller[q]) for p, q in zip(i.tolist(), j.tolist())), bool, len(i))
         links = np.zeros(n, dtype=np.int64)
         np.add.at(links, i[~counted], times[j[~counted]])
         np.add.at(links, j[~counted], times[i[~counted]])
@@ -286,14 +293,17 @@ def near_duplicates(vectors: DataFrame, params: ForestParams = ForestParams()) -
     Other columns are ignored.
     """
     vectors = vectors.select("vec_id", "embedding", "label")
-    classes = stored(vector_classes(vectors), "vectors")
-    found = stored(leaf_links(classes, divide(classes, params), params), "vector-links")
-    links = found.groupBy("cls").agg(F.sum("links").alias("links"))
-    rooted = components(found.filter("near IS NOT NULL"), "cls", "near").select(F.col("id").alias("cls"), F.col("component").alias("root"))
-    known = classes.select("cls", "times", "least").join(links, "cls", "left").join(rooted, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    smallest = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = known.join(smallest, "root").select("cls", "component_id", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n"))
-    # A row that can't link finds no class: its hash is of no usable vector.
-    own = vectors.select("vec_id", F.when(F.col("vec_id").isNotNull() & F.col("label").isNotNull(), F.xxhash64("label", "embedding")).alias("cls"))
-    out = own.join(known, "cls", "left").select("vec_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    with Scratch(vectors.sparkSession) as tmp:
+        classes = vector_classes(vectors, tmp)
+        found = tmp.stored(leaf_links(classes, divide(classes, tmp, params), tmp, params), "vector-links")
+        links = found.groupBy("cls").agg(F.sum("links").alias("links"))
+        rooted = components(found.filter("near IS NOT NULL"), "cls", "near", tmp).select(F.col("id").alias("cls"), F.col("component").alias("root"))
+        known = classes.join(links, "cls", "left").join(rooted, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+        smallest = known.groupBy("root").agg(F.min("least").alias("component_id"))
+        known = known.join(dealt(smallest), "root").select("label", "embedding", "component_id", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n"))
+        # Hashes go first, so that vectors are compared where these are equal; a row that can't link finds nothing.
+        keys = ["hash", "label", "embedding"]
+        own, known = (df.withColumn("hash", F.xxhash64("label", "embedding")) for df in (vectors, known))
+        out = own.join(known, keys, "left").select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("n")).alias("n"), F.when(F.col("vec_id").isNotNull(), F.col("component_id")).alias("component_id"))
+        out = out.select("vec_id", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+        return stored(out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))), "near-vectors")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenspark.llm import bpe, decontaminate, jaccard, langid, licenses, near_vectors, pii, quality, secrets, warc
-from screenspark.llm.common import bucket_of, shared_dir, table
+from screenspark.llm.common import Scratch, bucket_of, table
 
 
 def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,9 +30,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = shared_dir(spark, "warc")
-    warc.write_archives(table(spark, sf_dir, "pages"), path)
-    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    with Scratch(spark) as tmp:
+        path = tmp.path("archives")
+        warc.write_archives(table(spark, sf_dir, "pages"), path)
+        return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

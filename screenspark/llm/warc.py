@@ -4,10 +4,13 @@ Each record is a gzip member of its own.  Spark's text writer puts the members i
 files, so that its commit protocol guards against lost executors; the separator that
 it writes after each row is an empty gzip member, which any reader passes over.
 
-The reader is splittable.  A task gets a byte range of a file, looks for gzip's magic
-bytes in it, and validates each candidate by decoding it: a member that holds a WARC
-header is a record.  A task owns the records that start inside its range and reads
-beyond the range's end to finish the last one.
+The reader is splittable.  Spark cuts the files into byte ranges and reads them by any file
+system that it knows, as text whose lines end at gzip's magic bytes: a task scans its range
+for the magic, owns what starts behind one inside of it, and reads beyond the range's end
+to finish the last.  Each such piece is a candidate member, validated by decoding its
+header; a member that holds a WARC header is a record.  Magic bytes can also stand inside
+of a member, which then comes in several pieces: they are decoded on, one after the other,
+and what of them lies in the ranges of two tasks is brought together by file.
 """
 
 from __future__ import annotations
@@ -22,12 +25,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from screenspark.llm.common import map_batches
+from screenspark.llm.common import Scratch, dealt, map_batches, stored
 
 MAGIC = b"\x1f\x8b\x08"
 #: A gzip member of nothing, of fixed bytes.
 EMPTY_MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00" + bytes(8)
-VERSION = b"WARC/1.1\r\n"
+VERSION = b"WARC/1."
 PAGE = "urn:page:"
 
 
@@ -36,8 +39,6 @@ class WarcParams:
     #: Payloads of fewer bytes are always written whole.
     least_revisit: int = 100
     level: int = 6
-    split_bytes: int = 4 << 20
-    block_bytes: int = 1 << 20
 
 
 def record(page_id: int | None, url: str | None, payload: bytes | None, size: int, sha: str, refers_to: int | None) -> bytes:
@@ -56,7 +57,7 @@ def record(page_id: int | None, url: str | None, payload: bytes | None, size: in
         head.append("WARC-Target-URI: " + url.replace("\r", "%0D").replace("\n", "%0A"))
     if refers_to is not None:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <{PAGE}{refers_to}>"]
-    return VERSION + "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
+    return VERSION + b"1\r\n" + "\r\n".join(head).encode("utf-8", "surrogatepass") + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 def member(data: bytes, level: int) -> bytes:
@@ -75,14 +76,12 @@ def write_archives(pages: DataFrame, path: str, params: WarcParams = WarcParams(
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", payload.alias("payload"))
     rows = rows.withColumn("sha", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload"))
-    first = (
-        rows.filter((F.col("size") >= params.least_revisit) & F.col("page_id").isNotNull())
-        .groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-        .filter("n > 1").select("sha", "first")
-    )
-    known = rows.join(first, "sha", "left")
-    refers = F.when((F.col("first") != F.col("page_id")) & F.col("first").isNotNull(), F.col("first"))
-    known = known.select("page_id", "url", F.when(refers.isNull(), F.col("payload")).alias("payload"), "size", "sha", refers.alias("refers_to"))
+    # Who revisits is told by ids and digests alone; a digest that many pages share is many keys of the join.
+    ids = rows.filter((F.col("size") >= params.least_revisit) & F.col("page_id").isNotNull()).select("sha", "page_id")
+    first = ids.groupBy("sha").agg(F.min("page_id").alias("first"), F.max("page_id").alias("last")).filter("first <> last")
+    revisits = ids.join(dealt(first), "sha").filter("page_id <> first").select("sha", "page_id", F.col("first").alias("refers_to")).distinct()
+    known = rows.join(dealt(revisits), ["sha", "page_id"], "left")
+    known = known.select("page_id", "url", F.when(F.col("refers_to").isNull(), F.col("payload")).alias("payload"), "size", "sha", "refers_to")
 
     def make():
         def step(cols):
@@ -96,133 +95,162 @@ def write_archives(pages: DataFrame, path: str, params: WarcParams = WarcParams(
     writer.option("encoding", "ISO-8859-1").option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("compression", "none").text(path)
 
 
-def list_archives(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """(file, bytes) of the archives below ``path``, by any file system that Spark knows."""
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    found = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
-    files = [(f.getPath().toString(), f.getLen()) for f in found if f.isFile() and not f.getPath().getName().startswith(("_", "."))]
-    return sorted(files)
-
-
-class Source:
-    """Bytes of one file from an offset on, fetched by blocks."""
-
-    def __init__(self, uri: str, block: int):
-        from pyarrow import fs
-
-        system, path = fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file:///") else uri)
-        self.file, self.block = system.open_input_file(path), block
-        self.start, self.data = 0, b""
+class Member:
+    """A gzip member that is decoded as its bytes come; ``record`` if it holds one."""
+
+    def __init__(self):
+        self.decoder, self.content, self.raw = zlib.decompressobj(31), b"", []
+        self.done = self.record = False
+
+    def feed(self, data: bytes) -> bool:
+        """Whether the bytes can be what comes next of a record or of a whole member;
+        ``done`` if nothing is missing then."""
+        self.raw.append(data)
+        try:
+            if not self.record:
+                self.content += self.decoder.decompress(data, len(VERSION) - len(self.content))
+                data = self.decoder.unconsumed_tail
+                self.record = self.content == VERSION
+                if self.content and not VERSION.startswith(self.content):
+                    return False
+            if self.record and not self.decoder.eof:
+                self.content += self.decoder.decompress(data)
+        except zlib.error:
+            return False
+        self.done = self.decoder.eof
+        return True
+
+    def goes_on(self, data: bytes) -> bool:
+        """As ``feed``, but bytes that don't fit leave the member as it is."""
+        before = self.decoder.copy(), self.content, list(self.raw), self.record
+        if self.feed(data):
+            return True
+        self.decoder, self.content, self.raw, self.record = before
+        return False
+
+
+class Range:
+    """The records of one byte range, from its pieces in their order."""
+
+    def __init__(self, start: int):
+        self.skip = start == 0  # what stands before a file's first magic bytes
+        self.begun = start == 0  # whether all that comes now is of members that start here
+        self.tail, self.open = [], None
+
+    def add(self, piece: bytes) -> bytes | None:
+        """The record that the piece ends, if it does."""
+        if self.skip:
+            self.skip = False
+            return None
+        data, member = MAGIC + piece, self.open
+        if member is not None and not member.feed(data):
+            # Bytes that looked alike; at first they may go on what the range before has begun.
+            self.tail += [] if self.begun else member.raw[:-1]
+            member = None
+        if member is None:
+            member = Member()
+            if not member.feed(data):
+                self.tail += [] if self.begun else [data]
+                self.open = None
+                return None
+        self.begun = self.begun or member.record or member.done
+        self.open = None if member.done else member
+        return member.content if member.done and member.record else None
 
-    def read(self, at: int, size: int) -> bytes:
-        if at < self.start or at + size > self.start + len(self.data):
-            self.file.seek(at)
-            self.start, self.data = at, self.file.read(max(size, self.block))
-        return self.data[at - self.start : at - self.start + size]
+    def dangling(self) -> list[tuple[int, bytes]]:
+        """What other ranges' bytes belong to: 0 with a member's end, 1 with a start, 2 with
+        either."""
+        found = [(0, b"".join(self.tail))] if self.tail else []
+        return found + ([(1 if self.begun else 2, b"".join(self.open.raw))] if self.open else [])
 
 
-#: Bytes looked at or decoded at once.
-PIECE = 1 << 15
+FIELDS = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
 
-def decoded(source: Source, at: int, limit: int | None = None) -> tuple[bytes, int] | None:
-    """(content, bytes taken) of the gzip member at an offset, None if there is none.
+def parse(data: bytes) -> dict:
+    """Headers and payload of a record; the digest of a payload is computed anew.
 
-    With ``limit`` only so many bytes are decoded, and the second figure is 0.
+    Records of other makers than ``write_archives`` have no page_id.  One without type or
+    length, or with less than its length, is of the type ``malformed``, all else null.
     """
-    z, out, taken, block = zlib.decompressobj(31), [], 0, 512 if limit else min(PIECE, source.block)
-    try:
-        while not z.eof:
-            data = source.read(at + taken, block)
-            if not data:
-                return None
-            taken += len(data)
-            out.append(z.decompress(data, limit or 0))
-            if limit and (z.eof or sum(map(len, out)) >= limit):
-                return b"".join(out), 0
-        return b"".join(out), taken - len(z.unused_data)
-    except zlib.error:
-        return None
-
-
-def owned_records(source: Source, start: int, end: int) -> Iterator[bytes]:
-    """The records whose members start in a byte range."""
-    at = start
-    while at < end:
-        window = source.read(at, min(PIECE, source.block, end - at + len(MAGIC) - 1))
-        found = window.find(MAGIC)
-        if found < 0:
-            if len(window) < len(MAGIC):
-                return
-            at += len(window) - len(MAGIC) + 1
-            continue
-        at += found
-        head = decoded(source, at, len(VERSION))
-        if head is None or head[0][: len(VERSION)] != VERSION:
-            # No record: bytes that look alike, or an empty member.
-            at += 1
-            continue
-        whole = decoded(source, at)
-        if whole is None:
-            at += 1
-            continue
-        yield whole[0]
-        at += whole[1]
+    nothing = dict.fromkeys(("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"))
+    head, _, block = data.partition(b"\r\n\r\n")
+    fields = dict(line.partition(":")[::2] for line in head.decode("utf-8", "replace").split("\r\n")[1:])
+    fields = {k.strip().lower(): v.strip() for k, v in fields.items()}
+    kind, length = fields.get("warc-type"), fields.get("content-length", "")
+    if not kind or not length.isdecimal() or len(block) < int(length):
+        return nothing | {"record_type": "malformed"}
+    payload, size = block[: int(length)], None
+    if fields.get("content-type", "").startswith("application/http"):
+        http, _, payload = payload.partition(b"\r\n\r\n")
+        sizes = [x.split(b":")[1].strip() for x in http.lower().split(b"\r\n") if x.startswith(b"content-length:")]
+        size = int(sizes[0]) if sizes and sizes[0].isdigit() else None
+
+    def page(name: str) -> int | None:
+        text = fields.get(name, "").strip("<>")
+        number = text.removeprefix(PAGE)
+        return int(number) if text.startswith(PAGE) and number.lstrip("-").isdecimal() else None
 
+    revisit = kind == "revisit"
+    digest = fields.get("warc-payload-digest", "").removeprefix("sha256:") or None
+    return nothing | {
+        "page_id": page("warc-record-id"), "url": fields.get("warc-target-uri"), "record_type": kind, "refers_to": page("warc-refers-to"),
+        "payload_bytes": size if revisit else len(payload), "payload_digest": digest if revisit else hashlib.sha256(payload).hexdigest(), "payload": None if revisit else payload,
+    }
 
-def parse(data: bytes) -> dict:
-    """Headers and payload of a record; the digest of a payload is computed anew."""
-    head, _, block = data[len(VERSION) :].partition(b"\r\n\r\n")
-    fields = dict(line.split(": ", 1) for line in head.decode("utf-8", "surrogatepass").split("\r\n"))
-    block = block[: int(fields["Content-Length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    size = int(next(x.split(b": ")[1] for x in http.split(b"\r\n") if x.startswith(b"Content-Length: ")))
-    revisit = fields["WARC-Type"] == "revisit"
-    if not revisit and len(payload) != size:
-        raise ValueError(f"{fields['WARC-Record-ID']}: {len(payload)} bytes in place of {size}")
 
-    def page(name: str) -> int | None:
-        text = fields.get(name, "").strip("<>").removeprefix(PAGE)
-        return int(text) if text not in ("", "none") else None
-
-    return {
-        "page_id": page("WARC-Record-ID"),
-        "url": fields.get("WARC-Target-URI"),
-        "payload_bytes": size,
-        "payload_digest": fields["WARC-Payload-Digest"].removeprefix("sha256:") if revisit else hashlib.sha256(payload).hexdigest(),
-        "record_type": fields["WARC-Type"],
-        "refers_to": page("WARC-Refers-To"),
-        "payload": None if revisit else payload,
-    }
-
-
-def read_archives(spark: SparkSession, path: str, params: WarcParams = WarcParams(), payloads: bool = False) -> DataFrame:
-    """One row per record of the archives below ``path``; payloads only on request."""
-    splits = [(f, a, min(size, a + params.split_bytes)) for f, size in list_archives(spark, path) for a in range(0, size, params.split_bytes)]
-    ranges = spark.createDataFrame(splits, "file string, start bigint, end bigint")
-    if splits:
-        ranges = ranges.repartition(len(splits))
-    schema = StructType.fromDDL("page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint" + (", payload binary" if payloads else ""))
+def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
+    """One row per record of the archives below ``path``; payloads only on request.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The rows are a table in the shared folder.  Spark's setting for the size of input
+    partitions is that of the byte ranges.  Names by which Spark would decompress a file
+    as a whole (.gz) are refused: an archive is to have a name like x.warc.
+    """
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)]
+    if packed := [n for n in names if n.endswith((".gz", ".bz2", ".zst", ".deflate", ".snappy", ".lz4"))]:
+        raise ValueError(f"Spark would decompress {packed[0]}; archives need names without such an ending")
+    pieces = spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
+    pieces = pieces.select(F.col("value").cast("binary").alias("piece"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    fields = FIELDS + (", payload binary" if payloads else "")
+    plain, schema = StructType.fromDDL(fields), StructType.fromDDL(f"{fields}, file string, start bigint, part int, raw binary")
+
+    def batch_of(rows: list[dict], kind: StructType) -> pa.RecordBatch:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        arrow = to_arrow_schema(schema)
-
-        def batch(rows: list[dict]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([r[f.name] for r in rows], type=f.type) for f in arrow], schema=arrow)
+        arrow = to_arrow_schema(kind)
+        return pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], type=f.type) for f in arrow], schema=arrow)
 
-        for given in batches:
-            for split in given.to_pylist():
-                rows, size = [], 0
-                for data in owned_records(Source(split["file"], params.block_bytes), split["start"], split["end"]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, now, rows, size = None, None, [], 0
+        for batch in batches:
+            for piece, *place in zip(*(c.to_pylist() for c in batch.columns)):
+                if place != at:
+                    rows += [{"file": at[0], "start": at[1], "part": k, "raw": raw} for k, raw in (now.dangling() if now else [])]
+                    at, now = place, Range(place[1])
+                data = now.add(piece)
+                if data is not None:
                     rows.append(parse(data))
                     size += len(data)
-                    if not payloads:
-                        rows[-1]["payload"] = None
                     if len(rows) >= 2000 or payloads and size > 8 << 20:
-                        yield batch(rows)
+                        yield batch_of(rows, schema)
                         rows, size = [], 0
-                yield batch(rows)
-
-    return ranges.mapInArrow(run, schema)
+        rows += [{"file": at[0], "start": at[1], "part": k, "raw": raw} for k, raw in (now.dangling() if now else [])]
+        yield batch_of(rows, schema)
+
+    def joined(table: pa.Table) -> pa.Table:
+        rows, member = [], None
+        for row in sorted(table.to_pylist(), key=lambda r: (r["start"], r["part"])):
+            if member is None or row["part"] == 1 or not member.goes_on(row["raw"]):
+                member = Member() if row["part"] else None
+                member = member if member and member.feed(row["raw"]) else None
+            if member and member.done:
+                rows += [parse(member.content)] if member.record else []
+                member = None
+        return pa.Table.from_batches([batch_of(rows, plain)])
+
+    with Scratch(spark) as tmp:
+        found = tmp.stored(pieces.mapInArrow(run, schema), "warc-ranges")
+        whole = found.filter("part IS NULL").select(plain.names)
+        rest = found.filter("part IS NOT NULL").select("file", "start", "part", "raw").groupBy("file").applyInArrow(joined, fields)
+        return stored(whole.unionByName(rest), "warc")
