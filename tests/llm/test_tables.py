@@ -5,12 +5,14 @@ import hashlib
 import random
 from collections import defaultdict
 from dataclasses import replace
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from screenspark.llm import decontaminate, jaccard, near_vectors, warc
+from screenspark.llm.common import Scratch, map_batches, shared_dir
 from screenspark.llm.components import components
 from tests.llm.data import AWKWARD, documents, no_documents
 
@@ -33,10 +35,35 @@ def united(n, pairs):
 def test_components_equal_union_find(spark):
     rng = random.Random(0)
     pairs = [(rng.randrange(80), rng.randrange(80)) for _ in range(45)] + [(i, i + 1) for i in range(100, 130)] + [(90, 90)]
-    got = {r.id: r.component for r in components(spark.createDataFrame(pairs + [(5, None)], "a bigint, b bigint"), "a", "b").collect()}
-    want = united(140, pairs)
-    assert all(got.get(i, i) == want[i] for i in range(140))
-    assert components(spark.createDataFrame([], "a bigint, b bigint"), "a", "b").count() == 0
+    with Scratch(spark) as tmp:
+        got = {r.id: r.component for r in components(spark.createDataFrame(pairs + [(5, None)], "a bigint, b bigint"), "a", "b", tmp).collect()}
+        want = united(140, pairs)
+        assert all(got.get(i, i) == want[i] for i in range(140))
+        assert components(spark.createDataFrame([], "a bigint, b bigint"), "a", "b", tmp).count() == 0
+
+
+def test_shared_folder_is_the_clusters_own(spark):
+    class Elsewhere:
+        conf = type("Conf", (), {"get": lambda self, key, default=None: default})()
+        sparkContext = type("Context", (), {"master": "spark://host:7077", "getConf": lambda self: type("Conf", (), {"get": lambda self, key: None})()})()
+
+    with pytest.raises(ValueError):
+        shared_dir(Elsewhere(), "x")
+    assert shared_dir(spark, "x").startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+
+
+def test_tables_of_a_run_go(spark):
+    folder = Path(spark.sparkContext.getConf().get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(folder.iterdir())
+    jaccard.near_duplicates(documents(spark))
+    assert [p.name.split("-")[0] for p in set(folder.iterdir()) - before] == ["jaccard"]
+
+
+def test_session_keeps_its_settings(spark):
+    before = {r.key: r.value for r in spark.sql("SET").collect()}
+    map_batches(documents(spark).select("doc_id"), lambda: lambda cols: cols, "doc_id bigint").count()
+    jaccard.near_duplicates(no_documents(spark))
+    assert {r.key: r.value for r in spark.sql("SET").collect()} == before
 
 
 # ---------------------------------------------------------------- archives
@@ -45,32 +72,73 @@ def pages(spark, rows):
     return spark.createDataFrame([(*r, 1) for r in rows], "page_id bigint, url string, html string, refers_to int")
 
 
-def test_archives_round_trip_at_any_split(spark, tmp_path):
-    long = "<p>ü</p>" * 40
-    rows = [(7, "u7", long), (3, "a\r\nb", long), (9, None, long + "x"), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (None, "n", long), (8, "b", "y" * 300_000), (7, "u7", long), (10, "", "\x1f\x8b\x08 WARC/1.1\r\n" * 30)]
+def with_ranges(spark, size, read):
+    """What ``read`` gives while Spark cuts files into ranges of ``size`` bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for name, value in zip(names, (str(size), "0", "1")):
+            spark.conf.set(name, value)
+        return read()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+ARCHIVED = "<p>ü</p>" * 40
+PAGES = [(7, "u7", ARCHIVED), (3, "a\r\nb", ARCHIVED), (9, None, ARCHIVED + "x"), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (None, "n", ARCHIVED), (8, "b", "y" * 300_000), (7, "u7", ARCHIVED), (10, "", "\x1f\x8b\x08 WARC/1.1\r\n" * 30), (11, "é", "")]
+
+
+@pytest.mark.parametrize("size", [197, 1000, 1 << 22])
+def test_archives_round_trip_at_any_split(spark, tmp_path, size):
     path = f"file://{tmp_path}/w"
-    warc.write_archives(pages(spark, rows), path)
-    for size in (97, 1000, 1 << 22):
-        got = warc.read_archives(spark, path, warc.WarcParams(split_bytes=size, block_bytes=64 if size < 1000 else 1 << 20), payloads=True).collect()
-        assert sorted((r.page_id or -1) for r in got) == sorted((r[0] or -1) for r in rows)
-        by = {r.page_id: r for r in got}
-        for page_id, _, html in rows:
-            raw = (html or "").encode()
-            row = next(r for r in got if r.page_id == page_id)
-            assert (row.payload_bytes, row.payload_digest) == (len(raw), hashlib.sha256(raw).hexdigest())
-            assert row.payload is None or row.payload == raw
-        assert (by[7].record_type, by[7].refers_to, by[3].record_type) == ("revisit", 3, "response")
-        assert {by[i].record_type for i in (4, 5, 6, 8, 9, None)} == {"response"} and by[3].url == "a%0D%0Ab"
-    file = warc.list_archives(spark, path)[0][0].removeprefix("file:")
+    warc.write_archives(pages(spark, PAGES), path)
+    got = with_ranges(spark, size, lambda: warc.read_archives(spark, path, payloads=True).collect())
+    assert sorted((r.page_id or -1) for r in got) == sorted((r[0] or -1) for r in PAGES)
+    by = {r.page_id: r for r in got}
+    for page_id, _, html in PAGES:
+        raw = (html or "").encode()
+        row = next(r for r in got if r.page_id == page_id)
+        assert (row.payload_bytes, row.payload_digest) == (len(raw), hashlib.sha256(raw).hexdigest())
+        assert row.payload is None or row.payload == raw
+    assert (by[7].record_type, by[7].refers_to, by[3].record_type) == ("revisit", 3, "response")
+    assert {by[i].record_type for i in (4, 5, 6, 8, 9, 11, None)} == {"response"} and by[3].url == "a%0D%0Ab"
+    file = next(f for f in (tmp_path / "w").iterdir() if f.name.startswith("part") and f.stat().st_size)
     assert gzip.open(file).read().startswith(b"WARC/1.1")
 
 
+def stored_member(data):
+    """A gzip member that holds its content as it is."""
+    return gzip.compress(data, 0)
+
+
+@pytest.mark.parametrize("size", [90, 400, 1 << 20])
+def test_archives_of_other_makers(spark, tmp_path, size):
+    """Magic bytes inside of members, junk, other records and members that end too early."""
+    full = "\x1f\x8b\x08 and more \x1f\x8b\x08\x00" * 8
+    records = [warc.record(i, f"u{i}", (f"{i} " + full).encode("latin-1"), 0, "x", None) for i in range(5)]
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 4\r\n\r\nabcd\r\n\r\n"
+    broken = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 900\r\n\r\nabcd"
+    raw = b"junk" + stored_member(info) + b"".join(stored_member(r) for r in records[:4]) + stored_member(b"no record" * 9) + stored_member(broken) + stored_member(records[4])[:200]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.warc").write_bytes(raw)
+    got = with_ranges(spark, size, lambda: warc.read_archives(spark, f"file://{tmp_path}/a", payloads=True).collect())
+    assert sorted(r.record_type for r in got) == ["malformed"] + ["response"] * 4 + ["warcinfo"]
+    assert {r.page_id: r.payload for r in got if r.page_id is not None} == {i: (f"{i} " + full).encode("latin-1") for i in range(4)}
+
+
 def test_no_pages_no_records(spark, tmp_path):
     path = f"file://{tmp_path}/none"
     warc.write_archives(pages(spark, [(1, "u", "x")]).filter("false"), path)
     assert warc.read_archives(spark, path).count() == 0
 
 
+def test_names_that_spark_would_decompress_are_refused(spark, tmp_path):
+    (tmp_path / "x.warc.gz").write_bytes(stored_member(b"x"))
+    with pytest.raises(ValueError):
+        warc.read_archives(spark, f"file://{tmp_path}")
+
+
 # ---------------------------------------------------------------- decontamination
 
 def edits(p, t):
@@ -110,22 +178,31 @@ def test_matches_equal_brute_force(spark):
         t = decontaminate.normalised(text)
         for item_id, item in items:
             p = decontaminate.normalised(item)
-            if len(p) >= rule.least and len(t) < 5000 and t and edits(p, t) <= int(len(p) * rule.share):
+            if p and t and len(t) < 5000 and edits(p, t) <= decontaminate.budget_of(p, rule):
                 wants.add((doc_id, item_id))
-    wants.add((300, 50))
+    assert (300, 50) in wants and (301, 50) not in wants
     for blocks in (rule, replace(rule, block_chars=300)):
         rows = decontaminate.find_leaks(documents(spark, docs), bench, blocks).collect()
         assert len(rows) == len(docs) and {(r.doc_id, h.item_id) for r in rows for h in r.hits} == wants
     assert decontaminate.find_leaks(documents(spark), bench.filter("false")).agg(F.sum(F.size("hits"))).first()[0] == 0
+    assert decontaminate.find_leaks(no_documents(spark), bench).count() == 0
+    twice = spark.createDataFrame([(50, "tiny item"), (50, "tiny items")], "item_id bigint, text string")
+    found = decontaminate.find_leaks(documents(spark, [(300, "a tiny item here")]), twice, replace(rule, block_chars=5)).first()
+    assert [(h.item_id, h.edits) for h in found.hits] == [(50, 0)]
 
 
 # ---------------------------------------------------------------- Jaccard join
 
-def brute_jaccard(rows):
+def brute_sets(rows):
     sets = []
     for _, text in rows:
         w = (text or "").encode().lower().split()
         sets.append(frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else []))
+    return sets
+
+
+def brute_jaccard(rows):
+    sets = brute_sets(rows)
     links = [(i, j) for i in range(len(rows)) for j in range(i) if rows[i][0] is not None and rows[j][0] is not None and sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
     links += [(i, j) for i in range(len(rows)) for j in range(i) if rows[i][0] is not None and rows[i][0] == rows[j][0]]
     root, least = united(len(rows), links), defaultdict(lambda: 1 << 60)
@@ -154,13 +231,59 @@ def corpus(seed, n):
     return rows
 
 
-@pytest.mark.parametrize("params", [jaccard.JaccardParams(), jaccard.JaccardParams(small=3, tile=4, leaders=1, sample=1)], ids=["usual", "tiny tiles"])
+#: Rows that repeat a doc_id with other texts, or with none.
+REPEATED = [(2001, "one two three four five six"), (2001, "seven eight nine ten eleven twelve"), (2002, "seven eight nine ten eleven twelve"), (2003, "one two three four five six"), (2001, None), (1990, "seven eight nine ten eleven twelve")]
+
+
+@pytest.mark.parametrize("params", [jaccard.JaccardParams(), jaccard.JaccardParams(small=3, tile=4, leaders=1, sample=1), jaccard.JaccardParams(shared=20, small=0, tile=7, sample=2, frequent=5, tuples=50)], ids=["usual", "tiny tiles", "large tiles alone"])
 def test_join_equals_brute_force(spark, params):
-    rows = AWKWARD + corpus(3, 150)
+    rows = AWKWARD + corpus(3, 150) + REPEATED
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(documents(spark, rows), params).collect()}
     assert got == brute_jaccard(rows)
 
 
+@pytest.mark.parametrize("percent", [75, 60])
+def test_join_of_large_groups(spark, percent):
+    """A third of all rows equal, a third alike, a passage in many others; links at the very bound."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(900)}"
+    base, passage = [word() for _ in range(50)], [word() for _ in range(40)]
+    rows = [(i, " ".join(base)) for i in range(120)]
+    for i in range(120, 240):
+        text = list(base)
+        for _ in range(rng.randrange(4)):
+            text[rng.randrange(50)] = word()
+        rows.append((i, " ".join(text)))
+    rows += [(i, " ".join(passage + [word() for _ in range(rng.randrange(4, 40))])) for i in range(240, 330)]
+    for i in range(330, 360, 2):
+        n = rng.randrange(20, 90)
+        text = [word() for _ in range(n)]
+        gone = n - 4 - -(-percent * (n - 4) // 100) + rng.randrange(2)
+        rows += [(i, " ".join(text)), (i + 1, " ".join(text[gone:]))]
+    params = jaccard.JaccardParams(percent=percent, sample=2, small=20, tile=16)
+    rng.shuffle(rows)
+    sets = brute_sets(rows)
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
+    root, least = united(len(rows), links), defaultdict(lambda: 1 << 60)
+    for i, (doc_id, _) in enumerate(rows):
+        least[root[i]] = min(least[root[i]], doc_id)
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(documents(spark, rows), params).collect()}
+    assert got == {doc_id: least[root[i]] for i, (doc_id, _) in enumerate(rows)}
+
+
+def test_prefixes_share_what_they_must():
+    """Of any linked pair both prefixes hold as many common shingles as candidates need."""
+    rng, params = np.random.default_rng(3), jaccard.JaccardParams(shared=10)
+    for _ in range(400):
+        n = int(rng.integers(1, 300))
+        both = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        a = np.unique(np.concatenate([both, rng.integers(0, 1 << 63, rng.integers(0, n // 3 + 1), dtype=np.uint64)]))
+        common = np.sort(rng.choice(a, len(a) // 4))
+        if 100 * len(both) >= params.percent * len(a):
+            shared = len(np.intersect1d(jaccard.prefix(a, common, params)[0], jaccard.prefix(both, common, params)[0]))
+            assert shared >= min(params.least(len(a)), params.least(len(both))) >= params.least(params.common(len(a)))
+
+
 def test_join_of_nothing(spark):
     assert jaccard.near_duplicates(no_documents(spark)).count() == 0
 
