@@ -7,41 +7,58 @@ kept, and returns a DataFrame; all but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from screenspark.llm import bpe, decontaminate, jaccard, pii, quality
-from screenspark.llm.common import stored, table
+from screenspark.llm.common import drop_dir, shared_dir, table, write_table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't reject; a null text is scored as an empty one."""
+    """Documents that the classifier doesn't reject; a null text is scored as an empty one.
+
+    Only the documents that come in, and that have labels, are learned from.
+    """
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, model).filter("predicted = 1").select(*docs.columns)
 
 
+def first_rows(docs: DataFrame) -> DataFrame:
+    """Of rows that repeat a doc_id the first in the order of the other columns, nulls first."""
+    plain = [f.name for f in docs.schema.fields if f.name != "doc_id" and not isinstance(f.dataType, (MapType, VariantType))]
+    rank = F.row_number().over(W.partitionBy("doc_id").orderBy(*plain) if plain else W.partitionBy("doc_id").orderBy("doc_id"))
+    return docs.withColumn("_rank", rank).filter("_rank = 1").select(*docs.columns)
+
+
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id.
 
-    Of rows that repeat a doc_id one stays; rows without doc_id all stay.
+    Of rows that repeat a doc_id the first in the order of the other columns stays; rows
+    without doc_id all stay, as do null and empty texts, which are nobody's duplicates.
     """
     found = jaccard.near_duplicates(docs)
     keep = found.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    return first_rows(docs.join(keep, "doc_id", "left_semi").select(*docs.columns)).unionByName(docs.filter("doc_id IS NULL"))
 
 
 def keep_unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no item of the benchmark occurs."""
+    """Documents in which no item of the benchmark occurs; null and empty texts stay."""
     found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
     return found.filter(F.size("hits") == 0).select(*docs.columns)
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with the personal data in their texts replaced."""
-    return pii.redact(docs, pii.train()).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    """All documents, with the personal data in their texts replaced and n_chars counted
+    anew; a null text stays null, and has no n_chars."""
+    found = pii.redact(docs, pii.train())
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.length("text").cast("bigint"))
+    return found.select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of all documents."""
+    """Token counts and digests of all documents; a null text is an empty one."""
     return bpe.encode_documents(docs)
 
 
@@ -58,7 +75,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The result of all stages; the tables between them go as soon as they are read."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = shared_dir(spark, f"pipeline-{name}")
+        made = stage(spark, docs, sf_dir)
+        write_table(made, path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before:
+            drop_dir(spark, before)
+        before = path
     return docs
