@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenspark.functions.statistics import md5_order
+from screenspark.functions.statistics import md5_order, quantile
 from screenspark.model import CountMatrix
 from screenspark.spec import ScreenSpec
 
@@ -41,7 +41,7 @@ def ambient_scores(m: CountMatrix, profile: DataFrame) -> DataFrame:
 def flag_ambient(metrics: DataFrame, scores: DataFrame, spec: ScreenSpec) -> DataFrame:
     """Metrics with ambient_score and ambient_flagged; flagged rows go only if
     the configuration says so."""
-    bound = metrics.agg(F.percentile("total_counts", F.lit(spec.min_umi_percentile)).alias("bound"))
+    bound = quantile(metrics, "total_counts", spec.min_umi_percentile, "bound")
     out = metrics.join(scores, "cell_id").crossJoin(F.broadcast(bound))
     out = out.withColumn("ambient_flagged", (F.col("ambient_score") > spec.flag_threshold) & (F.col("total_counts") <= F.col("bound"))).drop("bound")
     return out.filter("NOT ambient_flagged") if spec.remove_flagged else out

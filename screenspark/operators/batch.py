@@ -12,7 +12,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from screenspark.operators.embed import summed
 from screenspark.operators.hvg import uniform_sample
+from screenspark.sources.storage import settled
+
+#: Rounds after which the corrected vectors are written.
+SETTLED = 5
 
 
 def _memberships(z: np.ndarray, code: np.ndarray, centres: np.ndarray, weight: np.ndarray, sigma: float) -> np.ndarray:
@@ -35,7 +40,9 @@ def harmony(vectors: DataFrame, batch: str = "batch", clusters: int | None = Non
     """vectors (cell_id, batch, v, ...) with ``corrected``.
 
     Without the batch column, or with a single batch, it equals ``v``.  The start is a
-    farthest-first choice among cells in md5 order, so results don't vary.
+    farthest-first choice among cells in md5 order, so results don't vary.  A round needs
+    the vectors as the round before has corrected them: every ``SETTLED`` rounds they are
+    written, so that no round repeats more than these.
     """
     if batch not in vectors.columns:
         return vectors.withColumn("corrected", F.col("v"))
@@ -48,17 +55,28 @@ def harmony(vectors: DataFrame, batch: str = "batch", clusters: int | None = Non
     k, d, b = len(centres), centres.shape[1], len(names)
     code = {name: i for i, name in enumerate(names)}
     weight = np.ones((b, k))
+    #: The rounds since the vectors were written last.
     models: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    before = None
+    before, now = None, vectors.withColumn("corrected", F.col("v"))
 
-    def corrected(z, codes, rounds_done):
+    def corrected(z, fixed, codes, rounds_done):
         """Each round assigns the vectors as corrected so far, and corrects the first ones."""
-        fixed = z
         for c, w, shift in rounds_done:
             fixed = z - np.einsum("nk,nkd->nd", _memberships(fixed, codes, c, w, sigma), shift[codes])
         return fixed
 
+    def applied(rows, done):
+        @F.pandas_udf("array<double>")
+        def fix(v: pd.Series, fixed: pd.Series, name: pd.Series) -> pd.Series:
+            if not len(v):
+                return pd.Series([], dtype=object)
+            return pd.Series(list(corrected(np.stack(v.to_numpy()), np.stack(fixed.to_numpy()), name.map(code).to_numpy(), done)))
+
+        return rows.withColumn("corrected", fix("v", "corrected", F.col(batch)))
+
     for _ in range(rounds):
+        if len(models) == SETTLED:
+            now, models = settled(applied(now, tuple(models))), []
 
         def sums(batches, state=(centres, weight), done=tuple(models)):
             total = np.zeros((b, k, 2 * d + 1))
@@ -67,7 +85,7 @@ def harmony(vectors: DataFrame, batch: str = "batch", clusters: int | None = Non
                     continue
                 z = np.stack(frame["v"].to_numpy())
                 codes = frame[batch].map(code).to_numpy()
-                fixed = corrected(z, codes, done)
+                fixed = corrected(z, np.stack(frame["corrected"].to_numpy()), codes, done)
                 r = _memberships(fixed, codes, *state, sigma)
                 unit = fixed / np.maximum(np.linalg.norm(fixed, axis=1, keepdims=True), 1e-12)
                 for i in range(b):
@@ -75,12 +93,12 @@ def harmony(vectors: DataFrame, batch: str = "batch", clusters: int | None = Non
                     total[i, :, 0] += r[mine].sum(axis=0)
                     total[i, :, 1 : d + 1] += r[mine].T @ z[mine]
                     total[i, :, d + 1 :] += r[mine].T @ unit[mine]
-            yield pd.DataFrame({"i": np.arange(b * k), "s": list(total.reshape(b * k, -1))})
+            yield pd.DataFrame({"row": np.arange(b * k), "sums": list(total.reshape(b * k, -1))})
 
-        parts = vectors.select(batch, "v").mapInPandas(sums, "i int, s array<double>")
-        rows = parts.select("i", F.posexplode("s")).groupBy("i", "pos").agg(F.sum("col").alias("x")).toPandas()
+        parts = now.select(batch, "v", "corrected").mapInPandas(sums, "row int, sums array<double>")
         total = np.zeros((b * k, 2 * d + 1))
-        total[rows["i"], rows["pos"]] = rows["x"]
+        for row in summed(parts):
+            total[row.row] = row.sums
         total = total.reshape(b, k, -1)
         observed, raw, unit = total[:, :, 0], total[:, :, 1 : d + 1], total[:, :, d + 1 :]
         # Ridge regression of each cluster on a constant and its batches.
@@ -100,10 +118,4 @@ def harmony(vectors: DataFrame, batch: str = "batch", clusters: int | None = Non
         weight = ((expected + 1) / (observed + 1)) ** theta
         centres = unit.sum(axis=0)
         centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
-    done = tuple(models)
-
-    @F.pandas_udf("array<double>")
-    def fix(v: pd.Series, name: pd.Series) -> pd.Series:
-        return pd.Series(list(corrected(np.stack(v.to_numpy()), name.map(code).to_numpy(), done))) if len(v) else pd.Series([], dtype=object)
-
-    return vectors.withColumn("corrected", fix("v", F.col(batch)))
+    return applied(now, tuple(models))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -18,8 +19,9 @@ GENE_LIKE = r"^[A-Z][A-Z0-9\-]{1,15}$"
 CONTROL_WORDS = ("non-targeting", "non_targeting", "nontargeting", "control", "ctrl", "scramble", "scrambled", "negative", "NT", "ntc", "gfp", "lacz", "safe_harbor", "safe-harbor", "AAVS1", "INTERGENIC", "non targeting", "nontarget", "neg_ctrl", "neg_control", "CTRL", "NEGATIVE", "GFP")
 PERTURBATION_WORDS = ("gene", "perturbation", "target", "guide", "knockout", "crispr", "sgrna", "guide_rna", "perturb", "perturbagen", "gene_target", "target_gene", "gene_name", "symbol", "pert", "pert_name", "gene_id", "guide_id", "perturbation_target", "CRISPR", "guide_assignment", "gene_symbol")
 BATCH_WORDS = ("gem_group", "batch", "run", "lane", "library", "experiment", "sample", "replicate", "10x_run", "batch_id", "run_id", "sample_id", "library_id", "sequencing_run", "prep_batch", "gem")
-LINE_WORDS = ("cell_line", "cell_type", "cellline", "cell_line_id", "line", "sample_type", "cell_line_name", "condition", "clone", "subline", "tissue", "cell_origin")
-LINE_NAMES = ("k562", "hela", "hek293", "jurkat", "a549", "rpe1", "hepg2", "mcf7", "u2os", "hct116")
+LINE_WORDS = ("cell_line", "cell_type", "cellline", "cell_line_id", "line", "sample_type", "condition_cell", "clone", "subline", "tissue", "cell_line_name", "cell_origin", "sample_origin")
+LINE_WORDS_OF_NAMES = ("cell_line", "cell_type", "cellline", "cell_line_id", "line", "sample_type", "cell_line_name", "condition", "clone", "subline", "tissue", "cell_origin")
+LINE_NAMES = ("k562", "rpe1", "hesc", "h1", "jurkat", "ipsc", "hela", "a549", "293t", "hek293", "thp1", "mcf7", "u2os", "hct116", "pc9", "h358", "h1299", "h1792", "h2009", "lncap", "du145", "pc3", "hl60", "molt4", "ramos", "raji", "daudi", "hcc1954", "bt474", "skbr3", "t47d", "mbda231")
 
 
 def gene_id_format(names: DataFrame) -> DataFrame:
@@ -126,7 +128,9 @@ def _hits(name: str, words: tuple[str, ...]) -> int:
 def detect_columns(obs: DataFrame, gene_like_test: bool = True, known: Columns = Columns(None, None, None)) -> Columns:
     """The columns of perturbations, batches and cell lines by their names and
     values.  All string columns are summarised in one pass of bounded size; ``known``
-    ones win.  Without ``gene_like_test`` lines are scored by their names alone."""
+    ones win.  Of the columns that can be lines the one of the best score, the first of
+    equals, is taken, even without a hit in its name; without ``gene_like_test`` names
+    alone are scored, and need a hit."""
     names = [f.name for f in obs.schema.fields if f.name != "cell_id"]
     text = [f.name for f in obs.schema.fields if isinstance(f.dataType, StringType)]
     if not names:
@@ -135,20 +139,18 @@ def detect_columns(obs: DataFrame, gene_like_test: bool = True, known: Columns =
     fits = [n for n in text if _hits(n, PERTURBATION_WORDS) and 2 <= counts[n] <= 50_000]
     pert = known.perturbation or max(fits, key=lambda n: _hits(n, PERTURBATION_WORDS), default=None)
     batch = known.batch or next((n for n in names if n != pert and _hits(n, BATCH_WORDS) and 2 <= counts[n] <= 10_000), None)
-    line, best = known.cell_line, 0
+    line, best = known.cell_line, -1 if gene_like_test else 0
     for n in text if line is None else []:
         if n in (pert, batch) or not 2 <= counts[n] <= 20:
             continue
         values = [r[0] for r in obs.select(n).filter(F.col(n).isNotNull()).distinct().orderBy(n).limit(20).collect()]
         if any(len(v) > 40 for v in values):
             continue
-        score = _hits(n, LINE_WORDS)
+        score = _hits(n, LINE_WORDS_OF_NAMES)
         if gene_like_test:
-            import re
-
             if counts[n] > 5 and sum(bool(re.match(GENE_LIKE, v)) for v in values) > 0.6 * len(values):
                 continue
-            score = 2 * score + sum(any(k in v.lower().replace("-", "") for k in LINE_NAMES) for v in values)
+            score = 2 * _hits(n.replace("-", "_").replace(" ", "_"), LINE_WORDS) + sum(re.sub("[-_ ]", "", v.lower()) in LINE_NAMES for v in values)
         if score > best:
             line, best = n, score
     return Columns(pert, batch, line)

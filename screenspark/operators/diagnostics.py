@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from screenspark.functions.statistics import cumulative
+
 
 def step_drops(waterfall: DataFrame, count: str = "n_cells") -> DataFrame:
     """A waterfall (step, name, count) with what each step drops, and its share."""
@@ -16,8 +18,7 @@ def step_drops(waterfall: DataFrame, count: str = "n_cells") -> DataFrame:
 
 def ecdf(values: DataFrame, column: str) -> DataFrame:
     """(value, share) at each distinct value: the share of rows at or below it."""
-    counts = values.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-    return counts.select("value", (F.sum("n").over(W.orderBy("value")) / F.sum("n").over(W.partitionBy())).alias("share"))
+    return cumulative(values.select(F.col(column).alias("value")), "value").select("value", (F.col("_upto") / F.col("_total")).alias("share"))
 
 
 def log_histogram(values: DataFrame, column: str, low: float, high: float, bins: int = 50) -> DataFrame:

@@ -28,31 +28,39 @@ class Basis:
     variance_ratio: np.ndarray
 
 
+def summed(parts: DataFrame) -> list:
+    """Rows (row, sums) of the parts' arrays, added up; a task's rows go to tasks by row."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    return parts.groupBy("row").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums")).collect()
+
+
 def truncated_svd(fit: CountMatrix, k: int) -> Basis:
     """Right singular vectors of the uncentred matrix, from its Gramian.
 
     The Gramian of the selected genes, thousands at most, is a sum over cells: each cell's
-    entries are gathered, and tasks add up outer products before one small shuffle.
+    entries are gathered, tasks add up products of some cells at a time, and rows of these
+    sums are added before they come to the driver.
     """
     names = [r.gene_name for r in fit.var.select("gene_name").distinct().orderBy("gene_name").collect()]
     index = fit.x.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "gene_name string, i int")
-    cells = fit.x.join(F.broadcast(index), "gene_name").groupBy("cell_id").agg(F.collect_list(F.struct("i", F.col("value").cast("double").alias("v"))).alias("e"))
+    cells = fit.x.join(F.broadcast(index), "gene_name").groupBy("cell_id").agg(F.collect_list("i").alias("i"), F.collect_list(F.col("value").cast("double")).alias("v"))
     g = len(names)
 
     def add(batches):
         total = np.zeros((g, g))
         for batch in batches:
-            dense = np.zeros((len(batch), g))
-            for row, entries in enumerate(batch["e"]):
-                for entry in entries:
-                    dense[row, entry["i"]] = entry["v"]
-            total += dense.T @ dense
+            for start in range(0, len(batch), 512):
+                at, values = batch["i"].iloc[start : start + 512], batch["v"].iloc[start : start + 512]
+                dense = np.zeros((len(at), g))
+                np.add.at(dense, (np.repeat(np.arange(len(at)), at.map(len)), np.concatenate(at.to_list())), np.concatenate(values.to_list()))
+                total += dense.T @ dense
         yield pd.DataFrame({"row": np.arange(g), "sums": list(total)})
 
-    parts = cells.select("e").mapInPandas(add, "row int, sums array<double>")
-    rows = parts.select("row", F.posexplode("sums")).groupBy("row", "pos").agg(F.sum("col").alias("s")).filter("s <> 0").toPandas()
     gram = np.zeros((g, g))
-    gram[rows["row"], rows["pos"]] = rows["s"]
+    for row in summed(cells.select("i", "v").mapInPandas(add, "row int, sums array<double>")):
+        gram[row.row] = row.sums
     values, vectors = np.linalg.eigh(gram)
     order = np.argsort(values)[::-1][: min(k, g)]
     share = np.maximum(values[order], 0) / max(np.trace(gram), 1e-300)
@@ -79,12 +87,13 @@ def pca(vectors: DataFrame, k: int) -> Basis:
             if len(batch):
                 x = np.stack(batch["v"].to_numpy())
                 s, gram, n = s + x.sum(axis=0), gram + x.T @ x, n + len(x)
-        yield pd.DataFrame({"n": [n], "s": [s], "gram": [gram.ravel()]})
+        yield pd.DataFrame({"row": np.arange(size + 1), "sums": list(np.vstack([np.concatenate([[n], s]), np.hstack([np.zeros((size, 1)), gram])]))})
 
-    parts = vectors.select("v").mapInPandas(add, "n bigint, s array<double>, gram array<double>")
-    summed = parts.select(F.lit(0).alias("part"), F.posexplode(F.concat(F.array(F.col("n").cast("double")), "s", "gram"))).groupBy("pos").agg(F.sum("col").alias("x")).orderBy("pos").toPandas()["x"].to_numpy()
-    n, mean = summed[0], summed[1 : size + 1] / summed[0]
-    cov = summed[size + 1 :].reshape(size, size) / n - np.outer(mean, mean)
+    total = np.zeros((size + 1, size + 1))
+    for row in summed(vectors.select("v").mapInPandas(add, "row int, sums array<double>")):
+        total[row.row] = row.sums
+    n, mean = total[0, 0], total[0, 1:] / total[0, 0]
+    cov = total[1:, 1:] / n - np.outer(mean, mean)
     values, eigen = np.linalg.eigh(cov)
     order = np.argsort(values)[::-1][: min(k, size)]
     return Basis([str(i) for i in range(size)], signed(eigen[:, order].T), mean, np.maximum(values[order], 0) / max(np.trace(cov), 1e-300))

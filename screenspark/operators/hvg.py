@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from screenspark.functions.statistics import md5_order
+from screenspark.functions.statistics import md5_order, rank_by
 from screenspark.model import CountMatrix
 from screenspark.spec import ScreenSpec
 
@@ -17,8 +17,8 @@ def stratified_sample(obs: DataFrame, n: int, seed: int, column: str = "pert") -
     total = obs.agg(F.count("*").alias("all"))
     sizes = obs.groupBy(column).agg(F.count("*").alias("size")).crossJoin(F.broadcast(total))
     take = sizes.select(column, F.greatest(F.lit(1), F.least(F.rint(F.col("size") * F.least(F.lit(1.0), n / F.col("all"))).cast("bigint"), F.col("size"))).alias("take"))
-    rank = F.row_number().over(W.partitionBy(column).orderBy(md5_order(seed, "cell_id"), "cell_id"))
-    return obs.withColumn("_rank", rank).join(F.broadcast(take), column).filter("_rank <= take").drop("_rank", "take")
+    ranked = rank_by(obs, md5_order(seed, "cell_id"), "cell_id", column, name="_rank")
+    return ranked.join(take, column).filter("_rank <= take").select(*obs.columns)
 
 
 def uniform_sample(obs: DataFrame, n: int, seed: int) -> DataFrame:
@@ -65,7 +65,6 @@ def normalised_variance(m: CountMatrix) -> DataFrame:
     stats = moments(m).toPandas()
     if not len(stats):
         return spark.createDataFrame([], "gene_name string, mean double, variance double, score double")
-    n = float(stats["n_cells"].iloc[0])
     live = (stats["variance"] > 0).to_numpy() & (stats["mean"] > 0).to_numpy()
     fit = np.zeros(len(stats))
     if live.sum() >= 4:
@@ -73,8 +72,13 @@ def normalised_variance(m: CountMatrix) -> DataFrame:
     elif live.any():
         fit[live] = np.log10(stats["variance"][live].to_numpy())
     stats["sd"] = np.where(live, np.sqrt(10**fit), 0.0)
-    stats["cap"] = stats["mean"] + stats["sd"] * np.sqrt(n)
-    trend = spark.createDataFrame(stats[["gene_name", "n_cells", "mean", "variance", "sd", "cap"]])
+    return clipped_variance(m, spark.createDataFrame(stats[["gene_name", "n_cells", "mean", "variance", "sd"]]))
+
+
+def clipped_variance(m: CountMatrix, trend: DataFrame) -> DataFrame:
+    """The score, given each gene's expected deviation ``sd``: variance of the counts over
+    it, clipped at the root of the number of cells; 0 where ``sd`` is."""
+    trend = trend.withColumn("cap", F.col("mean") + F.col("sd") * F.sqrt("n_cells"))
     c = F.least(F.col("value").cast("double"), F.col("cap"))
     sums = m.x.join(F.broadcast(trend.select("gene_name", "cap")), "gene_name").groupBy("gene_name").agg(F.sum(c).alias("c1"), F.sum(c * c).alias("c2"))
     out = trend.join(sums, "gene_name", "left").fillna(0.0, ["c1", "c2"])

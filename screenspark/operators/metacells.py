@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from screenspark.functions.statistics import rank_in_ranges
 from screenspark.spec import ScreenSpec
 
 
@@ -24,10 +25,8 @@ def grainings(obs: DataFrame, *by: str, base: int = 10) -> DataFrame:
 
 def dealt_metacells(obs: DataFrame, *by: str, base: int = 10) -> DataFrame:
     """Cells dealt out over the metacells of their group in the order of their ids."""
-    from pyspark.sql import Window as W
-
-    rank = F.row_number().over(W.partitionBy(*by).orderBy("cell_id")) - 1
-    return obs.withColumn("_r", rank).join(F.broadcast(grainings(obs, *by, base=base)), list(by)).withColumn("metacell", (F.col("_r") % F.col("n_metacells")).cast("bigint")).drop("_r", "n_cells", "n_metacells")
+    ranked = rank_in_ranges(obs, "cell_id", *by, name="_r").join(grainings(obs, *by, base=base), list(by))
+    return ranked.withColumn("metacell", ((F.col("_r") - 1) % F.col("n_metacells")).cast("bigint")).select(*obs.columns, "metacell")
 
 
 def lloyd(x: np.ndarray, k: int, rounds: int = 50) -> np.ndarray:
@@ -50,8 +49,10 @@ def lloyd(x: np.ndarray, k: int, rounds: int = 50) -> np.ndarray:
 def cluster_metacells(vectors: DataFrame, *by: str, base: int = 10, components: int = 10, most: int = 20_000) -> DataFrame:
     """(cell_id, ..., metacell) by k-means on a group's own few components.
 
-    A group of more than ``most`` cells is dealt into parts of at most that many by a hash
-    of the ids, each clustered for itself, so a task's memory is bounded.
+    A group of more than ``most`` cells is dealt into parts of about that many by a hash of
+    the ids, each clustered for itself, so a task's memory is bounded.  Its metacells then
+    are those of random parts of the group: as many, of the same sizes, but two cells of
+    different parts never share one.
     """
     sizes = vectors.groupBy(*by).agg(F.count("*").alias("_n"))
     parts = vectors.join(F.broadcast(sizes), list(by)).withColumn("part", F.pmod(F.xxhash64("cell_id"), F.ceil(F.col("_n") / most)))

@@ -5,10 +5,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Most rows of the reference that a task holds at once.
-BLOCK = 20_000
+#: About the rows of the reference, and of the queries, that a task holds at once.
+BLOCK, QUERIES = 20_000, 20_000
 #: Queries whose distances to a block a task holds at once.
 CHUNK = 128
 
@@ -16,61 +17,57 @@ CHUNK = 128
 def nearest(queries: DataFrame, reference: DataFrame, k: int, metric: str = "euclidean", exclude_self: bool = False, column: str = "v") -> DataFrame:
     """(cell_id, neighbour, distance, rank) of the k nearest rows of the reference.
 
-    The reference goes to the tasks in blocks of bounded size, one after the other, and
-    the best of each block are merged, so neither side has to fit anywhere as a whole.
-    Ties go to the smaller id.
+    Both sides are dealt into blocks by a hash; each two blocks meet in one task, which
+    takes matrix products, and the best of each block are merged.  So neither side has to
+    fit anywhere as a whole, and nothing comes to the driver but the two counts.  Ties go
+    to the smaller id.
     """
     spark = queries.sparkSession
-    n = reference.count()
-    blocks = max(1, -(-n // BLOCK))
-    marked = reference.select(F.col("cell_id").alias("ref"), F.col(column).alias("w")).withColumn("block", F.pmod(F.xxhash64("ref"), F.lit(blocks)))
-    found = None
-    for i in range(blocks):
-        rows = marked.filter(F.col("block") == i).orderBy("ref").select("ref", "w").collect()
-        if not rows:
-            continue
-        ids = np.array([r.ref for r in rows])
-        w = np.array([r.w for r in rows], dtype=np.float64)
-        sent = spark.sparkContext.broadcast((ids, w))
+    n_queries, n_reference = queries.count(), reference.count()
+    rows = max(1, -(-n_reference // BLOCK))
+    # Small tables are dealt to all cores, large ones by their size.
+    sides = max(-(-n_queries // QUERIES), min(-(-n_queries // CHUNK), -(-spark.sparkContext.defaultParallelism // rows)), 1)
+    near = queries.select("cell_id", F.col(column).alias("x"), F.pmod(F.xxhash64("cell_id"), F.lit(sides)).alias("side"))
+    near = near.withColumn("row", F.explode(F.expr(f"sequence(0L, {rows - 1}L)")))
+    far = reference.select(F.col("cell_id").alias("ref"), F.col(column).alias("w"), F.pmod(F.xxhash64("cell_id"), F.lit(rows)).alias("far_row"))
+    far = far.withColumn("far_side", F.explode(F.expr(f"sequence(0L, {sides - 1}L)")))
 
-        def search(batches, sent=sent):
-            ids, w = sent.value
-            unit = w / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-12) if metric == "cosine" else w
-            squares = (unit * unit).sum(axis=1)
-            largest = np.nanmax(squares, initial=0.0)
-            few = min(k + exclude_self, len(ids))
-            for frame in batches:
-                out = []
-                for start in range(0, len(frame), CHUNK):
-                    x = np.stack(frame["x"].iloc[start : start + CHUNK].to_numpy())
-                    if metric == "cosine":
-                        x = x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-                    # Products tell who may be among the nearest, by more than their rounding; exact distances tell who is.
-                    own_squares = (x * x).sum(axis=1)
-                    rough = squares + own_squares[:, None] - 2 * x @ unit.T
-                    rough[np.isnan(rough)] = np.inf
-                    bound = np.partition(rough, few - 1, axis=1)[:, few - 1] + 1e-9 * (largest + own_squares)
-                    for j, own in enumerate(frame["cell_id"].iloc[start : start + CHUNK]):
-                        at = np.flatnonzero(rough[j] <= bound[j])
-                        d = 1 - (unit[at] * x[j]).sum(axis=1) if metric == "cosine" else np.sqrt(((unit[at] - x[j]) ** 2).sum(axis=1))
-                        if exclude_self:
-                            d = np.where(ids[at] == own, np.inf, d)
-                        best = np.lexsort((ids[at], d))[:k]
-                        best = best[np.isfinite(d[best])]
-                        out.append((np.full(len(best), own), ids[at][best], d[best]))
-                if out:
-                    yield pd.DataFrame({n: np.concatenate([o[i] for o in out]) for i, n in enumerate(("cell_id", "neighbour", "distance"))})
-
-        part = queries.select("cell_id", F.col(column).alias("x")).mapInPandas(search, "cell_id bigint, neighbour bigint, distance double")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], "cell_id bigint, neighbour bigint, distance double, rank int")
-    from pyspark.sql import Window as W
+    def search(own: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        if not len(own) or not len(other):
+            return pd.DataFrame({"cell_id": [], "neighbour": [], "distance": []})
+        other = other.sort_values("ref")
+        ids, unit = other["ref"].to_numpy(), _rows(other["w"], metric)
+        squares = (unit * unit).sum(axis=1)
+        largest = np.nanmax(squares, initial=0.0)
+        few = min(k + exclude_self, len(ids))
+        out = []
+        for start in range(0, len(own), CHUNK):
+            x, who = _rows(own["x"].iloc[start : start + CHUNK], metric), own["cell_id"].iloc[start : start + CHUNK].to_numpy()
+            # Products tell who may be among the nearest, by more than their rounding; exact distances tell who is.
+            lengths = (x * x).sum(axis=1)
+            rough = squares + lengths[:, None] - 2 * x @ unit.T
+            rough[np.isnan(rough)] = np.inf
+            bound = np.partition(rough, few - 1, axis=1)[:, few - 1] + 1e-9 * (largest + lengths)
+            i, j = np.nonzero(rough <= bound[:, None])
+            d = 1 - (unit[j] * x[i]).sum(axis=1) if metric == "cosine" else np.sqrt(((unit[j] - x[i]) ** 2).sum(axis=1))
+            good = np.isfinite(d) & ((ids[j] != who[i]) if exclude_self else True)
+            i, j, d = i[good], j[good], d[good]
+            order = np.lexsort((ids[j], d, i))
+            i, j, d = i[order], j[order], d[order]
+            best = np.arange(len(i)) - np.searchsorted(i, i) < k
+            out.append((who[i[best]], ids[j[best]], d[best]))
+        return pd.DataFrame({n: np.concatenate([o[m] for o in out]) for m, n in enumerate(("cell_id", "neighbour", "distance"))})
 
+    found = near.groupBy("side", "row").cogroup(far.groupBy("far_side", "far_row")).applyInPandas(search, "cell_id bigint, neighbour bigint, distance double")
     rank = F.row_number().over(W.partitionBy("cell_id").orderBy("distance", "neighbour"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+def _rows(vectors: pd.Series, metric: str) -> np.ndarray:
+    x = np.stack(vectors.to_numpy()).astype(np.float64)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12) if metric == "cosine" else x
+
+
 def mean_profile(pairs: DataFrame, profiles: DataFrame, column: str = "v") -> DataFrame:
     """(cell_id, basal): mean over each cell's neighbours of their profiles."""
     from pyspark.ml.functions import array_to_vector, vector_to_array

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from screenspark.functions.statistics import quantile
 from screenspark.model import CountMatrix
 from screenspark.spec import ScreenSpec
 
@@ -15,7 +16,7 @@ def library_sizes(m: CountMatrix) -> DataFrame:
 
 def median_size(m: CountMatrix, by: str = "split") -> DataFrame:
     """(split, median_size) of the cells that have any counts."""
-    return m.obs.select("cell_id", by).join(library_sizes(m).filter("total > 0"), "cell_id").groupBy(by).agg(F.median("total").alias("median_size"))
+    return quantile(m.obs.select("cell_id", by).join(library_sizes(m).filter("total > 0"), "cell_id"), "total", 0.5, "median_size", by)
 
 
 def normalise(m: CountMatrix, spec: ScreenSpec, by: str = "split") -> CountMatrix:

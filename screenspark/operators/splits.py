@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from screenspark.functions.statistics import md5_order
+from screenspark.functions.statistics import md5_order, rank_by
 from screenspark.model import CountMatrix
 from screenspark.spec import ScreenSpec
 
@@ -58,16 +58,11 @@ def split_labels(binned: DataFrame, spec: ScreenSpec, seed: int | None = None) -
 def split_controls(obs: DataFrame, labels: DataFrame, spec: ScreenSpec, seed: int | None = None) -> DataFrame:
     """(cell_id, split) of the control cells, in the proportions of the labels.
 
-    Ranks over all controls are by partition of a hash bucket, then offset by what the
-    buckets before hold, so that the one large group isn't sorted in one place.
+    The one large group isn't sorted in one place.
     """
     seed = spec.seed if seed is None else seed
-    order = md5_order(seed, "cell_id")
-    cells = obs.filter(F.col("pert") == spec.control_label).select("cell_id", order.alias("key")).withColumn("bucket", F.substring("key", 1, 2))
-    before = cells.groupBy("bucket").agg(F.count("*").alias("size"))
-    before = before.select("bucket", (F.sum("size").over(W.orderBy("bucket")) - F.col("size")).alias("before"))
-    rank = F.row_number().over(W.partitionBy("bucket").orderBy("key", "cell_id"))
-    ranked = cells.withColumn("in_bucket", rank).join(F.broadcast(before), "bucket").withColumn("rank", F.col("in_bucket") + F.col("before"))
+    cells = obs.filter(F.col("pert") == spec.control_label).select("cell_id")
+    ranked = rank_by(cells, md5_order(seed, "cell_id"), "cell_id")
     shares = labels.agg(F.count("*").alias("n"), F.count_if(F.col("split") == "test").alias("t"), F.count_if(F.col("split") == "val").alias("v"))
     total = cells.agg(F.count("*").alias("cells"))
     bounds = shares.crossJoin(total).select(F.floor(F.col("cells") * F.col("t") / F.col("n")).alias("test"), F.floor(F.col("cells") * F.col("v") / F.col("n")).alias("val"))
