@@ -39,3 +39,11 @@ class CountMatrix:
 
     def n_cells(self) -> DataFrame:
         return self.obs.agg(F.count("*").alias("n_cells"))
+
+
+def stacked(parts: list[CountMatrix]) -> CountMatrix:
+    """Matrices of other cells, one below the other; features of any of them once."""
+    first, *rest = parts
+    for part in rest:
+        first = CountMatrix(first.obs.unionByName(part.obs, True), first.var.unionByName(part.var, True).distinct(), first.x.unionByName(part.x))
+    return first

@@ -53,6 +53,7 @@ class DeltaModel:
     basis: embed.Basis
     directions: np.ndarray
     controls: DataFrame  # cell_id, v, pcs of the training controls
+    systematic: tuple[int, ...] = ()  # which components the directions are
 
     def transform(self, vectors: DataFrame) -> DataFrame:
         """Vectors (cell_id, is_control, v) with ``pre``, ``basal`` and ``delta``.
@@ -98,10 +99,9 @@ def fit(train: DataFrame, spec: ScreenSpec) -> DeltaModel:
 
         spec = calibrate.calibrated(calibrate.sweep(train, spec), spec)
     basis = embed.pca(train, spec.n_pcs)
-    directions = np.zeros((0, len(basis.mean)))
-    if spec.mode != "knn":
-        directions = basis.components[systematic(basis.components, shift, spec.systematic_cosine)]
-    return DeltaModel(spec, basis, directions, embed.project_dense(train.filter("is_control"), basis).select("cell_id", "v", "pcs"))
+    found = [] if spec.mode == "knn" else systematic(basis.components, shift, spec.systematic_cosine)
+    controls = embed.project_dense(train.filter("is_control"), basis).select("cell_id", "v", "pcs")
+    return DeltaModel(spec, basis, basis.components[found], controls, tuple(found))
 
 
 def fit_and_transform(train: DataFrame, others: dict[str, DataFrame], spec: ScreenSpec) -> dict[str, DataFrame]:

@@ -124,6 +124,12 @@ def select_genes(m: CountMatrix, spec: ScreenSpec, targets: DataFrame, cycle: Da
     return swap_targets(top_genes(normalised_variance(fit), spec.n_top_genes), targets, cycle)
 
 
+def gene_manifest(selected: DataFrame) -> dict:
+    """The names of the selected genes, and of the core ones."""
+    rows = selected.filter("selected").select("gene_name", "is_core").orderBy("gene_name").collect()
+    return {"hvg_names": [r.gene_name for r in rows], "core_features": [r.gene_name for r in rows if r.is_core]}
+
+
 def excise_ghosts(m: CountMatrix, selected: DataFrame) -> CountMatrix:
     """Core genes alone, once the embedding is made."""
     return m.keep_genes(selected.filter("is_core"))

@@ -115,3 +115,30 @@ def rollup(meta: DataFrame) -> DataFrame:
     return out.select(F.when(F.col("_a") == 1, "TOTAL").otherwise(F.col("cell_line")).alias("cell_line"), F.when(F.col("_b") == 1, "TOTAL").otherwise(F.col("split")).alias("split"), "n_metacells", "n_cells")
 
 
+
+
+def manifold(cells: DataFrame, meta: DataFrame, line: str = "cell_line") -> DataFrame:
+    """(line, kind, id, x, y): cells and metacells on the first two components, not centred,
+    of the cells of their line; ``id`` is a cell's, or null.  Lines are few."""
+    from screenspark.operators.embed import signed, summed
+
+    size = len(cells.select("v").first().v)
+    names = [r[0] for r in cells.select(line).distinct().orderBy(line).collect()]
+    at = {name: i for i, name in enumerate(names)}
+
+    def add(batches):
+        total = np.zeros((len(names), size, size))
+        for batch in batches:
+            for name, rows in batch.groupby(line)["v"]:
+                x = np.stack(rows.to_numpy())
+                total[at[name]] += x.T @ x
+        yield pd.DataFrame({"row": np.arange(len(names)), "sums": list(total.reshape(len(names), -1))})
+
+    axes = {names[r.row]: signed(np.linalg.eigh(np.reshape(r.sums, (size, size)))[1][:, ::-1][:, :2].T) for r in summed(cells.select(line, "v").mapInPandas(add, "row int, sums array<double>"))}
+
+    @F.pandas_udf("array<double>")
+    def place(name: pd.Series, v: pd.Series) -> pd.Series:
+        return pd.Series([axes[n] @ x for n, x in zip(name, v)], dtype=object)
+
+    both = cells.select(line, F.lit("cell").alias("kind"), F.col("cell_id").alias("id"), "v").unionByName(meta.filter(F.col(line).isin(names)).select(line, F.lit("metacell").alias("kind"), F.lit(None).cast("bigint").alias("id"), "v"))
+    return both.withColumn("_p", place(line, "v")).select(line, "kind", "id", F.col("_p")[0].alias("x"), F.col("_p")[1].alias("y"))

@@ -23,7 +23,8 @@ def nearest(queries: DataFrame, reference: DataFrame, k: int, metric: str = "euc
     to the smaller id.
     """
     spark = queries.sparkSession
-    n_queries, n_reference = queries.count(), reference.count()
+    n_reference = reference.count()
+    n_queries = n_reference if queries is reference else queries.count()
     rows = max(1, -(-n_reference // BLOCK))
     # Small tables are dealt to all cores, large ones by their size.
     sides = max(-(-n_queries // QUERIES), min(-(-n_queries // CHUNK), -(-spark.sparkContext.defaultParallelism // rows)), 1)

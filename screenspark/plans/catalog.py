@@ -792,3 +792,7 @@ def pipeline_full(spark, d):
 
     spec = replace(SPEC, min_cells_per_perturbation=1, min_cells_per_line=1, min_cells_per_split=1, n_top_genes=15, n_components=8, n_pcs=5, neighbours=3, min_cells_expressing=1, harmony_rounds=3)
     return pipeline.run(fx.coarse(spark, d), spec).tables["deltas"].select("cell_line", "split", "pert", "metacell", "delta")
+
+
+# The queries of sources and sinks, and of models with given parameters, register themselves.
+from screenspark.plans import catalog_io, catalog_models  # noqa: E402, F401

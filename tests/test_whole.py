@@ -6,8 +6,11 @@ from dataclasses import replace
 import numpy as np
 import pytest
 
-from screenspark.operators import batch, calibrate, counterfactual, lines, neighbours
-from screenspark.plans import pipeline
+from pyspark.sql import functions as F
+
+from screenspark.functions import statistics
+from screenspark.operators import batch, calibrate, counterfactual, detect, doublets, lines, metacells, neighbours
+from screenspark.plans import pipeline, report
 from screenspark.plans.catalog import QUERIES
 from screenspark.sources import fixtures
 from screenspark.spec import ScreenSpec
@@ -87,6 +90,62 @@ def test_pipeline_runs_every_stage(spark):
     assert run.stages["singlets"].obs.count() == scores.filter("NOT predicted_doublet").count() < scores.count()
     assert {r.metric for r in run.tables["sweep"].collect()} == {"euclidean", "cosine"}
     assert all(r.cell_line.startswith("cell_line_") for r in run.tables["deltas"].select("cell_line").distinct().collect())
+    text = report.run_report(run, "screen", outputs=("x/train",), downstream="networks")
+    assert [line.split()[1] for line in text.splitlines() if line.startswith("## ")] == list("123456789")
+    summary = report.delta_summary(run.model, run.tables["sweep"])
+    row = run.tables["sweep"].filter(f"mode = '{summary['mode']}' AND n_pcs = {summary['n_pcs']} AND (k = {summary['k']} OR k = 0) AND metric IN ('{summary['metric']}', 'N/A')").first()
+    assert summary["signal_stability"] == row.stability and summary["rank_disruption"] == pytest.approx(1 - row.rank_preservation)
+    assert "x/train" in text and "CLEAN RUN" in text and f"- mode: {summary['mode']}" in text
+
+
+def test_manifold_is_each_lines_own(spark):
+    rng = np.random.default_rng(14)
+    x = rng.normal(size=(60, 5)) * np.array([5, 1, 1, 1, 4])
+    v = spark.createDataFrame([(i, "AB"[i % 2], [float(c) for c in r]) for i, r in enumerate(x)], "cell_id bigint, cell_line string, v array<double>")
+    meta = v.filter("cell_id < 4").withColumn("metacell", F.col("cell_id"))
+    rows = metacells.manifold(v, meta).collect()
+    assert sorted({(r.cell_line, r.kind) for r in rows}) == [("A", "cell"), ("A", "metacell"), ("B", "cell"), ("B", "metacell")] and len(rows) == 64
+    for i, line in enumerate("AB"):
+        mine = x[i::2]
+        want = mine @ np.linalg.svd(mine, full_matrices=False)[2][:2].T
+        got = np.array([(r.x, r.y) for r in sorted((r for r in rows if r.cell_line == line and r.kind == "cell"), key=lambda r: r.id)])
+        assert np.allclose(np.abs(got), np.abs(want))
+
+
+def test_quantiles_and_ranks_equal_plain_ones(spark):
+    rng = np.random.default_rng(15)
+    x, g = rng.integers(0, 40, 500) / 4, rng.integers(0, 3, 500)
+    rows = spark.createDataFrame([(i, int(g[i]), float(x[i]), 7) for i in range(500)] + [(500, 1, None, 7)], "cell_id bigint, g int, total double, n int")
+    for q in (0.0, 0.1, 0.37, 0.5, 1.0):
+        assert statistics.quantile(rows, "total", q, "out").first().out == pytest.approx(np.quantile(x, q))
+        got = {r.g: r.out for r in statistics.quantile(rows, "total", q, "out", "g").collect()}
+        assert got == {i: pytest.approx(np.quantile(x[g == i], q)) for i in range(3)}
+    assert statistics.quantile(rows.filter("false"), "total", 0.5, "out").first().out is None
+    for ranked in (statistics.rank_in_ranges(rows, "cell_id", "g"), statistics.rank_by(rows, F.lpad(F.hex("cell_id"), 8, "0"), "cell_id", "g")):
+        want = {int(i): int((g[:i] == g[i]).sum()) + 1 for i in range(500)}
+        assert {r.cell_id: r["rank"] for r in ranked.filter("cell_id < 500").collect()} == want
+
+
+def test_line_columns_by_structure_alone(spark):
+    obs = spark.createDataFrame([(i, ("left", "right")[i % 2], ("h-1", "T47D")[i % 2], f"note {i}") for i in range(30)], "cell_id bigint, side string, origin string, remark string")
+    assert detect.detect_columns(obs).cell_line == "origin" and detect.detect_columns(obs.drop("origin")).cell_line == "side"
+    assert detect.detect_columns(obs, False).cell_line is None
+
+
+def test_doublets_without_a_bound_on_cells(spark):
+    v, _ = screen(spark)
+    m = fixtures.coarse(spark, SF)
+    few = m.keep_cells(m.obs.filter("cell_id % 4 = 0"))
+    whole, part = (doublets.doublet_scores(few, fixtures.SPEC, most=most, components=5) for most in (None, 15))
+    assert whole.count() == part.count() == few.obs.count()
+
+
+def test_batch_rounds_that_are_written_change_nothing(spark, monkeypatch):
+    v = fixtures.vectors(spark, SF).filter("cell_id < 120")
+    read = lambda: np.array([r.corrected for r in batch.harmony(v, clusters=3, rounds=5, tolerance=0.0).orderBy("cell_id").collect()])
+    usual = read()
+    monkeypatch.setattr(batch, "SETTLED", 2)
+    assert np.allclose(usual, read())
 
 
 def test_harmony_starts_in_types_that_come_late(spark):
