@@ -1,5 +1,7 @@
 """The queries: columns of the contract, and rows of their SQL where there is one."""
 
+import zlib
+
 import pytest
 
 from screenspark.llm import queries
@@ -18,9 +20,22 @@ def test_query_equals_sql(spark, name):
     assert not differences(queries.queries()[name](spark, SF), queries.oracle_sql()[name], SF)
 
 
-@pytest.mark.parametrize("name", ["op2_bpe", "op3_secrets", "op4_licenses", "op7_decontaminate"])
+ROWS = {"op1_near_vectors": "embeddings", "op6_warc": "pages"}
+
+
+@pytest.mark.parametrize("name", COLUMNS)
 def test_query_columns(spark, name):
-    assert queries.queries()[name](spark, SF).columns == COLUMNS[name].split()
+    """As registered: the columns of the contract, and a row for each of the table's."""
+    found = queries.queries()[name](spark, SF)
+    rows = found.collect()
+    assert found.columns == COLUMNS[name].split()
+    if name != "op7_decontaminate":
+        assert len(rows) == spark.read.parquet(f"{SF}/{ROWS.get(name, 'documents')}.parquet").count()
+    for modulus, rest, held in ((4, 2, "op8_quality"), (5, 0, "op10_langid")):
+        if name == held:
+            assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % modulus == rest) and 0 <= r.score <= 1 for r in rows)
+    if name == "op8_quality":
+        assert all(r.predicted == int(r.score >= 0.7) for r in rows)
 
 
 def test_all_ten_are_registered():

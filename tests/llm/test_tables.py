@@ -11,8 +11,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from screenspark.llm import decontaminate, jaccard, near_vectors, warc
-from screenspark.llm.common import Scratch, map_batches, shared_dir
+from screenspark.llm import bpe, decontaminate, jaccard, near_vectors, pii, warc
+from screenspark.llm.common import Scratch, map_batches, shared_dir, stored
 from screenspark.llm.components import components
 from tests.llm.data import AWKWARD, documents, no_documents
 
@@ -343,17 +343,45 @@ def test_large_nodes_are_divided_over_the_cluster(spark):
     assert sum(r.component_id == r.vec_id % 200 for r in got) >= 0.98 * 400
 
 
+def test_recall_where_nodes_are_split(spark):
+    """Production parameters on labels so large that their nodes are cut: an even one, a
+    loose cluster and a tighter one, each with planted pairs just above the threshold."""
+    rng = np.random.default_rng(9)
+    n, d, k, rows, want = 6000, 64, 150, [], set()
+    for label, near in enumerate((0.0, 0.92, 0.96)):
+        mean = rng.normal(size=d)
+        mean /= np.linalg.norm(mean)
+        rest = rng.normal(size=(n, d))
+        rest -= np.outer(rest @ mean, mean) * (near > 0)
+        rest /= np.linalg.norm(rest, axis=1, keepdims=True)
+        x = near * mean + np.sqrt(1 - near * near) * rest
+        off = rng.normal(size=(k, d))
+        off -= (off * x[:k]).sum(axis=1, keepdims=True) * x[:k]
+        off /= np.linalg.norm(off, axis=1, keepdims=True)
+        cos = rng.uniform(0.9801, 0.984, size=(k, 1))
+        x[k : 2 * k] = cos * x[:k] + np.sqrt(1 - cos * cos) * off
+        rows += [(label * n + i, [float(v) for v in x[i]], label) for i in range(n)]
+        similar = x @ x.T >= 0.98
+        want |= {(label * n + i) for i in np.flatnonzero(similar.sum(axis=1) > 1)}
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    found = {r.vec_id for r in near_vectors.near_duplicates(df).filter("n_links > 0").collect()}
+    assert found <= want and len(found) >= 0.99 * len(want), (len(found), len(want))
+
+
 # ---------------------------------------------------------------- pipeline
 
+SF_DIR = "/root/testdata/sf0.001"
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as cp
 
-    sf = "/root/testdata/sf0.001"
+    sf = SF_DIR
     docs = cp.table(spark, sf, "documents")
     columns = docs.columns
     for name, stage in cp.STAGES[:3]:
         before = docs
-        docs = cp.stored(stage(spark, before, sf), f"test-{name}")
+        docs = stored(stage(spark, before, sf), f"test-{name}")
         assert docs.columns == columns
         assert docs.join(before, columns, "left_anti").count() == 0
         if name == "near_duplicates":
@@ -361,7 +389,51 @@ def test_pipeline_stages(spark):
             assert {r.doc_id for r in docs.collect()} == {c for _, _, c in brute_jaccard(rows)}
         if name == "decontamination":
             items = [decontaminate.normalised(r.text) for r in cp.table(spark, sf, "benchmark").collect()]
+            gone = {r.doc_id for r in before.collect()} - {r.doc_id for r in docs.collect()}
+            leaks = lambda r: any(edits(i, decontaminate.normalised(r.text)) <= decontaminate.budget_of(i, decontaminate.EditMatch()) for i in items if i[40:60] in decontaminate.normalised(r.text) or i in decontaminate.normalised(r.text))
             assert not [r.doc_id for r in docs.collect() if any(i in decontaminate.normalised(r.text) for i in items)]
+            assert all(leaks(r) for r in before.filter(F.col("doc_id").isin(list(gone))).collect() if any(i[40:60] in decontaminate.normalised(r.text) for i in items))
     redacted = cp.redact_personal(spark, docs, sf)
     assert redacted.columns == columns and redacted.count() == docs.count()
-    assert cp.encode(spark, redacted, sf).count() == docs.count()
+    for row, old in zip(redacted.orderBy("doc_id").collect(), docs.orderBy("doc_id").collect()):
+        assert not pii.base_spans(row.text) or len(row.text) < len(old.text)
+        for _, start, end in pii.base_spans(old.text):
+            assert row.text != old.text and old.text[start:end] not in row.text
+        assert row.n_chars == len(row.text)
+    encoded = {r.doc_id: r for r in cp.encode(spark, redacted, sf).collect()}
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(bpe.default_path())
+    for row in redacted.collect():
+        ids = reference.encode(row.text, add_special_tokens=False).ids
+        assert encoded[row.doc_id].ids_sha256 == hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest()
+
+
+def test_pipeline_stages_on_awkward_rows(spark):
+    """Nulls, empty and very long texts, repeats and extra columns; and no rows at all."""
+    import corpus_pipeline as cp
+
+    rows = AWKWARD + [(20, "mail a.b@c.org now"), (20, None), (21, "mail a.b@c.org now"), (22, "x")]
+    docs = documents(spark, rows)
+    for name, stage in cp.STAGES:
+        assert stage(spark, docs.filter("false"), SF_DIR).count() == 0, name
+    kept = dict(cp.STAGES)
+    distinct = kept["near_duplicates"](spark, docs, SF_DIR).collect()
+    assert sorted((r.doc_id or -1) for r in distinct) == [-1, 1, 2, 3, 4, 5, 8, 9, 10, 11, 12, 20, 22]
+    assert next(r.text for r in distinct if r.doc_id == 20) is None  # the first in the order of the columns
+    assert kept["decontamination"](spark, docs, SF_DIR).count() == len(rows)
+    clean = kept["personal_data"](spark, docs, SF_DIR)
+    assert clean.columns == docs.columns
+    by = {r.doc_id: r for r in clean.collect()}
+    assert by[21].text == "mail [EMAIL] now" and by[21].n_chars == 16 and by[2].text is None and by[2].n_chars is None and by[3].text == ""
+    assert kept["encoding"](spark, docs, SF_DIR).count() == len(rows)
+    good = kept["quality"](spark, docs, SF_DIR)
+    assert good.columns == docs.columns and good.count() <= len(rows)
+
+
+def test_pipeline_runs(spark):
+    import corpus_pipeline as cp
+
+    out = cp.run(spark, SF_DIR)
+    assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert 0 < out.count() == out.select("doc_id").distinct().count()
