@@ -56,11 +56,11 @@ def s03(spark, d):
     return replace(m, x=grid.withColumn("value", F.coalesce("value", F.lit(0.0)))).ensure_sparse().x.select("cell_id", "gene_name", "value")
 
 
-@query("s04_lazy_read", f"{COARSE} SELECT cell_id, gene_name, value FROM x WHERE gene_name = 'Brand#11' AND cell_id % 3 = 0")
+@query("s04_lazy_read", f"{COARSE} SELECT cell_id, gene_name, value FROM x WHERE gene_name = 'Brand#11' AND value >= 2")
 def s04(spark, d):
     path = new_path(spark, "matrix")
     matrix.write_matrix(fx.coarse(spark, d), path)
-    return matrix.read_matrix(spark, path).x.filter("gene_name = 'Brand#11' AND cell_id % 3 = 0").select("cell_id", "gene_name", "value")
+    return matrix.read_matrix(spark, path).x.filter("gene_name = 'Brand#11' AND value >= 2").select("cell_id", "gene_name", "value")
 
 
 @query("s05_droplets", f"{COARSE} SELECT COUNT(DISTINCT cell_id) AS n_droplets, COUNT(DISTINCT gene_name) AS n_genes, COUNT(*) AS n_entries, SUM(value) AS total FROM x")
