@@ -16,6 +16,7 @@ Of decoded spans those stay whose digits fit their kind (a card passes Luhn's te
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from dataclasses import dataclass
@@ -126,21 +127,23 @@ class Lstm:
         return out, trace
 
     def backward(self, codes: np.ndarray, back: np.ndarray, trace):
-        gx, gu = np.zeros_like(self.x), np.zeros_like(self.u)
         d_state, d_cell = np.zeros_like(back[0]), np.zeros_like(back[0])
+        inner, before = np.zeros((*codes.shape, 4 * self.h), np.float32), np.zeros_like(back)
         for t, old_state, old_cell, i, f, o, fresh, lit in reversed(trace):
             d_state = d_state + back[t]
             d_cell = d_cell + d_state * o * (1 - lit * lit)
-            d_a = np.concatenate([d_cell * fresh * i * (1 - i), d_cell * old_cell * f * (1 - f), d_state * lit * o * (1 - o), d_cell * i * (1 - fresh * fresh)], axis=1)
-            np.add.at(gx, codes[t], d_a)
-            gu += old_state.T @ d_a
-            d_state, d_cell = d_a @ self.u.T, d_cell * f
-        return gx, gu
+            inner[t] = np.concatenate([d_cell * fresh * i * (1 - i), d_cell * old_cell * f * (1 - f), d_state * lit * o * (1 - o), d_cell * i * (1 - fresh * fresh)], axis=1)
+            before[t] = old_state
+            d_state, d_cell = inner[t] @ self.u.T, d_cell * f
+        rows = inner.reshape(-1, 4 * self.h)
+        which = (np.arange(SYMBOLS)[:, None] == codes.reshape(-1)).astype(np.float32)
+        return which @ rows, before.reshape(-1, self.h).T @ rows
 
 
-def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
+def log_times(x: np.ndarray, kernel: np.ndarray) -> np.ndarray:
+    """log(exp(x) @ kernel) by rows, without overflow."""
+    top = x.max(axis=1, keepdims=True)
+    return top + np.log(np.maximum(np.exp(x - top) @ kernel, 1e-37))
 
 
 @dataclass
@@ -168,21 +171,22 @@ class PiiModel:
         length, n, k = scores.shape
         alpha, beta = np.zeros_like(scores), np.zeros_like(scores)
         alpha[0] = scores[0]
+        kernel = np.exp(self.moves)
         for t in range(1, length):
-            alpha[t] = scores[t] + log_sum(alpha[t - 1][:, :, None] + self.moves, 1)
+            alpha[t] = scores[t] + log_times(alpha[t - 1], kernel)
         for t in range(length - 2, -1, -1):
-            beta[t] = log_sum(self.moves + (scores[t + 1] + beta[t + 1])[:, None, :], 2)
-        total = log_sum(alpha[-1], 1)
-        columns = np.arange(n)
-        gold = sum(scores[t, columns, tags[t]] for t in range(length)) + sum(self.moves[tags[t - 1], tags[t]] for t in range(1, length))
+            beta[t] = log_times(scores[t + 1] + beta[t + 1], kernel.T)
+        total = log_times(alpha[-1], np.ones((k, 1), np.float32))[:, 0]
+        here = np.arange(length)[:, None], np.arange(n), tags
+        gold = scores[here].sum(axis=0) + self.moves[tags[:-1], tags[1:]].sum(axis=0)
         back = np.exp(alpha + beta - total[None, :, None])
-        g_moves = np.zeros_like(self.moves)
-        for t in range(1, length):
-            pair = alpha[t - 1][:, :, None] + self.moves + (scores[t] + beta[t])[:, None, :] - total[:, None, None]
-            g_moves += np.exp(pair).sum(axis=0)
-            np.add.at(g_moves, (tags[t - 1], tags[t]), -1)
-        for t in range(length):
-            back[t, columns, tags[t]] -= 1
+        back[here] -= 1
+        # Expected moves less those of the labels, over all places at once.
+        left, right = alpha[:-1], scores[1:] + beta[1:]
+        a, b = left.max(axis=2, keepdims=True), right.max(axis=2, keepdims=True)
+        left = np.exp(left - a) * np.exp(a + b - total[None, :, None])
+        g_moves = kernel * (left.reshape(-1, k).T @ np.exp(right - b).reshape(-1, k))
+        np.add.at(g_moves, (tags[:-1], tags[1:]), -1)
         size = n * length
         back = (back / size).astype(np.float32)
         h = self.params.hidden
@@ -224,18 +228,18 @@ def new_model(params: PiiParams) -> PiiModel:
 class Examples:
     """Labelled texts of a fixed length, made from a seed."""
 
-    def __init__(self, rng: np.random.Generator, length: int):
+    def __init__(self, rng: random.Random, length: int):
         self.rng, self.length = rng, length
 
     def pick(self, options):
-        return options[self.rng.integers(len(options))]
+        return options[int(self.rng.random() * len(options))]
 
     def digits(self, n: int) -> str:
-        return "".join(map(str, self.rng.integers(0, 10, n)))
+        return f"{self.rng.randrange(10**n):0{n}}"
 
     def word(self) -> str:
         parts = ("an", "the", "er", "tion", "en", "sch", "de", "os", "la", "que", "ß", "ó", "re", "in", "st", "ou", "eau", "ment", "ti")
-        w = "".join(self.pick(parts) for _ in range(self.rng.integers(1, 4)))
+        w = "".join(self.pick(parts) for _ in range(self.rng.randrange(1, 4)))
         return w.capitalize() if self.rng.random() < 0.15 else w
 
     def email(self) -> str:
@@ -244,7 +248,7 @@ class Examples:
         return name + at + self.word().lower() + self.pick((".com", ".org", ".net", ".example.com", ".de", ".co.uk"))
 
     def ip(self) -> str:
-        return self.pick((".", ".", ".", " . ", "[.]")).join(str(x) for x in self.rng.integers(0, 256, 4))
+        return self.pick((".", ".", ".", " . ", "[.]")).join(str(self.rng.randrange(256)) for _ in range(4))
 
     def card(self) -> str:
         d = self.pick(("4", "5", "37", "6011")) + self.digits(15)
@@ -257,8 +261,8 @@ class Examples:
         return self.pick((f"+1 ({a}) {b}-{c}", f"+{self.digits(2)} {a} {b}{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+1-{a}-{b}-{c}", f"+{self.digits(2)}.{a}.{b}.{c}", f"00{self.digits(2)} {a} {b} {c}"))
 
     def decoy(self) -> str:
-        hexed = "".join(self.pick("0123456789abcdef") for _ in range(40))
-        return self.pick((f"version {self.digits(1)}.0", f"{self.rng.integers(1900, 2030)}", hexed, f"{self.digits(2)}:{self.digits(2)}", f"{self.digits(2)}.{self.digits(2)}", f"{self.digits(3)},{self.digits(3)}", f"@{self.word()}", f"#{self.digits(4)}", f"token = \"{hexed}\"", self.digits(8), f"v{self.digits(1)}.{self.digits(2)}.{self.digits(1)}", f"2024-{self.digits(2)}-{self.digits(2)}"))
+        hexed = f"{self.rng.getrandbits(160):040x}"
+        return self.pick((f"version {self.digits(1)}.0", f"{self.rng.randrange(1900, 2030)}", hexed, f"{self.digits(2)}:{self.digits(2)}", f"{self.digits(2)}.{self.digits(2)}", f"{self.digits(3)},{self.digits(3)}", f"@{self.word()}", f"#{self.digits(4)}", f"token = \"{hexed}\"", self.digits(8), f"v{self.digits(1)}.{self.digits(2)}.{self.digits(1)}", f"2024-{self.digits(2)}-{self.digits(2)}"))
 
     def one(self) -> tuple[np.ndarray, np.ndarray]:
         text, tags = "", []
@@ -270,14 +274,14 @@ class Examples:
             tags += [TAGS.index(f"B-{kind}")] + [TAGS.index(f"I-{kind}")] * (len(part) - 1) if kind else [0] * len(part)
             tags += [0] * len(after)
             text += part + after
-        start = self.rng.integers(0, len(text) - self.length + 1)
+        start = self.rng.randrange(len(text) - self.length + 1)
         return symbols(text)[start : start + self.length], np.array(tags)[start : start + self.length]
 
 
 def train(params: PiiParams = PiiParams()) -> PiiModel:
     """Adam on batches of made examples; the same parameters give the same model."""
     model = new_model(params)
-    examples = Examples(np.random.default_rng(params.seed + 1), params.length)
+    examples = Examples(random.Random(params.seed + 1), params.length)
     weights = model.weights()
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     for step in range(1, params.steps + 1):
