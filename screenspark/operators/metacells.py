@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from screenspark.functions.statistics import rank_in_ranges
+from screenspark.sources.storage import settled
 from screenspark.spec import ScreenSpec
 
 
@@ -46,31 +50,156 @@ def lloyd(x: np.ndarray, k: int, rounds: int = 50) -> np.ndarray:
     return np.unique(label, return_inverse=True)[1]
 
 
-def cluster_metacells(vectors: DataFrame, *by: str, base: int = 10, components: int = 10, most: int = 20_000) -> DataFrame:
-    """(cell_id, ..., metacell) by k-means on a group's own few components.
+def bounded(small: DataFrame, most: int = 100_000) -> DataFrame:
+    """A stored table, to be broadcast if it has at most so many rows."""
+    return F.broadcast(small) if small.count() <= most else small
+
+
+def _spread(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Centres by k-means++ and some rounds of Lloyd; fewer where points coincide."""
+    centres = x[rng.integers(len(x))][None]
+    d = ((x - centres[0]) ** 2).sum(axis=1)
+    while len(centres) < k and d.max() > 0:
+        centres = np.vstack([centres, x[rng.choice(len(x), p=d / d.sum())]])
+        d = np.minimum(d, ((x - centres[-1]) ** 2).sum(axis=1))
+    for _ in range(20):
+        label = ((centres * centres).sum(axis=1) - 2 * x @ centres.T).argmin(axis=1)
+        moved = np.stack([x[label == j].mean(axis=0) if (label == j).any() else c for j, c in enumerate(centres)])
+        if np.allclose(moved, centres):
+            break
+        centres = moved
+    return centres
+
+
+def _group_axes(cells: DataFrame, components: int) -> DataFrame:
+    """(_g, axes): the first right singular vectors of each group's own cells, from sums of
+    products that tasks add up, one small matrix a group and task."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    def add(batches):
+        sums = {}
+        for batch in batches:
+            for g, rows in batch.groupby("_g")["v"]:
+                x = np.stack(rows.to_numpy())
+                sums[g] = sums.get(g, 0) + x.T @ x
+        yield pd.DataFrame({"_g": list(sums), "sums": [s.ravel() for s in sums.values()]})
+
+    def axes(batches):
+        for batch in batches:
+            found = []
+            for s in batch["sums"]:
+                size = int(round(len(s) ** 0.5))
+                found.append(np.linalg.eigh(np.reshape(s, (size, size)))[1][:, ::-1][:, :components].T.tolist())
+            yield pd.DataFrame({"_g": batch["_g"], "axes": found})
+
+    total = cells.select("_g", "v").mapInPandas(add, "_g bigint, sums array<double>").groupBy("_g").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
+    return total.mapInPandas(axes, "_g bigint, axes array<array<double>>")
 
-    A group of more than ``most`` cells is dealt into parts of about that many by a hash of
-    the ids, each clustered for itself, so a task's memory is bounded.  Its metacells then
-    are those of random parts of the group: as many, of the same sizes, but two cells of
-    different parts never share one.
+
+def _divided(cells: DataFrame, most: int, batch: int, ways: int) -> DataFrame:
+    """(cell_id, _g, _n, x, leaf): cells (cell_id, _g, _n, x) in leaves of at most ``most``.
+    A leaf's number has seven bits for each level, so ``ways`` is at most 127.
+
+    All nodes that are too large are divided at once, level by level: k-means of a batch of
+    cells, drawn from all of a node's by a hash, gives it up to ``ways`` centres, a row of a
+    table; each cell goes to the nearest.  Where a batch holds only equal vectors, a
+    hash divides the node.
+    """
+    def fit(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        x, size, level = np.stack(frame.sort_values("cell_id")["x"].to_numpy()), *(int(frame[c].iloc[0]) for c in ("_size", "_level"))
+        k = min(ways, -(-2 * size // most))
+        return pd.DataFrame({"_g": [key[0]], "leaf": [key[1]], "centres": [_spread(x, k, np.random.default_rng(level)).tolist()], "_ways": [k]})
+
+    nodes, done, level = settled(cells.withColumn("leaf", F.lit(0).cast("bigint"))), [], 0
+    while True:
+        sizes = settled(nodes.groupBy("_g", "leaf").agg(F.count("*").alias("_size")).filter(F.col("_size") > most))
+        if sizes.isEmpty():
+            break
+        done.append(nodes.join(bounded(sizes), ["_g", "leaf"], "left_anti"))
+        nodes = nodes.join(bounded(sizes), ["_g", "leaf"])
+        first = F.row_number().over(W.partitionBy("_g", "leaf").orderBy(F.xxhash64("cell_id", F.lit(level)), "cell_id"))
+        centres = nodes.withColumn("_first", first).filter(F.col("_first") <= batch).withColumn("_level", F.lit(level)).groupBy("_g", "leaf").applyInPandas(fit, "_g bigint, leaf bigint, centres array<array<double>>, _ways int")
+        far = F.transform("centres", lambda c: F.aggregate(F.zip_with("x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, t: s + t))
+        met = nodes.join(bounded(settled(centres), 1_000), ["_g", "leaf"]).withColumn("_far", far)
+        child = F.when(F.size("centres") > 1, F.array_position("_far", F.array_min("_far"))).otherwise(1 + F.pmod(F.xxhash64("cell_id", F.lit(-1 - level)), "_ways"))
+        nodes, level = settled(met.select("cell_id", "_g", "_n", "x", (F.col("leaf") * 128 + child).alias("leaf"))), level + 1
+    return reduce(DataFrame.unionByName, done, nodes)
+
+
+def _refined(cells: DataFrame, found: DataFrame, rounds: int, near: int = 3) -> DataFrame:
+    """(cell_id, _g, leaf, label) after some rounds of Lloyd across the borders of leaves.
+
+    ``cells`` has (cell_id, _g, x, leaf), ``found`` the start.  The metacells' means are a
+    table, by the leaf that a metacell began in; each cell is held against those of the
+    leaves whose means are nearest to it, and goes to the nearest of all.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    mean = vector_to_array(Summarizer.mean(array_to_vector("x"))).alias("m")
+    leaves = cells.groupBy("_g", "leaf").agg(mean).groupBy("_g").agg(F.collect_list(F.struct("m", "leaf")).alias("leaves"))
+    far = F.transform("leaves", lambda c: F.struct(F.aggregate(F.zip_with("x", c["m"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, t: s + t).alias("d"), c["leaf"].alias("leaf")))
+    met = cells.drop("leaf").join(bounded(settled(leaves), 1_000), "_g").withColumn("_near", F.slice(F.array_sort(far), 1, near))
+    asked = settled(met.select("cell_id", "_g", "x", F.explode("_near.leaf").alias("leaf")))
+
+    def assign(key: tuple, own: pd.DataFrame, means: pd.DataFrame) -> pd.DataFrame:
+        if not len(own) or not len(means):
+            return pd.DataFrame({"cell_id": [], "leaf": [], "label": [], "d": []})
+        c, labels, best, least = np.stack(means["m"].to_numpy()), means["label"].to_numpy(), [], []
+        for start in range(0, len(own), 2_048):
+            x = np.stack(own["x"].iloc[start : start + 2_048].to_numpy())
+            d = (x * x).sum(axis=1)[:, None] + (c * c).sum(axis=1) - 2 * x @ c.T
+            best.append(labels[d.argmin(axis=1)])
+            least.append(d.min(axis=1))
+        return pd.DataFrame({"cell_id": own["cell_id"], "leaf": key[1], "label": np.concatenate(best), "d": np.concatenate(least)})
+
+    places = cells.select("cell_id", "_g", "x")
+    for _ in range(rounds):
+        means = places.join(found.select("cell_id", "leaf", "label"), "cell_id").groupBy(F.col("_g").alias("_of"), F.col("leaf").alias("_home"), "label").agg(mean)
+        each = asked.groupBy("_g", "leaf").cogroup(means.groupBy("_of", "_home")).applyInPandas(assign, "cell_id bigint, leaf bigint, label bigint, d double")
+        found = settled(each.groupBy("cell_id").agg(F.min(F.struct("d", "leaf", "label")).alias("_to")).select("cell_id", "_to.leaf", "_to.label"))
+    return places.select("cell_id", "_g").join(found, "cell_id")
+
+
+def cluster_metacells(vectors: DataFrame, *by: str, base: int = 10, components: int = 10, most: int = 8_000, batch: int = 8_192, ways: int = 64, rounds: int = 4) -> DataFrame:
+    """``vectors`` with ``metacell``, by k-means on a group's own few components.
+
+    A task clusters at most ``most`` cells.  A larger group is projected on its own
+    components, whatever its size, and divided by a tree of k-means centres (``_divided``)
+    into leaves of neighbouring cells, which are clustered like small groups, each with its
+    share of the group's metacells; rounds over the whole group follow, in which cells
+    cross the borders (``_refined``).  Groups may be null; a cell_id stands for one cell.
     """
-    sizes = vectors.groupBy(*by).agg(F.count("*").alias("_n"))
-    parts = vectors.join(F.broadcast(sizes), list(by)).withColumn("part", F.pmod(F.xxhash64("cell_id"), F.ceil(F.col("_n") / most)))
-    keys = [*by, "part"]
+    keyed = vectors.select("cell_id", F.to_json(F.struct(*by), {"ignoreNullFields": "false"}).alias("_key"), "v")
+    sizes = settled(keyed.groupBy("_key").agg(F.count("*").alias("_n")).withColumn("_g", F.monotonically_increasing_id()))
+    cells = keyed.join(bounded(sizes), "_key").drop("_key")
 
     def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("cell_id").reset_index(drop=True)
-        x = np.stack(frame["v"].to_numpy())
-        n = len(x)
+        x, n, size = np.stack(frame["x"].to_numpy()), int(frame["_n"].iloc[0]), len(frame)
         target = n if n < 30 else 5 if n < 100 else base if n < 500 else min(base + 5, 20)
-        k = max(1, n // target)
-        if n >= 50:
+        k = max(1, n // target if size == n else round(size / target))
+        if n >= 50 and size == n:
             x = x @ np.linalg.svd(x, full_matrices=False)[2][:components].T
-        label = lloyd(x, k) if k > 1 else np.zeros(n, dtype=int)
-        return pd.DataFrame({"cell_id": frame["cell_id"], "part": key[-1], "label": label.astype(np.int64)})
-
-    found = parts.groupBy(*keys).applyInPandas(run, "cell_id bigint, part bigint, label bigint")
-    named = found.withColumn("metacell", F.col("label") * 1_000_000 + F.col("part")).select("cell_id", "metacell")
+        label = lloyd(x, k) if k > 1 else np.zeros(size, dtype=int)
+        return pd.DataFrame({"cell_id": frame["cell_id"], "_g": key[0], "leaf": key[1], "label": label.astype(np.int64)})
+
+    def clustered(leaves: DataFrame) -> DataFrame:
+        return leaves.groupBy("_g", "leaf").applyInPandas(run, "cell_id bigint, _g bigint, leaf bigint, label bigint")
+
+    found = clustered(cells.filter(F.col("_n") <= most).select("cell_id", "_g", "_n", F.col("v").alias("x"), F.lit(0).cast("bigint").alias("leaf")))
+    if not sizes.filter(F.col("_n") > most).isEmpty():
+        rest = cells.filter(F.col("_n") > most)
+        turned = F.transform("axes", lambda w: F.aggregate(F.zip_with("v", w, lambda a, b: a * b), F.lit(0.0), lambda s, t: s + t))
+        scores = rest.join(bounded(settled(_group_axes(rest, components)), 1_000), "_g").select("cell_id", "_g", "_n", turned.alias("x"))
+        leaves = _divided(scores, most, batch, ways)
+        found = found.unionByName(_refined(leaves.select("cell_id", "_g", "x", "leaf"), settled(clustered(leaves)), rounds).select("cell_id", "_g", "leaf", "label"))
+    found = settled(found)
+    tops = found.groupBy("_g", "leaf").agg(F.max("label").alias("_top"))
+    before = F.sum(F.col("_top") + 1).over(W.partitionBy("_g").orderBy("leaf")) - F.col("_top") - 1  # a group's leaves are few
+    offsets = settled(tops.select("_g", "leaf", before.alias("_before")))
+    named = found.join(bounded(offsets), ["_g", "leaf"]).select("cell_id", (F.col("label") + F.col("_before")).alias("metacell"))
     return vectors.join(named, "cell_id")
 
 
@@ -116,7 +245,6 @@ def rollup(meta: DataFrame) -> DataFrame:
 
 
 
-
 def manifold(cells: DataFrame, meta: DataFrame, line: str = "cell_line") -> DataFrame:
     """(line, kind, id, x, y): cells and metacells on the first two components, not centred,
     of the cells of their line; ``id`` is a cell's, or null.  Lines are few."""
