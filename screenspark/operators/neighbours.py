@@ -8,42 +8,64 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: About the rows of the reference, and of the queries, that a task holds at once.
+from screenspark.sources.storage import settled
+
+#: About the rows of a cell of the reference, and of queries, that a task holds at once.
 BLOCK, QUERIES = 20_000, 20_000
 #: Queries whose distances to a block a task holds at once.
 CHUNK = 128
+#: Pairs up to which all queries are held against all of a reference of one block.
+FEW_PAIRS = 50_000_000
+#: Most pivots; their vectors and the sizes of their cells are all that the driver sees.
+PIVOTS = 4_096
 
 
-def nearest(queries: DataFrame, reference: DataFrame, k: int, metric: str = "euclidean", exclude_self: bool = False, column: str = "v") -> DataFrame:
-    """(cell_id, neighbour, distance, rank) of the k nearest rows of the reference.
+def nearest(queries: DataFrame, reference: DataFrame, k: int, metric: str = "euclidean", exclude_self: bool = False, column: str = "v", few_pairs: int = FEW_PAIRS, visited: dict | None = None) -> DataFrame:
+    """(cell_id, neighbour, distance, rank) of the k nearest rows of the reference, exactly.
 
-    Both sides are dealt into blocks by a hash; each two blocks meet in one task, which
-    takes matrix products, and the best of each block are merged.  So neither side has to
-    fit anywhere as a whole, and nothing comes to the driver but the two counts.  Ties go
-    to the smaller id.
+    Ties go to the smaller id.  Rows whose vector is null or has no finite distance are
+    nobody's neighbours and have none.  Few pairs are all compared; else the reference is
+    divided among pivots, and a query visits only cells that can hold one of its k
+    (``_by_pivots``).  ``visited`` is told how many pairs are compared.
     """
-    spark = queries.sparkSession
-    n_reference = reference.count()
-    n_queries = n_reference if queries is reference else queries.count()
-    rows = max(1, -(-n_reference // BLOCK))
-    # Small tables are dealt to all cores, large ones by their size.
-    sides = max(-(-n_queries // QUERIES), min(-(-n_queries // CHUNK), -(-spark.sparkContext.defaultParallelism // rows)), 1)
-    near = queries.select("cell_id", F.col(column).alias("x"), F.pmod(F.xxhash64("cell_id"), F.lit(sides)).alias("side"))
-    near = near.withColumn("row", F.explode(F.expr(f"sequence(0L, {rows - 1}L)")))
-    far = reference.select(F.col("cell_id").alias("ref"), F.col(column).alias("w"), F.pmod(F.xxhash64("cell_id"), F.lit(rows)).alias("far_row"))
-    far = far.withColumn("far_side", F.explode(F.expr(f"sequence(0L, {sides - 1}L)")))
+    near = settled(queries.select("cell_id", F.col(column).cast("array<double>").alias("x")).filter(_finite("x")))
+    far = near if queries is reference else settled(reference.select("cell_id", F.col(column).cast("array<double>").alias("x")).filter(_finite("x")))
+    n_near, n_far = near.count(), far.count()
+    far = far.select(F.array("cell_id").alias("ids"), F.col("x").alias("w"))
+    if n_far <= BLOCK and n_near * n_far <= few_pairs:
+        sides = max(1, min(-(-n_near // CHUNK), near.sparkSession.sparkContext.defaultParallelism))
+        own = near.select(F.col("cell_id").alias("query"), "x", F.pmod(F.xxhash64("cell_id"), F.lit(sides)).alias("side"), F.lit(0).alias("cell"), F.lit(0).alias("block"))
+        other = far.select("ids", "w", F.explode(F.expr(f"sequence(0L, {sides - 1}L)")).alias("far_side"), F.lit(0).alias("far_cell"), F.lit(0).alias("far_block"))
+        found = _searched(own, other, k, metric, exclude_self)
+        if visited is not None:
+            visited["pairs"] = n_near * n_far
+        rank = F.row_number().over(W.partitionBy("query").orderBy("distance", "neighbour"))
+        return found.withColumn("rank", rank).filter(F.col("rank") <= k).select(F.col("query").alias("cell_id"), "neighbour", "distance", "rank")
+    return _by_pivots(near, far, k, metric, exclude_self, {} if visited is None else visited)
+
+
+def _finite(column: str) -> F.Column:
+    """A vector with no null, NaN or infinite component; none at all is no vector."""
+    return F.col(column).isNotNull() & ~F.exists(column, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))) & (F.size(column) > 0)
+
+
+def _searched(own: DataFrame, other: DataFrame, k: int, metric: str, exclude_self: bool) -> DataFrame:
+    """(query, neighbour, distance): the best k for each query (query, x, side, cell, block)
+    among the vectors (ids, w, far_side, far_cell, far_block) of the same task."""
 
     def search(own: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(other):
-            return pd.DataFrame({"cell_id": [], "neighbour": [], "distance": []})
-        other = other.sort_values("ref")
-        ids, unit = other["ref"].to_numpy(), _rows(other["w"], metric)
+            return pd.DataFrame({"query": [], "neighbour": [], "distance": []})
+        lists = other["ids"].to_numpy()
+        ids, at = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(i) for i in lists])
+        order = np.argsort(ids, kind="stable")
+        ids, unit = ids[order], _rows(other["w"], metric)[at[order]]
         squares = (unit * unit).sum(axis=1)
-        largest = np.nanmax(squares, initial=0.0)
+        largest = squares.max(initial=0.0)
         few = min(k + exclude_self, len(ids))
         out = []
         for start in range(0, len(own), CHUNK):
-            x, who = _rows(own["x"].iloc[start : start + CHUNK], metric), own["cell_id"].iloc[start : start + CHUNK].to_numpy()
+            x, who = _rows(own["x"].iloc[start : start + CHUNK], metric), own["query"].iloc[start : start + CHUNK].to_numpy()
             # Products tell who may be among the nearest, by more than their rounding; exact distances tell who is.
             lengths = (x * x).sum(axis=1)
             rough = squares + lengths[:, None] - 2 * x @ unit.T
@@ -57,11 +79,108 @@ def nearest(queries: DataFrame, reference: DataFrame, k: int, metric: str = "euc
             i, j, d = i[order], j[order], d[order]
             best = np.arange(len(i)) - np.searchsorted(i, i) < k
             out.append((who[i[best]], ids[j[best]], d[best]))
-        return pd.DataFrame({n: np.concatenate([o[m] for o in out]) for m, n in enumerate(("cell_id", "neighbour", "distance"))})
+        return pd.DataFrame({n: np.concatenate([o[m] for o in out]) for m, n in enumerate(("query", "neighbour", "distance"))})
+
+    keys = (("cell", "block", "side"), ("far_cell", "far_block", "far_side"))
+    return own.groupBy(*keys[0]).cogroup(other.groupBy(*keys[1])).applyInPandas(search, "query bigint, neighbour bigint, distance double")
+
+
+def _points(vectors: pd.Series, metric: str) -> np.ndarray:
+    """Points whose Euclidean distance grows with the metric, or is less: unit vectors for the
+    cosine, with one more axis for vectors of length zero, which are far from all others."""
+    x = np.stack(vectors.to_numpy()).astype(np.float64)
+    if metric != "cosine":
+        return x
+    size = np.linalg.norm(x, axis=1)
+    return np.column_stack([x / np.maximum(size, 1e-12)[:, None], size < 1e-12])
+
+
+def _gaps(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1) - 2 * x @ pivots.T, 0))
+
+
+def _by_pivots(near: DataFrame, far: DataFrame, k: int, metric: str, exclude_self: bool, visited: dict) -> DataFrame:
+    """Exact neighbours by pivots and the triangle inequality.
+
+    Copies are taken together first: of equal vectors of the reference only the k + 1
+    smallest ids can be among anyone's k, and equal queries have the same neighbours but for
+    themselves.  Each vector of the reference belongs to the nearest of some pivots, vectors
+    drawn by a hash.  A query searches the nearest cells that hold k + 1 vectors; the k-th
+    distance found is a bound, and of the other cells it visits those that a vector at this
+    distance or less can be in: one within their radius, and nearer to their pivot than to
+    the query's own.  Cells with many vectors or many visits are divided.
+    """
+    spark, take = near.sparkSession, k + 1
+    smallest = F.row_number().over(W.partitionBy("w").orderBy(F.col("ids")[0]))
+    kept = far.withColumn("_r", smallest).filter(F.col("_r") <= take).groupBy("w").agg(F.array_sort(F.collect_list(F.col("ids")[0])).alias("ids"))
+    refs = settled(kept)
+    groups = settled(near.groupBy("x").agg(F.min("cell_id").alias("query")))
+    size = refs.count()
+    drawn = refs.orderBy(F.xxhash64("w"), "w").limit(max(1, min(PIVOTS, int(size**0.5)))).select("w").toPandas()
+    pivots = _points(drawn["w"], metric) if len(drawn) else np.zeros((0, 1))
+    if not len(pivots):
+        return spark.createDataFrame([], "cell_id bigint, neighbour bigint, distance double, rank int")
+    room = 1e-7 * (1.0 + float(np.abs(pivots).max()))  # more than distances are rounded by
+
+    def place(batches):
+        for batch in batches:
+            if len(batch):
+                gaps = _gaps(_points(batch["w"], metric), pivots)
+                yield batch.assign(cell=gaps.argmin(axis=1), gap=gaps.min(axis=1))
+
+    placed = settled(refs.mapInPandas(place, "w array<double>, ids array<bigint>, cell int, gap double"))
+    cells = placed.groupBy("cell").agg(F.sum(F.size("ids")).alias("ids"), F.count("*").alias("n"), F.max("gap").alias("radius")).toPandas()  # as many as pivots
+    held, counts, radius = np.zeros(len(pivots), np.int64), np.zeros(len(pivots), np.int64), np.full(len(pivots), -np.inf)
+    held[cells["cell"]], counts[cells["cell"]], radius[cells["cell"]] = cells["ids"], cells["n"], cells["radius"]
+    blocks = np.maximum(1, -(-counts // BLOCK))
+
+    def first_cells(gaps: np.ndarray) -> np.ndarray:
+        """Which cells a query searches first: the nearest that hold k + 1 ids, or all."""
+        order = np.argsort(np.where(held > 0, gaps, np.inf), axis=1, kind="stable")
+        before = np.cumsum(held[order], axis=1) - held[order]
+        first = np.zeros(gaps.shape, bool)
+        np.put_along_axis(first, order, (before < take) & (held[order] > 0), axis=1)
+        return first
+
+    def first(batches):
+        for batch in batches:
+            for start in range(0, len(batch), CHUNK):
+                part = batch.iloc[start : start + CHUNK]
+                i, j = np.nonzero(first_cells(_gaps(_points(part["x"], metric), pivots)))
+                yield pd.DataFrame({"query": part["query"].to_numpy()[i], "x": part["x"].to_numpy()[i], "cell": j.astype(np.int32)})
+
+    def others(batches):
+        for batch in batches:
+            for start in range(0, len(batch), CHUNK):
+                part = batch.iloc[start : start + CHUNK]
+                gaps, bound = _gaps(_points(part["x"], metric), pivots), part["bound"].to_numpy()
+                bound = (np.sqrt(np.maximum(2 * bound, 0)) if metric == "cosine" else bound)[:, None] + room + 1e-7 * gaps
+                own = np.where(held > 0, gaps, np.inf).min(axis=1, keepdims=True)
+                i, j = np.nonzero((gaps - radius <= bound) & ((gaps - own) / 2 <= bound) & (held > 0) & ~first_cells(gaps))
+                yield pd.DataFrame({"query": part["query"].to_numpy()[i], "x": part["x"].to_numpy()[i], "cell": j.astype(np.int32)})
+
+    def searched(visits: DataFrame) -> DataFrame:
+        met = settled(visits)
+        asked = met.groupBy("cell").count().toPandas()  # as many as pivots
+        visited["pairs"] = visited.get("pairs", 0) + int((asked["count"] * held[asked["cell"]]).sum())
+        sides = np.maximum(1, -(-asked["count"] // QUERIES))
+        plan = spark.createDataFrame([(int(c), int(s), int(blocks[c])) for c, s in zip(asked["cell"], sides, strict=True)], "cell int, sides int, blocks int")
+        own = met.join(F.broadcast(plan), "cell").select("query", "x", "cell", F.pmod(F.xxhash64("query"), "sides").alias("side"), F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"))
+        other = placed.join(F.broadcast(plan), "cell").select("ids", "w", F.col("cell").alias("far_cell"), F.pmod(F.xxhash64("w"), "blocks").cast("int").alias("far_block"), F.explode(F.expr("sequence(0L, sides - 1L)")).alias("far_side"))
+        return settled(_searched(own, other, take, metric, False))
 
-    found = near.groupBy("side", "row").cogroup(far.groupBy("far_side", "far_row")).applyInPandas(search, "cell_id bigint, neighbour bigint, distance double")
-    rank = F.row_number().over(W.partitionBy("cell_id").orderBy("distance", "neighbour"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+    visit = "query bigint, x array<double>, cell int"
+    near_cells = searched(groups.select("query", "x").mapInPandas(first, visit))
+    worst = F.element_at(F.array_sort(F.collect_list("distance")), F.least(F.lit(take), F.count("*")).cast("int"))  # of the first cells' best
+    bounds = near_cells.groupBy("query").agg(worst.alias("bound"))
+    rest = searched(groups.join(bounds, "query").select("query", "x", "bound").mapInPandas(others, visit))
+    rank = F.row_number().over(W.partitionBy("query").orderBy("distance", "neighbour"))
+    best = near_cells.unionByName(rest).withColumn("_r", rank).filter(F.col("_r") <= take)
+    lists = best.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("distance", "neighbour"))).alias("best"))
+    each = near.join(groups, "x").select("cell_id", "query").join(lists, "query")
+    own = F.filter("best", lambda b: b["neighbour"] != F.col("cell_id")) if exclude_self else F.col("best")
+    out = each.select("cell_id", F.posexplode(F.slice(own, 1, k)).alias("_at", "_b"))
+    return out.select("cell_id", F.col("_b.neighbour").alias("neighbour"), F.col("_b.distance").alias("distance"), (F.col("_at") + 1).alias("rank"))
 
 
 def _rows(vectors: pd.Series, metric: str) -> np.ndarray:
