@@ -32,14 +32,15 @@ def united(n, pairs):
     return [find(i) for i in range(n)]
 
 
-def test_components_equal_union_find(spark):
+@pytest.mark.parametrize("few_edges", [0, 1 << 20])
+def test_components_equal_union_find(spark, few_edges):
     rng = random.Random(0)
     pairs = [(rng.randrange(80), rng.randrange(80)) for _ in range(45)] + [(i, i + 1) for i in range(100, 130)] + [(90, 90)]
     with Scratch(spark) as tmp:
-        got = {r.id: r.component for r in components(spark.createDataFrame(pairs + [(5, None)], "a bigint, b bigint"), "a", "b", tmp).collect()}
+        got = {r.id: r.component for r in components(spark.createDataFrame(pairs + [(5, None)], "a bigint, b bigint"), "a", "b", tmp, few_edges).collect()}
         want = united(140, pairs)
         assert all(got.get(i, i) == want[i] for i in range(140))
-        assert components(spark.createDataFrame([], "a bigint, b bigint"), "a", "b", tmp).count() == 0
+        assert components(spark.createDataFrame([], "a bigint, b bigint"), "a", "b", tmp, few_edges).count() == 0
 
 
 def test_shared_folder_is_the_clusters_own(spark):
@@ -431,6 +432,31 @@ def test_pipeline_stages_on_awkward_rows(spark):
     assert good.columns == docs.columns and good.count() <= len(rows)
 
 
+def test_pipeline_stages_keep_the_values_of_users_columns(spark):
+    """Types and values of columns that operators name themselves, after each stage but the last."""
+    import corpus_pipeline as cp
+
+    docs = documents(spark).withColumns({c: F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in ("score", "predicted", "hits", "spans", "own0")})
+    docs = docs.withColumns({"_rank": F.lit(77), "rank": F.array(F.lit("a")), "label": F.create_map(F.lit("k"), "doc_id"), "quality": F.lit(5), "n a.me": F.lit(True)}).select("score", "text", "doc_id", *[c for c in ("predicted", "hits", "spans", "own0", "_rank", "rank", "label", "quality", "source", "n")], F.col("`n a.me`"))
+    own = [i for i, c in enumerate(docs.columns) if c != "text"]
+    given = {repr([r[i] for i in own]) for r in docs.collect()}
+    for name, stage in cp.STAGES[:-1]:
+        found = stage(spark, docs, SF_DIR)
+        assert found.schema.simpleString() == docs.schema.simpleString(), name
+        rows = found.collect()
+        assert {repr([r[i] for i in own]) for r in rows} <= given and (rows or name == "quality"), name
+
+
+def test_pipeline_leaves_nothing_when_a_stage_fails(spark, monkeypatch, tmp_path):
+    import corpus_pipeline as cp
+
+    monkeypatch.setattr(cp, "shared_dir", lambda _, label: f"{tmp_path}/{label}")
+    monkeypatch.setattr(cp, "STAGES", [("first", lambda s, docs, d: docs), ("second", lambda s, docs, d: docs.limit(5)), ("third", lambda s, docs, d: 1 / 0)])
+    with pytest.raises(ZeroDivisionError):
+        cp.run(spark, SF_DIR)
+    assert not list(tmp_path.iterdir())
+
+
 def test_pipeline_runs(spark):
     import corpus_pipeline as cp
 
