@@ -16,6 +16,7 @@ Of decoded spans those stay whose digits fit their kind (a card passes Luhn's te
 
 from __future__ import annotations
 
+import functools
 import random
 import re
 import zlib
@@ -36,6 +37,9 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]")
+#: Windows of a long run that are decoded at once, and those beyond them on each side that
+#: are decoded with them: a tag depends on what follows it by so many characters at most.
+STRETCH, LAG = 256, 8
 
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 SYMBOLS = 99
@@ -278,8 +282,10 @@ class Examples:
         return symbols(text)[start : start + self.length], np.array(tags)[start : start + self.length]
 
 
+@functools.cache
 def train(params: PiiParams = PiiParams()) -> PiiModel:
-    """Adam on batches of made examples; the same parameters give the same model."""
+    """Adam on batches of made examples; the same parameters give the same model, which a
+    process makes once."""
     model = new_model(params)
     examples = Examples(random.Random(params.seed + 1), params.length)
     weights = model.weights()
@@ -340,17 +346,24 @@ class Reader:
                 runs[-1].append((k, s))
             else:
                 runs.append([(k, s)])
-        runs.sort(key=len)
-        i = 0
-        while i < len(runs):
+        # A long run is decoded in stretches that overlap, so that memory doesn't grow with it.
+        pieces = [(r, i, run[max(0, i - LAG) : i + STRETCH + LAG]) for r, run in enumerate(runs) for i in range(0, len(run), STRETCH)]
+        pieces.sort(key=lambda piece: len(piece[2]))
+        tags = [np.zeros(min(run[-1][1] + p.window, len(texts[run[0][0]])) - run[0][1], np.int8) for run in runs]
+        at = 0
+        while at < len(pieces):
             some, size = [], 0
-            while i < len(runs) and (not some or size + len(runs[i]) <= self.at_once):
-                some.append(runs[i])
-                size += len(runs[i])
-                i += 1
-            for run, tags in zip(some, self._decode(texts, some)):
-                k, start = run[0]
-                found[k] += self._spans(texts[k], start, tags)
+            while at < len(pieces) and (not some or size + len(pieces[at][2]) <= self.at_once):
+                some.append(pieces[at])
+                size += len(pieces[at][2])
+                at += 1
+            for (r, i, piece), read in zip(some, self._decode(texts, [piece for _, _, piece in some])):
+                run, zero = runs[r], runs[r][0][1]
+                first, end = run[i][1], run[i + STRETCH][1] if i + STRETCH < len(run) else zero + len(tags[r])
+                tags[r][first - zero : end - zero] = read[first - piece[0][1] : end - piece[0][1]]
+        for run, read in zip(runs, tags):
+            k, start = run[0]
+            found[k] += self._spans(texts[k], start, read)
         return found
 
     def _decode(self, texts, runs):

@@ -1,6 +1,7 @@
 """Operators on single texts: tokens, secrets, licenses, personal data, quality, language."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -259,6 +260,25 @@ def test_pii_windows_that_are_not_read_hold_nothing(spark, pii_model):
     assert total > 40 and sum(len(set(a) ^ set(b)) for a, b in zip(some, every)) <= 0.02 * total
 
 
+def test_pii_long_runs_are_read_in_stretches(pii_model, monkeypatch):
+    """As at once, and in memory that doesn't grow as a run's sums would."""
+    import tracemalloc
+
+    rng = random.Random(4)
+    line = lambda: f"call {rng.randrange(10**9)} or +{rng.randrange(10**11)} 12 34, at {rng.randrange(300)}.{rng.randrange(300)}.1.7 a@b{rng.randrange(9)}.org; "
+    text = "".join(line() for _ in range(900))
+    reader = pii.Reader(pii_model)
+    found = reader.spans([text, "x", text[:5_000]])
+    with monkeypatch.context() as m:
+        m.setattr(pii, "STRETCH", 10**9)
+        assert sorted(found[0]) == sorted(reader.spans([text])[0]) and len(found[0]) > 100
+    digits = "1234567890 " * 60_000
+    tracemalloc.start()
+    reader.spans([digits])
+    assert tracemalloc.get_traced_memory()[1] < 70 * len(digits)
+    tracemalloc.stop()
+
+
 def test_pii_reading_doesnt_depend_on_company(pii_model):
     reader = pii.Reader(pii_model)
     made = ["tell (706) 555-3138 " + "word " * 50, "9.9.9.9 " + "the " * 90 + "a@b.com"]
