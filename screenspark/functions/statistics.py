@@ -6,36 +6,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from screenspark.sources.storage import settled
+
 
 def sparse_percentile(x: DataFrame, genes: DataFrame, n_cells: DataFrame, q: float) -> DataFrame:
     """(gene_name, threshold): linear percentile of each gene over all cells.
 
-    The entries not stored are zeros.  Equal values are counted first, then values are
-    accumulated in order, so that no gene's entries are gathered in one place.
+    The entries not stored are zeros.  Equal values are counted first, then ranges of
+    values are accumulated for themselves, so that no gene's entries are gathered in one
+    place, however many values it has.
     """
-    stored = x.filter("value <> 0").groupBy("gene_name", "value").agg(F.count("*").alias("n"))
-    nnz = stored.groupBy("gene_name").agg(F.sum("n").alias("nnz"))
+    stored = settled(x.filter("value <> 0").groupBy("gene_name", F.col("value").cast("double").alias("value")).agg(F.count("*").alias("_count")))
+    nnz = stored.groupBy("gene_name").agg(F.sum("_count").alias("nnz"))
+    names = genes.select("gene_name").distinct()
     zeros = (
-        genes.select("gene_name").distinct().join(nnz, "gene_name", "left").crossJoin(F.broadcast(n_cells))
-        .select("gene_name", F.lit(0.0).alias("value"), (F.col("n_cells") - F.coalesce("nnz", F.lit(0))).alias("n"))
+        names.join(nnz, "gene_name", "left").crossJoin(F.broadcast(n_cells))
+        .select("gene_name", F.lit(0.0).alias("value"), (F.col("n_cells") - F.coalesce("nnz", F.lit(0))).alias("_count"))
     )
-    counts = zeros.unionByName(stored.join(genes.select("gene_name"), "gene_name", "left_semi").withColumn("value", F.col("value").cast("double")))
-    upto = F.sum("n").over(W.partitionBy("gene_name").orderBy("value"))
-    h = (F.sum("n").over(W.partitionBy("gene_name")) - 1) * F.lit(float(q))
-    at = counts.select("gene_name", "value", upto.alias("upto"), h.alias("h"))
-    ends = at.groupBy("gene_name").agg(
-        F.min(F.when(F.col("upto") > F.floor("h"), F.col("value"))).alias("low"),
-        F.min(F.when(F.col("upto") > F.ceil("h"), F.col("value"))).alias("high"),
-        F.first("h").alias("h"),
-    )
-    return ends.select("gene_name", (F.col("low") + (F.col("high") - F.col("low")) * (F.col("h") - F.floor("h"))).alias("threshold"))
+    counts = zeros.unionByName(stored.join(names, "gene_name", "left_semi"))
+    return _at_quantile(_accumulated(counts, "value", ("gene_name",)), "value", q, "threshold", ("gene_name",))
+
 
+def average_ranks(rows: DataFrame, value: str, *by: str, name: str = "rank") -> DataFrame:
+    """``rows`` with the rank of a value within its group, the mean of the ranks of ties.
 
-def average_rank(value: str, *within: str) -> Column:
-    """Rank with the mean of the ranks of ties."""
-    w = W.partitionBy(*within) if within else W.partitionBy(F.lit(0))
-    ties = W.partitionBy(*within, value) if within else W.partitionBy(value)
-    return F.rank().over(w.orderBy(value)) + (F.count("*").over(ties) - 1) / 2
+    A null value has no rank.  Ranges of values are ranked for themselves, so that no group,
+    nor the whole table, is sorted in one place.
+    """
+    at = cumulative(rows, value, *by).select(*by, value, ((2 * F.col("_upto") - F.col("_count") + 1) / 2).alias(name))
+    return rows.join(at, [*by, value], "left")
 
 
 def _offset(rows: DataFrame, weight: Column, by: tuple[str, ...]) -> DataFrame:
@@ -53,28 +52,37 @@ def _ranged(rows: DataFrame, column: str, by: tuple[str, ...], ranges: int = 128
     return marked.withColumn("_bucket", F.expr(f"size(filter(_cuts, c -> c < {column}))")).drop("_cuts")
 
 
+def _accumulated(counts: DataFrame, column: str, by: tuple[str, ...]) -> DataFrame:
+    """(by..., column, _count, _upto, _total) of rows that have a value and its ``_count``."""
+    counts = _ranged(counts, column, by)
+    before = _offset(counts, F.col("_count"), by)
+    inside = F.sum("_count").over(W.partitionBy(*by, "_bucket").orderBy(column))
+    return counts.withColumn("_in", inside).join(before, [*by, "_bucket"]).select(*by, column, "_count", (F.col("_in") + F.col("_before")).alias("_upto"), F.col("_all").alias("_total"))
+
+
 def cumulative(values: DataFrame, column: str, *by: str) -> DataFrame:
     """(by..., column, _count, _upto, _total) of the distinct values that aren't null: how
     many rows hold a value, it or a smaller one, and any.
 
-    Equal values are counted first and ranges of values accumulated for themselves, so that
-    no group is sorted in one place.
+    Equal values are counted first, once, and ranges of values accumulated for themselves,
+    so that no group is sorted in one place.
     """
-    counts = _ranged(values.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("_count")), column, by)
-    before = _offset(counts, F.col("_count"), by)
-    inside = F.sum("_count").over(W.partitionBy(*by, "_bucket").orderBy(column))
-    return counts.withColumn("_in", inside).join(before, [*by, "_bucket"]).select(*by, column, "_count", (F.col("_in") + F.col("_before")).alias("_upto"), F.col("_all").alias("_total"))
+    return _accumulated(settled(values.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("_count"))), column, by)
 
 
-def quantile(values: DataFrame, column: str, q: float, name: str, *by: str) -> DataFrame:
-    """(by..., name): the linear quantile of a column, exact, null without values."""
-    at = cumulative(values, column, *by).withColumn("_h", (F.col("_total") - 1) * F.lit(float(q)))
+def _at_quantile(accumulated: DataFrame, column: str, q: float, name: str, by: tuple[str, ...]) -> DataFrame:
+    at = accumulated.withColumn("_h", (F.col("_total") - 1) * F.lit(float(q)))
     low = F.min(F.when(F.col("_upto") > F.floor("_h"), F.col(column)))
     high = F.min(F.when(F.col("_upto") > F.ceil("_h"), F.col(column)))
     h = F.first("_h")
     return at.groupBy(*by).agg((low + (high - low) * (h - F.floor(h))).cast("double").alias(name))
 
 
+def quantile(values: DataFrame, column: str, q: float, name: str, *by: str) -> DataFrame:
+    """(by..., name): the linear quantile of a column, exact, null without values."""
+    return _at_quantile(cumulative(values, column, *by), column, q, name, by)
+
+
 def rank_by(rows: DataFrame, key: Column, tie: str, *by: str, name: str = "rank") -> DataFrame:
     """``rows`` with their 1-based rank in the order of a hexadecimal hash, then of ``tie``.
 

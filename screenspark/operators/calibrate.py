@@ -9,10 +9,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenspark.functions.statistics import average_rank, percentile_of_score
+from screenspark.functions.statistics import average_ranks, percentile_of_score
 from screenspark.functions.vectors import dot, norm
 from screenspark.operators import counterfactual, embed, neighbours
 from screenspark.operators.hvg import uniform_sample
+from screenspark.sources.storage import settled
 from screenspark.spec import ScreenSpec
 
 OBJECTIVES = ("rank_preservation", "discrimination", "stability")
@@ -21,7 +22,8 @@ OBJECTIVES = ("rank_preservation", "discrimination", "stability")
 def rank_disruption(pairs: DataFrame, *by: str) -> DataFrame:
     """(by..., rank_disruption) of (by..., cell_id, i, pre, post): one minus the mean
     over features of the rank correlation; constant features say nothing, none give 1."""
-    ranked = pairs.select(*by, "i", average_rank("pre", *by, "i").alias("a"), average_rank("post", *by, "i").alias("b"))
+    pairs = settled(pairs.select(*by, "i", "pre", "post"))
+    ranked = average_ranks(average_ranks(pairs, "pre", *by, "i", name="a"), "post", *by, "i", name="b")
     per = ranked.groupBy(*by, "i").agg(F.corr("a", "b").alias("rho"), F.stddev_pop("a").alias("sa"), F.stddev_pop("b").alias("sb"))
     good = F.when((F.col("sa") > 1e-10) & (F.col("sb") > 1e-10) & ~F.isnan("rho"), F.col("rho"))
     out = per.groupBy(*by) if by else per.groupBy()

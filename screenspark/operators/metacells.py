@@ -29,8 +29,9 @@ def grainings(obs: DataFrame, *by: str, base: int = 10) -> DataFrame:
 
 def dealt_metacells(obs: DataFrame, *by: str, base: int = 10) -> DataFrame:
     """Cells dealt out over the metacells of their group in the order of their ids."""
-    ranked = rank_in_ranges(obs, "cell_id", *by, name="_r").join(grainings(obs, *by, base=base), list(by))
-    return ranked.withColumn("metacell", ((F.col("_r") - 1) % F.col("n_metacells")).cast("bigint")).select(*obs.columns, "metacell")
+    ids = settled(obs.select("cell_id", *by))
+    ranked = rank_in_ranges(ids, "cell_id", *by, name="_r").join(grainings(ids, *by, base=base), list(by))
+    return obs.join(ranked.select("cell_id", ((F.col("_r") - 1) % F.col("n_metacells")).cast("bigint").alias("metacell")), "cell_id")
 
 
 def lloyd(x: np.ndarray, k: int, rounds: int = 50) -> np.ndarray:

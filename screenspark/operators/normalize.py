@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from screenspark.functions.statistics import quantile
 from screenspark.model import CountMatrix
+from screenspark.sources.storage import settled
 from screenspark.spec import ScreenSpec
 
 
@@ -14,17 +15,22 @@ def library_sizes(m: CountMatrix) -> DataFrame:
     return m.x.groupBy("cell_id").agg(F.sum(F.col("value").cast("double")).alias("total"))
 
 
+def _median(sizes: DataFrame, by: str) -> DataFrame:
+    return quantile(sizes.filter("total > 0"), "total", 0.5, "median_size", by)
+
+
 def median_size(m: CountMatrix, by: str = "split") -> DataFrame:
     """(split, median_size) of the cells that have any counts."""
-    return quantile(m.obs.select("cell_id", by).join(library_sizes(m).filter("total > 0"), "cell_id"), "total", 0.5, "median_size", by)
+    return _median(m.obs.select("cell_id", by).join(library_sizes(m), "cell_id"), by)
 
 
 def normalise(m: CountMatrix, spec: ScreenSpec, by: str = "split") -> CountMatrix:
     """Each cell scaled to the target, by default the median of its split, then
-    log(1 + v); cells without counts stay as they are."""
+    log(1 + v); cells without counts stay as they are.  The sizes are summed up once."""
     sizes = library_sizes(m)
     if spec.target_sum is None:
-        goal = sizes.join(m.obs.select("cell_id", by), "cell_id").join(F.broadcast(median_size(m, by)), by).select("cell_id", "total", F.col("median_size").alias("target"))
+        sizes = settled(sizes.join(m.obs.select("cell_id", by), "cell_id"))
+        goal = sizes.join(F.broadcast(_median(sizes, by)), by).select("cell_id", "total", F.col("median_size").alias("target"))
     else:
         goal = sizes.withColumn("target", F.lit(float(spec.target_sum)))
     factor = F.when(F.col("total") > 0, F.col("target") / F.col("total")).otherwise(1.0)

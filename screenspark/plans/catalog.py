@@ -663,7 +663,7 @@ def n29(spark, d):
 
 @query("w12_avg_rank", "SELECT p_partkey, RANK() OVER (PARTITION BY p_type ORDER BY p_size) + (COUNT(*) OVER (PARTITION BY p_type, p_size) - 1) / 2 AS rank FROM part")
 def w12(spark, d):
-    return fx.table(spark, d, "part").select("p_partkey", statistics.average_rank("p_size", "p_type").alias("rank"))
+    return statistics.average_ranks(fx.table(spark, d, "part").select("p_partkey", "p_type", "p_size"), "p_size", "p_type").select("p_partkey", "rank")
 
 
 @query("w13_percentileofscore", "SELECT p_partkey, ROUND((SELECT (COUNT_IF(b.p_size < a.p_size) + COUNT_IF(b.p_size <= a.p_size) + 1) * 50.0 / COUNT(*) FROM part b), 6) AS p_size_pct FROM part a")
