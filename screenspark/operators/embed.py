@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenspark.model import CountMatrix
+from screenspark.sources.storage import settled
 
 
 def signed(components: np.ndarray) -> np.ndarray:
@@ -36,35 +37,71 @@ def summed(parts: DataFrame) -> list:
     return parts.groupBy("row").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums")).collect()
 
 
-def truncated_svd(fit: CountMatrix, k: int) -> Basis:
-    """Right singular vectors of the uncentred matrix, from its Gramian.
+def _gram_times(cells: DataFrame, q: np.ndarray) -> np.ndarray:
+    """The Gramian times ``q`` (features x few), a sum over cells (i, v) of their sparse rows.
 
-    The Gramian of the selected genes, thousands at most, is a sum over cells: each cell's
-    entries are gathered, tasks add up products of some cells at a time, and rows of these
-    sums are added before they come to the driver.
+    A task emits a sum of the size of ``q``; products are taken over stored entries alone.
     """
-    names = [r.gene_name for r in fit.var.select("gene_name").distinct().orderBy("gene_name").collect()]
-    index = fit.x.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "gene_name string, i int")
-    cells = fit.x.join(F.broadcast(index), "gene_name").groupBy("cell_id").agg(F.collect_list("i").alias("i"), F.collect_list(F.col("value").cast("double")).alias("v"))
-    g = len(names)
+    sent = cells.sparkSession.sparkContext.broadcast(q)
 
     def add(batches):
-        total = np.zeros((g, g))
+        q = sent.value
+        total = np.zeros(q.shape)
         for batch in batches:
-            for start in range(0, len(batch), 512):
-                at, values = batch["i"].iloc[start : start + 512], batch["v"].iloc[start : start + 512]
-                dense = np.zeros((len(at), g))
-                np.add.at(dense, (np.repeat(np.arange(len(at)), at.map(len)), np.concatenate(at.to_list())), np.concatenate(values.to_list()))
-                total += dense.T @ dense
-        yield pd.DataFrame({"row": np.arange(g), "sums": list(total)})
-
-    gram = np.zeros((g, g))
-    for row in summed(cells.select("i", "v").mapInPandas(add, "row int, sums array<double>")):
-        gram[row.row] = row.sums
-    values, vectors = np.linalg.eigh(gram)
-    order = np.argsort(values)[::-1][: min(k, g)]
-    share = np.maximum(values[order], 0) / max(np.trace(gram), 1e-300)
-    return Basis(names, signed(vectors[:, order].T), np.zeros(g), share)
+            ends = np.cumsum(batch["i"].map(len).to_numpy())
+            cuts = [0, *(np.flatnonzero(np.diff(ends // 50_000)) + 1).tolist(), len(batch)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                if hi > lo:
+                    at, v = np.concatenate(batch["i"].iloc[lo:hi].to_list()), np.concatenate(batch["v"].iloc[lo:hi].to_list())
+                    size = batch["i"].iloc[lo:hi].map(len).to_numpy()
+                    scores = np.add.reduceat(v[:, None] * q[at], np.cumsum(size) - size)  # no cell is without entries
+                    order = np.argsort(at, kind="stable")
+                    genes, first = np.unique(at[order], return_index=True)
+                    total[genes] += np.add.reduceat((v[:, None] * np.repeat(scores, size, axis=0))[order], first)
+        yield pd.DataFrame({"row": np.arange(len(total)), "sums": list(total)})
+
+    out = np.zeros(q.shape)
+    for row in summed(cells.mapInPandas(add, "row int, sums array<double>")):
+        out[row.row] = row.sums
+    sent.destroy()
+    return out
+
+
+def truncated_svd(fit: CountMatrix, k: int, extra: int = 10, passes: int = 30, tolerance: float = 1e-11) -> Basis:
+    """The first k right singular vectors of the uncentred matrix, without its Gramian.
+
+    A random block of k + ``extra`` directions is multiplied by the Gramian in one pass over
+    the cells; what is new in the product is the next block (block Krylov).  After each pass
+    the best k directions in all blocks are taken, until their residual is less than
+    ``tolerance`` of the largest eigenvalue.  The driver holds blocks of features x (k + extra)
+    and decides; the features are the selected ones, thousands at most.
+    """
+    names = [r.gene_name for r in fit.var.select("gene_name").distinct().orderBy("gene_name").collect()]
+    g = len(names)
+    index = fit.x.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "gene_name string, i int")
+    entries = fit.x.filter("value <> 0").join(F.broadcast(index), "gene_name").select("cell_id", "i", F.col("value").cast("double").alias("v"))  # as many rows as features
+    cells = settled(entries.groupBy("cell_id").agg(F.collect_list("i").alias("i"), F.collect_list("v").alias("v")).select("i", "v"))
+    squares = cells.select(F.sum(F.expr("aggregate(v, 0D, (s, x) -> s + x * x)"))).first()[0] or 0.0
+    k = min(k, g)
+    block = np.linalg.qr(np.random.default_rng(0).normal(size=(g, min(g, k + extra))))[0]
+    basis, image = np.zeros((g, 0)), np.zeros((g, 0))
+    values, vectors = np.zeros(k), np.eye(g)[:, :k]
+    for _ in range(passes if squares else 0):
+        product = _gram_times(cells, block)
+        basis, image = np.hstack([basis, block]), np.hstack([image, product])
+        small = basis.T @ image
+        found, turn = np.linalg.eigh((small + small.T) / 2)
+        values, turn = found[::-1][:k], turn[:, ::-1][:, :k]
+        vectors = basis @ turn
+        if basis.shape[1] >= g or np.linalg.norm(image @ turn - vectors * values, axis=0).max() <= tolerance * values[0]:
+            break
+        for _ in range(2):
+            product = product - basis @ (basis.T @ product)
+        left, sizes, _ = np.linalg.svd(product, full_matrices=False)
+        block = left[:, sizes > 1e-13 * values[0]][:, : g - basis.shape[1]]
+        if not block.shape[1]:
+            break
+    return Basis(names, signed(vectors.T), np.zeros(g), np.maximum(values, 0) / max(squares, 1e-300))
 
 
 def project_sparse(m: CountMatrix, basis: Basis) -> DataFrame:

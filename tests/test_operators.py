@@ -232,3 +232,26 @@ def test_preflight(spark):
     assert (found.perturbation_column, found.control_label, found.batch_column, found.cell_line_column) == ("target_gene", "NT", "gem_group", "cell_line")
     assert (found.perturbation_type, found.modality, found.is_combinatorial) == ("CRISPRa", "scrna_seq", False)
     assert "control_label: NT" in suggested_yaml(found)
+
+
+@pytest.mark.parametrize(("n", "g", "k"), [(300, 60, 4), (200, 25, 25), (50, 12, 30), (400, 90, 6)])
+def test_svd_without_a_gramian_is_numpys(spark, n, g, k):
+    """Angles to numpy's directions, and the absolute scores of each component."""
+    rng = np.random.default_rng(n)
+    dense = rng.poisson(rng.gamma(0.5, 2.0, size=(1, g)) * rng.gamma(1.0, 1.0, size=(n, 1)) * 0.7).astype(float)
+    m = matrix_of(spark, dense)
+    basis = embed.truncated_svd(m, k)
+    order = [int(name[1:]) for name in basis.names]
+    _, s, vt = np.linalg.svd(dense[:, order], full_matrices=False)
+    k = min(k, g)
+    rank = int((s[:k] > 1e-9 * s[0]).sum())
+    cosines = np.linalg.svd(vt[:rank] @ basis.components[:rank].T)[1]
+    assert np.sqrt(np.maximum(0, 1 - cosines**2)).max() < 1e-6
+    assert np.allclose(basis.variance_ratio, np.resize(s, k) ** 2 / (s**2).sum() if len(s) >= k else basis.variance_ratio, atol=1e-9)
+    scores = np.array([r.v for r in embed.project_sparse(m, basis).orderBy("cell_id").collect()])
+    assert np.allclose(np.abs(scores[:, : min(5, rank)]), np.abs(dense[:, order] @ vt[: min(5, rank)].T), atol=1e-6)
+
+
+def test_svd_of_nothing(spark):
+    basis = embed.truncated_svd(matrix_of(spark, np.zeros((3, 4))), 2)
+    assert basis.components.shape == (2, 4) and not basis.variance_ratio.any()
