@@ -2,11 +2,99 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from screenspark.functions.statistics import cumulative
+from screenspark.functions.statistics import average_ranks, cumulative
+from screenspark.operators.neighbours import nearest
+from screenspark.sources.storage import settled
+
+
+def density(values: DataFrame, column: str, points: int = 512, adjust: float = 1.0, cut: float = 3.0) -> DataFrame:
+    """(x, density): a Gaussian kernel estimate of a column on a grid of so many points.
+
+    The bandwidth is Scott's, n^(-1/5) sample deviations, times ``adjust``; the grid goes
+    ``cut`` bandwidths beyond the values (0 for a violin).  Values are counted by grid point,
+    in shares of the two that they lie between, so one pass makes at most ``points`` rows;
+    these are spread over the grid by the kernel, up to six bandwidths.  Missing values count
+    for nothing; fewer than two different values have no density.
+    """
+    v = F.col("_v")
+    rows = values.select(F.col(column).cast("double").alias("_v")).filter(v.isNotNull() & ~F.isnan(v))
+    ends = rows.agg(F.count("*").alias("_n"), F.stddev_samp(v).alias("_s"), F.min(v).alias("_min"), F.max(v).alias("_max")).filter("_s > 0")
+    ends = ends.withColumn("_bw", F.col("_s") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)) * adjust)
+    ends = ends.withColumn("_low", F.col("_min") - cut * F.col("_bw")).withColumn("_step", (F.col("_max") + cut * F.col("_bw") - F.col("_low")) / (points - 1))
+    place = rows.crossJoin(F.broadcast(ends.select("_low", "_step"))).select(((v - F.col("_low")) / F.col("_step")).alias("_p"))  # one row
+    place = place.withColumn("_i", F.least(F.floor("_p"), F.lit(points - 2)).cast("int"))
+    shares = F.explode(F.array(F.struct(F.col("_i").alias("i"), (1 - (F.col("_p") - F.col("_i"))).alias("w")), F.struct((F.col("_i") + 1).alias("i"), (F.col("_p") - F.col("_i")).alias("w"))))
+    bins = place.select(shares.alias("_b")).groupBy(F.col("_b.i").alias("i")).agg(F.sum("_b.w").alias("w")).crossJoin(F.broadcast(ends))  # one row
+    reach = F.ceil(6 * F.col("_bw") / F.col("_step")).cast("int")
+    spread = bins.select("i", "w", "_n", "_bw", "_low", "_step", F.explode(F.sequence(F.greatest(F.lit(0), F.col("i") - reach), F.least(F.lit(points - 1), F.col("i") + reach))).alias("g"))
+    kernel = F.exp(-0.5 * F.pow((F.col("g") - F.col("i")) * F.col("_step") / F.col("_bw"), F.lit(2.0))) / (F.col("_n") * F.col("_bw") * float(np.sqrt(2 * np.pi)))
+    spread = spread.groupBy("g", "_low", "_step").agg(F.sum(F.col("w") * kernel).alias("density"))
+    grid = ends.select("_low", "_step", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("g"))
+    out = grid.join(spread.select("g", "density"), "g", "left")
+    return out.select((F.col("_low") + F.col("g") * F.col("_step")).alias("x"), F.coalesce("density", F.lit(0.0)).alias("density"))
+
+
+def density_2d(values: DataFrame, x: str, y: str, points: int = 320, adjust: float = 1.0, cut: float = 3.0) -> DataFrame:
+    """(x, y, density) on a grid of points x points: as ``density``, with the covariance of
+    both columns and n^(-1/6).
+
+    Rows are counted by grid point, in shares of the four around them; the grid, at most
+    ``points`` squared rows, is folded with the kernel in one task.  Rows that miss a value
+    count for nothing; values on a line have no density.
+    """
+    a, b = F.col("_x"), F.col("_y")
+    rows = values.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).filter(a.isNotNull() & b.isNotNull() & ~F.isnan(a) & ~F.isnan(b))
+    one = rows.agg(F.count("*").alias("n"), F.var_samp(a).alias("xx"), F.var_samp(b).alias("yy"), F.covar_samp(a, b).alias("xy"), F.min(a), F.max(a), F.min(b), F.max(b)).first()
+    schema = "x double, y double, density double"
+    if one.n < 3 or not one.xx * one.yy - one.xy**2 > 1e-12 * one.xx * one.yy:
+        return values.sparkSession.createDataFrame([], schema)
+    scale = one.n ** (-1 / 6) * adjust
+    cov = np.array([[one.xx, one.xy], [one.xy, one.yy]]) * scale**2
+    low = np.array([one[4] - cut * cov[0, 0] ** 0.5, one[6] - cut * cov[1, 1] ** 0.5])
+    step = (np.array([one[5] + cut * cov[0, 0] ** 0.5, one[7] + cut * cov[1, 1] ** 0.5]) - low) / (points - 1)
+    place = rows.select(*(((c - float(low[k])) / float(step[k])).alias(f"p{k}") for k, c in enumerate((a, b))))
+    place = place.withColumns({f"i{k}": F.least(F.floor(f"p{k}"), F.lit(points - 2)) for k in range(2)})
+    share = lambda k, up: (F.col(f"p{k}") - F.col(f"i{k}")) if up else (1 - F.col(f"p{k}") + F.col(f"i{k}"))
+    corners = F.explode(F.array(*(F.struct((F.col("i0") + u).alias("i"), (F.col("i1") + v).alias("j"), (share(0, u) * share(1, v)).alias("w")) for u in (0, 1) for v in (0, 1))))
+    bins = place.select(corners.alias("c")).groupBy(F.col("c.i").alias("i"), F.col("c.j").alias("j")).agg(F.sum("c.w").alias("w"))
+    n = one.n
+
+    def fold(batches):
+        grid = np.zeros((points, points))
+        for batch in batches:
+            grid[batch["i"].to_numpy(), batch["j"].to_numpy()] += batch["w"].to_numpy()
+        off = np.arange(-points + 1, points)
+        dx, dy = np.meshgrid(off * step[0], off * step[1], indexing="ij")
+        inverse = np.linalg.inv(cov)
+        kernel = np.exp(-0.5 * (inverse[0, 0] * dx * dx + 2 * inverse[0, 1] * dx * dy + inverse[1, 1] * dy * dy)) / (2 * np.pi * np.linalg.det(cov) ** 0.5 * n)
+        size = (3 * points,) * 2
+        whole = np.fft.irfft2(np.fft.rfft2(grid, size) * np.fft.rfft2(kernel, size), size)[points - 1 : 2 * points - 1, points - 1 : 2 * points - 1]
+        i, j = np.indices(whole.shape)
+        yield pd.DataFrame({"x": (low[0] + i * step[0]).ravel(), "y": (low[1] + j * step[1]).ravel(), "density": np.maximum(whole, 0).ravel()})
+
+    return bins.coalesce(1).mapInPandas(fold, schema)
+
+
+def front_distances(points: DataFrame, front: DataFrame, x: str, y: str, score: str, key: str = "point") -> DataFrame:
+    """(key, distance, marker_size, score_rank): how far each point is from the nearest of
+    ``front`` (keys), with x and y scaled to 0..1; 1 if there is no front.
+
+    ``score_rank`` is the mean rank of the score from 0 to 1, null for a single point.  The
+    nearest is searched exactly (``neighbours.nearest``), not among all pairs.
+    """
+    ends = points.agg(*(f(c).alias(f"_{n}_{k}") for k, c in enumerate((x, y)) for n, f in (("low", F.min), ("high", F.max))), F.count("*").alias("_n"))
+    unit = [(F.col(c) - F.col(f"_low_{k}")) / (F.col(f"_high_{k}") - F.col(f"_low_{k}") + 1e-9) for k, c in enumerate((x, y))]
+    placed = settled(points.crossJoin(F.broadcast(ends)).select(key, score, "_n", F.array(*unit).alias("v")).withColumn("cell_id", F.monotonically_increasing_id()))  # one row
+    near = nearest(placed, placed.join(front.select(key).distinct(), key, "left_semi"), 1).select("cell_id", "distance")
+    out = average_ranks(placed, score, name="_r").join(near, "cell_id", "left").withColumn("distance", F.coalesce("distance", F.lit(1.0)))
+    rank = F.try_divide(F.col("_r") - 1, F.col("_n") - 1)
+    return out.select(key, "distance", (20 + 160 * F.exp(-4 * F.col("distance"))).alias("marker_size"), rank.alias("score_rank"))
 
 
 def step_drops(waterfall: DataFrame, count: str = "n_cells") -> DataFrame:

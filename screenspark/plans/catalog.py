@@ -653,6 +653,26 @@ def n28(spark, d):
     return calibrate.pareto_front(points(spark, d)).select("point")
 
 
+@query("n28_front_distance", f"""{POINTS}, u AS (SELECT point, stability, (rank_preservation - MIN(rank_preservation) OVER ()) / (MAX(rank_preservation) OVER () - MIN(rank_preservation) OVER () + 1e-9) AS x,
+(discrimination - MIN(discrimination) OVER ()) / (MAX(discrimination) OVER () - MIN(discrimination) OVER () + 1e-9) AS y FROM pt), f AS (SELECT DISTINCT x, y FROM u JOIN front USING (point)),
+d AS (SELECT u.point, MIN(SQRT(POWER(u.x - f.x, 2) + POWER(u.y - f.y, 2))) AS d FROM u, f GROUP BY 1),
+r AS (SELECT point, (RANK() OVER (ORDER BY stability) + (COUNT(*) OVER (PARTITION BY stability) - 1) / 2 - 1) / (COUNT(*) OVER () - 1) AS r FROM u)
+SELECT point, ROUND(d, 6) AS distance, ROUND(20 + 160 * EXP(-4 * d), 6) AS marker_size, ROUND(r, 6) AS score_rank FROM d JOIN r USING (point)""")
+def n28_front_distance(spark, d):
+    p = points(spark, d)
+    found = diagnostics.front_distances(p, calibrate.pareto_front(p), "rank_preservation", "discrimination", "stability")
+    return found.select("point", r6("distance"), r6("marker_size"), r6("score_rank"))
+
+
+@query("w20_density", f"""{COARSE}{QC}, v AS (SELECT total_counts AS v FROM qc), e AS (SELECT COUNT(*) AS n, STDDEV_SAMP(v) * POWER(COUNT(*), -0.2) AS bw, MIN(v) AS lo, MAX(v) AS hi FROM v),
+s AS (SELECT n, bw, lo - 3 * bw AS low, (hi - lo + 6 * bw) / 511 AS step FROM e), p AS (SELECT (v - low) / step AS p, LEAST(FLOOR((v - low) / step), 510) AS i FROM v, s),
+b AS (SELECT i, SUM(w) AS w FROM (SELECT i, 1 - (p - i) AS w FROM p UNION ALL SELECT i + 1, p - i FROM p) GROUP BY 1), g AS (SELECT UNNEST(range(512)) AS g)
+SELECT ROUND(ANY_VALUE(low + g * step), 4) AS x, ROUND(1000 * SUM(w * EXP(-0.5 * POWER((g - i) * step / bw, 2)) / (n * bw * SQRT(2 * PI()))), 6) AS density FROM g, b, s GROUP BY g""")
+def w20_density(spark, d):
+    """Density of the cells' total counts, in thousandths."""
+    return diagnostics.density(metrics(spark, d), "total_counts").select(F.round("x", 4).alias("x"), F.round(1000 * F.col("density"), 6).alias("density"))
+
+
 PCT = lambda o: f"(SELECT (COUNT_IF(b.{o} < a.{o}) + COUNT_IF(b.{o} <= a.{o}) + 1) * 50.0 / COUNT(*) FROM pt b)"
 UNIT = lambda o: f"COALESCE((a.{o} - (SELECT MIN({o}) FROM pt)) / NULLIF((SELECT MAX({o}) - MIN({o}) FROM pt), 0), 1.0)"
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -162,6 +163,24 @@ def s14(spark, d):
     return found.filter(F.lit(len(made) == 1))
 
 
+@query("s14_shards", f"{COARSE} SELECT pert, COUNT(*) AS n_cells, TRUE AS recovered FROM obs GROUP BY 1")
+def s14_shards(spark, d):
+    """A run that stops in the third of five shards, and one that makes only what is missing."""
+    path, made = new_path(spark, "shards"), []
+    obs = fx.coarse(spark, d).obs.withColumn("bucket", F.pmod(F.crc32(F.col("pert").cast("binary")), F.lit(5)))
+
+    def make(shard):
+        made.append(shard)
+        if made == ["0", "1", "2"]:
+            raise InterruptedError
+        return obs.filter(F.col("bucket") == int(shard)).groupBy("pert").agg(F.count("*").alias("n_cells"))
+
+    with contextlib.suppress(InterruptedError):
+        matrix.recovered(spark, path, list("01234"), make)
+    found = matrix.recovered(spark, path, list("01234"), make)
+    return found.select("pert", "n_cells", F.lit(made == list("012234")).alias("recovered"))
+
+
 @query("s15_metacell_sink", f"{META} SELECT cell_line, pert, metacell, MAX(n) AS n_cells_in_metacell, ROUND(SUM(CAST(CAST(x AS FLOAT) AS DOUBLE)), 4) AS total FROM mc GROUP BY 1, 2, 3")
 def s15(spark, d):
     path = new_path(spark, "metacells")

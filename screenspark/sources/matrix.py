@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,6 +87,25 @@ def checkpointed(spark: SparkSession, path: str, make) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def shards_done(spark: SparkSession, path: str, shards: list[str]) -> list[str]:
+    """Those of ``shards`` whose folder Spark's committer has marked as complete."""
+    return [s for s in shards if exists(spark, f"{path}/shard={s}/_SUCCESS")]
+
+
+def recovered(spark: SparkSession, path: str, shards: list[str], make: Callable[[str], DataFrame]) -> DataFrame:
+    """The table at ``path``, made shard by shard; what a run before has finished stays.
+
+    ``make(shard)`` gives a shard's rows, from which its folder ``shard=...`` is written; a
+    folder that a failed run left unfinished is replaced.  Shard names are few, and plain
+    words, such as the numbers of a bucket that a key is hashed to.
+    """
+    done = set(shards_done(spark, path, shards))
+    for shard in shards:
+        if shard not in done:
+            make(shard).write.mode("overwrite").parquet(f"{path}/shard={shard}")
+    return spark.read.option("basePath", path).parquet(*(f"{path}/shard={s}" for s in shards))
+
+
 def clean_up(spark: SparkSession, paths: list[str], dry_run: bool = True) -> dict:
     """Deletes intermediates; {deleted, missing, bytes}.  A dry run only counts."""
     found = {"deleted": [], "missing": [], "bytes": 0}
