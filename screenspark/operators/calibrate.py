@@ -70,8 +70,9 @@ def pareto_front(points: DataFrame, objectives: tuple[str, ...] = OBJECTIVES, ke
     """The points that no other is as good as in all objectives and better in one.
 
     Tasks reduce the distinct triples to those that none in the same task dominates; what
-    is dominated at all is dominated by one of these, so the rest needn't be compared.  A
-    point without a value in some objective isn't compared and stays.
+    is dominated at all is dominated by one of these, so the rest needn't be compared.  These
+    are compared by the cells of a grid.  A point without a value in some objective isn't
+    compared and stays.
     """
     known = F.lit(True)
     for o in objectives:
@@ -87,16 +88,65 @@ def pareto_front(points: DataFrame, objectives: tuple[str, ...] = OBJECTIVES, ke
         if kept is not None:
             yield kept
 
-    best = distinct.mapInPandas(reduce, distinct.schema)
-    other = best.select([F.col(o).alias(f"_{o}") for o in objectives])
-    as_good, better, equal = F.lit(True), F.lit(False), F.lit(True)
-    for o in objectives:
-        as_good, better = as_good & (F.col(f"_{o}") >= F.col(o)), better | (F.col(f"_{o}") > F.col(o))
-    front = best.join(F.broadcast(other), as_good & better, "left_anti")
-    named = front.select([F.col(o).alias(f"_{o}") for o in objectives])
+    best = settled(distinct.mapInPandas(reduce, distinct.schema))
+    front = _gridded_front(best, objectives).select([F.col(o).alias(f"_{o}") for o in objectives])
+    equal = F.lit(True)
     for o in objectives:
         equal = equal & (F.col(o) == F.col(f"_{o}"))
-    return points.filter(known).join(F.broadcast(named), equal, "left_semi").unionByName(points.filter(~known))
+    return points.filter(known).join(front, equal, "left_semi").unionByName(points.filter(~known))
+
+
+def _gridded_front(best: DataFrame, objectives: tuple[str, ...], in_cell: int = 2_000) -> DataFrame:
+    """The undominated of some distinct rows, of which no table is broadcast.
+
+    A grid divides the rows.  All of a cell is dominated where another cell with rows is
+    above it in every objective; a row of another cell is compared only with rows of cells
+    that are nowhere below its own.  The grid has at most 32 cells a side for up to three
+    objectives, and the driver sees which of them have rows.
+    """
+    size = best.count()
+    if not size:
+        return best
+    side = int(min(32, max(1, np.ceil((size / in_cell) ** (1 / max(1, len(objectives) - 1))))))
+    side = min(side, int(32_768 ** (1 / len(objectives)) + 1e-9)) if len(objectives) > 3 else side
+    ends = best.agg(*(f(o) for o in objectives for f in (F.min, F.max))).first()
+    index = []
+    for at, o in enumerate(objectives):
+        low, high = float(ends[2 * at]), float(ends[2 * at + 1])
+        unit = (F.col(o).cast("double") - low) / (high - low) if high > low else F.lit(0.0)
+        index.append(F.greatest(F.lit(0), F.least(F.floor(unit * side), F.lit(side - 1))))
+    number = _cell_number(index, side)
+    placed = settled(best.withColumn("_cell", number))
+    cells = np.array([r[0] for r in placed.select("_cell").distinct().collect()])  # at most side ^ objectives
+    grid = np.stack(np.unravel_index(cells, (side,) * len(objectives)), axis=1)
+    filled = np.zeros((side + 1,) * len(objectives), bool)
+    filled[tuple(grid.T)] = True
+    for axis in range(len(objectives)):
+        filled = np.flip(np.logical_or.accumulate(np.flip(filled, axis), axis), axis)  # whether a cell at or above has rows
+    alive = ~filled[tuple(grid.T + 1)]
+    cells, grid = cells[alive], grid[alive]
+    pairs = [(int(c), int(d)) for c, g in zip(cells, grid) for d in cells[(grid >= g).all(axis=1)]]
+    meets = best.sparkSession.createDataFrame(pairs, "_cell bigint, _from bigint")
+    visitors = placed.withColumnRenamed("_cell", "_from").join(meets, "_from").select(*(F.col(o).alias(f"_by_{o}") for o in objectives), F.col("_cell").alias("_at"))
+    own = placed.join(meets.select("_cell").distinct(), "_cell", "left_semi").select(*objectives, "_cell")
+
+    def compare(rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        x, y = (f[[c + o for o in objectives]].to_numpy(dtype=np.float64) for f, c in ((rows, ""), (others, "_by_")))
+        good = np.ones(len(x), bool)
+        for a in range(0, len(x), 64):
+            part = x[a : a + 64, None]
+            good[a : a + 64] = ~((y >= part).all(axis=2) & (y > part).any(axis=2)).any(axis=1)
+        return rows.loc[good, list(objectives)]
+
+    return own.groupBy("_cell").cogroup(visitors.groupBy("_at")).applyInPandas(compare, best.schema)
+
+
+def _cell_number(index: list[F.Column], side: int) -> F.Column:
+    """One number for a cell's places on all axes."""
+    out = F.lit(0).cast("bigint")
+    for i in index:
+        out = out * side + i.cast("bigint")
+    return out
 
 
 def choose(points: DataFrame, spec: ScreenSpec, key: str = "point") -> DataFrame:
