@@ -89,6 +89,45 @@ def n06_meet(spark, d):
     return fixed.agg(*means, F.count("*").alias("n")).select((F.col("corrected") < 0.5 * F.col("v")).alias("nearer"), "n")
 
 
+#: Weights by batch (vec_id % 4) and cluster that SQL can state; a wide sigma, so that all clusters share.
+WIDE = 0.5
+TILTED = np.array([[1 + ((b + k) % 3) / 2 for k in range(3)] for b in range(4)])
+SHARED = f"""{VLONG}, nn AS (SELECT cell_id, SQRT(SUM(x * x)) AS n FROM lv GROUP BY 1),
+c AS (SELECT cell_id, batch, (v[1]) / n AS c0, (v[2] + v[3]) * SQRT(0.5) / n AS c1, (v[4] - v[5]) * SQRT(0.5) / n AS c2 FROM emb JOIN nn USING (cell_id)),
+e AS (SELECT cell_id, batch, UNNEST([0, 1, 2]) AS k, UNNEST([EXP(2 * (c0 - 1) / 0.5), EXP(2 * (c1 - 1) / 0.5), EXP(2 * (c2 - 1) / 0.5)]) AS w FROM c),
+f AS (SELECT cell_id, batch, k, w * (1 + ((batch + k) % 3) / 2.0) AS w FROM e),
+r AS (SELECT cell_id, batch, k, w / SUM(w) OVER (PARTITION BY cell_id) AS r FROM f), o AS (SELECT batch, k, SUM(r) AS o FROM r GROUP BY 1, 2)"""
+
+
+def one_round(spark, d):
+    """Vectors, and their tally by given centres and weights in one block."""
+    v = fx.vectors(spark, d)
+    cells = v.select(F.lit(0).alias("block"), F.col("batch").cast("int").alias("code"), "v", F.col("v").alias("fixed"))
+    return v, batch.tally(cells, GIVEN, TILTED[None], WIDE)
+
+
+@query("n06_weights", f"""{SHARED}, p AS (SELECT batch, COUNT(*) / SUM(COUNT(*)) OVER () AS share FROM emb GROUP BY 1), t AS (SELECT k, SUM(o) AS t FROM o GROUP BY 1)
+SELECT batch, k, ROUND(o, 6) AS members, ROUND(POWER((share * t + 1) / (o + 1), 2), 6) AS weight FROM o JOIN p USING (batch) JOIN t USING (k)""")
+def n06_weights(spark, d):
+    """Counts by batch and cluster of given centres and weights, and the weights that follow."""
+    v, found = one_round(spark, d)
+    sizes = np.array([r["count"] for r in v.groupBy("batch").count().orderBy("batch").collect()], dtype=float)
+    weight = batch.weights_of(found.counts[0], sizes / sizes.sum(), 2.0)
+    rows = [(b, k, round(float(found.counts[0, b, k]), 6), round(float(weight[b, k]), 6)) for b in range(4) for k in range(3)]
+    return spark.createDataFrame(rows, "batch bigint, k int, members double, weight double")
+
+
+@query("n06_correction", f"""{SHARED}, q AS (SELECT lv.batch, k, i, SUM(r * x) AS s FROM lv JOIN r USING (cell_id) GROUP BY 1, 2, 3),
+a AS (SELECT k, i, SUM(s / (o + 1)) / SUM(o / (o + 1)) AS a FROM q JOIN o USING (batch, k) GROUP BY 1, 2),
+z AS (SELECT batch, k, i, (s - o * a) / (o + 1) AS z FROM q JOIN o USING (batch, k) JOIN a USING (k, i))
+SELECT lv.cell_id, CAST(lv.i AS INT) AS i, ROUND(MAX(x) - SUM(r * z), 6) AS corrected FROM lv JOIN r ON r.cell_id = lv.cell_id JOIN z ON z.batch = lv.batch AND z.k = r.k AND z.i = lv.i GROUP BY 1, 2""")
+def n06_correction(spark, d):
+    """One round of correction by given centres and weights."""
+    v, found = one_round(spark, d)
+    done = batch.Round(GIVEN, TILTED[None], batch.shifts(found.counts[0], found.raw[0], 1.0))
+    return long(batch.apply(v, batch.HarmonyModel(("0", "1", "2", "3"), 1, WIDE, (done,))), "corrected", "cell_id")
+
+
 @query("n15_norms", f"{VLONG}, mu AS (SELECT i, AVG(x) AS m FROM lv WHERE batch <> 3 GROUP BY 1) SELECT cell_id, ROUND(SUM((x - m) * (x - m)), 5) AS squares FROM lv JOIN mu USING (i) GROUP BY 1")
 def n15_norms(spark, d):
     """With all components the scores are the centred vectors, turned; also of cells not fitted on."""

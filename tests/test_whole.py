@@ -140,14 +140,6 @@ def test_doublets_without_a_bound_on_cells(spark):
     assert whole.count() == part.count() == few.obs.count()
 
 
-def test_batch_rounds_that_are_written_change_nothing(spark, monkeypatch):
-    v = fixtures.vectors(spark, SF).filter("cell_id < 120")
-    read = lambda: np.array([r.corrected for r in batch.harmony(v, clusters=3, rounds=5, tolerance=0.0).orderBy("cell_id").collect()])
-    usual = read()
-    monkeypatch.setattr(batch, "SETTLED", 2)
-    assert np.allclose(usual, read())
-
-
 def test_harmony_starts_in_types_that_come_late(spark):
     x = 5 * np.eye(4)[np.repeat([0, 1, 2], 200)] + 0.1 * np.random.default_rng(12).normal(size=(600, 4))
     v = spark.createDataFrame([(i, [float(c) for c in r]) for i, r in enumerate(x)], "cell_id bigint, v array<double>")
