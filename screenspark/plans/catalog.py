@@ -404,8 +404,15 @@ def a22(spark, d):
 
 @query("s10_stream_subset", f"{FINE}{RANKED} SELECT cell_id, gene_name, value FROM x WHERE gene_name IN (SELECT gene_name FROM st WHERE (hv AND NOT gone) OR tg OR cy)")
 def s10(spark, d):
-    m = fx.fine(spark, d)
-    return m.keep_genes(ranked(spark, d).filter("selected")).x.select("cell_id", "gene_name", "value")
+    """The subset is read from the files that hold its genes, written, and read again."""
+    from screenspark.sources import matrix
+    from screenspark.sources.storage import new_path
+
+    whole, subset = new_path(spark, "matrix"), new_path(spark, "subset")
+    matrix.write_matrix(fx.fine(spark, d), whole, gene_ranges=True)
+    matrix.write_matrix(matrix.read_genes(spark, whole, ranked(spark, d).filter("selected")), subset)
+    matrix.clean_up(spark, [whole], dry_run=False)
+    return matrix.read_matrix(spark, subset).x.select("cell_id", "gene_name", "value")
 
 
 @query("p36_ghost_excision", f"{FINE}{RANKED} SELECT gene_name, COUNT(*) AS n FROM x WHERE gene_name IN (SELECT gene_name FROM st WHERE (hv AND NOT gone) OR tg) GROUP BY 1")

@@ -60,8 +60,9 @@ def s03(spark, d):
 @query("s04_lazy_read", f"{COARSE} SELECT cell_id, gene_name, value FROM x WHERE gene_name = 'Brand#11' AND value >= 2")
 def s04(spark, d):
     path = new_path(spark, "matrix")
-    matrix.write_matrix(fx.coarse(spark, d), path)
-    return matrix.read_matrix(spark, path).x.filter("gene_name = 'Brand#11' AND value >= 2").select("cell_id", "gene_name", "value")
+    m = fx.coarse(spark, d)
+    matrix.write_matrix(m, path, gene_ranges=True)
+    return matrix.read_genes(spark, path, m.var.filter("gene_name = 'Brand#11'")).x.filter("value >= 2").select("cell_id", "gene_name", "value")
 
 
 @query("s05_droplets", f"{COARSE} SELECT COUNT(DISTINCT cell_id) AS n_droplets, COUNT(DISTINCT gene_name) AS n_genes, COUNT(*) AS n_entries, SUM(value) AS total FROM x")

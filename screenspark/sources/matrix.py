@@ -21,11 +21,24 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
-def write_matrix(m: CountMatrix, path: str, by: tuple[str, ...] = ()) -> None:
-    """Obs, var and x below a folder; ``by`` (split, line) become partitions."""
+def write_matrix(m: CountMatrix, path: str, by: tuple[str, ...] = (), gene_ranges: bool = False, files: int | None = None) -> None:
+    """Obs, var and x below a folder; ``by`` (split, line) become partitions.
+
+    With ``gene_ranges`` each file of x holds a range of genes, and a table ``ranges`` (file,
+    low, high) tells which, so that ``read_genes`` opens few files.  A gene of very many
+    entries goes on over several files.  Finding the ranges runs the plan of x once more:
+    give it stored.  ``files`` fixes their number; else adaptive execution sizes them.
+    """
     m.obs.write.mode("overwrite").partitionBy(*by).parquet(f"{path}/obs") if by else m.obs.write.mode("overwrite").parquet(f"{path}/obs")
     m.var.write.mode("overwrite").parquet(f"{path}/var")
-    m.ensure_sparse().x.sortWithinPartitions("gene_name").write.mode("overwrite").parquet(f"{path}/x")
+    x = m.ensure_sparse().x
+    if gene_ranges:
+        x = x.repartitionByRange(*([files] if files else []), "gene_name", "cell_id")
+    x.sortWithinPartitions("gene_name").write.mode("overwrite").parquet(f"{path}/x")
+    if gene_ranges:
+        spark = x.sparkSession
+        found = spark.read.schema(x.schema).parquet(f"{path}/x").groupBy(F.col("_metadata.file_name").alias("file")).agg(F.min("gene_name").alias("low"), F.max("gene_name").alias("high"))
+        found.write.mode("overwrite").parquet(f"{path}/ranges")
 
 
 def read_matrix(spark: SparkSession, path: str) -> CountMatrix:
@@ -33,6 +46,21 @@ def read_matrix(spark: SparkSession, path: str) -> CountMatrix:
     return CountMatrix(*(spark.read.parquet(f"{path}/{t}") for t in ("obs", "var", "x"))).ensure_sparse()
 
 
+def read_genes(spark: SparkSession, path: str, genes: DataFrame) -> CountMatrix:
+    """The columns of the genes in ``genes``, from the files that can hold them.
+
+    For a matrix written with ``gene_ranges``; without genes, or with unknown ones alone, x
+    is empty.  There is one range for each file, no more than Spark lists to read them all,
+    so the ranges may be broadcast and the names of the files come to the driver.
+    """
+    keep = genes.select("gene_name")
+    ranges = spark.read.schema("file string, low string, high string").parquet(f"{path}/ranges")
+    hits = keep.join(F.broadcast(ranges), F.col("gene_name").between(F.col("low"), F.col("high"))).select("file").distinct().collect()
+    m = read_matrix(spark, path)
+    x = spark.read.schema(m.x.schema).parquet(*(f"{path}/x/{r.file}" for r in hits)) if hits else m.x.limit(0)
+    return CountMatrix(m.obs, m.var, x).keep_genes(genes)
+
+
 def from_wide(wide: DataFrame, gene_names: list[str], counts: str = "counts") -> CountMatrix:
     """One row per cell with a dense array of counts, to the long form."""
     names = F.array(*[F.lit(g) for g in gene_names])
