@@ -13,11 +13,14 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
+from itertools import chain
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from screenspark.llm.common import drop_dir, map_batches, shared_dir, write_table
+from screenspark.llm.common import Scratch, map_batches, stored
 
 WORD = re.compile(r"\w+")
 
@@ -141,36 +144,40 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rule: EditMatch = EditMatc
 
     A null or empty text, and an item without words, match nothing; of rows that repeat an
     item_id the place with the fewest edits counts.  All rows and columns of ``docs`` stay,
-    in place of a column ``hits``.  Between the passes over several blocks ``docs`` and its
-    hits are a table in the shared folder, of which the last stays there.
+    in place of a column ``hits``.  A benchmark of several blocks takes a pass over the texts
+    for each, which keeps the hits alone, by the texts' digests; they are a table in the
+    shared folder, which stays there, and meet the documents in one join.
     """
-    spark = docs.sparkSession
-    out = docs.select(*[c for c in docs.columns if c != "hits"])
-    sent = path = None
-    for block in item_blocks(benchmark, rule.block_chars):
-        if sent is not None:
-            done, before = shared_dir(spark, "leaks"), path
-            write_table(out, path := done)
-            sent.destroy()
-            if before:
-                drop_dir(spark, before)
-            out = spark.read.schema(out.schema).parquet(path)
-        first, sent = sent is None, spark.sparkContext.broadcast(block)
-
-        def make(sent=sent, first=first):
-            matcher = Matcher(sent.value, rule)
-
-            def step(cols):
-                had = [[]] * len(cols["text"]) if first else cols["hits"]
-                new = [matcher.matches(normalised(t)) for t in cols["text"]]
-                hits = []
-                for old, now in zip(had, new):
-                    for h in old:
-                        now[h["item_id"]] = min(h["edits"], now.get(h["item_id"], h["edits"]))
-                    hits.append([{"item_id": i, "edits": now[i]} for i in sorted(now)])
-                return cols | {"hits": hits}
-
-            return step
-
-        out = map_batches(out, make, StructType([*(f for f in out.schema.fields if f.name != "hits"), HITS]))
-    return out
+    rows = docs.select(*[c for c in docs.columns if c != "hits"])
+    blocks = item_blocks(benchmark, rule.block_chars)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return matched(rows, first, rule)
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    with Scratch(docs.sparkSession) as tmp:
+        passes = []
+        for block in chain([first, second], blocks):
+            found = matched(rows.filter("text <> ''").select("text", digest.alias("digest")), block, rule)
+            passes.append(tmp.stored(found.filter(F.size("hits") > 0).select("digest", F.explode("hits").alias("hit")), "leaks-block"))
+        hits = reduce(DataFrame.unionAll, passes).groupBy("digest", "hit.item_id").agg(F.min("hit.edits").alias("edits"))
+        hits = hits.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("item_id", "edits"))).alias("hits"))
+        hits = stored(hits, "leaks")
+    name = next(n for n in map("_digest{}".format, range(len(rows.columns) + 1)) if n not in rows.columns)
+    joined = rows.join(hits.withColumnRenamed("digest", name), F.col(name) == digest, "left")
+    return joined.withColumn("hits", F.coalesce("hits", F.array().cast(HITS.dataType))).drop(name)
+
+
+def matched(rows: DataFrame, block: list[tuple[int, str]], rule: EditMatch) -> DataFrame:
+    """``rows`` with the ``hits`` of one block."""
+    sent = rows.sparkSession.sparkContext.broadcast(block)
+
+    def make():
+        matcher = Matcher(sent.value, rule)
+
+        def step(cols):
+            found = [matcher.matches(normalised(t)) for t in cols["text"]]
+            return cols | {"hits": [[{"item_id": i, "edits": m[i]} for i in sorted(m)] for m in found]}
+
+        return step
+
+    return map_batches(rows, make, StructType([*rows.schema.fields, HITS]))

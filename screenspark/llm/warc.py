@@ -31,6 +31,12 @@ MAGIC = b"\x1f\x8b\x08"
 #: A gzip member of nothing, of fixed bytes.
 EMPTY_MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00" + bytes(8)
 VERSION = b"WARC/1."
+#: Settings of one read by which files named .gz are taken as they are, and so in ranges.  The
+#: reader looks for the codec whose ending sorts last before a file's name, both read backwards,
+#: and takes none if the name doesn't end so: this one stands between .gz and all such names.
+#: Spark's own build of Hadoop has another name for the setting of the ending.
+AS_THEY_ARE = {"io.compression.codecs": "org.apache.hadoop.io.compress.PassthroughCodec"}
+AS_THEY_ARE |= {f"{p}io.compress.passthrough.extension": "!.gz" for p in ("", "org.apache.hadoop.shaded.")}
 PAGE = "urn:page:"
 
 
@@ -203,14 +209,18 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = False) -> Dat
     """One row per record of the archives below ``path``; payloads only on request.
 
     The rows are a table in the shared folder.  Spark's setting for the size of input
-    partitions is that of the byte ranges.  Names by which Spark would decompress a file
-    as a whole (.gz) are refused: an archive is to have a name like x.warc.
+    partitions is that of the byte ranges.  Files named .gz are read in ranges as others are;
+    names by which Spark would decompress a file as a whole (.bz2 and others) are refused.
     """
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    names = [f.getPath().getName() for f in root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)]
-    if packed := [n for n in names if n.endswith((".gz", ".bz2", ".zst", ".deflate", ".snappy", ".lz4"))]:
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    conf = jvm.org.apache.hadoop.conf.Configuration(spark.sparkContext._jsc.hadoopConfiguration())
+    for name, value in AS_THEY_ARE.items():
+        conf.set(name, value)
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+    if packed := [f.getPath().getName() for f in root.getFileSystem(conf).listStatus(root) if codecs.getCodec(f.getPath()) is not None]:
         raise ValueError(f"Spark would decompress {packed[0]}; archives need names without such an ending")
-    pieces = spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
+    pieces = spark.read.options(**AS_THEY_ARE).option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
     pieces = pieces.select(F.col("value").cast("binary").alias("piece"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
     fields = FIELDS + (", payload binary" if payloads else "")
     plain, schema = StructType.fromDDL(fields), StructType.fromDDL(f"{fields}, file string, start bigint, part int, raw binary")

@@ -135,11 +135,24 @@ def test_no_pages_no_records(spark, tmp_path):
 
 
 def test_names_that_spark_would_decompress_are_refused(spark, tmp_path):
-    (tmp_path / "x.warc.gz").write_bytes(stored_member(b"x"))
+    (tmp_path / "x.warc.bz2").write_bytes(stored_member(b"x"))
     with pytest.raises(ValueError):
         warc.read_archives(spark, f"file://{tmp_path}")
 
 
+@pytest.mark.parametrize("name", ["x.warc.gz", "CC-MAIN-0001-17.warc.gz", "-.gz", "0.gz", "~.warc.gz"])
+def test_gzip_names_are_read_in_ranges(spark, tmp_path, name):
+    """Archives as crawls name them, with members that gzip itself wrote, cut anywhere."""
+    made = [warc.record(i, f"u{i}", bytes([97 + i]) * (900 * i), 0, "x", None) for i in range(8)]
+    (tmp_path / name).write_bytes(b"".join(gzip.compress(r) for r in made) + stored_member(made[3]))
+    read = lambda: warc.read_archives(spark, f"file://{tmp_path}", payloads=True)
+    got = with_ranges(spark, 97, lambda: read().collect())
+    want = [(i, bytes([97 + i]) * (900 * i)) for i in [*range(8), 3]]
+    assert sorted((r.page_id, bytes(r.payload)) for r in got) == sorted(want)
+    parts = with_ranges(spark, 97, lambda: spark.read.options(**warc.AS_THEY_ARE).text(f"file://{tmp_path}").rdd.getNumPartitions())
+    assert parts > 10
+
+
 # ---------------------------------------------------------------- decontamination
 
 def edits(p, t):
@@ -192,6 +205,19 @@ def test_matches_equal_brute_force(spark):
     assert [(h.item_id, h.edits) for h in found.hits] == [(50, 0)]
 
 
+def test_several_blocks_keep_copies_nulls_and_users_columns(spark):
+    """Hits come back by the text's digest: to every copy, and to no other row."""
+    bench = spark.createDataFrame([(1, "one item of words"), (2, "another item of words"), (None, "nobody"), (3, None)], "item_id bigint, text string")
+    rows = [(1, "so one item of words and another item of words", "k", "a"), (1, "so one item of words and another item of words", "k", "b"), (2, None, None, "c"), (3, "", "x", "d"), (4, "nothing", "y", "e")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, digest string, _digest0 string").withColumn("hits", F.lit("mine"))
+    want = {"a": [1, 2], "b": [1, 2], "c": [], "d": [], "e": []}
+    for chars in (5, 10_000):
+        found = decontaminate.find_leaks(docs, bench, replace(decontaminate.EditMatch(), block_chars=chars))
+        assert found.columns == ["doc_id", "text", "digest", "_digest0", "hits"]
+        assert {r["_digest0"]: [h.item_id for h in r.hits] for r in found.collect()} == want
+        assert sorted(map(repr, found.select("doc_id", "text", "digest", "_digest0").collect())) == sorted(map(repr, docs.drop("hits").collect()))
+
+
 # ---------------------------------------------------------------- Jaccard join
 
 def brute_sets(rows):
