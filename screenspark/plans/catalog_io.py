@@ -261,15 +261,23 @@ def p11(spark, d):
     return out
 
 
+# The vocabularies once more, so that the SQL sees a wrong word in detection.
+CONTROL_WORDS = ("non-targeting", "non_targeting", "nontargeting", "control", "ctrl", "scramble", "scrambled", "negative", "NT", "ntc", "gfp", "lacz", "safe_harbor", "safe-harbor", "AAVS1", "INTERGENIC", "non targeting", "nontarget", "neg_ctrl", "neg_control", "CTRL", "NEGATIVE", "GFP")
+PERTURBATION_WORDS = ("gene", "perturbation", "target", "guide", "knockout", "crispr", "sgrna", "guide_rna", "perturb", "perturbagen", "gene_target", "target_gene", "gene_name", "symbol", "pert", "pert_name", "gene_id", "guide_id", "perturbation_target", "CRISPR", "guide_assignment", "gene_symbol")
+BATCH_WORDS = ("gem_group", "batch", "run", "lane", "library", "experiment", "sample", "replicate", "10x_run", "batch_id", "run_id", "sample_id", "library_id", "sequencing_run", "prep_batch", "gem")
+LINE_WORDS = ("cell_line", "cell_type", "cellline", "cell_line_id", "line", "sample_type", "condition_cell", "clone", "subline", "tissue", "cell_line_name", "cell_origin", "sample_origin")
+LINE_WORDS_OF_NAMES = ("cell_line", "cell_type", "cellline", "cell_line_id", "line", "sample_type", "cell_line_name", "condition", "clone", "subline", "tissue", "cell_origin")
+LINE_NAMES = ("k562", "rpe1", "hesc", "h1", "jurkat", "ipsc", "hela", "a549", "293t", "hek293", "thp1", "mcf7", "u2os", "hct116", "pc9", "h358", "h1299", "h1792", "h2009", "lncap", "du145", "pc3", "hl60", "molt4", "ramos", "raji", "daudi", "hcc1954", "bt474", "skbr3", "t47d", "mbda231")
+
 WORDS = lambda words: ", ".join(f"('{w}')" for w in dict.fromkeys(words))
 COLUMNS = rf"""WITH o AS (SELECT 'G' || c_nationkey AS target_gene, c_custkey % 4 AS gem_group, CASE c_custkey % 3 WHEN 0 THEN 'K-562' WHEN 1 THEN 'HeLa' ELSE 'RPE 1' END AS origin, c_mktsegment AS tissue, c_name AS note, CASE WHEN c_nationkey < 12 THEN 'NT' || c_nationkey ELSE 'MYC' || c_nationkey END AS line_of FROM customer),
 long AS (SELECT 'target_gene' AS name, 1 AS pos, target_gene AS v, TRUE AS txt FROM o UNION ALL SELECT 'gem_group', 2, CAST(gem_group AS VARCHAR), FALSE FROM o UNION ALL SELECT 'origin', 3, origin, TRUE FROM o UNION ALL SELECT 'tissue', 4, tissue, TRUE FROM o UNION ALL SELECT 'note', 5, note, TRUE FROM o UNION ALL SELECT 'line_of', 6, line_of, TRUE FROM o),
 st AS (SELECT name, pos, txt, COUNT(DISTINCT v) AS n, MAX(LENGTH(v)) AS len FROM long GROUP BY 1, 2, 3),
 few AS (SELECT name, v, ROW_NUMBER() OVER (PARTITION BY name ORDER BY v) AS rn FROM (SELECT DISTINCT name, v FROM long)),
-gl AS (SELECT name, AVG(CAST(regexp_matches(v, '^[A-Z][A-Z0-9\-]{{1,15}}$') AS INT)) AS g, COUNT_IF(regexp_replace(LOWER(v), '[-_ ]', '', 'g') IN (SELECT w FROM (VALUES {WORDS(detect.LINE_NAMES)}) t(w))) AS known FROM few WHERE rn <= 20 GROUP BY 1),
-h AS (SELECT st.*, g, known, (SELECT COUNT(*) FROM (VALUES {WORDS(w.lower() for w in detect.PERTURBATION_WORDS)}) t(w) WHERE contains(name, w)) AS hp,
- (SELECT COUNT(*) FROM (VALUES {WORDS(detect.BATCH_WORDS)}) t(w) WHERE contains(name, w)) AS hb, (SELECT COUNT(*) FROM (VALUES {WORDS(detect.LINE_WORDS)}) t(w) WHERE contains(name, w)) AS hl,
- (SELECT COUNT(*) FROM (VALUES {WORDS(detect.LINE_WORDS_OF_NAMES)}) t(w) WHERE contains(name, w)) AS hn FROM st JOIN gl USING (name)),
+gl AS (SELECT name, AVG(CAST(regexp_matches(v, '^[A-Z][A-Z0-9\-]{{1,15}}$') AS INT)) AS g, COUNT_IF(regexp_replace(LOWER(v), '[-_ ]', '', 'g') IN (SELECT w FROM (VALUES {WORDS(LINE_NAMES)}) t(w))) AS known FROM few WHERE rn <= 20 GROUP BY 1),
+h AS (SELECT st.*, g, known, (SELECT COUNT(*) FROM (VALUES {WORDS(w.lower() for w in PERTURBATION_WORDS)}) t(w) WHERE contains(name, w)) AS hp,
+ (SELECT COUNT(*) FROM (VALUES {WORDS(BATCH_WORDS)}) t(w) WHERE contains(name, w)) AS hb, (SELECT COUNT(*) FROM (VALUES {WORDS(LINE_WORDS)}) t(w) WHERE contains(name, w)) AS hl,
+ (SELECT COUNT(*) FROM (VALUES {WORDS(LINE_WORDS_OF_NAMES)}) t(w) WHERE contains(name, w)) AS hn FROM st JOIN gl USING (name)),
 p AS (SELECT name FROM h WHERE txt AND hp > 0 AND n BETWEEN 2 AND 50000 ORDER BY hp DESC, pos LIMIT 1), b AS (SELECT name FROM h WHERE hb > 0 AND n BETWEEN 2 AND 10000 AND name NOT IN (SELECT name FROM p) ORDER BY pos LIMIT 1),
 l AS (SELECT * FROM h WHERE txt AND n BETWEEN 2 AND 20 AND len <= 40 AND name NOT IN (SELECT name FROM p UNION ALL SELECT name FROM b))
 SELECT (SELECT name FROM p) AS perturbation, (SELECT name FROM b) AS batch, (SELECT name FROM l WHERE NOT (n > 5 AND g > 0.6) ORDER BY 2 * hl + known DESC, pos LIMIT 1) AS line, (SELECT name FROM l WHERE hn > 0 ORDER BY hn DESC, pos LIMIT 1) AS line_by_name"""
@@ -290,7 +298,7 @@ def p16(spark, d):
 CONTROL_CASES = "WITH l AS (SELECT 'vocabulary' AS name, CASE WHEN c_nationkey = 0 THEN 'Non Targeting' WHEN c_nationkey = 1 THEN 'GFP' ELSE c_mktsegment END AS pert FROM customer UNION ALL SELECT 'later_word', CASE WHEN c_nationkey = 0 THEN 'neg-ctrl' WHEN c_nationkey = 1 THEN 'g f p' ELSE c_mktsegment END FROM customer UNION ALL SELECT 'none', c_mktsegment FROM customer)"
 
 
-@query("p20_control_rules", f"""{CONTROL_CASES}, w AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{w}')" for i, w in enumerate(detect.CONTROL_WORDS))}) t(position, word)),
+@query("p20_control_rules", f"""{CONTROL_CASES}, w AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{w}')" for i, w in enumerate(CONTROL_WORDS))}) t(position, word)),
 hit AS (SELECT DISTINCT l.name, pert, MIN(position) AS position FROM l JOIN w ON translate(LOWER(pert), ' _-', '') = translate(LOWER(word), ' _-', '') GROUP BY 1, 2)
 SELECT name, FIRST(pert ORDER BY position, pert) AS control_label FROM hit GROUP BY 1""")
 def p20(spark, d):
