@@ -8,9 +8,11 @@ are made here from a seed: personal data in many written forms amid prose and de
 
 A text is read in overlapping windows.  Each window scores its characters; where
 windows overlap their scores are averaged, the nearer to a window's middle the
-heavier, and one Viterbi pass over each connected run of windows decodes the tags, so
-that the windows' readings are reconciled globally.  Every kind holds a digit or an at
-sign: windows without one aren't read, and a decoded span without one doesn't count.
+heavier, and one Viterbi pass decodes the tags, so that the windows' readings are
+reconciled globally.  Every kind holds a digit or an at sign, so by definition a
+character that no window with one covers is outside, and a decoded span without one
+doesn't count.  Each window that overlaps a covered stretch is read; as the tags around
+it are fixed, decoding such stretches one by one gives what decoding whole texts would.
 Of decoded spans those stay whose digits fit their kind (a card passes Luhn's test).
 """
 
@@ -325,31 +327,36 @@ class Reader:
         near = np.minimum(np.arange(1, p.window + 1), np.arange(p.window, 0, -1))
         self.weight = near.astype(np.float64)
 
-    def windows(self, text: str) -> list[int]:
-        """Starts, multiples of the stride, of the windows that hold a trigger."""
+    def covered(self, text: str) -> list[tuple[int, int]]:
+        """The parts of a text (start, end) that windows with a trigger cover, joined where they touch."""
         p = self.model.params
-        starts: set[int] = set()
+        out: list[tuple[int, int]] = []
         for m in TRIGGER.finditer(text):
-            last = m.start() // p.stride
-            first = max(0, -(-(m.start() - p.window + 1) // p.stride))
-            starts.update(range(first, last + 1))
-        return sorted(s * p.stride for s in starts)
+            first = max(0, (m.start() - p.window) // p.stride + 1) * p.stride
+            end = min(m.start() // p.stride * p.stride + p.window, len(text))
+            if out and first <= out[-1][1]:
+                out[-1] = out[-1][0], end
+            else:
+                out.append((first, end))
+        return out
 
-    def spans(self, texts: list[str]) -> list[list[tuple[str, int, int]]]:
+    def windows(self, start: int, end: int) -> range:
+        """Starts, multiples of the stride, of all windows that overlap a part of a text."""
         p = self.model.params
+        return range(max(0, (start - p.window) // p.stride + 1) * p.stride, end, p.stride)
+
+    def spans(self, texts: list[str]) -> list[list[tuple[str, int, int]]]:
         found: list[list[tuple[str, int, int]]] = [[] for _ in texts]
-        jobs = [(k, s) for k, text in enumerate(texts) for s in self.windows(text)]
-        # A run is a longest row of windows of one text each of which touches the next.
-        runs: list[list[tuple[int, int]]] = []
-        for k, s in jobs:
-            if runs and runs[-1][-1][0] == k and s <= runs[-1][-1][1] + p.window:
-                runs[-1].append((k, s))
-            else:
-                runs.append([(k, s)])
+        runs = [(k, a, b) for k, text in enumerate(texts) for a, b in self.covered(text)]
         # A long run is decoded in stretches that overlap, so that memory doesn't grow with it.
-        pieces = [(r, i, run[max(0, i - LAG) : i + STRETCH + LAG]) for r, run in enumerate(runs) for i in range(0, len(run), STRETCH)]
+        pieces = []
+        for r, (_, a, b) in enumerate(runs):
+            windows = self.windows(a, b)
+            for i in range(0, len(windows), STRETCH):
+                decided = windows[i] if i else a, windows[i + STRETCH] if i + STRETCH < len(windows) else b
+                pieces.append((r, decided, windows[max(0, i - LAG) : i + STRETCH + LAG]))
         pieces.sort(key=lambda piece: len(piece[2]))
-        tags = [np.zeros(min(run[-1][1] + p.window, len(texts[run[0][0]])) - run[0][1], np.int8) for run in runs]
+        tags = [np.zeros(b - a, np.int8) for _, a, b in runs]
         at = 0
         while at < len(pieces):
             some, size = [], 0
@@ -357,18 +364,17 @@ class Reader:
                 some.append(pieces[at])
                 size += len(pieces[at][2])
                 at += 1
-            for (r, i, piece), read in zip(some, self._decode(texts, [piece for _, _, piece in some])):
-                run, zero = runs[r], runs[r][0][1]
-                first, end = run[i][1], run[i + STRETCH][1] if i + STRETCH < len(run) else zero + len(tags[r])
-                tags[r][first - zero : end - zero] = read[first - piece[0][1] : end - piece[0][1]]
-        for run, read in zip(runs, tags):
-            k, start = run[0]
+            for (r, (first, end), windows), read in zip(some, self._decode(texts, [(*runs[r], windows) for r, _, windows in some])):
+                zero, begin = runs[r][1], max(runs[r][1], windows[0])
+                tags[r][first - zero : end - zero] = read[first - begin : end - begin]
+        for (k, start, _), read in zip(runs, tags):
             found[k] += self._spans(texts[k], start, read)
         return found
 
     def _decode(self, texts, runs):
+        """Tags of each (text, start, end, windows), from its first window on and to its last."""
         p, k = self.model.params, len(TAGS)
-        windows = [w for run in runs for w in run]
+        windows = [(t, s) for t, _, _, starts in runs for s in starts]
         scores = np.zeros((p.window, len(windows), k), dtype=np.float32)
         codes = np.full((p.window, len(windows)), 96)
         for j, (t, s) in enumerate(windows):
@@ -376,17 +382,26 @@ class Reader:
             codes[: len(piece), j] = piece
         for a in range(0, len(windows), self.at_once):
             scores[:, a : a + self.at_once] = self.model.emissions(codes[:, a : a + self.at_once])[0]
-        lengths = np.array([min(run[-1][1] + p.window, len(texts[run[0][0]])) - run[0][1] for run in runs])
-        total = np.zeros((lengths.max() + p.window, len(runs), k))
-        weight = np.zeros((lengths.max() + p.window, len(runs)))
+        parts = [(max(a, starts[0]), min(b, starts[-1] + p.window)) for _, a, b, starts in runs]
+        lengths = np.array([b - a for a, b in parts])
+        # A window's length of room before and behind, for windows that begin before a part or end behind it.
+        total = np.zeros((lengths.max() + 2 * p.window, len(runs), k))
+        weight = np.zeros((lengths.max() + 2 * p.window, len(runs)))
         j = 0
-        for r, run in enumerate(runs):
-            for _, s in run:
-                at = s - run[0][1]
+        for r, (_, _, _, starts) in enumerate(runs):
+            for s in starts:
+                at = s - parts[r][0] + p.window
                 total[at : at + p.window, r] += scores[:, j] * self.weight[:, None]
                 weight[at : at + p.window, r] += self.weight
                 j += 1
-        mean = total[: lengths.max()] / np.maximum(weight[: lengths.max()], 1e-9)[:, :, None]
+        inner = slice(p.window, p.window + lengths.max())
+        mean = total[inner] / np.maximum(weight[inner], 1e-9)[:, :, None]
+        # Beside a run stands a character that is outside, unless the text begins or ends there.
+        for r, ((t, a, b, _), (first, end)) in enumerate(zip(runs, parts)):
+            if first == a > 0:
+                mean[0, r] += self.model.moves[0]
+            if end == b < len(texts[t]):
+                mean[end - first - 1, r] += self.model.moves[:, 0]
         return self.model.viterbi(mean, lengths)
 
     def _spans(self, text: str, offset: int, tags: np.ndarray):
