@@ -11,13 +11,15 @@ replaceable regions need no backtracking.
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from screenspark.llm.common import map_batches
+from screenspark.llm.common import kept, map_batches
+from screenspark.llm.license_texts import WHOLE_TERMS
 
 # The phrases of the contract and their labels.
 PHRASES = ((("cc", "by"), "cc-by"), (("general", "public", "license"), "gpl"), (("all", "rights", "reserved"), "reserved"))
@@ -32,6 +34,8 @@ LOWER = {c: c + 32 for c in range(65, 91)}
 AS_IS = """the software is provided "as is", without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a
 particular purpose"""
 DEALINGS = "whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software"
+#: Names that a tag can give, alone or as the first or a later choice; what follows a name (or-later, with an exception) adds nothing.
+TAGGED = ("MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Zlib", "BSL-1.0", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0")
 TEMPLATES = (
     ("mit", f"""permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files [[(the "software")]], to deal in the
     software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software, and to
@@ -78,12 +82,14 @@ TEMPLATES = (
     ("copyright", "copyright [[c]] {{6}} all rights reserved"),
     ("mit", "released under the mit license"),
     ("mit", "licensed under the mit license"),
-    ("apache-2.0", "licensed under the apache license, version 2.0"),
+    ("apache-2.0", "licensed under the apache [[license]] [[version]] 2.0"),
     ("gpl", "licensed under the gnu [[lesser]] [[affero]] general public license"),
     ("gpl", "[[gnu]] general public license [[as published by the free software foundation]] [[either]] version"),
     ("mpl-2.0", "licensed under the mozilla public license"),
     ("cc-by-nc", "licensed under [[a]] [[creative commons]] cc by nc"),
     ("cc-by-sa", "licensed under [[a]] [[creative commons]] cc by sa"),
+    *WHOLE_TERMS,
+    *((name.lower(), f"spdx-license-identifier: [[ {{{{4}}}} or ]] {name}") for name in TAGGED),
 )
 MARKUP = re.compile(r"\[\[|\]\]|\{\{(\d+)\}\}|" + WORD.pattern)
 
@@ -190,7 +196,8 @@ class LicenseScanner:
         inside = WORD_BYTES[raw]
         n_words = int(inside[:1].sum() + np.count_nonzero(inside[1:] & ~inside[:-1]))
         low = text.translate(LOWER) if not text.isascii() else text.lower()
-        if not any(r in low for r in self.rare):
+        present = {r for r in self.rare if r in low}
+        if not present:
             return n_words, [], set(), set()
         words = WORD.findall(low)
         places, base, labels = [], set(), set()
@@ -200,7 +207,7 @@ class LicenseScanner:
                     places.append(i)
                     base.add(label)
             for automaton in self.by_first.get(word, ()):
-                if automaton.label not in labels and automaton.match(words, i) is not None:
+                if automaton.rare in present and automaton.label not in labels and automaton.match(words, i) is not None:
                     labels.add(automaton.label)
         return n_words, places, base, labels
 
@@ -212,9 +219,10 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
     A null or empty text has no words, no labels ('') and null first and last words.
     Every row of ``docs`` gives a row; other columns than doc_id and text are ignored.
     """
+    key = f"licenses {zlib.crc32(repr(templates).encode())}"
 
     def make():
-        scanner = LicenseScanner(templates)
+        scanner = kept(key, lambda: LicenseScanner(templates))
 
         def step(cols):
             out = {k: [] for k in ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")}

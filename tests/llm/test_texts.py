@@ -1,5 +1,6 @@
 """Operators on single texts: tokens, secrets, licenses, personal data, quality, language."""
 
+import functools
 import hashlib
 import random
 import re
@@ -118,6 +119,15 @@ def test_incremental_entropy_equals_counting():
         assert bits == pytest.approx(-(c * np.log2(c)).sum())
 
 
+@functools.cache
+def license_pattern(markup):
+    """Optional regions and gaps as groups of a backtracking pattern."""
+    pattern = ""
+    for m in re.finditer(r"\[\[|\]\]|\{\{(\d+)\}\}|[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", markup.lower()):
+        pattern += "(?:" if m[0] == "[[" else ")?" if m[0] == "]]" else r"(?:\S+ ){0,%s}" % m[1] if m[1] else re.escape(m[0]) + " "
+    return re.compile(pattern)
+
+
 def brute_licenses(text, templates):
     """Words, places, base labels and labels by plain patterns over words."""
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
@@ -132,11 +142,7 @@ def brute_licenses(text, templates):
                 places.append(i)
                 base.add(label)
         for label, markup in templates:
-            # Optional regions and gaps as groups of a backtracking pattern.
-            pattern = ""
-            for m in re.finditer(r"\[\[|\]\]|\{\{(\d+)\}\}|[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", markup.lower()):
-                pattern += "(?:" if m[0] == "[[" else ")?" if m[0] == "]]" else r"(?:\S+ ){0,%s}" % m[1] if m[1] else re.escape(m[0]) + " "
-            if re.compile(pattern).match(line, starts[i]):
+            if license_pattern(markup).match(line, starts[i]):
                 labels.add(label)
     return len(words), places, base, base | labels
 
@@ -173,6 +179,23 @@ def test_license_statements(spark):
     assert got[22].labels == "gpl" and got[23].labels == "" and got[3].first_word is None
 
 
+def test_license_whole_terms_and_tags(spark):
+    """Whole terms with their title and appendix, with other numbers, and with a word changed far down; tags."""
+    terms = dict(licenses.WHOLE_TERMS)
+    plain = {k: re.sub(r"\[\[|\]\]", " ", v) for k, v in terms.items()}
+    rows = [(i, f"Title, version x\n{plain[k]}\nHow to apply") for i, k in enumerate(terms)]
+    rows += [(100 + i, re.sub(r"\[\[\(?\w+(\.\w+)*[.)]\]\]", " * ", terms[k])) for i, k in enumerate(terms)]
+    # Without the exhibit, which is a notice that counts by itself.
+    bare = [t.split("Exhibit A - Source")[0] for t in plain.values()]
+    rows += [(200 + i, t[: len(t) // 2] + " changed " + t[len(t) // 2 :]) for i, t in enumerate(bare)]
+    tags = {300: ("// SPDX-License-Identifier: MIT", "mit"), 301: ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl-2.0"), 302: ("# SPDX-License-Identifier: (MIT OR Apache-2.0)", "apache-2.0,mit"), 303: ("Licensed under the Apache License 2.0", "apache-2.0"), 304: ("SPDX-License-Identifier: LicenseRef-own", "")}
+    got = {r.doc_id: r.labels.split(",") for r in licenses.scan_licenses(documents(spark, rows + [(i, t) for i, (t, _) in tags.items()])).collect()}
+    for i, name in enumerate(terms):
+        assert name in got[i] and name in got[100 + i] and name not in got[200 + i], name
+        assert not set(terms) & set(got[i]) - {name}, name
+    assert {i: ",".join(got[i]) for i in tags} == {i: labels for i, (_, labels) in tags.items()}
+
+
 def test_templates_need_wording():
     for markup in ("[[only optional]]", "{{3}} end", "start [[open"):
         with pytest.raises(ValueError):
