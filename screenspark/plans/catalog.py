@@ -43,14 +43,18 @@ qc AS (SELECT o.cell_id, o.pert, o.cell_line, o.batch, COALESCE(n, 0) AS n_genes
 GOOD = "pct <= 50 AND n_genes_by_counts >= 10 AND n_genes_by_counts <= 24 AND total_counts >= 500 AND total_counts <= 2000"
 
 
+#: Cells after each filter, one row a step.
+STEPS = f"""c AS (SELECT COUNT(*) c0, COUNT_IF(pct <= 50) c1, COUNT_IF(pct <= 50 AND n_genes_by_counts >= 10) c2,
+  COUNT_IF(pct <= 50 AND n_genes_by_counts BETWEEN 10 AND 24) c3, COUNT_IF(pct <= 50 AND n_genes_by_counts BETWEEN 10 AND 24 AND total_counts >= 500) c4, COUNT_IF({GOOD}) c5 FROM qc),
+w AS (SELECT 0 AS step, 'start' AS name, c0 AS n_cells FROM c UNION ALL SELECT 1, 'mt', c1 FROM c UNION ALL SELECT 2, 'min_genes', c2 FROM c
+UNION ALL SELECT 3, 'max_genes', c3 FROM c UNION ALL SELECT 4, 'min_counts', c4 FROM c UNION ALL SELECT 5, 'max_counts', c5 FROM c)"""
+
+
 def metrics(spark, d):
     return qc.qc_metrics(fx.coarse(spark, d), SPEC)
 
 
-@query("p08_cell_waterfall", f"""{COARSE}{QC}, c AS (SELECT COUNT(*) c0, COUNT_IF(pct <= 50) c1, COUNT_IF(pct <= 50 AND n_genes_by_counts >= 10) c2,
-  COUNT_IF(pct <= 50 AND n_genes_by_counts BETWEEN 10 AND 24) c3, COUNT_IF(pct <= 50 AND n_genes_by_counts BETWEEN 10 AND 24 AND total_counts >= 500) c4, COUNT_IF({GOOD}) c5 FROM qc)
-SELECT 0 AS step, 'start' AS name, c0 AS n_cells FROM c UNION ALL SELECT 1, 'mt', c1 FROM c UNION ALL SELECT 2, 'min_genes', c2 FROM c
-UNION ALL SELECT 3, 'max_genes', c3 FROM c UNION ALL SELECT 4, 'min_counts', c4 FROM c UNION ALL SELECT 5, 'max_counts', c5 FROM c""")
+@query("p08_cell_waterfall", f"{COARSE}{QC}, {STEPS} SELECT step, name, n_cells FROM w")
 def p08(spark, d):
     return qc.cell_waterfall(metrics(spark, d), SPEC)
 
@@ -76,11 +80,10 @@ def p09(spark, d):
     return qc.drop_ribosomal(fx.coarse(spark, d).var, SPEC)
 
 
-@query("w18_step_drops", f"""{COARSE}{QC}, c AS (SELECT COUNT(*) c0, COUNT_IF(pct <= 50) c1, COUNT_IF(pct <= 50 AND n_genes_by_counts >= 10) c2 FROM qc)
-SELECT 0 AS step, c0 AS n_cells, CAST(0 AS BIGINT) AS dropped, CAST(0 AS DOUBLE) AS pct_dropped FROM c
-UNION ALL SELECT 1, c1, c0 - c1, ROUND(100.0 * (c0 - c1) / c0, 6) FROM c UNION ALL SELECT 2, c2, c1 - c2, ROUND(100.0 * (c1 - c2) / c1, 6) FROM c""")
+@query("w18_step_drops", f"""{COARSE}{QC}, {STEPS}, l AS (SELECT step, n_cells, LAG(n_cells) OVER (ORDER BY step) AS b FROM w)
+SELECT step, n_cells, COALESCE(b - n_cells, 0) AS dropped, ROUND(COALESCE(100.0 * (b - n_cells) / b, 0), 6) AS pct_dropped FROM l""")
 def w18(spark, d):
-    return diagnostics.step_drops(qc.cell_waterfall(metrics(spark, d), SPEC)).filter("step <= 2").select("step", "n_cells", "dropped", r6("pct_dropped"))
+    return diagnostics.step_drops(qc.cell_waterfall(metrics(spark, d), SPEC)).select("step", "n_cells", "dropped", r6("pct_dropped"))
 
 
 @query("a01_sparsity", f"""{COARSE} SELECT c AS n_cells, g AS n_genes, nnz, ROUND(1 - nnz / (c * g), 6) AS sparsity, 4 * c * g AS dense_bytes, 8 * nnz + 4 * (c + 1) AS sparse_bytes
@@ -128,11 +131,11 @@ def p24(spark, d):
     return ambient.flag_ambient(qc.qc_metrics(m, SPEC), ambient.ambient_scores(m, ambient.global_profile(m)), SPEC).select("cell_id", "ambient_flagged")
 
 
-@query("a04_empty_droplets", f"""{COARSE}, empty AS (SELECT cell_id FROM obs WHERE cell_id % 3 <> 0 ORDER BY md5('42:' || cell_id), cell_id LIMIT 100)
+@query("a04_empty_droplets", f"""{COARSE}, empty AS (SELECT cell_id FROM obs WHERE cell_id % 3 <> 0 ORDER BY md5('42:' || cell_id), cell_id LIMIT 10000)
 SELECT gene_name, ROUND(SUM(value) / (SELECT COUNT(*) FROM empty), 6) AS ambient FROM x SEMI JOIN empty USING (cell_id) GROUP BY 1""")
 def a04(spark, d):
     m = fx.coarse(spark, d)
-    return ambient.empty_droplet_profile(m, m.obs.filter("cell_id % 3 = 0"), 42, 100).select("gene_name", r6("ambient"))
+    return ambient.empty_droplet_profile(m, m.obs.filter("cell_id % 3 = 0"), 42).select("gene_name", r6("ambient"))
 
 
 # ---------------------------------------------------------------- detection

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from screenspark.model import stacked
 from screenspark.operators import detect, doublets, genes, hvg, lines, qc, splits
 from screenspark.plans import report
-from screenspark.plans.catalog import DELTA, DENSE, META, QC, RANKED, SPLIT, ZERO, deltas, meta, query, ranked
+from screenspark.plans.catalog import DELTA, DENSE, META, QC, RANKED, SPLIT, STEPS, ZERO, deltas, meta, query, ranked
 from screenspark.sources import fixtures as fx
 from screenspark.sources import matrix
 from screenspark.sources.fixtures import COARSE, CONTROL, FINE, SPEC, VECTORS
 from screenspark.sources.storage import new_path
-from screenspark.spec import load_spec
+from screenspark.spec import parse_spec
 
 ENTRIES = f"{COARSE} SELECT cell_id, gene_name, value FROM x"
 
@@ -197,36 +197,34 @@ def s16(spark, d):
     return spark.read.parquet(path).select("cell_id", F.round(F.expr("aggregate(delta, 0D, (s, x) -> s + cast(x as double))"), 4).alias("total"))
 
 
-@query("s19_clean_up", """SELECT 'counted' AS step, TRUE AS first_there, TRUE AS second_there, 2 AS deleted, 1 AS missing UNION ALL SELECT 'deleted', FALSE, FALSE, 2, 1 UNION ALL SELECT 'again', FALSE, FALSE, 0, 3""")
+@query("s19_clean_up", f"""{COARSE}, gone AS (SELECT MIN(cell_line) AS cell_line FROM obs)
+SELECT cell_id, pert, cell_line, (SELECT COUNT(*) FROM obs) AS counted, 1 AS deleted, 0 AS deleted_again FROM obs WHERE cell_line <> (SELECT cell_line FROM gone)""")
 def s19(spark, d):
-    paths = [new_path(spark, "intermediate") for _ in range(3)]
-    for path in paths[:2]:
-        fx.table(spark, d, "region").write.parquet(path)
-    rows = []
-    for step, dry in (("counted", True), ("deleted", False), ("again", False)):
-        found = matrix.clean_up(spark, paths, dry)
-        rows.append((step, *(matrix.exists(spark, p) for p in paths[:2]), len(found["deleted"]), len(found["missing"])))
-    return spark.createDataFrame(rows, "step string, first_there boolean, second_there boolean, deleted int, missing int")
+    """Cells written by line; a dry run leaves all of them, then one line's folder goes, then nothing is left to delete."""
+    path = new_path(spark, "intermediate")
+    obs = fx.coarse(spark, d).obs.select("cell_id", "pert", "cell_line")
+    obs.write.partitionBy("cell_line").parquet(path)
+    gone = [f"{path}/cell_line={obs.agg(F.min('cell_line')).first()[0]}"]
+    matrix.clean_up(spark, gone)
+    counted = spark.read.parquet(path).count()
+    deleted, again = (len(matrix.clean_up(spark, gone, dry_run=False)["deleted"]) for _ in range(2))
+    return spark.read.parquet(path).select("cell_id", F.col("pert").cast("string").alias("pert"), F.col("cell_line").cast("string").alias("cell_line"), F.lit(counted).cast("bigint").alias("counted"), F.lit(deleted).alias("deleted"), F.lit(again).alias("deleted_again"))
 
 
-@query("s20_config", "SELECT COUNT(*) AS min_genes, CAST(MAX(n_nationkey) AS BIGINT) AS max_genes, MIN(n_name) AS dataset, 0.2 AS mt_threshold, 3 AS separators FROM nation")
-def s20(spark, d):
-    import tempfile
-    from pathlib import Path
+CONFIG = "dataset: quantities\ntriage:\n  min_genes: 12\n  max_genes: 24\n  unknown: 1\n  mt_threshold:\n"
+
 
-    found = fx.table(spark, d, "nation").agg(F.count("*").alias("n"), F.max("n_nationkey").alias("top"), F.min("n_name").alias("name")).first()
-    with tempfile.TemporaryDirectory() as folder:  # a file of the driver's own, as a configuration is
-        path = Path(folder, "screen.yaml")
-        path.write_text(f"dataset: {found.name}\ntriage:\n  min_genes: {found.n}\n  max_genes: {found.top}\n  unknown: 1\n  mt_threshold:\nseparators: ['+', ';', '/']\n")
-        spec = load_spec(str(path))
-    return spark.createDataFrame([(spec.min_genes, spec.max_genes, spec.dataset, spec.mt_threshold, len(spec.separators))], "min_genes bigint, max_genes bigint, dataset string, mt_threshold double, separators int")
+@query("s20_config", f"{COARSE}{QC} SELECT 'quantities' AS dataset, cell_id, n_genes_by_counts FROM qc WHERE pct <= 20 AND n_genes_by_counts BETWEEN 12 AND 24 AND total_counts BETWEEN 500 AND 80000")
+def s20(spark, d):
+    """Cells triaged by a configuration: its bounds, and the default where it names none or gives no value."""
+    spec = parse_spec(CONFIG)
+    return qc.good_cells(qc.qc_metrics(fx.coarse(spark, d), SPEC), spec).select(F.lit(spec.dataset).alias("dataset"), "cell_id", "n_genes_by_counts")
 
 
-@query("s21_report_waterfall", f"""{COARSE}{QC}, c AS (SELECT COUNT(*) c0, COUNT_IF(pct <= 50) c1, COUNT_IF(pct <= 50 AND n_genes_by_counts >= 10) c2 FROM qc),
-w AS (SELECT 0 AS step, 'start' AS name, c0 AS n FROM c UNION ALL SELECT 1, 'mt', c1 FROM c UNION ALL SELECT 2, 'min_genes', c2 FROM c)
-SELECT 0 AS line, '| step | name | n_cells |' AS text UNION ALL SELECT 1, '| --- | --- | --- |' UNION ALL SELECT step + 2, '| ' || step || ' | ' || name || ' | ' || n || ' |' FROM w""")
+@query("s21_report_waterfall", f"""{COARSE}{QC}, {STEPS}
+SELECT 0 AS line, '| step | name | n_cells |' AS text UNION ALL SELECT 1, '| --- | --- | --- |' UNION ALL SELECT step + 2, '| ' || step || ' | ' || name || ' | ' || n_cells || ' |' FROM w""")
 def s21(spark, d):
-    table = qc.cell_waterfall(qc.qc_metrics(fx.coarse(spark, d), SPEC), SPEC).filter("step < 3").orderBy("step")
+    table = qc.cell_waterfall(qc.qc_metrics(fx.coarse(spark, d), SPEC), SPEC).orderBy("step")
     text = report.report("screen", {"Cell waterfall": table}, [])
     body = text.split("## Cell waterfall\n\n")[1].split("\n\n## ")[0]
     return spark.createDataFrame(list(enumerate(body.split("\n"))), "line int, text string")

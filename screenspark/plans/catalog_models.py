@@ -7,6 +7,7 @@ from dataclasses import replace
 import numpy as np
 from pyspark.sql import functions as F
 
+from screenspark.model import CountMatrix
 from screenspark.operators import batch, calibrate, counterfactual, doublets, embed, hvg, lines, metacells, neighbours
 from screenspark.plans.catalog import CTRL_ON, DENSE, KNN, VLONG, query, r6
 from screenspark.sources import fixtures as fx
@@ -63,6 +64,20 @@ def n05_norms(spark, d):
     return scores.select("cell_id", F.round(F.expr("aggregate(v, 0D, (s, x) -> s + x * x)"), 3).alias("squares"))
 
 
+STRENGTH = "EXP(CASE WHEN pert = 'non-targeting' THEN 1 ELSE CAST(SUBSTR(pert, 7) AS INT) END / 10.0)"
+
+
+@query("n05_scores", f"""{COARSE}, e AS (SELECT cell_id, pert, {STRENGTH} AS value FROM obs), s AS (SELECT pert, ROW_NUMBER() OVER (ORDER BY SUM(value * value) DESC) AS component FROM e GROUP BY 1)
+SELECT cell_id, CAST(i AS INT) AS i, ROUND(CASE WHEN component = i THEN value ELSE 0 END, 6) AS score FROM e JOIN s USING (pert), (SELECT UNNEST(generate_series(1, 5)) AS i)""")
+def n05_scores(spark, d):
+    """Cells that store one gene each: the components are the genes, by their squares, and a rotation of them is seen."""
+    obs = fx.coarse(spark, d).obs
+    x = obs.select("cell_id", F.col("pert").alias("gene_name"), F.expr(STRENGTH).cast("double").alias("value"))
+    m = CountMatrix(obs, x.select("gene_name").distinct(), x)
+    scores = embed.project_sparse(m, embed.truncated_svd(m, 5)).withColumn("score", F.expr("transform(v, x -> abs(x))"))
+    return long(scores, "score", "cell_id")
+
+
 @query("n05_variance", "SELECT CAST(i AS INT) AS component, TRUE AS explained, TRUE AS in_order FROM (SELECT UNNEST(generate_series(0, 24)) AS i)")
 def n05_variance(spark, d):
     """A component explains the share of all squares that its scores have, no less than the next."""
@@ -206,7 +221,7 @@ def n09_planted(spark, d):
     return found.groupBy("planted").agg(F.count_distinct("line").cast("int").alias("n_lines"), F.count("*").alias("n_cells")).crossJoin(F.broadcast(every))
 
 
-@query("n10_planted_k", "SELECT 3 AS k")
+@query("n10_planted_k", "SELECT CAST(COUNT(DISTINCT vec_id % 3) AS INT) AS k FROM embeddings")
 def n10_planted(spark, d):
     return spark.createDataFrame([(lines.estimate_lines(three_lines(spark, d)),)], "k int")
 

@@ -87,17 +87,23 @@ class ScreenSpec:
 def load_spec(path: str) -> ScreenSpec:
     """A YAML file of the fields above, nested in sections or not; unknown keys and
     keys without value are passed by, folders named under ``paths`` are made."""
+    spec = parse_spec(Path(path).read_text())
+    for folder in spec.paths.values():
+        if isinstance(folder, str) and not Path(folder).suffix and "://" not in folder:
+            Path(folder).mkdir(parents=True, exist_ok=True)
+    return spec
+
+
+def parse_spec(text: str) -> ScreenSpec:
+    """The content of such a file, wherever it was read from; no folder is made."""
     import yaml
 
     known, found = {f.name for f in fields(ScreenSpec)}, {}
-    todo = [yaml.safe_load(Path(path).read_text()) or {}]
+    todo = [yaml.safe_load(text) or {}]
     while todo:
         for key, value in todo.pop().items():
             if key in known and value is not None:
                 found[key] = tuple(value) if isinstance(value, list) else value
             elif isinstance(value, dict):
                 todo.append(value)
-    for folder in (found.get("paths") or {}).values():
-        if isinstance(folder, str) and not Path(folder).suffix and "://" not in folder:
-            Path(folder).mkdir(parents=True, exist_ok=True)
     return ScreenSpec(**found)
