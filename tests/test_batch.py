@@ -84,3 +84,10 @@ def test_unknown_batches_stay_and_nothing_is_left(spark, shifted, tmp_path, monk
 @pytest.mark.parametrize("name", ["n06_weights", "n06_correction"])
 def test_one_step_equals_sql(spark, name):
     assert not differences(QUERIES[name](spark, SF), ORACLE[name], SF)
+
+
+def test_tasks_without_rows_have_no_sums(spark):
+    """A large file is read in more ranges than it has row groups, so some tasks see no row."""
+    rows = spark.createDataFrame([(0, i % 2, [1.0 + i, 2.0], [1.0 + i, 2.0]) for i in range(3)], "block int, code int, v array<double>, fixed array<double>").repartition(8, "code")
+    found = batch.tally(rows, np.eye(2), np.ones((1, 2, 2)), 0.5)
+    assert np.allclose(found.counts.sum(axis=(0, 2)), [2, 1])
