@@ -303,5 +303,5 @@ SELECT 'knn:' || k || ':64:euclidean' AS point, ROUND(rp, 6) AS rank_preservatio
 def n24_grid(spark, d):
     """A sweep whose sample is every perturbed cell and whose components are all."""
     spec = replace(SPEC, mode="knn", neighbour_grid=(5, 20))
-    found = calibrate.sweep(fx.vectors(spark, d), spec, n_pcs=(SIZE,), metrics=("euclidean",))
+    found = calibrate.sweep(fx.vectors(spark, d), spec, n_pcs=(SIZE,), metrics=("euclidean",), cells=None)
     return found.select("point", r6("rank_preservation"), r6("discrimination"), r6("stability"))
