@@ -56,9 +56,11 @@ class JaccardParams:
     least.  One document in ``sample`` gives the frequent shingles, at most ``frequent`` of
     them, so another shingle has at most one in ``frequent`` of the sample's; ``tuples``: the
     aim for the prefix shingles that one task sorts.  ``leaders``: those that a class is
-    verified against first.  ``small``: most classes of a tile whose pairs become rows.
-    ``tile``: about the classes of a side of a larger tile's block.  ``filter_bits``: most
-    bits of the filter that keeps texts of classes without candidates from being read again.
+    verified against first.  ``small``: most classes of a tile whose pairs become rows, which
+    are then at most (small - 1) / 2 for each row of a tile.  ``tile``: about the classes of a
+    side of a larger tile's block; ``rows``: about the rows of blocks that a task compares at
+    once.  ``filter_bits``: most bits of the filter that keeps texts of classes without
+    candidates from being read again.
     None of these has an influence on the result.
     """
 
@@ -69,8 +71,9 @@ class JaccardParams:
     frequent: int = 1 << 19
     tuples: int = 400_000
     leaders: int = 3
-    small: int = 128
+    small: int = 8
     tile: int = 1024
+    rows: int = 10_000
     filter_bits: int = 1 << 27
 
     def common(self, n: int) -> int:
@@ -300,11 +303,12 @@ def doc_filter(wanted: DataFrame, most: int) -> np.ndarray:
 
 
 def class_arrays(docs: DataFrame, wanted: np.ndarray, params: JaccardParams) -> DataFrame:
-    """(c, n, bits, shingles) of the documents c that pass the filter, each set once."""
+    """(c, n, bits, sketch, shingles) of the documents c that pass the filter, each set once;
+    the sketch is the bitmap folded once, of half its bits."""
     sent = docs.sparkSession.sparkContext.broadcast(wanted)
     slots = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(64 * len(wanted))).alias("slot"))
-    names = ("c", "n", "bits", "shingles")
-    schema = pa.schema([("c", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("shingles", pa.binary())])
+    names = ("c", "n", "bits", "sketch", "shingles")
+    schema = pa.schema([("c", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("sketch", pa.binary()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = sent.value
@@ -316,12 +320,13 @@ def class_arrays(docs: DataFrame, wanted: np.ndarray, params: JaccardParams) ->
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     s = shingle_set(text, params.words)
                     if len(s):
-                        for name, value in zip(names, (doc_id, len(s), bitmap(s).tobytes(), s.tobytes())):
+                        bits = bitmap(s)
+                        for name, value in zip(names, (doc_id, len(s), bits.tobytes(), folded(bits, max(1, len(bits) // 2)).tobytes(), s.tobytes())):
                             out[name].append(value)
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) for f in schema], schema=schema)
 
-    rows = slots.mapInArrow(run, "c bigint, n bigint, bits binary, shingles binary")
-    return rows.groupBy("c", "n", F.md5("shingles").alias("name")).agg(F.first("bits").alias("bits"), F.first("shingles").alias("shingles")).drop("name")
+    rows = slots.mapInArrow(run, "c bigint, n bigint, bits binary, sketch binary, shingles binary")
+    return rows.groupBy("c", "n", F.md5("shingles").alias("name")).agg(F.first("bits").alias("bits"), F.first("sketch").alias("sketch"), F.first("shingles").alias("shingles")).drop("name")
 
 
 def not_ruled_out(pairs: DataFrame, arrays: DataFrame, params: JaccardParams) -> DataFrame:
@@ -397,38 +402,52 @@ def small_tile_pairs(members: DataFrame, params: JaccardParams) -> DataFrame:
     return met.filter(f"both >= {params.least_sql('n')}").select("a", "b")
 
 
-def large_tile_pairs(members: DataFrame, tmp: Scratch, params: JaccardParams) -> DataFrame:
-    """(a, b): pairs of tiles (t, hot, c, n, root, bits) that a bitmap doesn't rule out.
+def large_tile_pairs(members: DataFrame, arrays: DataFrame, tmp: Scratch, params: JaccardParams) -> DataFrame:
+    """(a, b): pairs of tiles (t, hot, c, n, root) that a sketch doesn't rule out.
 
     For tiles of so many classes that their pairs should not become rows.  A band of a tile
     is dealt into blocks of bounded size by a hash of the class; a task compares two blocks,
-    and only classes of near sizes and different roots.
+    and only classes of near sizes and different roots.  Sketches are shuffled once, to the
+    blocks, and not for bands in which no two can meet.
     """
-    rows = over_tiles(banded(members, params), tmp, ("t", "band"), m=F.count("*"))
+    known = {"m": F.count("*"), "_top": F.max("own"), "_low": F.min("root"), "_high": F.max("root")}
+    rows = over_tiles(banded(members, params), tmp, ("t", "band"), **known).filter("_top = band AND _low <> _high")
     rows = rows.withColumn("blocks", F.ceil(F.col("m") / params.tile)).withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")))
+    many = (rows.agg(F.sum("blocks")).first()[0] or 0) // params.rows + 1
     meets = F.expr("transform(sequence(0L, blocks - 1), k -> struct(least(block, k) as a, greatest(block, k) as b))")
-    rows = rows.withColumn("pair", F.explode(meets)).select("t", "band", "pair.a", "pair.b", "block", "own", "c", "n", "root", "bits")
+    keys = ("t", "band", "a", "b")
+    rows = rows.withColumn("pair", F.explode(meets)).select("t", "band", "pair.a", "pair.b", "block", "own", "c", "n", "root")
     percent = params.percent
 
-    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+    def met(key: tuple, frame: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
         _, band, block_a, block_b = key
         words = min(map(len, frame["bits"])) // 8
         bits = np.array([folded(np.frombuffer(b, np.uint64), words) for b in frame["bits"]])
-        c, n, root, own, block = (frame[k].to_numpy() for k in ("c", "n", "root", "own", "block"))
-        found = []
+        c, n, root, own, block = (frame[k] for k in ("c", "n", "root", "own", "block"))
         a, b = np.flatnonzero(block == block_a), np.flatnonzero(block == block_b)
         for i in a.tolist():
-            # Two of the lower band meet there already.
-            near = (root[b] != root[i]) & (np.maximum(own[b], own[i]) == band) & (100 * np.minimum(n[b], n[i]) >= percent * np.maximum(n[b], n[i]))
-            j = b[near]
+            # Two of the lower band meet there already; in one block, each two meet once.
+            j = b[b > i] if block_a == block_b else b
+            j = j[(root[j] != root[i]) & (np.maximum(own[j], own[i]) == band) & (100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i]))]
             if len(j):
                 differing = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1).astype(np.int64)
                 j = j[may_link(differing, n[i], n[j], percent)]
-                found.append(np.stack([np.minimum(c[i], c[j]), np.maximum(c[i], c[j])], axis=1))
+                yield np.stack([np.minimum(c[i], c[j]), np.maximum(c[i], c[j])], axis=1)
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        columns = {k: frame[k].to_numpy() for k in frame}
+        order = np.lexsort([columns[k] for k in keys])
+        names = np.stack([columns[k][order] for k in keys], axis=1)
+        starts = np.flatnonzero(np.append(True, (names[1:] != names[:-1]).any(axis=1)))
+        found = []
+        for start, at in zip(starts, np.split(order, starts[1:])):
+            found += met(tuple(names[start].tolist()), {k: v[at] for k, v in columns.items()})
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), dtype=np.int64)
         return pd.DataFrame(pairs, columns=["a", "b"])
 
-    return rows.groupBy("t", "band", "a", "b").applyInPandas(compare, "a bigint, b bigint").distinct()
+    sketched = rows.join(arrays.select("c", "n", F.col("sketch").alias("bits")), ["c", "n"])
+    dealt_rows = sketched.withColumn("some", F.pmod(F.xxhash64(*keys), F.lit(many)))
+    return dealt_rows.groupBy("some").applyInPandas(compare, "a bigint, b bigint").distinct()
 
 
 def repeated_ids(known: DataFrame, classes: DataFrame) -> DataFrame:
@@ -469,8 +488,7 @@ def near_duplicates(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
         # A pair whose shared shingles lie in large tiles as well as small ones is found in the
         # large ones; so pairs are counted in small tiles only where no large one can hold them.
         narrow, wide = mixed.filter(F.col("m") <= params.small).drop("m"), mixed.filter(F.col("m") > params.small).drop("m")
-        wide = wide.join(arrays.select("c", "n", "bits"), ["c", "n"])
-        pairs = small_tile_pairs(narrow, params).unionByName(large_tile_pairs(wide, tmp, params)).distinct()
+        pairs = small_tile_pairs(narrow, params).unionByName(large_tile_pairs(wide, arrays, tmp, params)).distinct()
         links = first_links.unionByName(verified(pairs, arrays, params)).unionByName(repeated_ids(known, classes))
         final = components(links, "a", "b", tmp)
 

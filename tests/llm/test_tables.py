@@ -298,6 +298,22 @@ def test_join_of_large_groups(spark, percent):
     assert got == {doc_id: least[root[i]] for i, (doc_id, _) in enumerate(rows)}
 
 
+def test_pairs_of_small_tiles_grow_no_faster_than_their_rows(spark, monkeypatch):
+    """A passage that 60 texts share, none of which link: pairs by rows would be 1,770 a shingle."""
+    passage, seen = [f"p{i}" for i in range(80)], []
+    rows = [(i, " ".join(passage + [f"own{i}_{j}" for j in range(20)])) for i in range(60)]
+    before = jaccard.small_tile_pairs
+
+    def spy(members, params):
+        seen.append([r["count"] for r in members.groupBy("t").count().collect()])
+        return before(members, params)
+
+    monkeypatch.setattr(jaccard, "small_tile_pairs", spy)
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(documents(spark, rows)).collect()}
+    assert got == brute_jaccard(rows)
+    assert len(seen) == 1 and sum(m * (m - 1) // 2 for m in seen[0]) <= 4 * sum(seen[0])
+
+
 def test_prefixes_share_what_they_must():
     """Of any linked pair both prefixes hold as many common shingles as candidates need."""
     rng, params = np.random.default_rng(3), jaccard.JaccardParams(shared=10)
