@@ -25,9 +25,10 @@ Components need not all links: first each class is verified against the leader o
 tiles that it shares most with, and only tiles that then still hold several components
 are compared pair by pair.
 
-Tiles of frequent shingles are never gathered in one task: their rows are dealt out by
-class, what a tile knows of all its classes is aggregated before it is shuffled, and joins
-are between plain shuffles, whose large partitions Spark splits.
+Tiles of hot shingles, those that more than some thousand texts share, are never gathered
+in one task: their rows are dealt out by class, what a tile knows of all its classes is
+aggregated before it is shuffled, and joins are between plain shuffles, whose large
+partitions Spark splits.
 """
 
 from __future__ import annotations
@@ -54,8 +55,9 @@ class JaccardParams:
 
     ``shared``: of a set's size the percentage of prefix shingles that a link needs, one at
     least.  One document in ``sample`` gives the frequent shingles, at most ``frequent`` of
-    them, so another shingle has at most one in ``frequent`` of the sample's; ``tuples``: the
-    aim for the prefix shingles that one task sorts.  ``leaders``: those that a class is
+    them, so another shingle has at most one in ``frequent`` of the sample's; ``hot``: how often
+    the sample has a shingle whose tile is too large for one task; ``tuples``: the aim for the
+    prefix shingles that one task sorts.  ``leaders``: those that a class is
     verified against first.  ``small``: most classes of a tile whose pairs become rows, which
     are then at most (small - 1) / 2 for each row of a tile.  ``tile``: about the classes of a
     side of a larger tile's block; ``rows``: about the rows of blocks that a task compares at
@@ -69,6 +71,7 @@ class JaccardParams:
     shared: int = 5
     sample: int = 32
     frequent: int = 1 << 19
+    hot: int = 128
     tuples: int = 400_000
     leaders: int = 3
     small: int = 8
@@ -180,9 +183,9 @@ def _unpacked(table: pa.Table, kind) -> np.ndarray:
     return np.frombuffer(b"".join(table["rows"].to_pylist()), dtype=kind)
 
 
-def frequent_shingles(docs: DataFrame, tmp: Scratch, params: JaccardParams) -> tuple[np.ndarray, int]:
-    """The most frequent shingles, by a sample of the distinct texts, and about how many
-    shingles all texts have: hints on how to order and spread the work."""
+def frequent_shingles(docs: DataFrame, tmp: Scratch, params: JaccardParams) -> tuple[np.ndarray, np.ndarray, int]:
+    """The most frequent shingles, by a sample of the distinct texts, those of them that are
+    hot, and about how many shingles all texts have: hints on how to order and spread the work."""
     slots = max(4, docs.count() // (params.sample * 800))
 
     def make():
@@ -204,18 +207,19 @@ def frequent_shingles(docs: DataFrame, tmp: Scratch, params: JaccardParams) -> t
     counts = tmp.stored(map_batches(texts, make, "slot bigint, rows binary").groupBy("slot").applyInArrow(count, "t bigint, n bigint"), "jaccard-sample")
     rows = counts.filter("t IS NOT NULL").orderBy(F.desc("n"), "t").limit(params.frequent).collect()
     total = counts.filter("t IS NULL").agg(F.sum("n")).first()[0] or 0
-    return np.sort(np.array([r.t for r in rows], dtype=np.int64).view(np.uint64)), params.sample * total
+    found, hot = np.array([r.t for r in rows], dtype=np.int64).view(np.uint64), np.array([r.n >= params.hot for r in rows], dtype=bool)
+    return np.sort(found), np.sort(found[hot]), params.sample * total
 
 
-def described(docs: DataFrame, frequent: np.ndarray, buckets: int, params: JaccardParams) -> DataFrame:
+def described(docs: DataFrame, frequent: np.ndarray, hottest: np.ndarray, buckets: int, params: JaccardParams) -> DataFrame:
     """What one pass over all texts gives: in rows without ``t`` the documents (d, n, hi,
     lo), in the others prefix shingles ``t`` of classes (hi, lo) of n shingles, where other
-    classes of near size have the shingle in their prefix too (``hot``, frequent ones: all).
+    classes of near size have the shingle in their prefix too (``hot`` ones: all).
     """
-    sent = docs.sparkSession.sparkContext.broadcast(frequent)
+    sent = docs.sparkSession.sparkContext.broadcast((frequent, hottest))
 
     def make():
-        common = sent.value
+        common, largest = sent.value
         seen: set[tuple[int, int]] = set()
 
         def step(cols):
@@ -231,11 +235,12 @@ def described(docs: DataFrame, frequent: np.ndarray, buckets: int, params: Jacca
                 if len(seen) >= 200_000:
                     seen.clear()
                 seen.add(cls)
-                t, hot = prefix(s, common, params)
+                t, often = prefix(s, common, params)
+                hot = often & np.isin(t, largest)
                 rows = np.empty(len(t), dtype=TUPLE)
                 rows["t"], rows["hi"], rows["lo"], rows["n"] = t, *cls, len(s)
                 tuples.append(rows)
-                # Rare shingles meet in the bucket of their hash; of frequent ones any bucket will do.
+                # Shingles meet in the bucket of their hash; of hot ones any bucket will do.
                 spread = (np.uint64(cls[1] % (1 << 64)) + t) % np.uint64(buckets) + np.uint64(buckets)
                 places.append(np.where(hot, spread, t % np.uint64(buckets)).astype(np.int64))
             names, packed = _packed(np.concatenate(tuples), np.concatenate(places)) if tuples else ([], [])
@@ -270,14 +275,14 @@ def described(docs: DataFrame, frequent: np.ndarray, buckets: int, params: Jacca
 def over_tiles(rows: DataFrame, tmp: Scratch, keys: tuple[str, ...] = ("t",), **of: Column) -> DataFrame:
     """``rows`` (t, hot, ...) with aggregates over their tiles.
 
-    Tiles of rare shingles are small, so a window over them does; rows of frequent ones are
-    aggregated first and joined with what comes of it.
+    Tiles of other shingles have some thousand rows at most, so a window over them does; rows
+    of hot ones are aggregated first and joined with what comes of it, one row for a tile.
     """
     window = W.partitionBy(*keys)
-    rare = rows.filter("NOT hot").select("*", *[f.over(window).alias(k) for k, f in of.items()])
+    few = rows.filter("NOT hot").select("*", *[f.over(window).alias(k) for k, f in of.items()])
     hot = rows.filter("hot")
     found = tmp.stored(hot.groupBy(*keys).agg(*[f.alias(k) for k, f in of.items()]), "jaccard-hot")
-    return rare.unionByName(hot.join(found, list(keys)).select(rare.columns))
+    return few.unionByName(hot.join(found, list(keys)).select(few.columns))
 
 
 def enough_shared(tiles: DataFrame, tmp: Scratch, params: JaccardParams, key: str = "c") -> DataFrame:
@@ -468,9 +473,9 @@ def near_duplicates(docs: DataFrame, params: JaccardParams = JaccardParams()) ->
     """
     docs = docs.select("doc_id", "text")
     with Scratch(docs.sparkSession) as tmp:
-        frequent, total = frequent_shingles(docs, tmp, params)
+        frequent, hottest, total = frequent_shingles(docs, tmp, params)
         buckets = max(8, int(total * (100 - params.percent + params.shared) / 100 / params.tuples) + 1)
-        every = tmp.stored(described(docs, frequent, buckets, params), "jaccard-sets")
+        every = tmp.stored(described(docs, frequent, hottest, buckets, params), "jaccard-sets")
         known = every.filter("t IS NULL").select(F.col("d").alias("doc_id"), "n", "hi", "lo")
         named = known.filter("hi IS NOT NULL AND doc_id IS NOT NULL")
         classes = tmp.stored(named.groupBy("hi", "lo").agg(F.min("doc_id").alias("c")), "jaccard-classes")

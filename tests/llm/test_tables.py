@@ -314,6 +314,24 @@ def test_pairs_of_small_tiles_grow_no_faster_than_their_rows(spark, monkeypatch)
     assert len(seen) == 1 and sum(m * (m - 1) // 2 for m in seen[0]) <= 4 * sum(seen[0])
 
 
+def test_only_rows_of_tiles_too_large_for_a_task_are_joined(spark, monkeypatch):
+    """A passage that 60 texts share makes tiles that windows hold: none of their rows goes through a join."""
+    passage, seen = [f"p{i}" for i in range(80)], []
+    rows = [(i, " ".join(passage + [f"own{i}_{j}" for j in range(20)])) for i in range(60)]
+    before = jaccard.over_tiles
+
+    def spy(tiles, *more, **of):
+        seen.append(tiles.filter("hot").count())
+        return before(tiles, *more, **of)
+
+    monkeypatch.setattr(jaccard, "over_tiles", spy)
+    for params, joined in ((jaccard.JaccardParams(sample=1), False), (jaccard.JaccardParams(sample=1, hot=50), True)):
+        seen.clear()
+        got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(documents(spark, rows), params).collect()}
+        assert got == brute_jaccard(rows)
+        assert seen and any(seen) == joined
+
+
 def test_prefixes_share_what_they_must():
     """Of any linked pair both prefixes hold as many common shingles as candidates need."""
     rng, params = np.random.default_rng(3), jaccard.JaccardParams(shared=10)
