@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from jobs.common import Config, columns_of, count_of, log, main
 from screenspark.model import CountMatrix
 from screenspark.operators import genes, normalize, qc
-from screenspark.sources.matrix import read_matrix, write_matrix
+from screenspark.sources.matrix import bucketed_matrix
+from screenspark.sources.storage import settled
 from screenspark.spec import ScreenSpec
 
 CONFIG = Path(__file__).with_name("term_screen.yaml")
@@ -32,15 +33,21 @@ INPUTS = ["documents"]
 PROFILES = "pert string, gene_name string, n_cells bigint, n_cells_expr bigint, mean double, control_mean double, shift double, cell_line string"
 
 
-def term_matrix(docs: DataFrame) -> CountMatrix:
+#: Most terms that are broadcast; common ones are few, but the thresholds may keep all.
+FEW_TERMS = 200_000
+
+
+def term_matrix(docs: DataFrame, parts: int | None = None) -> CountMatrix:
     """Counts of the words (between white space, A-Z in lower case) of each document.
 
-    Rows that repeat a document's id are one document: their words add up, the smallest
+    The texts are dealt to ``parts`` partitions by document and counted there, so that no
+    row a word is shuffled.  Rows that repeat a document's id are one document: their words add up, the smallest
     labels count.  Rows without id are left out; a null text has no words.
     """
     docs = docs.filter("cell_id IS NOT NULL")
     words = F.split(F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase), r"[\x20\x09-\x0D]+")
-    x = docs.select("cell_id", F.explode(words).alias("gene_name")).filter("gene_name <> ''").groupBy("cell_id", "gene_name").agg(F.count("*").cast("double").alias("value"))
+    dealt = docs.select("cell_id", "text").repartition(*([parts] if parts else []), "cell_id")
+    x = dealt.select("cell_id", F.explode(words).alias("gene_name")).filter("gene_name <> ''").groupBy("cell_id", "gene_name").agg(F.count("*").cast("double").alias("value"))
     obs = docs.groupBy("cell_id").agg(F.min("pert").alias("pert"), F.min("cell_line").alias("cell_line"))
     return CountMatrix(obs, x.select("gene_name").distinct(), x)
 
@@ -58,19 +65,25 @@ def group_profiles(m: CountMatrix, spec: ScreenSpec) -> DataFrame:
     return out.withColumn("shift", F.col("mean") - F.col("control_mean"))
 
 
+def write_profiles(m: CountMatrix, out: str, spec: ScreenSpec) -> None:
+    columns = [c.split() for c in PROFILES.split(", ")]
+    rows = group_profiles(m, spec).select(*(F.col(name).cast(kind) for name, kind in columns))
+    rows.write.mode("overwrite").partitionBy("cell_line").parquet(f"{out}/profiles")
+
+
 def run(spark: SparkSession, inputs: dict[str, str], out: str, config: Config) -> DataFrame:
     """Build the matrix of the documents and write the profiles; returns the profiles."""
     spec = config.spec
     docs = columns_of(spark.read.parquet(inputs["documents"]), config.columns["documents"])
-    write_matrix(term_matrix(docs), f"{out}/matrix")
-    m = read_matrix(spark, f"{out}/matrix")
-    log.info("read %d rows; wrote a matrix of %d documents, %d terms, %d entries", count_of(docs), count_of(m.obs), count_of(m.var), count_of(m.x))
-    kept = m.keep_cells(qc.good_cells(qc.qc_metrics(m, spec), spec))
-    kept = kept.keep_genes(genes.triage(kept, spec, cycle=()).filter("kept"))
-    scaled = normalize.normalise(kept, replace(spec, target_sum=None, log=True), by="cell_line")
-    columns = [c.split() for c in PROFILES.split(", ")]
-    rows = group_profiles(scaled, spec).select(*(F.col(name).cast(kind) for name, kind in columns))
-    rows.write.mode("overwrite").partitionBy("cell_line").parquet(f"{out}/profiles")
+    buckets = config.options.get("buckets", 64)
+    with bucketed_matrix(term_matrix(docs, buckets), f"{out}/matrix", buckets) as m:
+        log.info("read %d rows; wrote a matrix of %d documents, %d terms, %d entries", count_of(docs), count_of(m.obs), count_of(m.var), count_of(m.x))
+        good = settled(qc.good_cells(qc.qc_metrics(m, spec), spec).select("cell_id"))
+        kept = m.keep_cells(good)
+        terms = settled(genes.triage(kept, spec, cycle=()).filter("kept").select("gene_name"))
+        kept = kept.keep_genes(F.broadcast(terms) if terms.count() <= FEW_TERMS else terms)
+        scaled = normalize.normalise(kept, replace(spec, target_sum=None, log=True), by="cell_line")
+        write_profiles(scaled, out, spec)
     found = spark.read.schema(PROFILES).parquet(f"{out}/profiles")
     log.info("wrote %d rows of profiles below %s", count_of(found), out)
     return found

@@ -122,3 +122,26 @@ def test_command_line(spark, tmp_path, job):
     assert done.returncode == 0, done.stderr[-2000:]
     assert "read" in done.stderr and "wrote" in done.stderr
     assert spark.read.parquet(str(tmp_path / "out" / ("cells" if job is cell_intake else "profiles"))).count() > 0
+
+
+def exchanges(df):
+    return [line for line in df._jdf.queryExecution().sparkPlan().toString().splitlines() + df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_words_are_counted_where_their_document_is(spark):
+    docs = spark.range(9).selectExpr("id % 5 AS cell_id", "'a' AS pert", "'b' AS cell_line", "'A b a' AS text")
+    x = term_screen.term_matrix(docs).x
+    assert not any("gene_name" in line for line in exchanges(x))
+    assert {(r.cell_id, r.gene_name, r.value) for r in x.collect()} == {(k, g, n * (1 if k == 4 else 2)) for k in range(5) for g, n in (("a", 2.0), ("b", 1.0))}
+
+
+def test_bucketed_matrix_is_not_shuffled_by_cell(spark, tmp_path):
+    from screenspark.sources.matrix import bucketed_matrix
+
+    m = term_screen.term_matrix(spark.range(40).selectExpr("id AS cell_id", "'a' AS pert", "'b' AS cell_line", "concat('x y', id) AS text"), 4)
+    for _ in range(2):  # a rerun replaces all
+        with bucketed_matrix(m, str(tmp_path / "m"), 4) as found:
+            sums = found.x.groupBy("cell_id").agg(F.sum("value").alias("total"))
+            assert not exchanges(sums) and {(r.cell_id, r.total) for r in sums.collect()} == {(k, 2.0) for k in range(40)}
+            assert found.var.count() == 41 and found.obs.count() == 40
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("matrix_")]
