@@ -75,7 +75,7 @@ def take(spark: SparkSession, batch: DataFrame, step: int, inputs: dict[str, str
 
     entries = spark.read.schema(ENTRIES).parquet(f"{out}/entries")
     added = entries.filter(F.col("intake") == step)
-    plates = added.select("plate").distinct()
+    plates = F.broadcast(added.select("plate").distinct())  # as few as folders; dealt by plate, a task would get a whole one
     so_far = entries.filter(F.col("intake") <= step).join(plates, "plate", "left_semi")
     judged, genes = triaged(cells.join(plates, "plate", "left_semi"), so_far, config)
     write_parts(typed(judged, CELLS), f"{out}/cells", "plate")

@@ -145,3 +145,22 @@ def test_bucketed_matrix_is_not_shuffled_by_cell(spark, tmp_path):
             assert not exchanges(sums) and {(r.cell_id, r.total) for r in sums.collect()} == {(k, 2.0) for k in range(40)}
             assert found.var.count() == 41 and found.obs.count() == 40
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("matrix_")]
+
+
+def test_entries_are_not_dealt_by_plate(spark, inputs, monkeypatch):
+    paths, arrive, out = inputs
+    arrive(0)
+    plans, triaged = [], cell_intake.triaged
+
+    def seen(cells, entries, config):
+        plans.extend(df._jdf.queryExecution().executedPlan().toString() for df in (cells, entries))
+        return triaged(cells, entries, config)
+
+    monkeypatch.setattr(cell_intake, "triaged", seen)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert cell_intake.run(spark, paths, out, load_config(cell_intake.CONFIG)).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plans and not any("SortMergeJoin [plate" in plan for plan in plans)
