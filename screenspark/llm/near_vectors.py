@@ -18,6 +18,7 @@ divided on.  Leaves are compared in blocks of bounded size.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from dataclasses import dataclass
 
@@ -133,7 +134,7 @@ def vector_classes(vectors: DataFrame, tmp: Scratch) -> DataFrame:
     return tmp.stored(grouped.withColumn("cls", F.monotonically_increasing_id()), "vectors")
 
 
-def planted(classes: DataFrame, params: ForestParams) -> DataFrame:
+def planted(classes: DataFrame, tmp: Scratch, params: ForestParams) -> DataFrame:
     """(cls, embedding, tree, node): each class at the root of the trees of its label.
 
     Vectors of different lengths never link; a node holds those of one length.
@@ -141,24 +142,32 @@ def planted(classes: DataFrame, params: ForestParams) -> DataFrame:
     rooted = classes.select("cls", "embedding", F.concat_ws("/", F.lit(""), "label", F.size("embedding")).alias("node"))
     levels = F.ceil(F.log2(F.col("count") / params.leaf))
     trees = F.when(F.col("count") <= params.leaf, F.lit(1)).otherwise(params.trees + F.floor(levels / 3)).cast("int")
-    sizes = rooted.groupBy("node").count().select("node", trees.alias("trees"))
-    return rooted.join(dealt(sizes), "node").select("cls", "embedding", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree"), "node")
+    sizes = tmp.stored(rooted.groupBy("node").count().select("node", trees.alias("trees")), "trees")
+    return rooted.join(sizes, "node").select("cls", "embedding", F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree"), "node")
 
 
 def divide(classes: DataFrame, tmp: Scratch, params: ForestParams) -> DataFrame:
-    """(cls, code): the leaves of each class in all trees."""
-    nodes = planted(classes, params)
-    depth, dense = 0, None
+    """(cls, code): the leaves of each class in all trees.
+
+    What is told of a node, as its size, mean and cut, is a small table of its own, so that
+    joins with it needn't shuffle vectors; nodes that a task can divide wait aside.
+    """
+    nodes = planted(classes, tmp, params)
+    depth, dense, waiting = 0, None, []
     while True:
-        sizes = nodes.groupBy("tree", "node").count()
+        sizes = tmp.stored(nodes.groupBy("tree", "node").count(), "sizes")
         large = sizes.filter(F.col("count") > params.local)
-        if depth >= params.depth or large.limit(1).count() == 0:
+        if depth >= params.depth or large.isEmpty():
             break
-        found, nodes = _take_cores(nodes, large, tmp, params)
-        dense = found if dense is None else dense.unionByName(found)
-        nodes = tmp.stored(_divide_once(nodes, nodes.groupBy("tree", "node").count(), depth, params), "forest")
+        waiting.append(nodes.join(large, ["tree", "node"], "left_anti"))
+        found, nodes = _take_cores(nodes.join(large, ["tree", "node"], "left_semi"), tmp, params)
+        if found is not None:
+            dense = found if dense is None else dense.unionByName(found)
+            sizes = tmp.stored(nodes.groupBy("tree", "node").count(), "sizes")
+        nodes = tmp.stored(_divide_once(nodes, sizes, depth, tmp, params), "forest")
         depth += 1
-    small = nodes.join(sizes.filter(F.col("count") <= params.local).select("tree", "node"), ["tree", "node"])
+    left = nodes.join(large, ["tree", "node"], "left_semi").select("cls", F.xxhash64("tree", "node").alias("code"))
+    small = functools.reduce(DataFrame.unionByName, waiting, nodes.join(large, ["tree", "node"], "left_anti"))
     level = depth
 
     def finish(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -172,8 +181,7 @@ def divide(classes: DataFrame, tmp: Scratch, params: ForestParams) -> DataFrame:
 
     done = small.groupBy("tree", "node").applyInPandas(finish, "cls bigint, code bigint")
     if depth >= params.depth:
-        left = nodes.join(sizes.filter(F.col("count") > params.local).select("tree", "node"), ["tree", "node"])
-        done = done.unionByName(left.select("cls", F.xxhash64("tree", "node").alias("code")))
+        done = done.unionByName(left)
     return done if dense is None else done.unionByName(dense)
 
 
@@ -182,58 +190,89 @@ def leaf_code(tree: int, node: str, path: str) -> int:
     return (zlib.crc32(text) << 31) ^ zlib.crc32(b"leaf" + text)
 
 
-def _take_cores(nodes: DataFrame, large: DataFrame, tmp: Scratch, params: ForestParams) -> tuple[DataFrame, DataFrame]:
-    """(leaves, nodes): dense leaves of the large nodes that have a core, and the nodes
-    without those cores; as inside a task, but with means and shares over the cluster."""
+def _by_length(vectors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(rows, unit vectors) of those of one length."""
+    lengths = np.fromiter(map(len, vectors), np.int64, len(vectors))
+    return [(at, units(vectors[at])) for n in np.unique(lengths) for at in [np.flatnonzero(lengths == n)]]
+
+
+def _node_means(nodes: DataFrame) -> DataFrame:
+    """(tree, node, mean) of the unit vectors; a task sends a row of sums for a node."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
-    length = "sqrt(aggregate({0}, 0D, (s, v) -> s + cast(v as double) * cast(v as double)))"
-    rows = nodes.join(large.select("tree", "node"), ["tree", "node"]).withColumn("length", F.expr(length.format("embedding")))
-    rows = rows.withColumn("unit", F.expr("transform(embedding, v -> cast(v as double) / length)")).drop("length")
-    means = rows.groupBy("tree", "node").agg(vector_to_array(Summarizer.mean(array_to_vector("unit"))).alias("mean"))
-    means = means.withColumn("size", F.greatest(F.expr(length.format("mean")), F.lit(1e-300)))
-    near = F.expr("aggregate(zip_with(unit, mean, (p, q) -> p * q), 0D, (s, v) -> s + v) / size")
-    near_rows = rows.join(means, ["tree", "node"]).select("cls", "tree", "node", "embedding", near.alias("near"))
-    share = near_rows.groupBy("tree", "node").agg(F.avg((F.col("near") >= params.dense).cast("double")).alias("share"))
-    cored = tmp.stored(near_rows.join(share.filter(F.col("share") >= params.share).select("tree", "node"), ["tree", "node"]), "cores")
+    def add(batches):
+        sums: dict[tuple, np.ndarray] = {}
+        for frame in batches:
+            vectors = frame["embedding"].to_numpy()
+            for key, at in frame.groupby(["tree", "node"]).indices.items():
+                sums[key] = sums.get(key, 0) + np.append(units(vectors[at]).sum(axis=0), len(at))
+        if sums:
+            yield pd.DataFrame({"tree": [k[0] for k in sums], "node": [k[1] for k in sums], "sums": list(sums.values())})
+
+    sums = nodes.select("tree", "node", "embedding").mapInPandas(add, "tree int, node string, sums array<double>")
+    total = sums.groupBy("tree", "node").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("s"))
+    return total.select("tree", "node", F.expr("transform(slice(s, 1, size(s) - 1), x -> x / element_at(s, -1))").alias("mean"))
+
+
+def _take_cores(nodes: DataFrame, tmp: Scratch, params: ForestParams) -> tuple[DataFrame | None, DataFrame]:
+    """(leaves, nodes): dense leaves of the nodes that have a core, or None, and the nodes
+    without those cores; as inside a task, but with means and shares over the cluster."""
+
+    @F.pandas_udf("double")
+    def near(embedding: pd.Series, mean: pd.Series) -> pd.Series:
+        out, means = np.zeros(len(embedding)), mean.to_numpy()
+        for at, x in _by_length(embedding.to_numpy()):
+            m = np.stack(means[at])
+            out[at] = (x * m).sum(axis=1) / np.maximum(np.linalg.norm(m, axis=1), 1e-300)
+        return pd.Series(out)
+
+    means = tmp.stored(_node_means(nodes), "means")
+    rows = nodes.join(means, ["tree", "node"]).select("cls", "tree", "node", "embedding", near("embedding", "mean").alias("near"))
+    share = rows.groupBy("tree", "node").agg(F.avg((F.col("near") >= params.dense).cast("double")).alias("share"))
+    cores = tmp.stored(share.filter(F.col("share") >= params.share).select("tree", "node"), "shares")
+    if cores.isEmpty():
+        return None, nodes
+    cored = tmp.stored(rows.join(cores, ["tree", "node"], "left_semi"), "cores")
     leaves = cored.filter(F.col("near") >= float(reach(params.dense, params.cosine))).select("cls", F.xxhash64("tree", "node", F.lit("dense")).alias("code"))
     rest = cored.filter(F.col("near") < params.dense).select("cls", "embedding", "tree", F.concat("node", F.lit("r")).alias("node"))
-    others = nodes.join(cored.select("tree", "node").distinct(), ["tree", "node"], "left_anti")
-    return leaves, others.select("cls", "embedding", "tree", "node").unionByName(rest)
+    return leaves, nodes.join(cores, ["tree", "node"], "left_anti").select("cls", "embedding", "tree", "node").unionByName(rest)
 
 
-def _divide_once(nodes: DataFrame, sizes: DataFrame, depth: int, params: ForestParams) -> DataFrame:
+def _divide_once(nodes: DataFrame, sizes: DataFrame, depth: int, tmp: Scratch, params: ForestParams) -> DataFrame:
     """One more level below the nodes that are too large for a task."""
 
     @F.pandas_udf("double")
     def project(embedding: pd.Series, tree: pd.Series) -> pd.Series:
-        out = np.zeros(len(tree))
-        for key, at in pd.DataFrame({"t": tree.to_numpy(), "d": embedding.map(len).to_numpy()}).groupby(["t", "d"]).indices.items():
-            out[at] = units([embedding.iloc[i] for i in at]) @ direction(int(key[0]), depth, int(key[1]), params.seed)
+        out, trees = np.zeros(len(tree)), tree.to_numpy()
+        for at, x in _by_length(embedding.to_numpy()):
+            for t in np.unique(trees[at]):
+                some = trees[at] == t
+                out[at[some]] = x[some] @ direction(int(t), depth, x.shape[1], params.seed)
         return pd.Series(out)
 
     @F.pandas_udf("double")
     def cut(quantiles: pd.Series) -> pd.Series:
         return quantiles.map(lambda q: cut_of(np.asarray(q)))
 
-    marked = nodes.join(sizes, ["tree", "node"])
-    large = marked.filter(F.col("count") > params.local).withColumn("p", project("embedding", "tree"))
+    keys = sizes.filter(F.col("count") > params.local).select("tree", "node")
+    large = nodes.join(keys, ["tree", "node"], "left_semi").withColumn("p", project("embedding", "tree"))
     quantiles = large.groupBy("tree", "node").agg(F.percentile_approx("p", GRID.tolist(), 2000).alias("q"), F.min("p").alias("p0"), F.max("p").alias("p1"))
     # The spill's bounds come from the quantiles around the cut.
     bounds = quantiles.withColumn("cut", cut("q"))
     step = max(1, round(params.spill / (GRID[1] - GRID[0])))
     bounds = bounds.withColumn("k", F.expr("size(filter(q, v -> v <= cut))"))
     bounds = bounds.withColumn("low", F.expr(f"if(k > {step}, q[k - 1 - {step}], p0)")).withColumn("high", F.expr(f"if(k + {step} < size(q), q[k + {step}], p1)"))
+    bounds = tmp.stored(bounds.select("tree", "node", "cut", "low", "high", "p0", "p1"), "cuts")
     width = 0.6 * float(np.sqrt(2 * (1 - params.cosine)))
     reach = F.lit(width) / F.sqrt(F.size("embedding"))
-    split = large.drop("count").join(bounds.select("tree", "node", "cut", "low", "high", "p0", "p1"), ["tree", "node"])
+    split = large.join(bounds, ["tree", "node"])
     left = (F.col("p") <= F.least("high", F.col("cut") + reach)) & (F.col("p0") < F.col("p1"))
     right = (F.col("p") > F.greatest("low", F.col("cut") - reach)) & (F.col("p0") < F.col("p1"))
     sides = F.array_compact(F.array(F.when(left | (F.col("p0") == F.col("p1")), F.lit("0")), F.when(right, F.lit("1"))))
     children = split.select("cls", "embedding", "tree", "node", F.explode(sides).alias("side"))
     children = children.select("cls", "embedding", "tree", F.concat("node", F.lit("."), "side").alias("node"))
-    return marked.filter(F.col("count") <= params.local).select("cls", "embedding", "tree", "node").unionByName(children)
+    return nodes.join(keys, ["tree", "node"], "left_anti").select("cls", "embedding", "tree", "node").unionByName(children)
 
 
 def leaf_links(classes: DataFrame, codes: DataFrame, tmp: Scratch, params: ForestParams) -> DataFrame:
