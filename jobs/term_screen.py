@@ -14,10 +14,13 @@ is replaced by each run, so a rerun gives the same.
 
 from __future__ import annotations
 
-import string
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import replace
+from itertools import repeat
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,19 +38,52 @@ PROFILES = "pert string, gene_name string, n_cells bigint, n_cells_expr bigint,
 
 #: Most terms that are broadcast; common ones are few, but the thresholds may keep all.
 FEW_TERMS = 200_000
+#: Entries after which a task hands on what it counted.
+ENTRIES = 50_000
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cell_id, gene_name, value) of rows (cell_id, text) in the order of their ids."""
+    last, words, ids, terms, counts, kind = None, Counter(), [], [], [], None
+
+    def made() -> pa.RecordBatch:
+        rows = [pa.array(ids, kind), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(counts, pa.float64())]
+        for column in (ids, terms, counts):
+            column.clear()
+        return pa.RecordBatch.from_arrays(rows, ["cell_id", "gene_name", "value"])
+
+    def end() -> None:
+        ids.extend(repeat(last, len(words)))
+        terms.extend(words.keys())
+        counts.extend(words.values())
+        words.clear()
+
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        texts = batch.column(1)
+        for cell, text in zip(batch.column(0).to_pylist(), texts.cast(pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary())):
+            if cell != last:
+                end()
+                last = cell
+                if len(ids) >= ENTRIES:
+                    yield made()
+            if text.is_valid:
+                words.update(text.as_py().lower().split())  # of bytes: A-Z, and the six characters of ASCII white space
+    end()
+    if ids:
+        yield made()
 
 
 def term_matrix(docs: DataFrame, parts: int | None = None) -> CountMatrix:
     """Counts of the words (between white space, A-Z in lower case) of each document.
 
     The texts are dealt to ``parts`` partitions by document and counted there, so that no
-    row a word is shuffled.  Rows that repeat a document's id are one document: their words add up, the smallest
+    row a word is shuffled, nor made.  Rows that repeat a document's id are one document: their words add up, the smallest
     labels count.  Rows without id are left out; a null text has no words.
     """
     docs = docs.filter("cell_id IS NOT NULL")
-    words = F.split(F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase), r"[\x20\x09-\x0D]+")
-    dealt = docs.select("cell_id", "text").repartition(*([parts] if parts else []), "cell_id")
-    x = dealt.select("cell_id", F.explode(words).alias("gene_name")).filter("gene_name <> ''").groupBy("cell_id", "gene_name").agg(F.count("*").cast("double").alias("value"))
+    dealt = docs.select("cell_id", "text").repartition(*([parts] if parts else []), "cell_id").sortWithinPartitions("cell_id")
+    x = dealt.mapInArrow(_counted, f"cell_id {docs.schema['cell_id'].dataType.simpleString()}, gene_name string, value double")
     obs = docs.groupBy("cell_id").agg(F.min("pert").alias("pert"), F.min("cell_line").alias("cell_line"))
     return CountMatrix(obs, x.select("gene_name").distinct(), x)
 
